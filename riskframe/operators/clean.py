@@ -140,15 +140,19 @@ def negative_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def repair_negatives(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """value < 0 -> median of the column's values >= 0 (pandas median = linear interpolation).
 
-    Like fitting an imputer: the medians (one number per listed column) are
-    computed by a distributed job and applied as literals.
+    Each median is a scalar subquery (exact distributed quantile); the repaired
+    columns are double, type-stable whatever the median turns out to be.
     """
     if not columns:
         return df
-    med = {r["column"]: r["median"] for r in negative_medians(df, columns).collect()}
-    # the repaired columns are double: type-stable whatever the median turns out to be
-    return df.withColumns({c: F.when(qcol(c) < 0, F.lit(med.get(c)).cast("double")).otherwise(qcol(c).cast("double"))
-                           for c in columns})
+    from riskframe.operators.quantiles import quantiles
+    nonneg = df.select(*[F.when(qcol(c) >= 0, qcol(c)).alias(c) for c in columns])
+    q = quantiles(nonneg, columns, [0.5])
+    out = {}
+    for c in columns:
+        med = q.where(F.col("column") == c).select("value").scalar()
+        out[c] = F.when(qcol(c) < 0, med).otherwise(qcol(c).cast("double"))
+    return df.withColumns(out)
 
 
 # P8 -------------------------------------------------------------------------------

@@ -21,10 +21,15 @@ BROADCAST_MAX_ROWS = 1_000_000
 # --------------------------------------------------------------------------------
 
 
+_SIZE_MEMO: dict = {}
+
+
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only if it has at most ``max_rows`` rows (a bounded count job)."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    """Broadcast ``dim`` only if it has at most ``max_rows`` rows (a bounded count job, once per plan)."""
+    key = (dim.semanticHash(), max_rows)
+    if key not in _SIZE_MEMO:
+        _SIZE_MEMO[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if _SIZE_MEMO[key] else dim
 
 
 def apply_lookup(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None, name: str | None = None,

@@ -50,37 +50,66 @@ def _order_number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
+# Split decisions per (plan, keys, order, partitions). A stale entry can only
+# cost balance, never correctness: any monotone bucketing gives the same result.
+_PLAN_MEMO: dict = {}
+
+
 def _bucketed(df: DataFrame, keys: list[str], order: list[str], min_hot_rows: int | None = None,
               buckets: int | None = None) -> tuple[DataFrame, bool]:
     """Add ``_rf_sub``; returns (frame, whether any key was split)."""
     spark = df.sparkSession
+    memo_key = (df.semanticHash(), tuple(keys), tuple(order), spark.conf.get("spark.sql.shuffle.partitions"),
+                min_hot_rows, buckets)
+    if memo_key in _PLAN_MEMO:
+        kind, payload = _PLAN_MEMO[memo_key]
+        return _apply_split(df, keys, order, kind, payload)
+    kind, payload = _decide_split(df, keys, order, min_hot_rows, buckets)
+    _PLAN_MEMO[memo_key] = (kind, payload)
+    return _apply_split(df, keys, order, kind, payload)
+
+
+def _apply_split(df: DataFrame, keys: list[str], order: list[str], kind: str, payload) -> tuple[DataFrame, bool]:
+    if kind == "none":
+        return df.withColumn(_SUB, F.lit(0)), False
+    num = _order_number(df, order[0])
+    if kind == "global":
+        arr = F.array(*[F.lit(float(b)) for b in payload])
+        return df.withColumn(_SUB, F.size(F.filter(arr, lambda b: b <= num))), True
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
+    bdf = df.sparkSession.createDataFrame(payload, schema)       # <= #partitions rows
+    out = df.join(F.broadcast(bdf), keys, "left")
+    sub = F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b <= num)), F.lit(0))
+    return out.withColumn(_SUB, F.when(F.col("_b").isNull(), F.lit(0)).otherwise(sub)).drop("_b"), True
+
+
+def _decide_split(df: DataFrame, keys: list[str], order: list[str], min_hot_rows: int | None,
+                  buckets: int | None):
+    spark = df.sparkSession
     nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nb = buckets or nparts
     num = _order_number(df, order[0])
     if num is None or nb <= 1:
-        return df.withColumn(_SUB, F.lit(0)), False
+        return "none", None
     floor_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
     probs = [i / nb for i in range(1, nb)]
     if not keys:
         total = df.count()
         if total <= floor_rows:
-            return df.withColumn(_SUB, F.lit(0)), False
+            return "none", None
         bounds = df.select(F.percentile_approx(num, probs, 10000)).first()[0] or []
-        arr = F.array(*[F.lit(float(b)) for b in bounds])
-        return df.withColumn(_SUB, F.size(F.filter(arr, lambda b: b <= num))), True
+        return "global", [float(b) for b in bounds]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    thr = max(floor_rows, math.ceil(total / nparts))
+    total, biggest = counts.agg(F.sum("_n"), F.max("_n")).first()
+    thr = max(floor_rows, math.ceil((total or 0) / nparts))
+    if (biggest or 0) <= thr:                                     # the common case: one small job
+        return "none", None
     hot = counts.where(F.col("_n") > thr).select(*keys)          # at most nparts keys
     rows = (df.join(F.broadcast(hot), keys, "left_semi").groupBy(*keys)
             .agg(F.percentile_approx(num, probs, 10000).alias("_b")).collect())
     if not rows:
-        return df.withColumn(_SUB, F.lit(0)), False
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
-    bdf = spark.createDataFrame([tuple(r[k] for k in keys) + ([float(x) for x in r["_b"]],) for r in rows], schema)
-    out = df.join(F.broadcast(bdf), keys, "left")
-    sub = F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b <= num)), F.lit(0))
-    return out.withColumn(_SUB, F.when(F.col("_b").isNull(), F.lit(0)).otherwise(sub)).drop("_b"), True
+        return "none", None
+    return "keyed", [tuple(r[k] for k in keys) + ([float(x) for x in r["_b"]],) for r in rows]
 
 
 def _join_keys(keys: list[str]) -> list[str]:

@@ -33,10 +33,23 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              hist: DataFrame | None = None) -> DataFrame:
-    """Rows ``(by..., column, prob, value)`` with exact linear-interpolated quantiles."""
+              hist: DataFrame | None = None, method: str = "aggregate") -> DataFrame:
+    """Rows ``(by..., column, prob, value)`` with exact linear-interpolated quantiles.
+
+    ``method="aggregate"``: Spark's exact ``percentile``, whose buffer is a
+    value -> count map (memory ~ distinct values per group, partial-aggregated)
+    -- right for the count-like columns profiled here. ``method="distributed"``:
+    histogram + range-split running counts, for high-cardinality columns where
+    even the distinct values of one group do not fit one task.
+    """
     by = list(by)
     keys = by + ["column"]
+    if method == "aggregate" and hist is None:
+        lv = long_values(df, cols, by)
+        return lv.groupBy(*keys).agg(F.percentile("v", [float(p) for p in probs]).alias("_q")) \
+            .select(*keys, F.posexplode("_q").alias("_i", "value")) \
+            .select(*keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
+                    "value")
     h = hist if hist is not None else value_histogram(df, cols, by)
     cum = running_sums(h, keys + ["v"], {"cum": "cnt"}, keys=keys)
     totals = h.groupBy(*keys).agg(F.sum("cnt").alias("n"))

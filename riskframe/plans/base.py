@@ -115,6 +115,9 @@ clean AS (
 
 
 CLEAN_SQL = _clean_sql(True)
+CLEAN_COLUMNS = ENC_COLUMNS + ["target", "medication_changed", "total_procedures", "long_stay",
+                               "num_previous_admissions", "admission_type_desc", "disposition_desc"]
+CLEAN_NUMERIC = [c for c in CLEAN_COLUMNS if c not in ENC_STRING_COLUMNS and not c.endswith("_desc")]
 
 
 def sql_with(*ctes: str, body: str) -> str:

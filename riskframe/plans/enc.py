@@ -44,6 +44,8 @@ def _diag_sql(k: str) -> str:
 def enc(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
                                                   "o_orderpriority", "o_totalprice")
+    # the label needs only the order table: next order date per customer (skew-safe lead)
+    orders = next_within(orders, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", "next_date")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     li = (table(spark, sf_dir, "lineitem")
@@ -57,7 +59,6 @@ def enc(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = (orders.join(cust, orders.o_custkey == cust.c_custkey)
             .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
             .join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
-    base = next_within(base, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderdate", "next_date")
     k = F.col("o_orderkey")
     n_lines = F.coalesce(F.col("n_lines"), F.lit(0)).cast("bigint")
     n_ret = F.coalesce(F.col("n_ret"), F.lit(0)).cast("bigint")
