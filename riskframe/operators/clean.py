@@ -275,3 +275,25 @@ def clean_pipeline(df: DataFrame, *, entity: str, order: str, label_source: str,
     if "lookup" in steps and lookups is not None:
         out = lk.apply_lookups(out, lookups)
     return out
+
+
+def drop_report(df: DataFrame, columns: Sequence[str], sentinel: str | None = SENTINEL) -> DataFrame:
+    """P3 audit: for each listed column, whether it exists and its missing pct (null or sentinel)."""
+    from riskframe.operators.profile import missing_profile
+    present = [c for c in columns if c in df.columns]
+    prof = missing_profile(df.select(*[qcol(c) for c in present]), sentinel).select("column", "missing_pct") \
+        if present else None
+    names = df.sparkSession.createDataFrame([(c, c in df.columns) for c in columns], "column string, present boolean")
+    return names.join(prof, "column", "left") if prof is not None else names.withColumn("missing_pct", F.lit(None))
+
+
+def column_partition(df: DataFrame, exclude: Sequence[str] = (), threshold: int = 50) -> DataFrame:
+    """Rows ``(column, kind, distinct, high_cardinality)``; kind numeric or categorical (one aggregate)."""
+    from riskframe.functions.core import is_numeric_type
+    fields = [f for f in df.schema.fields if f.name not in set(exclude)]
+    agg = df.agg(*[F.count_distinct(qcol(f.name)).alias(f"_d{i}") for i, f in enumerate(fields)])
+    arr = F.array(*[F.struct(F.lit(f.name).alias("column"),
+                             F.lit("numeric" if is_numeric_type(f.dataType) else "categorical").alias("kind"),
+                             F.col(f"_d{i}").alias("distinct")) for i, f in enumerate(fields)])
+    return agg.select(F.explode(arr).alias("_s")).select("_s.*") \
+        .withColumn("high_cardinality", (F.col("kind") == "categorical") & (F.col("distinct") > threshold))

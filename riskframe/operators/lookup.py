@@ -52,9 +52,9 @@ def apply_lookups(df: DataFrame, lookups: Mapping[str, tuple[DataFrame, str]]) -
 
 
 def lookup_hit_counts(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None) -> DataFrame:
-    """One row: rows, mapped rows (match with a non-null description), unmapped rows."""
+    """One row: rows, mapped rows (id present in the dimension, whatever its description), unmapped rows."""
     d = dim.where(F.col("mapping") == mapping) if mapping is not None else dim
-    d = d.where(F.col("description").isNotNull()).select(F.col("id").alias("_id")).distinct()
+    d = d.select(F.col("id").alias("_id")).distinct()
     j = df.select(qcol(column).alias("_v")).join(F.broadcast(d), F.col("_v") == F.col("_id"), "left")
     return j.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_id").isNotNull()).alias("mapped"),
                  F.count_if(F.col("_id").isNull()).alias("unmapped"))
@@ -87,7 +87,6 @@ def lookup_summary(dim: DataFrame) -> DataFrame:
 
 def unexpected_values(df: DataFrame, column: str, allowed: list) -> DataFrame:
     """Distinct values outside ``allowed`` (set difference against an inline domain)."""
-    dom = df.sparkSession.createDataFrame([(v,) for v in allowed], df.schema[column].dataType.simpleString())
-    dom = dom.toDF("value")
+    dom = df.sparkSession.createDataFrame([(v,) for v in allowed], f"value {df.schema[column].dataType.simpleString()}")
     vals = df.select(qcol(column).alias("value")).where(F.col("value").isNotNull()).distinct()
     return vals.join(F.broadcast(dom), "value", "left_anti")
