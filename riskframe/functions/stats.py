@@ -67,23 +67,22 @@ def f_sf(f: float, d1: float, d2: float) -> float:
     return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
 
 
-@F.pandas_udf("double")
-def _t_p_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
+def _t_p_batch(t: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided_p(a, b) if pd.notna(a) and pd.notna(b) else float("nan") for a, b in zip(t, dof)])
 
 
-@F.pandas_udf("double")
-def _f_p_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
+def _f_p_batch(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return pd.Series([f_sf(a, b, c) if pd.notna(a) and pd.notna(b) and pd.notna(c) else float("nan")
                       for a, b, c in zip(f, d1, d2)])
 
 
 def t_p_value(t: Column, dof: Column) -> Column:
-    return _t_p_udf(t.cast("double"), dof.cast("double"))
+    # UDFs are wrapped at call time: a module-level pandas_udf would need a session when workers import this module
+    return F.pandas_udf(_t_p_batch, "double")(t.cast("double"), dof.cast("double"))
 
 
 def f_p_value(f: Column, d1: Column, d2: Column) -> Column:
-    return _f_p_udf(f.cast("double"), d1.cast("double"), d2.cast("double"))
+    return F.pandas_udf(_f_p_batch, "double")(f.cast("double"), d1.cast("double"), d2.cast("double"))
 
 
 def stars(p: Column) -> Column:

@@ -57,8 +57,9 @@ def rate_pivot(df: DataFrame, index: str, columns: str, values: Sequence[str], t
 # A5 -------------------------------------------------------------------------------
 def crosstab_margins(df: DataFrame, a: str, b: str, total_label: str = "All") -> DataFrame:
     """Counts of (a, b) plus 'All' margins, via CUBE (nulls in the data are dropped first, as pandas does)."""
-    src = df.where(qcol(a).isNotNull() & qcol(b).isNotNull())
-    c = src.cube(qcol(a).cast("string").alias(a), qcol(b).cast("string").alias(b)) \
+    src = df.where(qcol(a).isNotNull() & qcol(b).isNotNull()) \
+        .select(qcol(a).cast("string").alias(a), qcol(b).cast("string").alias(b))
+    c = src.cube(qcol(a), qcol(b)) \
         .agg(F.count(F.lit(1)).alias("n"), F.grouping(a).alias("_ga"), F.grouping(b).alias("_gb"))
     return c.select(F.when(F.col("_ga") == 1, F.lit(total_label)).otherwise(qcol(a)).alias(a),
                     F.when(F.col("_gb") == 1, F.lit(total_label)).otherwise(qcol(b)).alias(b), "n")
