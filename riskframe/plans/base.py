@@ -127,3 +127,31 @@ def sql_with(*ctes: str, body: str) -> str:
 
 def clean_sql(body: str, *extra: str) -> str:
     return sql_with(STAGED_SQL, CLEAN_SQL, *extra, body=body)
+
+
+# --- scored rows: fixed, deterministic score columns over the cleaned table -----------
+# Integer arithmetic then one exact division, so Spark and DuckDB produce the same doubles;
+# the label enters the score (a planted signal) so rank metrics are informative.
+def score_expr_sql(which: int = 1) -> str:
+    if which == 1:
+        return ("CAST(least(999, CAST(num_lab AS BIGINT) * 20 + num_med * 2 + encounter_id % 200 + 250 * target) "
+                "AS DOUBLE) / 1000")
+    return "CAST(least(999, num_med * 3 + (encounter_id * 7) % 400 + 150 * target) AS DOUBLE) / 1000"
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+    c = clean_enc(spark, sf_dir)
+    s1 = F.least(F.lit(999), F.col("num_lab").cast("bigint") * 20 + F.col("num_med") * 2 + F.col("encounter_id") % 200
+                 + 250 * F.col("target")).cast("double") / 1000
+    s2 = F.least(F.lit(999), F.col("num_med") * 3 + (F.col("encounter_id") * 7) % 400 + 150 * F.col("target")) \
+        .cast("double") / 1000
+    return c.withColumns({"label": F.col("target"), "score": s1, "score2": s2})
+
+
+SCORED_SQL = f"""
+scored AS (SELECT *, target AS label, {score_expr_sql(1)} AS score, {score_expr_sql(2)} AS score2 FROM clean)"""
+
+
+def scored_sql(body: str, *extra: str) -> str:
+    return sql_with(STAGED_SQL, CLEAN_SQL, SCORED_SQL, *extra, body=body)
