@@ -7,6 +7,8 @@ entity -> lookups.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.functions.core import NA_TOKENS
@@ -36,14 +38,46 @@ def sentinel_sql(col: str, label: str) -> str:
     return f"CASE WHEN {q(col)} = '?' THEN '{label}' ELSE {q(col)} END"
 
 
+_MATERIALIZED: dict = {}
+
+
+def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Build a stage once per application and keep it as a parquet table in the shared checkpoint folder.
+
+    Later queries scan the written table instead of re-running the stage's
+    joins and windows (lineage cut by a written table, which also survives
+    executor loss)."""
+    from riskframe.session import scratch_path
+    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
+    if key not in _MATERIALIZED:
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(_MATERIALIZED[key])
+
+
+def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounter view, written once per application."""
+    return materialized(spark, "enc", sf_dir, lambda: enc(spark, sf_dir))
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """enc after NA normalisation, target and exclusions (input of the repair step)."""
-    e = clean.normalize_na(enc(spark, sf_dir), ENC_STRING_COLUMNS)
-    e = clean.derive_target(e, "readmitted")
-    return clean.exclude_codes(e, "disposition_id", CODE_LISTS)
+    def build():
+        e = clean.normalize_na(encounters(spark, sf_dir), ENC_STRING_COLUMNS)
+        e = clean.derive_target(e, "readmitted")
+        return clean.exclude_codes(e, "disposition_id", CODE_LISTS)
+    return materialized(spark, "staged", sf_dir, build)
 
 
 def clean_enc(spark: SparkSession, sf_dir: str, dedupe: bool = True, lookups: bool = True) -> DataFrame:
+    """The cleaned table (S6: written once per application when built with the default steps)."""
+    if dedupe and lookups:
+        return materialized(spark, "clean", sf_dir, lambda: build_clean(spark, sf_dir))
+    return build_clean(spark, sf_dir, dedupe, lookups)
+
+
+def build_clean(spark: SparkSession, sf_dir: str, dedupe: bool = True, lookups: bool = True) -> DataFrame:
     c = staged(spark, sf_dir)
     c = clean.replace_sentinel(c, SENTINEL_LABELS)
     c = clean.repair_negatives(c, NEGATIVE_COLUMNS)

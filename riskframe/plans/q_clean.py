@@ -24,7 +24,7 @@ from riskframe.operators import clean, lookup  # noqa: E402
 from riskframe.plans.base import (CLEAN_COLUMNS, CODE_LISTS, ENC_COLUMNS, ENC_STRING_COLUMNS, SENTINEL_LABELS,  # noqa: E402
                                   STAGED_SQL, q, sql_with, staged)
 from riskframe.plans.dims import LOOKUP_SQL, lookup_dim  # noqa: E402
-from riskframe.plans.enc import enc  # noqa: E402
+from riskframe.plans.base import encounters  # noqa: E402
 
 
 def _staged_sql(body: str, *extra: str) -> str:
@@ -53,7 +53,7 @@ def _p2_sql():
 
 @register("p2_exclusion_counts", _p2_sql())
 def p2(spark, sf):
-    return clean.exclusion_counts(enc(spark, sf), "disposition_id", CODE_LISTS)
+    return clean.exclusion_counts(encounters(spark, sf), "disposition_id", CODE_LISTS)
 
 
 # P3
@@ -245,7 +245,7 @@ def p15(spark, sf):
 def p16(spark, sf):
     from riskframe.plans.base import NEGATIVE_COLUMNS
     dim = lookup_dim(spark, sf)
-    e = clean.normalize_na(enc(spark, sf), ENC_STRING_COLUMNS)
+    e = clean.normalize_na(encounters(spark, sf), ENC_STRING_COLUMNS)
     c = clean.clean_pipeline(e, entity="patient_nbr", order="encounter_id", label_source="readmitted",
                              code_column="disposition_id", code_lists=CODE_LISTS, sentinel_labels=SENTINEL_LABELS,
                              negative_columns=NEGATIVE_COLUMNS, derived=clean.standard_derived(),

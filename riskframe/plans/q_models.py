@@ -1 +1,441 @@
-"""Queries (filled in progressively)."""
+"""Queries for models (L*), validation protocols (V*) and feature analysis (X*).
+
+Model fits are checked by rows (no SQL can fit them); everything computed from
+a fixed score column or as a closed-form aggregate has a SQL oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskframe.functions.core import hash_order_sql, poisson1_sql, uniform_sql
+from riskframe.operators import features as FE
+from riskframe.operators import metrics as M
+from riskframe.operators import models as MD
+from riskframe.operators import select as X
+from riskframe.operators import validate as V
+from riskframe.plans.base import clean_enc, clean_sql, scored, scored_sql
+from riskframe.plans.registry import register
+from riskframe.session import cut_lineage
+
+CAT = ["race", "gender", "age", "specialty"]
+NUMF = ["num_lab", "num_med", "num_proc", "total_procedures", "long_stay", "medication_changed"]
+H = hash_order_sql(42, "encounter_id")
+
+
+def model_table(spark, sf, folds: int = 5):
+    """Cleaned rows -> stratified split -> folds -> balanced weights -> fitted vector pipeline (train-only fit)."""
+    s = FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id")
+    s = FE.stratified_folds(s, "target", "encounter_id", folds)
+    s = FE.balanced_weights(s, "target")
+    pipe = FE.vector_pipeline(CAT, NUMF, scale=True)
+    prep = pipe.fit(s.where("split = 'train'"))
+    t = prep.transform(s).select("encounter_id", "target", "split", "fold", "weight", "features", *NUMF)
+    # many fits read this table: cut the lineage once (reliable checkpoint in the shared checkpoint folder)
+    return cut_lineage(t), prep
+
+
+def _train_test(spark, sf):
+    t, prep = model_table(spark, sf)
+    return t.where("split = 'train'"), t.where("split = 'test'"), prep
+
+
+def _lr(total_w, C=1.0, penalty="l2", weight="weight"):
+    return MD.logistic(weight=weight, C=C, penalty=penalty, total_weight=total_w)
+
+
+def _total_w(df):
+    return df.agg(F.sum("weight")).first()[0]
+
+
+# L1 / L5
+@register("l1_logistic_test_scores")
+def l1(spark, sf):
+    tr, te, _ = _train_test(spark, sf)
+    m = _lr(_total_w(tr)).fit(tr)
+    return MD.predict(m, te, keep=["encounter_id", "target"])
+
+
+@register("l1_logistic_test_metrics")
+def l1m(spark, sf):
+    tr, te, _ = _train_test(spark, sf)
+    m = _lr(_total_w(tr)).fit(tr)
+    return M.all_metrics(MD.predict(m, te, keep=["target"]), "target", "score", 0.5)
+
+
+# L3
+@register("l3_forest_test_metrics")
+def l3(spark, sf):
+    tr, te, _ = _train_test(spark, sf)
+    m = MD.forest(**MD.PRESETS["fast"]).fit(tr)
+    return M.all_metrics(MD.predict(m, te, keep=["target"]), "target", "score", 0.5)
+
+
+# Persist the fitted preprocessing + model pipeline, reload, score unseen rows
+@register("l6_score_new_rows")
+def l6(spark, sf):
+    from pyspark.ml import Pipeline
+    from riskframe.session import scratch_path
+    s = FE.balanced_weights(FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id"), "target")
+    stages = FE.vector_pipeline(CAT, NUMF, scale=True).getStages()
+    tr = s.where("split = 'train'")
+    full = Pipeline(stages=stages + [_lr(_total_w(tr))]).fit(tr)
+    path = scratch_path(spark, "model")
+    MD.save_model(full, path, {"features": CAT + NUMF, "threshold": 0.5, "kind": "logistic"})
+    loaded, meta = MD.load_model(path)
+    return MD.score_new_rows(loaded, s.where("split = 'test'"), meta["threshold"], keep=["encounter_id"])
+
+
+# L7 / L8
+@register("l7_coefficient_importance")
+def l7(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    m = _lr(_total_w(tr)).fit(tr)
+    return MD.coefficient_importance(m, MD.feature_names(tr), top=10)
+
+
+@register("l8_impurity_importance")
+def l8(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    m = MD.forest(**MD.PRESETS["fast"]).fit(tr)
+    return MD.impurity_importance(m, MD.feature_names(tr))
+
+
+# L2
+@register("l2_grid_search")
+def l2(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    est = _lr(tw)
+    grid = MD.lr_grid(est, [0.01, 1.0], ["l1", "l2"], tw)
+    cvm = MD.grid_search_cv(est, grid, tr, parallelism=4)
+    rows = [(i, float(g[est.regParam]), float(g[est.elasticNetParam]), float(a))
+            for i, (g, a) in enumerate(zip(grid, cvm.avgMetrics))]
+    return spark.createDataFrame(rows, "candidate int, reg_param double, elastic_net double, mean_auc double")
+
+
+# L4 / S9
+@register("l4_random_search")
+def l4(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    cands = MD.sample_grid(MD.RF_GRID, 2, seed=42)
+    folds = tr.withColumn("fold", F.col("fold") % 3)
+    return MD.random_search(folds, lambda p: MD.forest(**{**p, "numTrees": min(p["numTrees"], 30)}), cands, 3)
+
+
+# V2 with a fixed score column: per-fold metrics and their summary (SQL oracle)
+FOLD_SQL = f"""fs AS (SELECT *, CAST((row_number() OVER (PARTITION BY target ORDER BY {H}, encounter_id) - 1) % 5
+                     AS INTEGER) AS fold FROM scored),
+per_fold AS (
+  SELECT fold, count(*) FILTER (WHERE label = 1 AND score >= 0.5) AS tp, count(*) FILTER (WHERE label <> 1 AND score >= 0.5)
+         AS fp, count(*) FILTER (WHERE label = 1 AND score < 0.5) AS fn, count(*) FILTER (WHERE label <> 1 AND score < 0.5)
+         AS tn FROM fs GROUP BY fold),
+fm AS (SELECT fold, 'accuracy' AS metric, CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS value FROM per_fold
+       UNION ALL SELECT fold, 'precision', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0) FROM per_fold
+       UNION ALL SELECT fold, 'recall', coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0) FROM per_fold
+       UNION ALL SELECT fold, 'f1', coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0) FROM per_fold),
+cvs AS (SELECT 'test' AS side, metric, avg(value) AS mean, stddev_pop(value) AS std, min(value) AS min, max(value) AS max,
+               stddev_pop(value) / nullif(avg(value), 0) AS stability FROM fm GROUP BY metric)"""
+
+
+def _fixed_fold_frame(spark, sf):
+    s = FE.stratified_folds(scored(spark, sf), "target", "encounter_id", 5)
+    cm = s.groupBy("fold").agg(F.count_if((F.col("label") == 1) & (F.col("score") >= 0.5)).alias("tp"),
+                               F.count_if((F.col("label") != 1) & (F.col("score") >= 0.5)).alias("fp"),
+                               F.count_if((F.col("label") == 1) & (F.col("score") < 0.5)).alias("fn"),
+                               F.count_if((F.col("label") != 1) & (F.col("score") < 0.5)).alias("tn"))
+    r = M.rates_from_counts(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp"))
+    arr = F.array(*[F.struct(F.lit(k).alias("metric"), r[k].alias("value")) for k in ("accuracy", "precision",
+                                                                                        "recall", "f1")])
+    return cm.select("fold", F.lit("test").alias("side"), F.explode(arr).alias("_s")).select("fold", "side", "_s.*")
+
+
+def _r6(df):
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@register("v2_cv_summary_fixed_score", scored_sql(
+    "SELECT side, metric, round(mean, 6) AS mean, round(std, 6) AS std, round(min, 6) AS min, round(max, 6) AS max, "
+    "round(stability, 6) AS stability FROM cvs", FOLD_SQL))
+def v2f(spark, sf):
+    return _r6(V.summarize_cv(_fixed_fold_frame(spark, sf)))
+
+
+@register("v9_verdicts_fixed_score", scored_sql(
+    "SELECT metric, round(mean, 6) AS mean, round(std, 6) AS std, CASE WHEN stability < 0.05 THEN 'high' "
+    "WHEN stability < 0.1 THEN 'medium' ELSE 'low' END AS stability_verdict, CASE WHEN std < 0.05 THEN 'consistent' "
+    "ELSE 'variable' END AS spread_verdict FROM cvs", FOLD_SQL))
+def v9(spark, sf):
+    return _r6(V.verdicts(V.summarize_cv(_fixed_fold_frame(spark, sf))))
+
+
+# V2 / V3 / V4 with fitted models (rows)
+@register("v2_cross_validate_logistic")
+def v2(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    return V.summarize_cv(V.cross_validate(tr, lambda: _lr(tw), 5))
+
+
+@register("v3_quick_validation")
+def v3(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    f3 = tr.withColumn("fold", F.col("fold") % 3)
+    return V.summarize_cv(V.cross_validate(f3, lambda: _lr(tw), 3))
+
+
+@register("v4_comprehensive_cv")
+def v4(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    s = V.summarize_cv(V.cross_validate(tr, lambda: _lr(tw), 5, with_train=True))
+    return s.join(V.overfitting(s), "metric")
+
+
+# V5
+@register("v5_nested_cv")
+def v5(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    f3 = tr.withColumn("fold", F.col("fold") % 3)
+    grid = [{"C": 0.01}, {"C": 1.0}]
+    nested = V.nested_cv(f3, lambda p: _lr(tw, C=p["C"]), grid, 3, 2)
+    summ, freq = V.nested_summary(nested)
+    return nested.join(freq, "best_params").crossJoin(summ.select("mean", "ci_low", "ci_high")) \
+        if False else nested.join(freq, "best_params")
+
+
+# V6
+B = 20
+
+
+def _boot_sql():
+    aggs = []
+    for b in range(B):
+        w = poisson1_sql(uniform_sql(f"42:{b}", "encounter_id"))
+        aggs.append(f"SELECT {b} AS replicate, sum({w}) AS n, sum(CASE WHEN (label = 1) = (score >= 0.5) THEN {w} ELSE 0 END)"
+                    f" AS c, sum(CASE WHEN label = 1 AND score >= 0.5 THEN {w} ELSE 0 END) AS tp, "
+                    f"sum(CASE WHEN score >= 0.5 THEN {w} ELSE 0 END) AS pp, sum(CASE WHEN label = 1 THEN {w} ELSE 0 END)"
+                    f" AS ap FROM scored")
+    return "reps AS (SELECT replicate, CAST(c AS DOUBLE) / n AS accuracy, coalesce(CAST(tp AS DOUBLE) / nullif(pp, 0), " \
+           "0.0) AS precision, coalesce(CAST(tp AS DOUBLE) / nullif(ap, 0), 0.0) AS recall FROM (" + \
+        " UNION ALL ".join(aggs) + "))"
+
+
+@register("v6_metric_bootstrap", scored_sql(
+    "SELECT replicate, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall "
+    "FROM reps", _boot_sql()))
+def v6m(spark, sf):
+    return _r6(V.metric_bootstrap(scored(spark, sf), "encounter_id", B))
+
+
+@register("v6_bootstrap_summary", scored_sql(" UNION ALL ".join(
+    f"SELECT '{m}' AS metric, round(avg({m}), 6) AS mean, round(stddev_pop({m}), 6) AS std, "
+    f"round(quantile_cont({m}, 0.5), 6) AS median, round(quantile_cont({m}, 0.025), 6) AS p2_5, "
+    f"round(quantile_cont({m}, 0.975), 6) AS p97_5 FROM reps" for m in ("accuracy", "precision", "recall")),
+    _boot_sql()))
+def v6s(spark, sf):
+    reps = V.metric_bootstrap(scored(spark, sf), "encounter_id", B)
+    return _r6(V.bootstrap_summary(reps, ["accuracy", "precision", "recall"]))
+
+
+@register("v6_bootstrap_models")
+def v6(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    return V.bootstrap_models(tr, lambda wcol: _lr(tw, weight=wcol), 3)
+
+
+# V7 / V8
+@register("v7_learning_curve")
+def v7(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    return V.learning_curve(tr.withColumn("fold", F.col("fold") % 3), lambda: _lr(tw), [0.3, 0.6, 1.0], 3)
+
+
+@register("v8_stability")
+def v8(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    tw = _total_w(tr)
+    return V.stability_summary(V.stability(tr, lambda: _lr(tw), 2, 3))
+
+
+# X3 ANOVA F (SQL oracle)
+XN = ["num_lab", "num_med", "num_proc", "time_in_hospital"]
+
+
+def _anova_sql():
+    parts = []
+    for c in XN:
+        parts.append(f"""SELECT '{c}' AS feature, (b - s * s / n) / (k - 1) / ((q - b) / (n - k)) AS f_stat,
+  CAST(k - 1 AS DOUBLE) AS df_between, CAST(n - k AS DOUBLE) AS df_within FROM (
+  SELECT count(*) AS k, sum(ni) AS n, sum(si) AS s, sum(qi) AS q, sum(si * si / ni) AS b FROM (
+    SELECT target, count({c}) AS ni, sum(CAST({c} AS DOUBLE)) AS si, sum(CAST({c} AS DOUBLE) * {c}) AS qi
+    FROM clean GROUP BY target))""")
+    return clean_sql("SELECT feature, round(f_stat, 6) AS f_stat, df_between, df_within FROM (" +
+                     " UNION ALL ".join(parts) + ")")
+
+
+@register("x3_anova_f", _anova_sql())
+def x3(spark, sf):
+    a = X.anova_f(clean_enc(spark, sf), XN)
+    return a.select("feature", F.round("f_stat", 6).alias("f_stat"), "df_between", "df_within")
+
+
+# X4 mutual information over categorical columns (SQL oracle)
+XC = ["race", "gender", "age", "specialty"]
+
+
+@register("x4_mutual_information", clean_sql("""
+SELECT feature, round(sum(nxy / n * ln(nxy * n / (nx * ny))), 6) AS mutual_info FROM (
+  SELECT feature, x, y, nxy, sum(nxy) OVER (PARTITION BY feature, x) AS nx, sum(nxy) OVER (PARTITION BY feature, y) AS ny,
+         sum(nxy) OVER (PARTITION BY feature) AS n
+  FROM (SELECT feature, x, y, CAST(count(*) AS DOUBLE) AS nxy FROM (""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS VARCHAR) AS x, target AS y FROM clean WHERE {c} IS NOT NULL" for c in XC) +
+    """) GROUP BY feature, x, y)) GROUP BY feature"""))
+def x4(spark, sf):
+    mi = X.mutual_information(clean_enc(spark, sf), XC)
+    return mi.select("feature", F.round("mutual_info", 6).alias("mutual_info"))
+
+
+# X6 VIF of three columns (closed-form 3x3 inverse diagonal in SQL)
+XV = ["num_lab", "num_med", "num_proc"]
+
+
+@register("x6_vif", clean_sql(f"""
+SELECT feature, round(v, 6) AS vif, v > 10 AS high FROM (
+  SELECT a, b, c, 1 + 2 * a * b * c - a * a - b * b - c * c AS det FROM (
+    SELECT corr({XV[0]}, {XV[1]}) AS a, corr({XV[0]}, {XV[2]}) AS b, corr({XV[1]}, {XV[2]}) AS c FROM clean)),
+  LATERAL (VALUES ('{XV[0]}', (1 - c * c) / det), ('{XV[1]}', (1 - b * b) / det), ('{XV[2]}', (1 - a * a) / det)) t(feature, v)"""))
+def x6(spark, sf):
+    v = X.vif(clean_enc(spark, sf), XV)
+    return v.select("feature", F.round("vif", 6).alias("vif"), "high")
+
+
+# X7 interaction screen (SQL oracle)
+XI = ["num_lab", "num_med", "num_proc", "long_stay"]
+
+
+@register("x7_interaction_screen", clean_sql(" UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr(CAST({a} AS DOUBLE) * {b}, CAST(target AS DOUBLE)), 6) "
+    f"AS corr FROM clean" for i, a in enumerate(XI) for b in XI[i + 1:])))
+def x7(spark, sf):
+    s = X.interaction_screen(clean_enc(spark, sf), XI)
+    return s.select("feature_a", "feature_b", F.round("corr", 6).alias("corr"))
+
+
+# X9 linear Shapley (fitted coefficients; rows)
+@register("x9_linear_shap")
+def x9(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = FE.balanced_weights(clean_enc(spark, sf), "target")
+    va = VectorAssembler(inputCols=XV, outputCol="features")
+    m = MD.logistic(total_weight=None, C=1.0).fit(va.transform(c))
+    return X.linear_shap(c, XV, m.coefficients.toArray().tolist())
+
+
+# X2 / X11 permutation importance and side-by-side with impurity (rows)
+def _raw_numeric_models(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = FE.balanced_weights(clean_enc(spark, sf), "target").cache()
+    va = VectorAssembler(inputCols=XV, outputCol="features")
+    return c, va
+
+
+@register("x2_permutation_importance")
+def x2(spark, sf):
+    c, va = _raw_numeric_models(spark, sf)
+    m = MD.forest(**MD.PRESETS["fast"]).fit(va.transform(c))
+    return X.permutation_importance(m, c, XV, va.transform, "encounter_id", repeats=2)
+
+
+@register("x11_impurity_vs_permutation")
+def x11(spark, sf):
+    c, va = _raw_numeric_models(spark, sf)
+    m = MD.forest(**MD.PRESETS["fast"]).fit(va.transform(c))
+    imp = X.ranked(MD.impurity_importance(m, XV), "importance", "impurity", "forest")
+    per = X.ranked(X.permutation_importance(m, c, XV, va.transform, "encounter_id", repeats=2),
+                   "importance_mean", "permutation", "forest")
+    return X.side_by_side(imp, per, "impurity", "permutation")
+
+
+# X1 / X10 / A22 multi-method importance table and its ranking (rows)
+def _importance_long(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = FE.balanced_weights(clean_enc(spark, sf), "target")
+    va = VectorAssembler(inputCols=XN, outputCol="features", handleInvalid="skip")
+    v = va.transform(c)
+    lr = MD.logistic(C=1.0).fit(v)
+    rf = MD.forest(**MD.PRESETS["fast"]).fit(v)
+    from riskframe.operators.explore import target_correlations
+    parts = [X.ranked(MD.coefficient_importance(lr, XN).select("feature", F.col("abs_coefficient").alias("v")), "v",
+                      "coefficient", "logistic"),
+             X.ranked(MD.impurity_importance(rf, XN).select("feature", F.col("importance").alias("v")), "v",
+                      "impurity", "forest"),
+             X.ranked(target_correlations(c, XN).select(F.col("column").alias("feature"), F.col("abs_corr").alias("v")),
+                      "v", "correlation", ""),
+             X.ranked(X.anova_f(c, XN).select("feature", F.col("f_stat").alias("v")), "v", "anova_f", ""),
+             X.ranked(X.mutual_information(c, XN, bins=10).select("feature", F.col("mutual_info").alias("v")), "v",
+                      "mutual_info", "")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("x1_importance_table")
+def x1(spark, sf):
+    return _importance_long(spark, sf)
+
+
+@register("a22_importance_ranking")
+def a22(spark, sf):
+    from riskframe.operators.explore import importance_ranking
+    long = _importance_long(spark, sf).where(F.col("method").isin("coefficient", "impurity"))
+    return importance_ranking(long.select("model", "feature", F.col("value").alias("importance")), 15)
+
+
+@register("x10_feature_summary")
+def x10(spark, sf):
+    long = _importance_long(spark, sf)
+    return long.where(F.col("rank") <= 3).groupBy("feature").agg(F.count(F.lit(1)).alias("top3_methods"),
+                                                                  F.avg("rank").alias("mean_rank"))
+
+
+# X5 RFE with CV (rows)
+@register("x5_rfe_cv")
+def x5(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = FE.stratified_folds(FE.balanced_weights(clean_enc(spark, sf), "target"), "target", "encounter_id", 3).cache()
+    feats = ["num_lab", "num_med", "num_proc", "total_procedures", "long_stay", "medication_changed"]
+
+    def assemble(cols):
+        return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(c)
+
+    def importance(cols):
+        m = MD.logistic(C=1.0).fit(assemble(cols))
+        return {f: abs(v) for f, v in zip(cols, m.coefficients.toArray().tolist())}
+
+    def cv_auc(cols):
+        v = assemble(cols)
+        s = V.summarize_cv(V.cross_validate(v, lambda: MD.logistic(C=1.0), 3))
+        return s.where("metric = 'roc_auc'").select("mean").first()[0]
+    return X.rfe_cv(c, feats, importance, cv_auc, step=1, min_features=3)
+
+
+# X8 importance stability under bootstrap (rows)
+@register("x8_importance_stability")
+def x8(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = FE.balanced_weights(clean_enc(spark, sf), "target")
+    va = VectorAssembler(inputCols=XN, outputCol="features", handleInvalid="skip")
+    longs = None
+    for b in range(4):
+        w = V.bootstrap_weights(va.transform(c), "encounter_id", b).withColumn("bw", F.col("bw") * F.col("weight"))
+        m = MD.logistic(C=1.0, weight="bw").fit(w.where("bw > 0"))
+        r = X.ranked(MD.coefficient_importance(m, XN).select("feature", F.col("abs_coefficient").alias("v")), "v",
+                     "coefficient", f"b{b}")
+        longs = r if longs is None else longs.unionByName(r)
+    return X.importance_stability(longs)

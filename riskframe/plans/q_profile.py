@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from riskframe.functions.core import SPECIAL_TOKENS
 from riskframe.operators import clean, profile
-from riskframe.plans.base import (ENC_COLUMNS, ENC_STRING_COLUMNS, STAGED_SQL, clean_enc, clean_sql, q, sql_with,
+from riskframe.plans.base import (ENC_COLUMNS, ENC_STRING_COLUMNS, STAGED_SQL, clean_enc, clean_sql, encounters, q, sql_with,
                                   staged)
 from riskframe.plans.enc import MED_COLUMNS, enc, table
 from riskframe.plans.registry import register
@@ -35,7 +35,7 @@ def b1(spark, sf):
 @register("b2_key_uniqueness", _enc("SELECT count(*) AS rows, count(DISTINCT patient_nbr) AS distinct_keys, "
                                     "count(*) - count(DISTINCT patient_nbr) AS duplicate_keys FROM enc"))
 def b2(spark, sf):
-    return profile.key_uniqueness(enc(spark, sf), "patient_nbr")
+    return profile.key_uniqueness(encounters(spark, sf), "patient_nbr")
 
 
 # B3
@@ -54,7 +54,7 @@ def _b3_sql() -> str:
 
 @register("b3_domain_violations", _b3_sql())
 def b3(spark, sf):
-    return profile.domain_violations(enc(spark, sf), _DOMAINS)
+    return profile.domain_violations(encounters(spark, sf), _DOMAINS)
 
 
 # B4
@@ -65,7 +65,7 @@ _B4 = ["diag_1", "diag_2", "diag_3", "age"]
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE TRY_CAST({q(c)} AS DOUBLE) IS NULL AND {q(c)} IS NOT NULL) "
     f"AS non_numeric FROM enc" for c in _B4])))
 def b4(spark, sf):
-    return profile.non_numeric_counts(enc(spark, sf), _B4)
+    return profile.non_numeric_counts(encounters(spark, sf), _B4)
 
 
 # B5 / B9 / B10 rules
@@ -118,14 +118,14 @@ B6_SQL_BODY = _b6_sql()
 
 @register("b6_missing_profile", _enc(B6_SQL_BODY))
 def b6(spark, sf):
-    return profile.missing_profile(enc(spark, sf))
+    return profile.missing_profile(encounters(spark, sf))
 
 
 @register("b7_missing_ranking", _enc(f"""
 SELECT "column", missing_pct, CAST(row_number() OVER (ORDER BY missing_pct DESC, "column") AS INTEGER) AS rank
 FROM ({B6_SQL_BODY}) WHERE missing_pct > 0"""))
 def b7(spark, sf):
-    return profile.missing_ranking(enc(spark, sf))
+    return profile.missing_ranking(encounters(spark, sf))
 
 
 def _b7_totals_sql() -> str:
@@ -140,7 +140,7 @@ def _b7_totals_sql() -> str:
 
 @register("b7_missing_totals", _b7_totals_sql())
 def b7t(spark, sf):
-    return profile.missing_totals(enc(spark, sf))
+    return profile.missing_totals(encounters(spark, sf))
 
 
 # B8
@@ -155,7 +155,7 @@ def _b8_sql() -> str:
 
 @register("b8_special_tokens", _b8_sql())
 def b8(spark, sf):
-    return profile.special_token_census(enc(spark, sf))
+    return profile.special_token_census(encounters(spark, sf))
 
 
 # B11
@@ -200,7 +200,7 @@ SELECT "column", q1, q3, iqr, lower, upper, outliers, round(outliers * 100.0 / r
 
 @register("b14_iqr_outliers", _b14_sql())
 def b14(spark, sf):
-    return profile.iqr_outliers(enc(spark, sf), COUNT_COLUMNS)
+    return profile.iqr_outliers(encounters(spark, sf), COUNT_COLUMNS)
 
 
 # B15
@@ -209,7 +209,7 @@ SELECT round(m, 6) AS mean_missing_pct, round(d, 6) AS duplicate_pct, round(grea
 FROM (SELECT avg(missing_pct) AS m FROM ({B6_SQL_BODY})),
      (SELECT (count(*) - count(DISTINCT encounter_id)) * 100.0 / count(*) AS d FROM enc)"""))
 def b15(spark, sf):
-    return profile.quality_score(enc(spark, sf), "encounter_id")
+    return profile.quality_score(encounters(spark, sf), "encounter_id")
 
 
 # B16
@@ -218,14 +218,14 @@ SELECT count(*) AS entities, count(*) FILTER (WHERE n > 1) AS multi_entities,
        CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus_rows, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
 FROM (SELECT patient_nbr, count(*) AS n FROM enc GROUP BY patient_nbr)"""))
 def b16(spark, sf):
-    return clean.entity_dedupe_counts(enc(spark, sf), "patient_nbr")
+    return clean.entity_dedupe_counts(encounters(spark, sf), "patient_nbr")
 
 
 # B17
 @register("b17_basic_info", _enc(f"SELECT count(*) AS rows, count(DISTINCT patient_nbr) AS entities, "
                                   f"{len(ENC_COLUMNS)} AS columns FROM enc"))
 def b17(spark, sf):
-    return profile.basic_info(enc(spark, sf), "patient_nbr")
+    return profile.basic_info(encounters(spark, sf), "patient_nbr")
 
 
 # B18
@@ -273,7 +273,7 @@ SELECT metric, b AS before, a AS after FROM (
 
 @register("b19_before_after", _b19_sql())
 def b19(spark, sf):
-    return profile.before_after(enc(spark, sf), clean_enc(spark, sf), "patient_nbr", "target")
+    return profile.before_after(encounters(spark, sf), clean_enc(spark, sf), "patient_nbr", "target")
 
 
 # B20

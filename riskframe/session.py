@@ -33,6 +33,9 @@ def build_session(master: str | None = None, app: str = "riskframe",
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode runs every task in the driver JVM; only effective when this call starts the JVM
+        conf.setdefault("spark.driver.memory", "8g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
