@@ -127,14 +127,14 @@ def lr_grid(est, C_values=LR_C_GRID, penalties=LR_PENALTIES, total_weight: float
 
 
 def grid_search_cv(est, grid, df: DataFrame, features: str = "features", label: str = "target",
-                   fold: str = "fold", parallelism: int = 4):
+                   fold: str = "fold", num_folds: int = 5, parallelism: int = 4):
     """CrossValidator over a stratified fold column, scored by exact ROC AUC."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
                                        numBins=0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol=fold, parallelism=parallelism,
-                        seed=42)
+    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol=fold, numFolds=num_folds,
+                        parallelism=parallelism, seed=42)
     return cv.fit(df)
 
 

@@ -154,7 +154,7 @@ def permutation_importance(model, df: DataFrame, columns: Sequence[str], assembl
 def ranked(long: DataFrame, value: str, method: str, model: str = "") -> DataFrame:
     """(model, method, feature, value, rank) with rank 1 = largest value (ties by name); input is one row
     per feature."""
-    w = Window.orderBy(F.desc(value), F.asc("feature"))
+    w = Window.orderBy(F.desc("value"), F.asc("feature"))      # one row per feature: a small window
     return long.select(F.lit(model).alias("model"), F.lit(method).alias("method"), "feature",
                        F.col(value).cast("double").alias("value")).withColumn("rank", F.row_number().over(w))
 

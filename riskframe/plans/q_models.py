@@ -439,3 +439,22 @@ def x8(spark, sf):
                      "coefficient", f"b{b}")
         longs = r if longs is None else longs.unionByName(r)
     return X.importance_stability(longs)
+
+
+# L6 on a stream: the fitted pipeline scores test rows arriving as parquet files (rows)
+@register("l6_stream_scoring")
+def l6s(spark, sf):
+    from pyspark.ml import Pipeline
+    from riskframe.session import scratch_path
+    from riskframe.streaming.scoring import score_stream
+    s = FE.balanced_weights(FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id"), "target")
+    tr = s.where("split = 'train'")
+    full = Pipeline(stages=FE.vector_pipeline(CAT, NUMF, scale=True).getStages() + [_lr(_total_w(tr))]).fit(tr)
+    src = scratch_path(spark, "stream-src")
+    te = s.where("split = 'test'").drop("weight")
+    te.repartition(4).write.parquet(src)
+    sink, ck, rules = (scratch_path(spark, n) for n in ("stream-sink", "stream-ck", "stream-rules"))
+    q = score_stream(spark, full, src, te.schema, sink, ck, keep=["encounter_id", "target"], rules_dir=rules,
+                     rule_columns=["score", "target"])
+    q.awaitTermination()
+    return spark.read.parquet(sink)

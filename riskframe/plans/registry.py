@@ -22,4 +22,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     # importing the modules fills the registry
-    from riskframe.plans import q_clean, q_profile, q_explore, q_metrics, q_features, q_models  # noqa: F401
+    from riskframe.plans import q_clean, q_profile, q_explore, q_metrics, q_features, q_models, q_sources  # noqa: F401
