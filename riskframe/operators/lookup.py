@@ -34,11 +34,14 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
 def apply_lookup(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None, name: str | None = None,
                  default: str = UNKNOWN, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Left equi-join ``column`` -> description; no match or null description -> ``default``."""
+    """Left equi-join ``column`` -> description; no match or null description -> ``default``.
+
+    The size check runs on the whole dimension (one check shared by every mapping of it)."""
+    small = bounded_broadcast(dim, max_rows) is not dim
     d = dim.where(F.col("mapping") == mapping) if mapping is not None else dim
     d = d.select(F.col("id").alias("_lk_id"), F.col("description").alias("_lk_desc")).dropDuplicates(["_lk_id"])
     out_name = name or (column[:-3] if column.endswith("_id") else column) + "_desc"
-    j = df.join(bounded_broadcast(d, max_rows), qcol(column) == F.col("_lk_id"), "left")
+    j = df.join(F.broadcast(d) if small else d, qcol(column) == F.col("_lk_id"), "left")
     return j.withColumn(out_name, F.coalesce(F.col("_lk_desc"), F.lit(default))).drop("_lk_id", "_lk_desc")
 
 

@@ -62,12 +62,12 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """enc after NA normalisation, target and exclusions (input of the repair step)."""
-    def build():
-        e = clean.normalize_na(encounters(spark, sf_dir), ENC_STRING_COLUMNS)
-        e = clean.derive_target(e, "readmitted")
-        return clean.exclude_codes(e, "disposition_id", CODE_LISTS)
-    return materialized(spark, "staged", sf_dir, build)
+    """enc after NA normalisation, target and exclusions (input of the repair step).
+
+    Row-wise projections and a filter over the written encounter table: cheap to recompute, not written."""
+    e = clean.normalize_na(encounters(spark, sf_dir), ENC_STRING_COLUMNS)
+    e = clean.derive_target(e, "readmitted")
+    return clean.exclude_codes(e, "disposition_id", CODE_LISTS)
 
 
 def clean_enc(spark: SparkSession, sf_dir: str, dedupe: bool = True, lookups: bool = True) -> DataFrame:
