@@ -32,18 +32,37 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
     return long_values(df, cols, by).groupBy(*by, "column", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+# Largest number of distinct values per group for which Spark's exact ``percentile`` buffer
+# (a value -> count map held by one task per group) is used.
+AGGREGATE_MAX_DISTINCT = 1_000_000
+_METHOD_MEMO: dict = {}
+
+
+def choose_method(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> str:
+    """'aggregate' when every column has few distinct values (HyperLogLog estimate, one pass), else 'distributed'."""
+    key = (df.semanticHash(), tuple(cols), tuple(by))
+    if key not in _METHOD_MEMO:
+        row = df.agg(*[F.approx_count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
+        worst = max((row[f"_d{i}"] or 0) for i in range(len(cols))) if cols else 0
+        _METHOD_MEMO[key] = "aggregate" if worst <= AGGREGATE_MAX_DISTINCT else "distributed"
+    return _METHOD_MEMO[key]
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
-              hist: DataFrame | None = None, method: str = "aggregate") -> DataFrame:
+              hist: DataFrame | None = None, method: str = "auto") -> DataFrame:
     """Rows ``(by..., column, prob, value)`` with exact linear-interpolated quantiles.
 
     ``method="aggregate"``: Spark's exact ``percentile``, whose buffer is a
     value -> count map (memory ~ distinct values per group, partial-aggregated)
-    -- right for the count-like columns profiled here. ``method="distributed"``:
-    histogram + range-split running counts, for high-cardinality columns where
-    even the distinct values of one group do not fit one task.
+    -- right for count-like columns. ``method="distributed"``: histogram +
+    split running counts, for high-cardinality columns where the distinct
+    values of one group must not meet in one task. ``"auto"`` (default) picks
+    by an approximate distinct count.
     """
     by = list(by)
     keys = by + ["column"]
+    if method == "auto" and hist is None:
+        method = choose_method(df, cols, by)
     if method == "aggregate" and hist is None:
         lv = long_values(df, cols, by)
         return lv.groupBy(*keys).agg(F.percentile("v", [float(p) for p in probs]).alias("_q")) \

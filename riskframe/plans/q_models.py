@@ -120,7 +120,12 @@ def l4(spark, sf):
     tr, _, _ = _train_test(spark, sf)
     cands = MD.sample_grid(MD.RF_GRID, 2, seed=42)
     folds = tr.withColumn("fold", F.col("fold") % 3)
-    return MD.random_search(folds, lambda p: MD.forest(**{**p, "numTrees": min(p["numTrees"], 30)}), cands, 3)
+    res = MD.random_search(folds, lambda p: MD.forest(**{**p, "numTrees": min(p["numTrees"], 30)}), cands, 3)
+    from riskframe.session import scratch_path
+    from riskframe.sources import io
+    path = scratch_path(spark, "cv-results")          # S9: the search-result sink, read back
+    io.write_table(res, path, "json")
+    return spark.read.json(path)
 
 
 # V2 with a fixed score column: per-fold metrics and their summary (SQL oracle)
@@ -458,3 +463,19 @@ def l6s(spark, sf):
                      rule_columns=["score", "target"])
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+# X7 interaction gain: the two strongest product terms of the screen, 3-fold CV AUC gain (rows)
+@register("x7_interaction_gain")
+def x7g(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = FE.stratified_folds(FE.balanced_weights(clean_enc(spark, sf), "target"), "target", "encounter_id", 3)
+    scr = X.interaction_screen(c, XI).where(F.col("corr").isNotNull()) \
+        .orderBy(F.desc(F.abs("corr")), "feature_a", "feature_b").limit(2).collect()
+    pairs = [(r["feature_a"], r["feature_b"]) for r in scr]
+
+    def cv_auc(frame, cols):
+        v = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip").transform(frame)
+        s = V.summarize_cv(V.cross_validate(v, lambda: MD.logistic(C=1.0), 3))
+        return s.where("metric = 'roc_auc'").select("mean").first()[0]
+    return X.interaction_gain(c, pairs, XI, cv_auc)
