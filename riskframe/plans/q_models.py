@@ -344,7 +344,7 @@ def x9(spark, sf):
 # X2 / X11 permutation importance and side-by-side with impurity (rows)
 def _raw_numeric_models(spark, sf):
     from pyspark.ml.feature import VectorAssembler
-    c = FE.balanced_weights(clean_enc(spark, sf), "target").cache()
+    c = cut_lineage(FE.balanced_weights(clean_enc(spark, sf), "target"))
     va = VectorAssembler(inputCols=XV, outputCol="features")
     return c, va
 
@@ -413,7 +413,8 @@ def x10(spark, sf):
 @register("x5_rfe_cv")
 def x5(spark, sf):
     from pyspark.ml.feature import VectorAssembler
-    c = FE.stratified_folds(FE.balanced_weights(clean_enc(spark, sf), "target"), "target", "encounter_id", 3).cache()
+    c = FE.stratified_folds(FE.balanced_weights(clean_enc(spark, sf), "target"), "target", "encounter_id", 3)
+    c = cut_lineage(c)
     feats = ["num_lab", "num_med", "num_proc", "total_procedures", "long_stay", "medication_changed"]
 
     def assemble(cols):
