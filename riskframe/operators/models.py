@@ -218,3 +218,30 @@ def load_model(path: str, kind: str = "pipeline"):
 
 def hash_shuffle_key(seed, key_col: str):
     return hash_order(seed, F.col(key_col))
+
+
+# L3 out-of-bag score (K10) ------------------------------------------------------------
+def oob_forest(df: DataFrame, key: str, n_trees: int, features: str = "features", label: str = "target",
+               weight: str | None = "weight", seed: int = 42, **params) -> DataFrame:
+    """Out-of-bag predictions of a bagged forest built as ``n_trees`` single-tree fits.
+
+    Spark's forest exposes no OOB rows, so each tree gets its own hash-derived Poisson(1) bag weights
+    (in-bag rows train with that multiplicity, times the class weight); each row is then scored by the
+    trees it was out of bag for and the votes are averaged. Rows: (key, label, score, oob_trees)."""
+    from pyspark.ml.classification import RandomForestClassifier
+    from riskframe.functions.core import poisson1, uniform
+    p = {**RF_DEFAULT, **params}
+    depth = SPARK_MAX_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), SPARK_MAX_DEPTH)
+    min_inst = max(int(p["min_samples_leaf"]), math.ceil(int(p["min_samples_split"]) / 2))
+    preds = None
+    for b in range(n_trees):
+        bw = poisson1(uniform(f"oob{seed}:{b}", F.col(key))).cast("double")
+        d = df.withColumn("_bag", bw).withColumn("_bw", F.col("_bag") * (F.col(weight) if weight else F.lit(1.0)))
+        tree = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=1, bootstrap=False,
+                                      subsamplingRate=1.0, maxDepth=depth, minInstancesPerNode=min_inst,
+                                      featureSubsetStrategy=str(p["featureSubsetStrategy"]), weightCol="_bw",
+                                      seed=seed + b)
+        m = tree.fit(d.where(F.col("_bag") > 0))
+        pb = predict(m, d.where(F.col("_bag") == 0), keep=[key, label]).select(key, label, "score")
+        preds = pb if preds is None else preds.unionByName(pb)
+    return preds.groupBy(key, label).agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("oob_trees"))

@@ -480,3 +480,11 @@ def x7g(spark, sf):
         s = V.summarize_cv(V.cross_validate(v, lambda: MD.logistic(C=1.0), 3))
         return s.where("metric = 'roc_auc'").select("mean").first()[0]
     return X.interaction_gain(c, pairs, XI, cv_auc)
+
+
+# L3 out-of-bag score of a bagged forest (rows)
+@register("l3_forest_oob_score")
+def l3oob(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    oob = MD.oob_forest(tr, "encounter_id", 8, **MD.PRESETS["fast"])
+    return M.all_metrics(oob, "target", "score", 0.5).withColumn("oob_rows", oob.agg(F.count(F.lit(1))).scalar())
