@@ -26,6 +26,19 @@ BOOT_LOW_PCT, BOOT_HIGH_PCT = 2.5, 97.5
 # --------------------------------------------------------------------------------
 
 
+PARALLELISM = 4
+
+
+def parallel_map(fn: Callable, items: Sequence, parallelism: int = PARALLELISM) -> list:
+    """Run independent fits concurrently (Spark schedules the jobs of several driver threads at once,
+    as CrossValidator's ``parallelism`` does); results keep the order of ``items``."""
+    from concurrent.futures import ThreadPoolExecutor
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 def fold_metrics(scored: DataFrame, label: str = "target", threshold: float = 0.5) -> dict[str, float]:
     """All CV metrics from one scored frame (two small aggregates)."""
     cm = M.classification_metrics(scored, label, "score", threshold).first()
@@ -39,13 +52,16 @@ def cross_validate(df: DataFrame, make_estimator: Callable, k: int, label: str =
                    with_train: bool = False, threshold: float = 0.5) -> DataFrame:
     """Per (fold, side, metric) values, one fit per fold."""
     spark = df.sparkSession
-    rows = []
-    for i in range(k):
+
+    def one(i):
         tr, te = df.where(F.col(fold) != i), df.where(F.col(fold) == i)
         m = make_estimator().fit(tr)
+        out = []
         for side, part in [("test", te)] + ([("train", tr)] if with_train else []):
             for name, v in fold_metrics(predict(m, part, threshold, keep=[label]), label, threshold).items():
-                rows.append((i, side, name, float(v) if v is not None else None))
+                out.append((i, side, name, float(v) if v is not None else None))
+        return out
+    rows = [r for part in parallel_map(one, list(range(k))) for r in part]
     return spark.createDataFrame(rows, "fold int, side string, metric string, value double")
 
 
@@ -75,15 +91,18 @@ def nested_cv(df: DataFrame, make_estimator: Callable, grid: Sequence[dict], out
     for o in range(outer_k):
         tr, te = df.where(F.col(fold) != o), df.where(F.col(fold) == o)
         inner = stratified_folds(tr.drop(fold), label, key, inner_k, seed=seed + o, name="_inner").cache()
+        def inner_auc(job):
+            params, i = job
+            m = make_estimator(params).fit(inner.where(F.col("_inner") != i))
+            s = predict(m, inner.where(F.col("_inner") == i), keep=[label])
+            return M.roc_auc(s, label, "score").first()[0]
+        jobs = [(gi, i) for gi in range(len(grid)) for i in range(inner_k)]
+        aucs = parallel_map(lambda j: inner_auc((grid[j[0]], j[1])), jobs)
         best, best_auc = None, -1.0
-        for params in grid:
-            aucs = []
-            for i in range(inner_k):
-                m = make_estimator(params).fit(inner.where(F.col("_inner") != i))
-                s = predict(m, inner.where(F.col("_inner") == i), keep=[label])
-                aucs.append(M.roc_auc(s, label, "score").first()[0])
-            mean_auc = sum(aucs) / len(aucs)
-            if mean_auc > best_auc:
+        for gi, params in enumerate(grid):
+            vals = [a for (g, _), a in zip(jobs, aucs) if g == gi]
+            mean_auc = sum(vals) / len(vals)
+            if mean_auc > best_auc:                       # strict: the first best grid point wins ties
                 best, best_auc = params, mean_auc
         inner.unpersist()
         m = make_estimator(best).fit(tr)
@@ -159,16 +178,17 @@ def learning_curve(df: DataFrame, make_estimator: Callable, fractions: Sequence[
                    key: str = "encounter_id", label: str = "target", fold: str = "fold", seed: int = 42) -> DataFrame:
     """Train on a hash-chosen fraction of each training fold; train and validation AUC per (size, fold)."""
     spark = df.sparkSession
-    rows = []
     u = uniform(f"lc{seed}", qcol(key))
-    for frac in fractions:
-        for i in range(k):
-            tr = df.where((F.col(fold) != i) & (u <= frac))
-            te = df.where(F.col(fold) == i)
-            m = make_estimator().fit(tr)
-            a_tr = M.roc_auc(predict(m, tr, keep=[label]), label, "score").first()[0]
-            a_te = M.roc_auc(predict(m, te, keep=[label]), label, "score").first()[0]
-            rows.append((float(frac), i, float(a_tr), float(a_te)))
+
+    def one(job):
+        frac, i = job
+        tr = df.where((F.col(fold) != i) & (u <= frac))
+        te = df.where(F.col(fold) == i)
+        m = make_estimator().fit(tr)
+        a_tr = M.roc_auc(predict(m, tr, keep=[label]), label, "score").first()[0]
+        a_te = M.roc_auc(predict(m, te, keep=[label]), label, "score").first()[0]
+        return (float(frac), i, float(a_tr), float(a_te))
+    rows = parallel_map(one, [(f, i) for f in fractions for i in range(k)])
     res = spark.createDataFrame(rows, "fraction double, fold int, train_auc double, val_auc double")
     return res.groupBy("fraction").agg(F.avg("train_auc").alias("train_mean"), F.stddev_pop("train_auc").alias("train_std"),
                                        F.avg("val_auc").alias("val_mean"), F.stddev_pop("val_auc").alias("val_std")) \
@@ -181,13 +201,15 @@ def stability(df: DataFrame, make_estimator: Callable, runs: int, k: int, key: s
     """``runs`` reseeded k-fold CVs: AUC per (run, fold)."""
     from riskframe.operators.features import stratified_folds
     spark = df.sparkSession
-    rows = []
-    for r in range(runs):
-        f = stratified_folds(df, label, key, k, seed=1000 + r, name="_sf")
-        for i in range(k):
-            m = make_estimator().fit(f.where(F.col("_sf") != i))
-            auc = M.roc_auc(predict(m, f.where(F.col("_sf") == i), keep=[label]), label, "score").first()[0]
-            rows.append((r, i, float(auc)))
+    folds = {r: stratified_folds(df, label, key, k, seed=1000 + r, name="_sf") for r in range(runs)}
+
+    def one(job):
+        r, i = job
+        f = folds[r]
+        m = make_estimator().fit(f.where(F.col("_sf") != i))
+        auc = M.roc_auc(predict(m, f.where(F.col("_sf") == i), keep=[label]), label, "score").first()[0]
+        return (r, i, float(auc))
+    rows = parallel_map(one, [(r, i) for r in range(runs) for i in range(k)])
     return spark.createDataFrame(rows, "run int, fold int, roc_auc double")
 
 
