@@ -130,7 +130,7 @@ def scaling_exprs(stats: dict[str, tuple[float, float]]) -> dict[str, Column]:
     return {c: (qcol(c).cast("double") - F.lit(m)) / F.lit(s) for c, (m, s) in stats.items()}
 
 
-def scaler_stats_sql_free(train: DataFrame, columns: Sequence[str]) -> DataFrame:
+def scaler_stats(train: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Scaler statistics as a frame (column, mean, std) -- for reports and persistence."""
     st = fit_scaler(train, columns)
     return train.sparkSession.createDataFrame([(c, m, s) for c, (m, s) in st.items()],

@@ -117,13 +117,9 @@ def impurity_importance(rf_model, names: Sequence[str]):
 
 # L2 -------------------------------------------------------------------------------
 def lr_grid(est, C_values=LR_C_GRID, penalties=LR_PENALTIES, total_weight: float = 1.0):
-    from pyspark.ml.tuning import ParamGridBuilder
-    b = ParamGridBuilder()
-    maps = []
-    for C, pen in itertools.product(C_values, penalties):
-        maps.append({est.regParam: 1.0 / (C * total_weight), est.elasticNetParam: 1.0 if pen == "l1" else 0.0})
-    del b
-    return maps
+    """Param maps for (C, penalty) pairs, C translated to regParam = 1 / (C * total weight)."""
+    return [{est.regParam: 1.0 / (C * total_weight), est.elasticNetParam: 1.0 if pen == "l1" else 0.0}
+            for C, pen in itertools.product(C_values, penalties)]
 
 
 def grid_search_cv(est, grid, df: DataFrame, features: str = "features", label: str = "target",

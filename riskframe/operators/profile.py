@@ -194,13 +194,11 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = IQR_FACT
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lower", F.col("q1") - factor * F.col("iqr")).withColumn("upper", F.col("q3") + factor * F.col("iqr"))
     # bounds are one row per profiled column: a small broadcast side
-    from riskframe.operators.quantiles import long_values
     lv = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), qcol(c).cast("double").alias("v"))
                                        for c in columns])).alias("_s")).select("_s.*")
     j = lv.join(F.broadcast(q), "column")
     cnt = j.groupBy("column").agg(F.count_if((F.col("v") < F.col("lower")) | (F.col("v") > F.col("upper")))
                                   .alias("outliers"), F.count(F.lit(1)).alias("_rows"))
-    del long_values
     return q.join(cnt, "column").select("column", "q1", "q3", "iqr", "lower", "upper", "outliers",
                                         F.round(F.col("outliers") * 100.0 / F.col("_rows"), 2).alias("outlier_pct"))
 

@@ -142,10 +142,12 @@ def p7(spark, sf):
 
 
 @register("p7_negative_repair", clean_sql(
-    "SELECT num_lab, count(*) AS n FROM clean WHERE encounter_id % 101 = 0 GROUP BY num_lab"))
+    "SELECT count(*) FILTER (WHERE num_lab < 0) AS negatives_left, round(sum(num_lab), 6) AS num_lab_sum, "
+    "count(*) AS n FROM clean"))
 def p7r(spark, sf):
     c = clean_enc(spark, sf)
-    return c.where(F.col("encounter_id") % 101 == 0).groupBy("num_lab").agg(F.count(F.lit(1)).alias("n"))
+    return c.agg(F.count_if(F.col("num_lab") < 0).alias("negatives_left"),
+                 F.round(F.sum("num_lab"), 6).alias("num_lab_sum"), F.count(F.lit(1)).alias("n"))
 
 
 # P8
