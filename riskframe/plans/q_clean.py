@@ -380,3 +380,33 @@ def s4(spark, sf):
     path = scratch_path(spark, "sections")
     sections.write_sections(body, hdf, path)
     return sections.read_sections(spark, path)
+
+
+# The label must be binary (domain check on the cleaned target)
+@register("b9_binary_target", clean_sql(
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE target IS NULL) AS null_targets, "
+    "count(*) FILTER (WHERE target IS NOT NULL AND target NOT IN (0, 1)) AS non_binary FROM clean"))
+def b9(spark, sf):
+    from riskframe.operators import profile
+    c = clean_enc(spark, sf)
+    bad = profile.domain_violations(c, {"target": [0, 1]}).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar()
+    return c.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("target").isNull()).alias("null_targets")) \
+        .withColumn("non_binary", bad)
+
+
+# A top-k report with an explicit tie-break
+@register("w5_top_k", clean_sql(
+    "SELECT encounter_id, patient_nbr, num_med FROM clean ORDER BY num_med DESC, encounter_id LIMIT 10"))
+def w5(spark, sf):
+    return clean_enc(spark, sf).select("encounter_id", "patient_nbr", "num_med") \
+        .orderBy(F.desc("num_med"), F.asc("encounter_id")).limit(10)
+
+
+# Scan the written clean table and check it (not empty, target present, target binary)
+@register("s2_clean_scan_checks", clean_sql(
+    "SELECT count(*) AS rows, true AS has_target, count(*) FILTER (WHERE target NOT IN (0, 1)) AS non_binary FROM clean"))
+def s2(spark, sf):
+    c = clean_enc(spark, sf)                     # a parquet scan of the table the cleaning stage wrote
+    return c.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(~F.col("target").isin(0, 1)).alias("non_binary")) \
+        .withColumn("has_target", F.lit("target" in c.columns))

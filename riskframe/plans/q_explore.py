@@ -281,3 +281,17 @@ def a25(spark, sf):
     "round(avg(time_in_hospital), 6) AS mean_stay FROM clean"))
 def a26(spark, sf):
     return explore.overall(clean_enc(spark, sf), "target", "time_in_hospital")
+
+
+# Rank positions of |corr with target| (ties by name)
+@register("w4_rank_positions", clean_sql(
+    "SELECT \"column\", round(abs_corr, 6) AS abs_corr, CAST(row_number() OVER (ORDER BY abs_corr DESC, \"column\") - 1 "
+    "AS INTEGER) AS position FROM (" + _union([
+        f"SELECT '{c}' AS {C}, abs(corr(CAST({c} AS DOUBLE), CAST(target AS DOUBLE))) AS abs_corr FROM clean"
+        for c in NUM]) + ")"))
+def w4(spark, sf):
+    from pyspark.sql import Window
+    corr = explore.target_correlations(clean_enc(spark, sf), NUM)
+    w = Window.orderBy(F.desc("abs_corr"), F.asc("column"))      # one row per column: a small window
+    return corr.select("column", F.round("abs_corr", 6).alias("abs_corr"),
+                       (F.row_number().over(w) - 1).cast("int").alias("position"))

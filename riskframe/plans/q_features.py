@@ -139,3 +139,15 @@ def f10(spark, sf):
     c = clean_enc(spark, sf)
     enc = FE.one_hot(c, ONEHOT)
     return FE.processing_report(c, enc, ONEHOT, [])
+
+
+# feature / target separation with checks (assembled vector + rule counts; rows)
+@register("f2_feature_target_separation")
+def f2(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    c = clean_enc(spark, sf)
+    feats = [x for x in SCALE + ["long_stay", "medication_changed"]]
+    v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(c)
+    return v.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("target").isNull()).alias("null_targets"),
+                 F.count_if(~F.col("target").isin(0, 1)).alias("non_binary"),
+                 F.avg("target").alias("positive_rate")).withColumn("n_features", F.lit(len(feats)))
