@@ -50,16 +50,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is a private scratch folder created and registered.
+    (local tests) is a private scratch folder created and registered with the
+    SparkContext (the conf itself cannot be changed at runtime).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
-    return d
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    ctx_dir = spark.sparkContext.getCheckpointDir()
+    if d:
+        if not ctx_dir:
+            spark.sparkContext.setCheckpointDir(d)
+        return d
+    if ctx_dir:
+        return ctx_dir
+    d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
+    spark.sparkContext.setCheckpointDir(d)
+    return spark.sparkContext.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -17,3 +17,11 @@ def test_every_query_has_a_callable_and_oracles_are_subset():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) > 100
+
+
+def test_oracles_round_double_columns():
+    import __spark_entry__ as E
+    from riskframe.plans.doubles import DOUBLE_COLUMNS
+    o = E.oracle_sql()
+    for name, cols in DOUBLE_COLUMNS.items():
+        assert name in o and all(f'round("{c}", 6)' in o[name] for c in cols)
