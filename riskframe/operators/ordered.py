@@ -78,7 +78,7 @@ def _apply_split(df: DataFrame, keys: list[str], order: list[str], kind: str, pa
         return df.withColumn(_SUB, F.size(F.filter(arr, lambda b: b <= num))), True
     schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
     bdf = df.sparkSession.createDataFrame(payload, schema)       # <= #partitions rows
-    out = df.join(F.broadcast(bdf), keys, "left")
+    out = _join_null_safe(df, bdf, keys, "left", broadcast=True)
     sub = F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b <= num)), F.lit(0))
     return out.withColumn(_SUB, F.when(F.col("_b").isNull(), F.lit(0)).otherwise(sub)).drop("_b"), True
 
@@ -105,7 +105,7 @@ def _decide_split(df: DataFrame, keys: list[str], order: list[str], min_hot_rows
     if (biggest or 0) <= thr:                                     # the common case: one small job
         return "none", None
     hot = counts.where(F.col("_n") > thr).select(*keys)          # at most nparts keys
-    rows = (df.join(F.broadcast(hot), keys, "left_semi").groupBy(*keys)
+    rows = (_join_null_safe(df, hot, keys, "left_semi", broadcast=True).groupBy(*keys)
             .agg(F.percentile_approx(num, probs, 10000).alias("_b")).collect())
     if not rows:
         return "none", None
@@ -116,6 +116,16 @@ def _join_keys(keys: list[str]) -> list[str]:
     return keys + [_SUB]
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
+                    broadcast: bool = False) -> DataFrame:
+    """Equi-join on ``keys`` where null matches null (a null entity is a group like any other)."""
+    r = right.select(*[F.col(k).alias(f"_rk_{i}") for i, k in enumerate(keys)],
+                     *[c for c in right.columns if c not in keys])
+    cond = [F.col(k).eqNullSafe(F.col(f"_rk_{i}")) for i, k in enumerate(keys)]
+    j = left.join(F.broadcast(r) if broadcast else r, cond, how)
+    return j.drop(*[f"_rk_{i}" for i in range(len(keys))])
+
+
 def rank_within(df: DataFrame, keys, order, name: str = "rank0", min_hot_rows: int | None = None) -> DataFrame:
     """0-based position of each row inside its key group, by ``order`` (cumcount)."""
     keys, order = _names(keys), _names(order)
@@ -127,7 +137,7 @@ def rank_within(df: DataFrame, keys, order, name: str = "rank0", min_hot_rows: i
     tot = b.groupBy(*keys, _SUB).agg(F.count(F.lit(1)).alias("_c"))
     wk = Window.partitionBy(*keys).orderBy(_SUB).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("_off", F.coalesce(F.sum("_c").over(wk), F.lit(0))).drop("_c")
-    r = r.join(tot, _join_keys(keys), "left")
+    r = _join_null_safe(r, tot, _join_keys(keys))
     return r.withColumn(name, (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint")) \
         .drop("_local", "_off", _SUB)
 
@@ -155,7 +165,7 @@ def running_sums(df: DataFrame, order, sums: dict[str, str], keys=(), count_name
     wk = Window.partitionBy(*keys).orderBy(_SUB).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, _SUB, F.coalesce(F.sum("_c").over(wk), F.lit(0)).alias("_oc"),
                      *[F.sum(f"_s{i}").over(wk).alias(f"_o{i}") for i in range(len(src))])
-    r = r.join(tot, _join_keys(keys), "left")
+    r = _join_null_safe(r, tot, _join_keys(keys))
     for out, c in sums.items():
         i = src.index(c)
         r = r.withColumn(out, F.col(out) + F.coalesce(F.col(f"_o{i}"), F.lit(0)))
@@ -176,7 +186,7 @@ def next_within(df: DataFrame, keys, order, value: str, name: str, min_hot_rows:
     heads = b.groupBy(*keys, _SUB).agg(F.min(F.struct(*[F.col(o) for o in order], F.col(value).alias("_v")))
                                        .alias("_h"))
     heads = heads.select(*keys, _SUB, F.lead("_h").over(Window.partitionBy(*keys).orderBy(_SUB)).alias("_nh"))
-    r = r.join(heads, _join_keys(keys), "left")
+    r = _join_null_safe(r, heads, _join_keys(keys))
     return r.withColumn(name, F.when(F.col("_has"), F.col("_nxt")).otherwise(F.col("_nh._v"))) \
         .drop("_nxt", "_has", "_nh", _SUB)
 

@@ -37,3 +37,23 @@ def test_first_per_key_keeps_smallest_order(spark):
     assert got == {1: (3, "a"), 2: (9, "c"), 3: (1, None)}
     last = {r["k"]: r["t"] for r in ordered.first_per_key(df, "k", "t", keep="last").collect()}
     assert last == {1: 5, 2: 10, 3: 1}
+
+
+def test_split_windows_with_a_hot_null_key(spark):
+    import random as _r
+    rnd = _r.Random(4)
+    rows = [(i, None if i % 3 == 0 else rnd.randint(1, 5), rnd.randint(0, 40), float(rnd.randint(0, 9)))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, k long, t long, v double")
+    ordered._PLAN_MEMO.clear()
+    w = Window.partitionBy("k").orderBy("t", "id")
+    ref = (df.withColumn("nx", F.lead("v").over(w)).withColumn("rk", F.row_number().over(w) - 1)
+           .withColumn("cs", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    a = ordered.next_within(df, "k", ["t", "id"], "v", "nx", min_hot_rows=10)
+    a = ordered.rank_within(a, "k", ["t", "id"], "rk", min_hot_rows=10)
+    a = ordered.running_sums(a, ["t", "id"], {"cs": "v"}, keys=["k"], min_hot_rows=10)
+    j = ref.alias("r").join(a.alias("a"), "id")
+    bad = j.where(~F.col("r.nx").eqNullSafe(F.col("a.nx")) | (F.col("r.rk") != F.col("a.rk"))
+                  | (F.abs(F.col("r.cs") - F.col("a.cs")) > 1e-9))
+    assert j.count() == 600 and bad.count() == 0
+    ordered._PLAN_MEMO.clear()
