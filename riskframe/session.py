@@ -23,6 +23,19 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a large input: scan splits and initial shuffle partitions of ~256 MB, never fewer than
+    2x the cores; AQE then coalesces small partitions (advisory 128 MB) and splits skewed ones."""
+    shuffle = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def build_session(master: str | None = None, app: str = "riskframe",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with riskframe's defaults.
