@@ -4,9 +4,10 @@ A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one
 task: if one entity holds a third of the table, one task sorts a third of the
 table. Here hot keys (more rows than ``total / shuffle partitions``, so there
 are at most that many of them) are split into sub-ranges of their first order
-column; the sub-range bounds are approximate quantiles collected once to the
-driver (a bounded list: #hot keys x #buckets numbers) and applied as
-literals, so the bucket of a row is a pure function of its values and every
+column. A hot key gets one sub-range per partition-sized share of its rows
+(at most 2 x #partitions bounds in all); the bounds are read off a capped row
+sample of the hot keys, collected once to the driver and applied as literals,
+so the bucket of a row is a pure function of its values and every
 re-evaluation or task retry assigns it the same way.
 
 Windows then run per ``(key, bucket)``; a per-``(key, bucket)`` summary (one row
@@ -31,6 +32,8 @@ _SUB = "_rf_sub"
 
 # smallest group size ever split (tests lower it to exercise the split path)
 MIN_HOT_ROWS = 1_000_000
+# most sampled rows brought to the driver to place the sub-range bounds of hot keys
+SAMPLE_CAP = 2_000_000
 
 
 def _names(cols) -> list[str]:
@@ -104,12 +107,29 @@ def _decide_split(df: DataFrame, keys: list[str], order: list[str], min_hot_rows
     thr = max(floor_rows, math.ceil((total or 0) / nparts))
     if (biggest or 0) <= thr:                                     # the common case: one small job
         return "none", None
-    hot = counts.where(F.col("_n") > thr).select(*keys)          # at most nparts keys
-    rows = (_join_null_safe(df, hot, keys, "left_semi", broadcast=True).groupBy(*keys)
-            .agg(F.percentile_approx(num, probs, 10000).alias("_b")).collect())
-    if not rows:
+    # hot keys: each holds more than an average partition, so there are at most nparts of them
+    hot_rows = counts.where(F.col("_n") > thr).collect()
+    if not hot_rows:
         return "none", None
-    return "keyed", [tuple(r[k] for k in keys) + ([float(x) for x in r["_b"]],) for r in rows]
+    # key k gets B_k = ceil(n_k / thr) sub-ranges (sum over keys <= 2 * nparts); their bounds come from
+    # a row sample of the hot keys with ~per_bucket rows per sub-range (total capped at SAMPLE_CAP rows)
+    nb_key = {tuple(r[k] for k in keys): min(nparts, math.ceil(r["_n"] / thr)) for r in hot_rows}
+    total_b = sum(nb_key.values())
+    hot_n = sum(r["_n"] for r in hot_rows)
+    per_bucket = max(4, min(32, SAMPLE_CAP // max(1, total_b)))
+    frac = min(1.0, per_bucket * total_b / hot_n)
+    hot = df.sparkSession.createDataFrame([k for k in nb_key], T.StructType([df.schema[k] for k in keys]))
+    sample = (_join_null_safe(df.select(*keys, num.alias("_x")), hot, keys, "left_semi", broadcast=True)
+              .sample(fraction=frac, seed=17).collect())
+    by_key: dict = {}
+    for r in sample:
+        by_key.setdefault(tuple(r[k] for k in keys), []).append(r["_x"])
+    payload = []
+    for key, b in nb_key.items():
+        vals = sorted(v for v in by_key.get(key, []) if v is not None)
+        bounds = [vals[(i * len(vals)) // b] for i in range(1, b)] if vals and b > 1 else []
+        payload.append(key + ([float(x) for x in bounds],))
+    return "keyed", payload
 
 
 def _join_keys(keys: list[str]) -> list[str]:
