@@ -50,9 +50,7 @@ def main() -> None:
 
     def metric_stage():
         s = scored(spark, sf_dir)
-        metrics.roc_auc(s, "label", "score").collect()
-        metrics.average_precision(s, "label", "score").collect()
-        metrics.best_f1_threshold(s, "label", "score").collect()
+        metrics.rank_summary(s, "label", "score").collect()        # AUC, AP and best-F1 threshold, one curve
         metrics.threshold_sweep(s, "label", "score").collect()
     timed("metrics", metric_stage)
 

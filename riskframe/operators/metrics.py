@@ -237,3 +237,22 @@ def score_histogram(df: DataFrame, label: str = "label", score: str = "score", b
     """Equal-width score bins over each class's own range."""
     from riskframe.operators.explore import histogram
     return histogram(df.select(qcol(label).alias("class"), qcol(score).alias("score")), "score", bins, by=["class"])
+
+
+# M4 + M5 + M7 from one curve ------------------------------------------------------------
+def rank_summary(df: DataFrame, label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
+    """One row: ROC AUC, average precision, and the best-F1 threshold with its F1, all from ONE curve.
+
+    Descending thresholds t with per-threshold pos(t)/neg(t) and cumulative tp(t)/fp(t):
+    AUC = sum neg(t) * (tp(t) - pos(t)/2) / (P N)   (mid-rank Mann-Whitney),
+    AP  = sum pos(t) * precision(t) / P,
+    best F1 = max over t, smallest threshold on ties (max of struct(f1, -t)).
+    """
+    c = curve(df, label, score, weight)
+    a = c.agg(F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)).alias("_auc_num"),
+              F.sum(F.col("pos") * F.col("precision")).alias("_ap_num"),
+              F.sum("pos").alias("_P"), F.sum("neg").alias("_N"),
+              F.max(F.struct(F.col("f1"), (-F.col("threshold")).alias("nt"))).alias("_best"))
+    return a.select(F.try_divide(F.col("_auc_num"), F.col("_P") * F.col("_N")).alias("roc_auc"),
+                    F.try_divide(F.col("_ap_num"), F.col("_P")).alias("average_precision"),
+                    (-F.col("_best.nt")).alias("best_threshold"), F.col("_best.f1").alias("best_f1"))

@@ -60,6 +60,7 @@ DOUBLE_COLUMNS = {
     'm5_losses': ['log_loss', 'brier'],
     'm6_curve_points': ['threshold', 'pos', 'neg', 'tp', 'fp', 'tpr', 'fpr', 'precision', 'recall', 'f1'],
     'm7_best_f1_threshold': ['threshold', 'f1', 'precision', 'recall'],
+    'm7_rank_summary': ['roc_auc', 'average_precision', 'best_threshold', 'best_f1'],
     'm8_constrained_thresholds': ['threshold', 'value'],
     'm9_sweep_best': ['threshold', 'value'],
     'm9_threshold_sweep': ['threshold', 'f1', 'precision', 'recall', 'accuracy'],

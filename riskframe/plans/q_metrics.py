@@ -236,3 +236,14 @@ def a24(spark, sf):
     auc = M.roc_auc(s, "label", "score").scalar()
     f1 = M.classification_metrics(s, "label", "score", 0.5).select("f1").scalar()
     return s.limit(1).select(explore.band(auc, 0.7, 0.6).alias("auc_band"), explore.band(f1, 0.8, 0.6).alias("f1_band"))
+
+
+# M4 + M5 + M7 from one curve
+@register("m7_rank_summary", scored_sql("""
+SELECT round(sum(neg * (tp - pos / 2.0)) / (sum(pos) * sum(neg)), 6) AS roc_auc,
+       round(sum(pos * precision) / sum(pos), 6) AS average_precision,
+       (SELECT min(threshold) FROM pts WHERE f1 = (SELECT max(f1) FROM pts)) AS best_threshold,
+       round((SELECT max(f1) FROM pts), 6) AS best_f1
+FROM pts""", _SC))
+def m7s(spark, sf):
+    return _r(M.rank_summary(scored(spark, sf), "label", "score"), ["roc_auc", "average_precision", "best_f1"])
