@@ -59,9 +59,16 @@ def forest(features: str = "features", label: str = "target", weight: str | None
     p = {**RF_DEFAULT, **params}
     depth = SPARK_MAX_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), SPARK_MAX_DEPTH)
     min_inst = max(int(p["min_samples_leaf"]), math.ceil(int(p["min_samples_split"]) / 2))
+    # larger node batches = fewer passes over the data per tree level; node-id caching (checkpointed every
+    # 10 iterations into the shared checkpoint folder) avoids re-deriving each row's node from the root
+    from pyspark.sql import SparkSession
+    from riskframe.session import checkpoint_root
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        checkpoint_root(active)
     kw = dict(featuresCol=features, labelCol=label, numTrees=int(p["numTrees"]), maxDepth=depth,
               minInstancesPerNode=min_inst, featureSubsetStrategy=str(p["featureSubsetStrategy"]), seed=seed,
-              subsamplingRate=1.0, bootstrap=True)
+              subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
     if weight:
         kw["weightCol"] = weight
     return RandomForestClassifier(**kw)
