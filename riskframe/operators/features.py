@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import hash_order, is_numeric_type, qcol, uniform
+from riskframe.operators.lookup import bounded_broadcast
 from riskframe.operators.ordered import rank_within
 
 # --- fixed values --------------------------------------------------------------
@@ -24,6 +25,7 @@ SEED = 42
 MAX_LEVELS = 1000
 SCALE_MIN_DISTINCT = 3
 DRIFT_WARN = 0.5
+MAX_CLASSES = 10_000          # class tables up to this size are broadcast (checked), larger ones are joined
 # --------------------------------------------------------------------------------
 
 
@@ -79,7 +81,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_size: float = TES
     h = df.withColumn("_h", hash_order(seed, qcol(key)))
     r = rank_within(h, [label], ["_h", key], "_rk")
     n = df.groupBy(qcol(label).alias(label)).agg(F.count(F.lit(1)).alias("_n"))   # one row per class
-    r = r.join(F.broadcast(n), label)
+    r = r.join(bounded_broadcast(n, MAX_CLASSES), label)
     quota = F.ceil(F.col("_n") * test_size)
     return r.withColumn(name, F.when(F.col("_rk") < quota, "test").otherwise("train")).drop("_h", "_rk", "_n")
 
@@ -167,7 +169,7 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     n = g.agg(F.sum("_nc").cast("double")).scalar()
     k = g.agg(F.count(F.lit(1)).cast("double")).scalar()
     w = g.select(label, (n / (k * F.col("_nc"))).alias(name))
-    return df.join(F.broadcast(w), label)
+    return df.join(bounded_broadcast(w, MAX_CLASSES), label)
 
 
 # F2 / F6 --------------------------------------------------------------------------
