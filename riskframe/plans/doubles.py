@@ -17,6 +17,7 @@ DOUBLE_COLUMNS = {
     'a17_group_gap': ['rate_a', 'rate_b', 'gap'],
     'a18_label_ratios': ['any_pct', 'early_pct', 'early_late_ratio'],
     'a19_histogram': ['lo', 'hi'],
+    'a19_mean_median': ['mean', 'median'],
     'a1_rate_by_category': ['rate', 'share'],
     'a20_box_stats': ['q1', 'median', 'q3', 'whisker_lo', 'whisker_hi'],
     'a23_best_model': ['brier', 'roc_auc'],

@@ -410,3 +410,20 @@ def s2(spark, sf):
     return c.agg(F.count(F.lit(1)).alias("rows"),
                  F.count_if(~F.col("target").isin(0, 1)).alias("non_binary")) \
         .withColumn("has_target", F.lit("target" in c.columns))
+
+
+# P3 threshold mode: columns whose missing share (null or sentinel) exceeds 30%
+def _p3t_sql():
+    parts = []
+    for c in ENC_COLUMNS + ["target"]:
+        sent = f" + count(*) FILTER (WHERE {q(c)} = '?')" if c in ENC_STRING_COLUMNS else ""
+        parts.append(f"SELECT '{c}' AS \"column\", round((count(*) FILTER (WHERE {q(c)} IS NULL){sent}) * 100.0 / "
+                     f"count(*), 2) AS missing_pct FROM staged")
+    return _staged_sql(f"SELECT \"column\" FROM ({_union(parts)}) WHERE missing_pct > 30")
+
+
+@register("p3_threshold_mode", _p3t_sql())
+def p3t(spark, sf):
+    """The frame behind ``clean.columns_over_missing`` (which collects these names to drop them)."""
+    from riskframe.operators.profile import missing_profile
+    return missing_profile(staged(spark, sf)).where(F.col("missing_pct") > 30).select("column")

@@ -295,3 +295,12 @@ def w4(spark, sf):
     w = Window.orderBy(F.desc("abs_corr"), F.asc("column"))      # one row per column: a small window
     return corr.select("column", F.round("abs_corr", 6).alias("abs_corr"),
                        (F.row_number().over(w) - 1).cast("int").alias("position"))
+
+
+# A19 markers: mean and median of the histogrammed column
+@register("a19_mean_median", clean_sql(
+    "SELECT 'num_med' AS \"column\", round(avg(CAST(num_med AS DOUBLE)), 6) AS mean, "
+    "round(quantile_cont(CAST(num_med AS DOUBLE), 0.5), 6) AS median FROM clean"))
+def a19m(spark, sf):
+    m = explore.mean_median(clean_enc(spark, sf), "num_med")
+    return m.select("column", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"))
