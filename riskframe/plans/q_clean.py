@@ -1,9 +1,14 @@
-"""Queries for cleaning, lookups and entity operators (P*, J*, W*)."""
+"""Queries for cleaning, lookups, entity operators and scans (P*, J*, W*, S2, S4) plus the flagship rate."""
 
 from __future__ import annotations
 
-from riskframe.operators import explore
-from riskframe.plans.base import clean_enc, clean_sql
+from pyspark.sql import functions as F
+
+from riskframe.functions.codes import categorize_code, categorize_code_sql
+from riskframe.operators import clean, explore, lookup
+from riskframe.plans.base import (CLEAN_COLUMNS, CODE_LISTS, ENC_COLUMNS, ENC_STRING_COLUMNS, SENTINEL_LABELS,
+                                  STAGED_SQL, clean_enc, clean_sql, encounters, q, sql_with, staged)
+from riskframe.plans.dims import LOOKUP_SQL, lookup_dim
 from riskframe.plans.registry import register
 
 
@@ -16,17 +21,6 @@ def rate_by_disposition(spark, sf):
     return explore.rate_by(clean_enc(spark, sf), "disposition_desc")
 
 
-# ----------------------------------------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from riskframe.functions.codes import categorize_code, categorize_code_sql  # noqa: E402
-from riskframe.operators import clean, lookup  # noqa: E402
-from riskframe.plans.base import (CLEAN_COLUMNS, CODE_LISTS, ENC_COLUMNS, ENC_STRING_COLUMNS, SENTINEL_LABELS,  # noqa: E402
-                                  STAGED_SQL, q, sql_with, staged)
-from riskframe.plans.dims import LOOKUP_SQL, lookup_dim  # noqa: E402
-from riskframe.plans.base import encounters  # noqa: E402
-
-
 def _staged_sql(body: str, *extra: str) -> str:
     return sql_with(STAGED_SQL, *extra, body=body)
 

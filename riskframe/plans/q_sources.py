@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.plans.base import clean_enc, clean_sql
 from riskframe.plans.enc import table
+from riskframe.plans.q_features import SPLIT_SQL
 from riskframe.plans.registry import register
 from riskframe.session import scratch_path
 from riskframe.sources import io
@@ -38,9 +39,7 @@ def s3(spark, sf):
 
 
 # Split table written partitioned by split, read back per split (partition pruning)
-@register("s7_split_sink_roundtrip", clean_sql(
-    "SELECT split, count(*) AS rows FROM split_t GROUP BY split", __import__(
-        "riskframe.plans.q_features", fromlist=["SPLIT_SQL"]).SPLIT_SQL))
+@register("s7_split_sink_roundtrip", clean_sql("SELECT split, count(*) AS rows FROM split_t GROUP BY split", SPLIT_SQL))
 def s7(spark, sf):
     from riskframe.operators import features as FE
     s = FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id")
