@@ -491,3 +491,14 @@ def l3oob(spark, sf):
     tr, _, _ = _train_test(spark, sf)
     oob = MD.oob_forest(tr, "encounter_id", 8, **MD.PRESETS["fast"])
     return M.all_metrics(oob, "target", "score", 0.5).withColumn("oob_rows", oob.agg(F.count(F.lit(1))).scalar())
+
+
+# X9 for a non-linear model: sampled-permutation Shapley values of the forest (rows)
+@register("x9_forest_shap")
+def x9f(spark, sf):
+    tr, _, _ = _train_test(spark, sf)
+    m = MD.forest(**MD.PRESETS["fast"]).fit(tr)
+    names = MD.feature_names(tr)
+    shap = X.permutation_shap(m, tr, "encounter_id", fraction=0.1, permutations=4)
+    name_df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "feature_index int, feature string")
+    return shap.join(F.broadcast(name_df), "feature_index").select("feature", "mean_abs_shap", "mean_shap")

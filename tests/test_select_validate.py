@@ -106,3 +106,23 @@ def test_summarize_cv_population_std(spark):
                                 "fold int, side string, metric string, value double")
     r = V.summarize_cv(per).first()
     assert r["mean"] == pytest.approx(0.7) and r["std"] == pytest.approx(np.std([0.6, 0.7, 0.8]))
+
+
+def test_permutation_shap_is_efficient(spark, data):
+    """Shapley efficiency: the per-feature mean contributions add up to mean f(x) - f(background)."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    from riskframe.functions.core import uniform
+    rows, df = data
+    v = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
+    m = LogisticRegression(labelCol="target", maxIter=20).fit(v)
+    shap = X.permutation_shap(m, v, "key", fraction=0.3, permutations=3)
+    total = sum(r["mean_shap"] for r in shap.collect())
+    bg = v.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray().tolist()
+    sample = v.where(uniform("shap42", F.col("key")) < 0.3)
+    fx = m.transform(sample).select(vector_to_array("probability")[1].alias("p")).agg(F.avg("p")).first()[0]
+    bgdf = spark.createDataFrame([(bg,)], "x array<double>").select(array_to_vector("x").alias("features"))
+    fb = m.transform(bgdf).select(vector_to_array("probability")[1]).first()[0]
+    assert shap.count() == 3 and total == pytest.approx(fx - fb, abs=1e-9)
