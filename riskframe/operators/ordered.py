@@ -22,8 +22,6 @@ the result depends on it.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

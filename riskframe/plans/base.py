@@ -98,7 +98,6 @@ def _codes(v) -> str:
 
 def _stage_sql() -> str:
     cols = []
-    from riskframe.plans.enc import MED_COLUMNS  # noqa: F401
     enc_cols = ["encounter_id", "patient_nbr", "race", "gender", "age", "admission_type_id", "disposition_id",
                 "specialty", "time_in_hospital", "num_lab", "num_med", "num_proc", "diag_1", "diag_2", "diag_3",
                 "metformin", "insulin", "glyburide-metformin", "change", "diabetesMed", "readmitted"]

@@ -37,7 +37,6 @@ def p1(spark, sf):
 
 # P2
 def _p2_sql():
-    from riskframe.plans.base import na_sql  # noqa: F401
     hits = [f"coalesce(disposition_id IN ({', '.join(map(str, v))}), false)" for v in CODE_LISTS.values()]
     per = ", ".join(f"count(*) FILTER (WHERE {h}) AS removed_{r}" for h, r in zip(hits, CODE_LISTS))
     anyh = " OR ".join(hits)

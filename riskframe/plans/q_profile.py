@@ -6,7 +6,7 @@ from riskframe.functions.core import SPECIAL_TOKENS
 from riskframe.operators import clean, profile
 from riskframe.plans.base import (ENC_COLUMNS, ENC_STRING_COLUMNS, STAGED_SQL, clean_enc, clean_sql, encounters, q, sql_with,
                                   staged)
-from riskframe.plans.enc import MED_COLUMNS, enc, table
+from riskframe.plans.enc import MED_COLUMNS, table
 from riskframe.plans.registry import register
 
 NUMERIC = [c for c in ENC_COLUMNS if c not in ENC_STRING_COLUMNS]
