@@ -6,6 +6,7 @@ floating sums (different summation orders) never decide a comparison. Regenerate
 """
 
 DOUBLE_COLUMNS = {
+    'a21_insights': ['value'],
     'a10_correlation_matrix': ['corr'],
     'a11_high_correlation_pairs': ['corr'],
     'a12_usage_summary': ['usage_pct', 'user_rate_pct'],

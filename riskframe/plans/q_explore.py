@@ -259,8 +259,39 @@ def a20(spark, sf):
     return explore.box_stats(clean_enc(spark, sf), "num_med", "target")
 
 
-# A21 (rule rows; value checks by rows)
-@register("a21_insights")
+# A21 rule rows from scalar aggregates
+def _a21_sql():
+    from riskframe.plans.base import CLEAN_COLUMNS
+    nulls = " + ".join(f"count(*) FILTER (WHERE {q(c)} IS NULL)" for c in CLEAN_COLUMNS)
+    corr = _union([f"SELECT '{c}' AS col, abs(corr(CAST({c} AS DOUBLE), CAST(target AS DOUBLE))) AS a FROM clean"
+                   for c in NUM])
+    usage = "\nUNION ALL\n".join(
+        f"SELECT '{m}_usage_pct', round(count(*) FILTER (WHERE {m} <> 'No') * 100.0 / count(*), 6), "
+        f"CASE WHEN count(*) FILTER (WHERE {m} <> 'No') * 100.0 / count(*) > 30 THEN 'high' ELSE 'normal' END FROM clean"
+        for m in ("insulin", "metformin"))
+    return clean_sql(f"""
+SELECT 'target_rate_pct' AS rule, round(avg(target) * 100, 6) AS value,
+       CASE WHEN avg(target) * 100 > 15 THEN 'high' WHEN avg(target) * 100 < 5 THEN 'low' ELSE 'normal' END AS level
+FROM clean
+UNION ALL
+SELECT 'missing_pct', round(({nulls}) * 100.0 / (count(*) * {len(CLEAN_COLUMNS)}), 6),
+       CASE WHEN ({nulls}) * 100.0 / (count(*) * {len(CLEAN_COLUMNS)}) > 20 THEN 'high'
+            WHEN ({nulls}) * 100.0 / (count(*) * {len(CLEAN_COLUMNS)}) < 5 THEN 'low' ELSE 'normal' END FROM clean
+UNION ALL
+SELECT 'specialty_cardinality', CAST(count(DISTINCT specialty) AS DOUBLE),
+       CASE WHEN count(DISTINCT specialty) > 20 THEN 'high' ELSE 'normal' END FROM clean
+UNION ALL
+{usage}
+UNION ALL
+SELECT 'top_risk_age:' || min(age), round(max(rate) * 100, 6), 'info' FROM (
+  SELECT age, round(avg(target), 6) AS rate FROM clean WHERE age IS NOT NULL GROUP BY age)
+  WHERE rate = (SELECT max(round(r, 6)) FROM (SELECT avg(target) AS r FROM clean WHERE age IS NOT NULL GROUP BY age))
+UNION ALL
+SELECT * FROM (SELECT 'strongest_predictor:' || col, round(a, 6), 'info' FROM ({corr}) WHERE a IS NOT NULL
+               ORDER BY a DESC, col LIMIT 1)""")
+
+
+@register("a21_insights", _a21_sql())
 def a21(spark, sf):
     return explore.insights(clean_enc(spark, sf), "target", "age", ["insulin", "metformin"], "specialty", NUM)
 
