@@ -6,6 +6,9 @@ floating sums (different summation orders) never decide a comparison. Regenerate
 """
 
 DOUBLE_COLUMNS = {
+    's10_results_dir': ['accuracy', 'f1', 'npv', 'precision', 'recall', 'specificity', 'threshold'],
+    'f10_processing_report': ['value'],
+    'f2_feature_target_separation': ['positive_rate'],
     'a21_insights': ['value'],
     'a10_correlation_matrix': ['corr'],
     'a11_high_correlation_pairs': ['corr'],

@@ -133,21 +133,35 @@ def f6(spark, sf):
                     F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x), 6).alias("feature_sum"))
 
 
-# F10 (rows-only)
-@register("f10_processing_report")
+# processing report (columns before/after one-hot, encoded sources, rows)
+def _f10_sql():
+    from riskframe.plans.base import CLEAN_COLUMNS
+    n = len(CLEAN_COLUMNS)
+    dummies = " + ".join(f"(count(DISTINCT {q(c)}) - 1)" for c in ONEHOT)
+    return clean_sql(f"""
+SELECT metric, value FROM (SELECT count(*) AS r, {dummies} AS d FROM clean),
+LATERAL (VALUES ('columns_before', {float(n)}), ('columns_after', CAST({n} - {len(ONEHOT)} + d AS DOUBLE)),
+                ('encoded_columns', {float(len(ONEHOT))}), ('high_cardinality_columns', 0.0),
+                ('rows', CAST(r AS DOUBLE))) v(metric, value)""")
+
+
+@register("f10_processing_report", _f10_sql())
 def f10(spark, sf):
     c = clean_enc(spark, sf)
     enc = FE.one_hot(c, ONEHOT)
     return FE.processing_report(c, enc, ONEHOT, [])
 
 
-# feature / target separation with checks (assembled vector + rule counts; rows)
-@register("f2_feature_target_separation")
+# feature / target separation with checks (assembled vector + rule counts)
+@register("f2_feature_target_separation", clean_sql(
+    "SELECT count(*) AS rows, count(*) FILTER (WHERE target IS NULL) AS null_targets, "
+    "count(*) FILTER (WHERE NOT coalesce(target IN (0, 1), false)) AS non_binary, avg(target) AS positive_rate, "
+    f"{len(SCALE) + 2} AS n_features FROM clean"))
 def f2(spark, sf):
     from pyspark.ml.feature import VectorAssembler
     c = clean_enc(spark, sf)
     feats = [x for x in SCALE + ["long_stay", "medication_changed"]]
     v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(c)
     return v.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("target").isNull()).alias("null_targets"),
-                 F.count_if(~F.col("target").isin(0, 1)).alias("non_binary"),
+                 F.count_if(~F.coalesce(F.col("target").isin(0, 1), F.lit(False))).alias("non_binary"),
                  F.avg("target").alias("positive_rate")).withColumn("n_features", F.lit(len(feats)))

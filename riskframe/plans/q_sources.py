@@ -63,7 +63,25 @@ def s6(spark, sf):
 
 
 # Per-model metric reports as JSON files, read back as one table with the model from the file name
-@register("s10_results_dir")
+def _s10_sql():
+    from riskframe.plans.base import scored_sql
+
+    def one(col):
+        cm = (f"count(*) FILTER (WHERE label <> 1 AND {col} < 0.5) AS tn, count(*) FILTER (WHERE label <> 1 AND "
+              f"{col} >= 0.5) AS fp, count(*) FILTER (WHERE label = 1 AND {col} < 0.5) AS fn, "
+              f"count(*) FILTER (WHERE label = 1 AND {col} >= 0.5) AS tp")
+        return (f"SELECT '{col}' AS model, 0.5::DOUBLE AS threshold, tn, fp, fn, tp, "
+                f"round(coalesce(CAST(tp + tn AS DOUBLE) / nullif(tp + tn + fp + fn, 0), 0.0), 6) AS accuracy, "
+                f"round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0.0), 6) AS precision, "
+                f"round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0.0), 6) AS recall, "
+                f"round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0.0), 6) AS f1, "
+                f"round(coalesce(CAST(tn AS DOUBLE) / nullif(tn + fp, 0), 0.0), 6) AS specificity, "
+                f"round(coalesce(CAST(tn AS DOUBLE) / nullif(tn + fn, 0), 0.0), 6) AS npv "
+                f"FROM (SELECT {cm} FROM scored)")
+    return scored_sql(one("score") + " UNION ALL " + one("score2"))
+
+
+@register("s10_results_dir", _s10_sql())
 def s10(spark, sf):
     from riskframe.operators import metrics as M
     from riskframe.plans.base import scored
