@@ -39,6 +39,21 @@ def category_levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) ->
     return vals
 
 
+def category_levels_many(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted distinct non-null values of several string columns with two small jobs in all: distinct
+    (column, value) pairs are counted per column first (a bound check), then collected (<= max_levels each)."""
+    from riskframe.operators.explore import long_categories
+    pairs = long_categories(df, columns).where(F.col("value").isNotNull()).distinct()
+    sizes = {r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    big = [c for c, n in sizes.items() if n > max_levels]
+    if big:
+        raise ValueError(f"{big}: more than {max_levels} levels; group rare values first (group_top_n)")
+    out: dict[str, list] = {c: [] for c in columns}
+    for r in pairs.collect():
+        out[r["column"]].append(r["value"])
+    return {c: sorted(v) for c, v in out.items()}
+
+
 def one_hot(df: DataFrame, columns: Sequence[str], levels: dict[str, list] | None = None, drop_first: bool = True,
             keep_source: bool = False) -> DataFrame:
     """Named 0/1 dummies ``<col>_<value>``; levels sorted ascending, first level dropped; null -> all zeros.
@@ -47,6 +62,10 @@ def one_hot(df: DataFrame, columns: Sequence[str], levels: dict[str, list] | Non
     time get all zeros, like an encoder with ``handle_unknown='ignore'``.
     """
     levels = dict(levels or {})
+    from riskframe.functions.core import is_string_type
+    missing = [c for c in columns if c not in levels and is_string_type(df.schema[c].dataType)]
+    if len(missing) > 1:
+        levels.update(category_levels_many(df, missing))
     out = df
     for c in columns:
         lv = levels.get(c) or category_levels(df, c)

@@ -120,3 +120,12 @@ def test_stream_scoring_idempotent_sink(spark):
     score_stream(spark, model, src, df.schema, sink, ck, keep=["k"]).awaitTermination()   # restart: nothing new
     out = spark.read.parquet(sink)
     assert out.count() == 60 and out.select("k").distinct().count() == 60
+
+
+def test_levels_of_several_columns_in_one_pass(spark):
+    df = spark.createDataFrame([("b", "y"), ("a", None), (None, "x"), ("b", "z")], "c1 string, c2 string")
+    assert FE.category_levels_many(df, ["c1", "c2"]) == {"c1": ["a", "b"], "c2": ["x", "y", "z"]}
+    enc = FE.one_hot(df, ["c1", "c2"])
+    assert enc.columns == ["c1_b", "c2_y", "c2_z"]
+    with pytest.raises(ValueError):
+        FE.category_levels_many(df, ["c1", "c2"], max_levels=2)
