@@ -80,3 +80,20 @@ def test_iqr_linear_quartiles(spark):
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     assert (r["q1"], r["q3"]) == (pytest.approx(q1), pytest.approx(q3))
     assert r["outliers"] == sum(1 for v in vals if v < lo or v > hi)
+
+
+def test_configured_pipeline_order_and_switches(spark):
+    rows = [(1, 100, "<30", 11, "?", 3, 5), (2, 100, "NO", 1, "a", -1, 2), (3, 100, ">30", 2, "b", 4, 1),
+            (4, 200, "<30", 2, "?", 2, 2), (5, 200, "NO", None, "c", 6, 3)]
+    df = spark.createDataFrame(rows, "enc long, ent long, label string, code int, cat string, lab long, med long")
+    dim = spark.createDataFrame([("code", 1, "one"), ("code", 2, None)], "mapping string, id int, description string")
+    out = clean.clean_pipeline(df, entity="ent", order="enc", label_source="label", code_column="code",
+                               code_lists={"expired": [11]}, sentinel_labels={"cat": "missing"},
+                               negative_columns=["lab"], lookups={"code": (dim, "code")})
+    got = {r["ent"]: (r["enc"], r["target"], r["cat"], r["lab"], r["code_desc"], r["num_previous_admissions"])
+           for r in out.collect()}
+    # entity 100 loses encounter 1 (expired code), keeps encounter 2 (first remaining); lab -1 -> median of {4, 2, 6}
+    assert got == {100: (2, 0, "a", 4.0, "one", 0), 200: (4, 1, "missing", 2.0, "Unknown", 0)}
+    no_dedupe = clean.clean_pipeline(df, entity="ent", order="enc", label_source="label", code_column="code",
+                                     code_lists={"expired": [11]}, steps=("target", "exclude"))
+    assert no_dedupe.count() == 4 and "num_previous_admissions" not in no_dedupe.columns
