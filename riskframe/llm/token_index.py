@@ -202,9 +202,9 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, end_id: int | None =
     rows = (docs.withColumn("_tie", F.xxhash64("text")).withColumn("_row", F.monotonically_increasing_id())
             .repartitionByRange("doc_id", "_tie", "_row").sortWithinPartitions("doc_id", "_tie", "_row")
             .select("doc_id", "text"))
-    found = rows.mapInArrow(shard, MANIFEST).withColumn("_part", F.spark_partition_id()).orderBy("_part").collect()
+    found = rows.mapInArrow(shard, MANIFEST).withColumn("part", F.spark_partition_id()).collect()
     out, start = [], 0
-    for r in found:                                              # one row a shard: bounded by the partition count
+    for r in sorted(found, key=lambda r: r["part"]):             # one row a shard: bounded by the partition count
         out.append({"root": root, "file": r["file"], "first_key": r["first_key"], "last_key": r["last_key"], "start": start})
         start += r["n_tokens"]
     return out
