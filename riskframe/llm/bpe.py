@@ -206,9 +206,18 @@ def count_parts(docs: DataFrame, specials: list[str]) -> DataFrame:
 
 
 def compile_lexicon(docs: DataFrame, tokenizer_json: str, words: int = LEXICON_WORDS) -> bytes:
-    """The lexicon of the ``words`` most frequent parts (ties: by part)."""
+    """The lexicon of the most frequent parts: all from the lowest count class (a sixteenth of a power of two) with
+    which they are at most ``words``. A part that occurs once is not frequent."""
     vocabulary = Vocabulary(tokenizer_json)
-    top = count_parts(docs, list(vocabulary.special)).orderBy(F.desc("n"), "part").limit(words).select("part").collect()
+    counted = common.saved(count_parts(docs, list(vocabulary.special)).where("n > 1")
+                           .withColumn("class", F.floor(16 * F.log2("n")).cast("int")), "part-counts")
+    least, held = None, 0
+    for r in sorted(counted.groupBy("class").count().collect(), reverse=True):         # under a thousand classes
+        held += r["count"]
+        if held > words:
+            break
+        least = r["class"]
+    top = counted.where(F.col("class") >= least).select("part").collect() if least is not None else []
     return Lexicon.build({r["part"].encode(): vocabulary.encode(r["part"]) for r in top}).dump()
 
 
@@ -228,12 +237,15 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
-        own, lexicon = Vocabulary(sent.value), Lexicon.mapped(SparkFiles.get(name))
 
-        def parts(new: list[str]) -> list[bytes]:
-            found = lexicon.encode([p.encode() for p in new])
-            return [array("I", own.encode(p)).tobytes() if ids is None else ids for p, ids in zip(new, found, strict=True)]
-        encoder = pieces.PartEncoder(parts, list(own.special))
+        def make() -> pieces.PartEncoder:
+            own, lexicon = Vocabulary(sent.value), Lexicon.mapped(SparkFiles.get(name))
+
+            def parts(new: list[str]) -> list[bytes]:
+                found = lexicon.encode([p.encode() for p in new])
+                return [array("I", own.encode(p)).tobytes() if ids is None else ids for p, ids in zip(new, found, strict=True)]
+            return pieces.PartEncoder(parts, list(own.special))
+        encoder = pieces.shared(name, make)
         for batch in batches:
             for at, part in pieces.slices(batch.column("text")):
                 ids, n = encoder(part)

@@ -186,7 +186,7 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, end_id: int | None =
         encoder, out = None, None
         for batch in batches:
             if encoder is None:
-                encoder, out = pieces.PartEncoder(*tokenizer_parts(sent.value)), _ShardWriter(root, width)
+                encoder, out = pieces.shared(root, lambda: pieces.PartEncoder(*tokenizer_parts(sent.value))), _ShardWriter(root, width)
             keys = batch.column("doc_id")
             valid = keys.is_valid().to_numpy(zero_copy_only=False)
             number = keys.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
