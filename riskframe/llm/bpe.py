@@ -59,23 +59,32 @@ class Vocabulary:
 
     def merged(self, piece: bytes) -> list[int]:
         """The ids of one pre-tokenised part: always the pair of lowest rank first, from the left."""
-        word, merge = [self.single[b] for b in piece], self.merge
-        while len(word) > 1:
-            best = min(((found[0], i, found[1]) for i in range(len(word) - 1) if (found := merge.get((word[i], word[i + 1])))), default=None)
+        word, get = [self.single[b] for b in piece], self.merge.get
+        found = list(map(get, zip(word, word[1:])))                       # what each neighbouring pair merges to
+        while True:
+            best = min(filter(None, found), default=None)
             if best is None:
-                break
-            rank, i, token = best
-            a, b = word[i], word[i + 1]
-            out, k = word[:i], i
-            while k < len(word):
-                if k + 1 < len(word) and word[k] == a and word[k + 1] == b:
-                    out.append(token)
-                    k += 2
-                else:
-                    out.append(word[k])
-                    k += 1
-            word = out
-        return word
+                return word
+            token, i = best[1], found.index(best)
+            if len(word) > 300:                                          # anew, in one pass, instead of shifting the rest each time
+                out, k = word[:i], i
+                while k < len(word):
+                    same = k < len(found) and found[k] == best
+                    out.append(token if same else word[k])
+                    k += 1 + same
+                word, found = out, list(map(get, zip(out, out[1:])))
+                continue
+            while True:                                                  # every such pair, from the left
+                word[i:i + 2] = [token]
+                found[i:i + 1] = []
+                if i:
+                    found[i - 1] = get((word[i - 1], token))
+                if i < len(found):
+                    found[i] = get((token, word[i + 1]))
+                try:
+                    i = found.index(best, i)
+                except ValueError:
+                    break
 
     def encode(self, part: str) -> list[int]:
         out: list[int] = []
@@ -185,6 +194,17 @@ class Lexicon:
         return [None if k < 0 else self.ids[off[k]:off[k + 1]].tobytes() for k in self.numbers(words).tolist()]
 
 
+_VOCABULARY: dict[str, Vocabulary] = {}
+
+
+def vocabulary_of(name: str, tokenizer_json: str) -> Vocabulary:
+    """The worker's vocabulary of that name."""
+    if name not in _VOCABULARY:
+        _VOCABULARY.clear()
+        _VOCABULARY[name] = Vocabulary(tokenizer_json)
+    return _VOCABULARY[name]
+
+
 def count_parts(docs: DataFrame, specials: list[str]) -> DataFrame:
     """(part, n): how often each part occurs in all texts; counted in the tasks first, then summed by part."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,8 +241,11 @@ def compile_lexicon(docs: DataFrame, tokenizer_json: str, words: int = LEXICON_W
     return Lexicon.build({r["part"].encode(): vocabulary.encode(r["part"]) for r in top}).dump()
 
 
-def encode(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
-    """(doc_id, ids): the ids of each whole text, as the tokenizers library gives them without added special tokens."""
+def encode(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WORDS, decoded: bool = False) -> DataFrame:
+    """(doc_id, ids): the ids of each whole text, as the tokenizers library gives them without added special tokens.
+
+    With ``decoded`` also text, decoded from the ids by the same task (one Python worker a task instead of two).
+    """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         vocabulary = f.read()
@@ -239,21 +262,26 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WO
         gc.disable()
 
         def make() -> pieces.PartEncoder:
-            own, lexicon = Vocabulary(sent.value), Lexicon.mapped(SparkFiles.get(name))
+            lexicon = Lexicon.mapped(SparkFiles.get(name))
 
             def parts(new: list[str]) -> list[bytes]:
                 found = lexicon.encode([p.encode() for p in new])
-                return [array("I", own.encode(p)).tobytes() if ids is None else ids for p, ids in zip(new, found, strict=True)]
-            return pieces.PartEncoder(parts, list(own.special))
+                return [array("I", own().encode(p)).tobytes() if ids is None else ids for p, ids in zip(new, found, strict=True)]
+            return pieces.PartEncoder(parts, list(own().special))
+
+        def own() -> Vocabulary:
+            return vocabulary_of(name, sent.value)
         encoder = pieces.shared(name, make)
         for batch in batches:
             for at, part in pieces.slices(batch.column("text")):
                 ids, n = encoder(part)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)),
-                                                  pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))], ["doc_id", "ids"])
+                ends = np.concatenate([[0], np.cumsum(n)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
+                texts = [own().decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)] if decoded else []
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), lists] + [pa.array(texts, pa.string())] * decoded,
+                                                 ["doc_id", "ids", "text"][:2 + decoded])
         gc.enable()
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * decoded)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -34,7 +34,7 @@ def op1_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
-    done = bpe.decode(bpe.encode(documents(spark, sf_dir), path), path)
+    done = bpe.encode(documents(spark, sf_dir), path, decoded=True)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))
