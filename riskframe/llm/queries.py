@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, token_index
+from riskframe.llm import bpe, common, quality, token_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,3 +38,30 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir)).drop("rejected_by")
+
+
+#: Words and lines by pattern and split, windows by position; the cascade's rules as one condition.
+ORACLES["op7_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
+             [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+p AS (SELECT rid, generate_subscripts(ws, 1) AS i, unnest(ws) AS a, ws FROM w),
+g AS (SELECT rid, i, a, ws[i + 1] AS b, ws[i + 2] AS c FROM p WHERE i + 2 <= len(ws)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM g) WHERE n > 1),
+cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid),
+top AS (SELECT rid, max(n) AS most FROM (SELECT rid, a, count(*) AS n FROM p GROUP BY rid, a) GROUP BY rid),
+s AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+             (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+             len(lines) AS n_lines, len([x FOR x IN ws IF regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) AS lettered, coalesce(top.most, 0) AS most
+      FROM w LEFT JOIN cov USING (rid) LEFT JOIN top USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 5 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
+            OR 2 * n_dup_lines > 1 + n_lines OR 5 * lettered < 3 * n_words OR 3 * most > n_words) AS kept FROM b
+"""
