@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, quality, token_index
+from riskframe.llm import bpe, common, quality, simhash, token_index
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,8 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT (base_failed OR 5 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 20 * n_words
             OR 2 * n_dup_lines > 1 + n_lines OR 5 * lettered < 3 * n_words OR 3 * most > n_words) AS kept FROM b
 """
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
