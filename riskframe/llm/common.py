@@ -42,5 +42,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def fewer(df: DataFrame, factor: int = 8) -> DataFrame:
+    """``df``, the outcome of a shuffle and much smaller than the documents, in fewer and larger tasks."""
+    return df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // factor))

@@ -132,7 +132,7 @@ def link(fps: DataFrame, max_bits: int = 4, partitions: int = 3) -> DataFrame:
     ``partitions``: fewer make wider keys, with more probes and fewer candidates: 3 for up to about 1e9 distinct
     fingerprints, 2 beyond. The result is the same.
     """
-    fps = common.saved(fps.select("fp").where("fp is not null").distinct(), "fingerprints")
+    fps = common.saved(common.fewer(fps.select("fp").where("fp is not null").distinct()), "fingerprints")
     n = fps.count()
     sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], "<i8")
     bits = np.unpackbits(sample.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(float)
@@ -145,7 +145,7 @@ def link(fps: DataFrame, max_bits: int = 4, partitions: int = 3) -> DataFrame:
     first = member.groupBy("part", "key").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     close = member.join(first, ["part", "key"]).where((F.col("fp") != F.col("least")) & _near("fp", "least", max_bits))
     dense = components.stars(close.select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct())
-    known = common.saved(fps.join(dense.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "dense")
+    known = common.saved(common.fewer(fps.join(dense.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))), "dense")
 
     used = [(k, _mask(g), t, g) for k, (g, t) in enumerate(zip(groups, radius, strict=True)) if t >= 0]
     index = known.select("fp", "root", _keys(F.col("fp"), [(k, m, [0]) for k, m, _, _ in used]).alias("k")).select("k.part", "k.key", F.col("fp").alias("b"), F.col("root").alias("rb"))
@@ -162,7 +162,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, partit
     own = common.saved(fingerprints(docs, shingle), "document-fingerprints")
     root = link(own, max_bits, partitions)
     first = own.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    labelled = common.saved(root.join(first, "fp"), "labelled")
+    labelled = common.saved(common.fewer(root.join(first, "fp")), "labelled")
     least = labelled.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_fp = labelled.join(least, "root").select("fp", "component_id")
     return own.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
