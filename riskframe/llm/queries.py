@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, quality, simhash, token_index
+from riskframe.llm import bpe, common, quality, secrets, simhash, token_index, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -70,3 +70,48 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(common.table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long")),
+                         common.shared_dir(spark, "secret-ledger"), keys=["doc_id"])
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", *[F.size(F.filter(F.col("spans.kind"), F.lit(r.name).eqNullSafe)).cast("long").alias(f"n_{r.name}") for r in secrets.RULES],
+                        F.sha2(listed, 256).alias("base_sha256"), listed.alias("spans"))
+
+
+#: Positions as the lengths of all matches and gaps before; the patterns in RE2's syntax.
+_KIND = r"""SELECT rid, '{kind}' AS kind, {place} AS place, s, s + len(m[i]) AS e, len(g[i]) AS gl FROM (
+  SELECT rid, i, m, g, list_sum([len(x) FOR x IN p[1:i]]) + coalesce(list_sum([len(x) FOR x IN m[1:i - 1]]), 0) AS s FROM (
+    SELECT rid, unnest(range(1, len(m) + 1)) AS i, m, g, p FROM (
+      SELECT rid, regexp_extract_all(text, '{re}') AS m, regexp_extract_all(text, '{re}', {group}) AS g, regexp_split_to_array(text, '{re}') AS p
+      FROM d WHERE regexp_matches(text, '{re}')))) WHERE len(g[i]) >= {least}"""
+ORACLES["op5_secret_scan"] = ("WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),\nf AS ("
+                              + " UNION ALL ".join(_KIND.format(kind=r.name, place=i, re=r.pattern.replace("'", "''"), group=r.group, least=r.least)
+                                                   for i, r in enumerate(secrets.RULES)) + """),
+a AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, place) AS spans FROM f GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (rid)""")
+
+
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(common.table(spark, sf_dir, "pages"), common.shared_dir(spark, "warc"), least=100)
+    found = warc.resolved(common.saved(warc.captures(warc.read(files)), "captures"))
+    digest = F.coalesce("original.payload_digest", "response.payload_digest")
+    return found.select(F.col("metadata.fields")["page-id"].try_cast("long").alias("page_id"),
+                        F.coalesce("original.payload_bytes", "response.payload_bytes").alias("payload_bytes"),
+                        digest.alias("payload_digest"), F.col("response.type").alias("record_type"),
+                        F.col("original.page_id").try_cast("long").alias("refers_to"))
+
+
+ORACLES["op2_warc"] = """
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT rid, page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+r AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, rid) AS k,
+             first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, rid) AS first_id FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND k > 1 THEN first_id END AS refers_to FROM r
+"""
