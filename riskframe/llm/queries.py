@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, quality, secrets, simhash, token_index, warc
+from riskframe.llm import bpe, common, decontaminate, langid, quality, secrets, simhash, token_index, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,18 @@ r AS (SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND k > 1 THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND k > 1 THEN first_id END AS refers_to FROM r
 """
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(langid.of_documents(common.table(spark, sf_dir, "documents")))
+
+
+@query
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(langid.of_pages(common.table(spark, sf_dir, "pages"))).withColumnRenamed("doc_id", "page_id")
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
