@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 from riskframe.llm import common
 
 N, SEED_SHARE, LEAST_SEEDS = 3, 0.5, 4
-LEAST = 0.6
+LEAST = 0.5
 MATCH, MISS, GAP = 2, -1, 1
 #: Bits of the scan's filter (2 MB), and items' n-grams up to which their table is sent to all tasks.
 FILTER_BITS, SEND_ROWS = 24, 500_000

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, decontaminate, langid, quality, secrets, simhash, token_index, warc
+from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, quality, secrets, simhash, token_index, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,8 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neural_lm.score(documents(spark, sf_dir))
