@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from riskframe.llm import common
 
 LENGTH, CORE = 400, 100
-SLICE = 3_000_000
+SLICE = 1_000_000
 #: Cells of the filters that spare documents without matches a shuffle of their text; a fixed size.
 CELLS = 1 << 22
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
