@@ -19,7 +19,7 @@ ROW = "_row_of_docs"
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    return common.numbered(docs, ROW)
 
 
 def _as_key(numbered: DataFrame) -> DataFrame:

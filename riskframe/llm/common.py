@@ -42,6 +42,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a number for each row, the same whenever it is read again.
+
+    Rows of a plain scan keep their places. Where the plan deals rows anew, reading fewer columns or running a task
+    again may deal them otherwise; such rows are written to the shared folder first.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if re.search(r"Repartition|Rebalance|Join|Aggregate|Sort|Window|Limit|Sample|MapIn|Generate|Union|Distinct|Python|FlatMap", plan):
+        df = saved(df, "rows")
+    return df.withColumn(column, F.monotonically_increasing_id())
+
+
 def fewer(df: DataFrame, factor: int = 8) -> DataFrame:
     """``df``, the outcome of a shuffle and much smaller than the documents, in fewer and larger tasks."""
     return df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // factor))

@@ -324,7 +324,7 @@ def repeated(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFra
 
 def remove(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each of ``docs`` (doc_id, text)."""
-    docs = docs.select("doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    docs = common.numbered(docs.select("doc_id", "text"), "row")
     spans = common.saved(repeated(docs, length, core), "repeated-spans")
     marked = docs.withColumn("may", _filter(docs, spans))
     hit = marked.where("may").join(spans, "row", "left").select("doc_id", "text", "spans")

@@ -68,7 +68,7 @@ def write(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", h
     """Writes the archives of ``pages`` under ``root``; (file, records), one row a file."""
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"),
                         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"))
-    rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("digest", F.sha2("html", 256))
+    rows = common.numbered(rows, "row").withColumn("digest", F.sha2("html", 256))
     first = (rows.where(F.octet_length("html") >= least).groupBy("digest")
              .agg(F.min(F.struct(F.col("page_id").isNull().alias("last"), "page_id", "row")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
