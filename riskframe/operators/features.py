@@ -123,17 +123,10 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 
 # F4 / F5 --------------------------------------------------------------------------
 def scalable_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """Numeric columns with more than 2 distinct values and not within {0, 1} (one aggregate)."""
+    """Numeric columns with more than 2 distinct values (one aggregate)."""
     cols = list(columns) if columns else [f.name for f in df.schema.fields if is_numeric_type(f.dataType)]
-    row = df.agg(*[F.count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)],
-                 *[F.min(qcol(c)).alias(f"_lo{i}") for i, c in enumerate(cols)],
-                 *[F.max(qcol(c)).alias(f"_hi{i}") for i, c in enumerate(cols)]).first()
-    out = []
-    for i, c in enumerate(cols):
-        d, lo, hi = row[f"_d{i}"], row[f"_lo{i}"], row[f"_hi{i}"]
-        if d >= SCALE_MIN_DISTINCT and not (lo is not None and lo >= 0 and hi <= 1):
-            out.append(c)
-    return out
+    row = df.agg(*[F.count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
+    return [c for i, c in enumerate(cols) if row[f"_d{i}"] >= SCALE_MIN_DISTINCT]
 
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -38,7 +38,7 @@ PRESETS = {
 
 # L1 -------------------------------------------------------------------------------
 def logistic(features: str = "features", label: str = "target", weight: str | None = "weight", C: float = 1.0,
-             penalty: str = "l2", total_weight: float | None = None, max_iter: int = 50,
+             penalty: str = "l2", total_weight: float | None = None, max_iter: int = 1000,
              tol: float = 1e-6):
     """Logistic regression with an sklearn-style C: regParam = 1 / (C * sum of weights)."""
     from pyspark.ml.classification import LogisticRegression

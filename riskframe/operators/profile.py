@@ -163,8 +163,8 @@ def special_token_census(df: DataFrame, tokens: Sequence[str] = SPECIAL_TOKENS)
 
 # B11 ------------------------------------------------------------------------------
 def missing_patterns(df: DataFrame, columns: Sequence[str], top: int = 10) -> DataFrame:
-    """Most frequent null-flag patterns over up to 5 columns (ties by pattern)."""
-    cols = list(columns)[:5]
+    """Most frequent null-flag patterns over the columns (ties by pattern)."""
+    cols = list(columns)
     flags = [qcol(c).isNull().cast("int").alias(f"null_{c}") for c in cols]
     g = df.select(*flags).groupBy(*[f"null_{c}" for c in cols]).agg(F.count(F.lit(1)).alias("n"))
     return g.orderBy(F.desc("n"), *[F.asc(f"null_{c}") for c in cols]).limit(top)
@@ -286,7 +286,7 @@ def feature_summary(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     items = []
     for i, f in enumerate(fields):
         if is_numeric_type(f.dataType):
-            binary = (F.col(f"_d{i}") == 2) & (F.col(f"_lo{i}") >= 0) & (F.col(f"_hi{i}") <= 1)
+            binary = (F.col(f"_d{i}") == 2) & (F.col(f"_lo{i}") == 0) & (F.col(f"_hi{i}") == 1)
             kind = F.when(binary, "binary").when(F.col(f"_d{i}") < CATEGORICAL_MAX_DISTINCT, "categorical") \
                 .otherwise("numeric")
         else:

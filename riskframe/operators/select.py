@@ -40,19 +40,18 @@ def anova_f(df: DataFrame, columns: Sequence[str], label: str = "target") -> Dat
     aggs = []
     for i, c in enumerate(columns):
         x = qcol(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}")]
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_samp(x).alias(f"v{i}")]
     g = df.groupBy(qcol(label).alias("_y")).agg(*aggs)
-    tot = g.agg(F.count(F.lit(1)).alias("k"),
-                *[F.sum(f"n{i}").alias(f"N{i}") for i in range(len(columns))],
-                *[F.sum(f"s{i}").alias(f"S{i}") for i in range(len(columns))],
-                *[F.sum(f"q{i}").alias(f"Q{i}") for i in range(len(columns))],
-                *[F.sum(F.col(f"s{i}") * F.col(f"s{i}") / F.col(f"n{i}")).alias(f"B{i}") for i in range(len(columns))])
+    # deviations from the grand mean, not differences of sums of squares: large values don't cancel
+    grand = g.agg(*[(F.sum(F.col(f"n{i}") * F.col(f"m{i}")) / F.sum(f"n{i}")).alias(f"grand{i}") for i in range(len(columns))])
+    tot = g.crossJoin(F.broadcast(grand)).agg(
+        F.count(F.lit(1)).alias("k"), *[F.sum(f"n{i}").alias(f"N{i}") for i in range(len(columns))],
+        *[F.sum(F.col(f"n{i}") * F.pow(F.col(f"m{i}") - F.col(f"grand{i}"), 2)).alias(f"B{i}") for i in range(len(columns))],
+        *[F.sum((F.col(f"n{i}") - 1) * F.coalesce(F.col(f"v{i}"), F.lit(0.0))).alias(f"W{i}") for i in range(len(columns))])
     items = []
     for i, c in enumerate(columns):
-        N, S, Q, B, k = F.col(f"N{i}"), F.col(f"S{i}"), F.col(f"Q{i}"), F.col(f"B{i}"), F.col("k")
-        ssb = B - S * S / N
-        ssw = Q - B
-        f = F.try_divide(ssb / (k - 1), ssw / (N - k))
+        N, k = F.col(f"N{i}"), F.col("k")
+        f = F.try_divide(F.col(f"B{i}") / (k - 1), F.col(f"W{i}") / (N - k))
         items.append((c, {"f_stat": f, "df_between": (k - 1).cast("double"), "df_within": (N - k).cast("double")}))
     return _long(tot, items)
 
@@ -82,7 +81,8 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str = "targ
     py = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))
     n = joint.groupBy("feature").agg(F.sum("nxy").alias("n"))
     j = joint.join(px, ["feature", "x"]).join(py, ["feature", "y"]).join(n, "feature")
-    term = (F.col("nxy") / F.col("n")) * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
+    nxy, n, nx, ny = (F.col(c).cast("double") for c in ("nxy", "n", "nx", "ny"))      # products pass the bigint range
+    term = nxy / n * F.log(nxy * n / (nx * ny))
     return j.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
 
 
@@ -270,6 +270,7 @@ def permutation_shap(model, df: DataFrame, key: str, features: str = "features",
                                        vector_to_array(F.col("probability")).getItem(1).alias("s"))
     w = Window.partitionBy(key, "p").orderBy("step")              # d+1 rows per (row, permutation)
     delta = scored.withColumn("delta", F.col("s") - F.lag("s").over(w)).where(F.col("step") > 0) \
-        .select(F.element_at(F.col("order"), F.col("step")).alias("feature_index"), "delta")
-    return delta.groupBy("feature_index").agg(F.avg(F.abs("delta")).alias("mean_abs_shap"),
-                                              F.avg("delta").alias("mean_shap"))
+        .select(key, F.element_at(F.col("order"), F.col("step")).alias("feature_index"), "delta")
+    value = delta.groupBy(key, "feature_index").agg(F.avg("delta").alias("value"))         # a row's Shapley value
+    return value.groupBy("feature_index").agg(F.avg(F.abs("value")).alias("mean_abs_shap"),
+                                              F.avg("value").alias("mean_shap"))

@@ -129,12 +129,14 @@ def bootstrap_weights(df: DataFrame, key: str, replicate: int, seed: int = 42, n
 
 def bootstrap_models(df: DataFrame, make_estimator: Callable, replicates: int, key: str = "encounter_id",
                      label: str = "target", seed: int = 42) -> DataFrame:
-    """Fit on in-bag rows with Poisson weights, evaluate AUC out of bag; one row per replicate."""
+    """Fit on in-bag rows with Poisson weights (times the row weights, if any), evaluate AUC out of bag; one row per
+    replicate."""
     spark = df.sparkSession
     rows = []
     for b in range(replicates):
         w = bootstrap_weights(df, key, b, seed)
-        m = make_estimator("bw").fit(w.where(F.col("bw") > 0))
+        weight = F.col("bw") * F.col("weight") if "weight" in df.columns else F.col("bw")
+        m = make_estimator("bw").fit(w.where(F.col("bw") > 0).withColumn("bw", weight))
         oob = w.where(F.col("bw") == 0)
         rows.append((b, float(M.roc_auc(predict(m, oob, keep=[label]), label, "score").first()[0])))
     return spark.createDataFrame(rows, "replicate int, roc_auc double")

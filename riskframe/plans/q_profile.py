@@ -286,7 +286,7 @@ def _b20_sql() -> str:
     parts = []
     for c in _B20:
         if c in CLEAN_NUMERIC:
-            kind = (f"CASE WHEN count(DISTINCT {q(c)}) = 2 AND min({q(c)}) >= 0 AND max({q(c)}) <= 1 THEN 'binary' "
+            kind = (f"CASE WHEN count(DISTINCT {q(c)}) = 2 AND count(*) FILTER (WHERE {q(c)} NOT IN (0, 1)) = 0 THEN 'binary' "
                     f"WHEN count(DISTINCT {q(c)}) < 10 THEN 'categorical' ELSE 'numeric' END")
         else:
             kind = "'categorical'"

@@ -64,7 +64,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
     (local tests) is a private scratch folder created and registered with the
-    SparkContext (the conf itself cannot be changed at runtime).
+    SparkContext (the conf itself cannot be changed at runtime). On any other
+    master a missing setting is an error: a machine-local folder would be lost.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     ctx_dir = spark.sparkContext.getCheckpointDir()
@@ -74,6 +75,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     if ctx_dir:
         return ctx_dir
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("on a cluster spark.checkpoint.dir must name a folder that driver and executors share")
     d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
