@@ -21,27 +21,20 @@ BROADCAST_MAX_ROWS = 1_000_000
 # --------------------------------------------------------------------------------
 
 
-_SIZE_MEMO: dict = {}
-
-
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only if it has at most ``max_rows`` rows (a bounded count job, once per plan)."""
-    key = (dim.semanticHash(), max_rows)
-    if key not in _SIZE_MEMO:
-        _SIZE_MEMO[key] = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if _SIZE_MEMO[key] else dim
+    """Broadcast ``dim`` only if it has at most ``max_rows`` rows now (a bounded count job, never remembered)."""
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
 
 
 def apply_lookup(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None, name: str | None = None,
                  default: str = UNKNOWN, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left equi-join ``column`` -> description; no match or null description -> ``default``.
 
-    The size check runs on the whole dimension (one check shared by every mapping of it)."""
-    small = bounded_broadcast(dim, max_rows) is not dim
+    Of several descriptions of an id the smallest counts. The size check runs on the mapping's own rows."""
     d = dim.where(F.col("mapping") == mapping) if mapping is not None else dim
-    d = d.select(F.col("id").alias("_lk_id"), F.col("description").alias("_lk_desc")).dropDuplicates(["_lk_id"])
+    d = d.groupBy(F.col("id").alias("_lk_id")).agg(F.min("description").alias("_lk_desc"))
     out_name = name or (column[:-3] if column.endswith("_id") else column) + "_desc"
-    j = df.join(F.broadcast(d) if small else d, qcol(column) == F.col("_lk_id"), "left")
+    j = df.join(bounded_broadcast(d, max_rows), qcol(column) == F.col("_lk_id"), "left")
     return j.withColumn(out_name, F.coalesce(F.col("_lk_desc"), F.lit(default))).drop("_lk_id", "_lk_desc")
 
 
@@ -58,7 +51,7 @@ def lookup_hit_counts(df: DataFrame, column: str, dim: DataFrame, mapping: str |
     """One row: rows, mapped rows (id present in the dimension, whatever its description), unmapped rows."""
     d = dim.where(F.col("mapping") == mapping) if mapping is not None else dim
     d = d.select(F.col("id").alias("_id")).distinct()
-    j = df.select(qcol(column).alias("_v")).join(F.broadcast(d), F.col("_v") == F.col("_id"), "left")
+    j = df.select(qcol(column).alias("_v")).join(bounded_broadcast(d), F.col("_v") == F.col("_id"), "left")
     return j.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_id").isNotNull()).alias("mapped"),
                  F.count_if(F.col("_id").isNull()).alias("unmapped"))
 

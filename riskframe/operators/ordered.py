@@ -2,17 +2,16 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one
 task: if one entity holds a third of the table, one task sorts a third of the
-table. Here hot keys (more rows than ``total / shuffle partitions``, so there
-are at most that many of them) are split into sub-ranges of their first order
-column. A hot key gets one sub-range per partition-sized share of its rows
-(at most 2 x #partitions bounds in all); the bounds are read off a capped row
-sample of the hot keys, collected once to the driver and applied as literals,
-so the bucket of a row is a pure function of its values and every
-re-evaluation or task retry assigns it the same way.
-
-Windows then run per ``(key, bucket)``; a per-``(key, bucket)`` summary (one row
-each, computed by a partial aggregate) carries counts, sums and "next row"
-across bucket boundaries. Keys that are not hot get bucket 0 and the plan is
+table. Where some key holds more rows than an average partition, the table is
+range-partitioned on (keys, order) and written to the shared folder with the
+number of its range, so that a hot key is spread over as many ranges as its
+share asks for, whatever the type of its order columns, and every later use
+sees the same ranges.
+
+Windows then run per ``(key, range)``. Ranges follow one another in (key,
+order), so at most one key of a range goes on in the next: the
+table of what such keys bring along (counts, sums, next rows) has fewer than
+two rows a partition, and is broadcast. Where no key is hot the plan is
 the ordinary window.
 
 Order columns are ascending; give a total order (unique tie-break) whenever
@@ -22,112 +21,50 @@ the result depends on it.
 from __future__ import annotations
 
 import math
-from pyspark.sql import Column, DataFrame, Window
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from riskframe.session import scratch_path
 
 _SUB = "_rf_sub"
 
 # smallest group size ever split (tests lower it to exercise the split path)
 MIN_HOT_ROWS = 1_000_000
-# most sampled rows brought to the driver to place the sub-range bounds of hot keys
-SAMPLE_CAP = 2_000_000
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _order_number(df: DataFrame, col: str) -> Column | None:
-    """A non-decreasing numeric image of the first order column (None: not splittable)."""
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, T.NumericType):
-        return c.cast("double")
-    return None
-
-
-# Split decisions per (plan, keys, order, partitions). A stale entry can only
-# cost balance, never correctness: any monotone bucketing gives the same result.
-_PLAN_MEMO: dict = {}
+def _has_hot_key(df: DataFrame, keys: list[str], min_hot_rows: int | None) -> bool:
+    """Whether one key (without keys: the table) holds more rows than an average partition and than the floor."""
+    floor_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if not keys:
+        return parts > 1 and df.count() > floor_rows
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    return (most or 0) > max(floor_rows, math.ceil((total or 0) / parts))
 
 
-def _bucketed(df: DataFrame, keys: list[str], order: list[str], min_hot_rows: int | None = None,
-              buckets: int | None = None) -> tuple[DataFrame, bool]:
-    """Add ``_rf_sub``; returns (frame, whether any key was split)."""
-    spark = df.sparkSession
-    memo_key = (df.semanticHash(), tuple(keys), tuple(order), spark.conf.get("spark.sql.shuffle.partitions"),
-                min_hot_rows, buckets)
-    if memo_key in _PLAN_MEMO:
-        kind, payload = _PLAN_MEMO[memo_key]
-        return _apply_split(df, keys, order, kind, payload)
-    kind, payload = _decide_split(df, keys, order, min_hot_rows, buckets)
-    _PLAN_MEMO[memo_key] = (kind, payload)
-    return _apply_split(df, keys, order, kind, payload)
-
-
-def _apply_split(df: DataFrame, keys: list[str], order: list[str], kind: str, payload) -> tuple[DataFrame, bool]:
-    if kind == "none":
+def _bucketed(df: DataFrame, keys: list[str], order: list[str], min_hot_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_rf_sub``, the number of the row's range in (keys, order); returns (frame, whether there are several)."""
+    if not _has_hot_key(df, keys, min_hot_rows):
         return df.withColumn(_SUB, F.lit(0)), False
-    num = _order_number(df, order[0])
-    if kind == "global":
-        arr = F.array(*[F.lit(float(b)) for b in payload])
-        return df.withColumn(_SUB, F.size(F.filter(arr, lambda b: b <= num))), True
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
-    bdf = df.sparkSession.createDataFrame(payload, schema)       # <= #partitions rows
-    out = _join_null_safe(df, bdf, keys, "left", broadcast=True)
-    sub = F.coalesce(F.size(F.filter(F.col("_b"), lambda b: b <= num)), F.lit(0))
-    return out.withColumn(_SUB, F.when(F.col("_b").isNull(), F.lit(0)).otherwise(sub)).drop("_b"), True
-
-
-def _decide_split(df: DataFrame, keys: list[str], order: list[str], min_hot_rows: int | None,
-                  buckets: int | None):
     spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nb = buckets or nparts
-    num = _order_number(df, order[0])
-    if num is None or nb <= 1:
-        return "none", None
-    floor_rows = MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows
-    probs = [i / nb for i in range(1, nb)]
-    if not keys:
-        total = df.count()
-        if total <= floor_rows:
-            return "none", None
-        bounds = df.select(F.percentile_approx(num, probs, 10000)).first()[0] or []
-        return "global", [float(b) for b in bounds]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total, biggest = counts.agg(F.sum("_n"), F.max("_n")).first()
-    thr = max(floor_rows, math.ceil((total or 0) / nparts))
-    if (biggest or 0) <= thr:                                     # the common case: one small job
-        return "none", None
-    # hot keys: each holds more than an average partition, so there are at most nparts of them
-    hot_rows = counts.where(F.col("_n") > thr).collect()
-    if not hot_rows:
-        return "none", None
-    # key k gets B_k = ceil(n_k / thr) sub-ranges (sum over keys <= 2 * nparts); their bounds come from
-    # a row sample of the hot keys with ~per_bucket rows per sub-range (total capped at SAMPLE_CAP rows)
-    nb_key = {tuple(r[k] for k in keys): min(nparts, math.ceil(r["_n"] / thr)) for r in hot_rows}
-    total_b = sum(nb_key.values())
-    hot_n = sum(r["_n"] for r in hot_rows)
-    per_bucket = max(4, min(32, SAMPLE_CAP // max(1, total_b)))
-    frac = min(1.0, per_bucket * total_b / hot_n)
-    hot = df.sparkSession.createDataFrame([k for k in nb_key], T.StructType([df.schema[k] for k in keys]))
-    sample = (_join_null_safe(df.select(*keys, num.alias("_x")), hot, keys, "left_semi", broadcast=True)
-              .sample(fraction=frac, seed=17).collect())
-    by_key: dict = {}
-    for r in sample:
-        by_key.setdefault(tuple(r[k] for k in keys), []).append(r["_x"])
-    payload = []
-    for key, b in nb_key.items():
-        vals = sorted(v for v in by_key.get(key, []) if v is not None)
-        bounds = [vals[(i * len(vals)) // b] for i in range(1, b)] if vals and b > 1 else []
-        payload.append(key + ([float(x) for x in bounds],))
-    return "keyed", payload
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = list(dict.fromkeys(keys + order))
+    ranged = df.repartitionByRange(parts, *[F.col(f"`{c}`") for c in by]).withColumn(_SUB, F.spark_partition_id())
+    path = scratch_path(spark, "ordered-ranges")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path), True
+
+
+def _carried(summary: DataFrame, keys: list[str]) -> DataFrame:
+    """The summary of the keys that lie in several ranges: fewer than two rows a range."""
+    w = Window.partitionBy(*keys)
+    return summary.withColumn("_ranges", F.count(F.lit(1)).over(w)).where("_ranges > 1").drop("_ranges")
 
 
 def _join_keys(keys: list[str]) -> list[str]:
@@ -152,10 +89,10 @@ def rank_within(df: DataFrame, keys, order, name: str = "rank0", min_hot_rows: i
     r = b.withColumn("_local", F.row_number().over(w) - 1)
     if not split:
         return r.withColumn(name, F.col("_local").cast("bigint")).drop("_local", _SUB)
-    tot = b.groupBy(*keys, _SUB).agg(F.count(F.lit(1)).alias("_c"))
+    tot = _carried(b.groupBy(*keys, _SUB).agg(F.count(F.lit(1)).alias("_c")), keys)
     wk = Window.partitionBy(*keys).orderBy(_SUB).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.withColumn("_off", F.coalesce(F.sum("_c").over(wk), F.lit(0))).drop("_c")
-    r = _join_null_safe(r, tot, _join_keys(keys))
+    r = _join_null_safe(r, tot, _join_keys(keys), broadcast=True)
     return r.withColumn(name, (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("bigint")) \
         .drop("_local", "_off", _SUB)
 
@@ -178,12 +115,12 @@ def running_sums(df: DataFrame, order, sums: dict[str, str], keys=(), count_name
     if not split:
         return r.drop(_SUB)
     src = list(dict.fromkeys(sums.values()))
-    tot = b.groupBy(*keys, _SUB).agg(F.count(F.lit(1)).alias("_c"), *[F.sum(F.col(c)).alias(f"_s{i}")
-                                                                      for i, c in enumerate(src)])
+    tot = _carried(b.groupBy(*keys, _SUB).agg(F.count(F.lit(1)).alias("_c"), *[F.sum(F.col(c)).alias(f"_s{i}")
+                                                                               for i, c in enumerate(src)]), keys)
     wk = Window.partitionBy(*keys).orderBy(_SUB).rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*keys, _SUB, F.coalesce(F.sum("_c").over(wk), F.lit(0)).alias("_oc"),
                      *[F.sum(f"_s{i}").over(wk).alias(f"_o{i}") for i in range(len(src))])
-    r = _join_null_safe(r, tot, _join_keys(keys))
+    r = _join_null_safe(r, tot, _join_keys(keys), broadcast=True)
     for out, c in sums.items():
         i = src.index(c)
         r = r.withColumn(out, F.col(out) + F.coalesce(F.col(f"_o{i}"), F.lit(0)))
@@ -203,8 +140,8 @@ def next_within(df: DataFrame, keys, order, value: str, name: str, min_hot_rows:
     r = r.withColumn("_has", F.lead(F.lit(True)).over(w).isNotNull())
     heads = b.groupBy(*keys, _SUB).agg(F.min(F.struct(*[F.col(o) for o in order], F.col(value).alias("_v")))
                                        .alias("_h"))
-    heads = heads.select(*keys, _SUB, F.lead("_h").over(Window.partitionBy(*keys).orderBy(_SUB)).alias("_nh"))
-    r = _join_null_safe(r, heads, _join_keys(keys))
+    heads = _carried(heads, keys).select(*keys, _SUB, F.lead("_h").over(Window.partitionBy(*keys).orderBy(_SUB)).alias("_nh"))
+    r = _join_null_safe(r, heads, _join_keys(keys), broadcast=True)
     return r.withColumn(name, F.when(F.col("_has"), F.col("_nxt")).otherwise(F.col("_nh._v"))) \
         .drop("_nxt", "_has", "_nh", _SUB)
 

@@ -35,17 +35,14 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
 # Largest number of distinct values per group for which Spark's exact ``percentile`` buffer
 # (a value -> count map held by one task per group) is used.
 AGGREGATE_MAX_DISTINCT = 1_000_000
-_METHOD_MEMO: dict = {}
 
 
 def choose_method(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> str:
     """'aggregate' when every column has few distinct values (HyperLogLog estimate, one pass), else 'distributed'."""
-    key = (df.semanticHash(), tuple(cols), tuple(by))
-    if key not in _METHOD_MEMO:
-        row = df.agg(*[F.approx_count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
-        worst = max((row[f"_d{i}"] or 0) for i in range(len(cols))) if cols else 0
-        _METHOD_MEMO[key] = "aggregate" if worst <= AGGREGATE_MAX_DISTINCT else "distributed"
-    return _METHOD_MEMO[key]
+    if not cols:
+        return "aggregate"
+    row = df.agg(*[F.approx_count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
+    return "aggregate" if max(n or 0 for n in row) <= AGGREGATE_MAX_DISTINCT else "distributed"
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
@@ -70,7 +67,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
             .select(*keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
                     "value")
     h = hist if hist is not None else value_histogram(df, cols, by)
-    cum = running_sums(h, keys + ["v"], {"cum": "cnt"}, keys=keys)
+    cum = running_sums(h, ["v"], {"cum": "cnt"}, keys=keys)
     totals = h.groupBy(*keys).agg(F.sum("cnt").alias("n"))
     # one row per (group, prob): #groups x #probs, both set by the caller
     pos = totals.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs]))) \

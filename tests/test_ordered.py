@@ -16,7 +16,6 @@ def skewed(spark):
 
 @pytest.mark.parametrize("hot", [10, None])
 def test_split_windows_equal_plain_windows(spark, skewed, hot):
-    ordered._PLAN_MEMO.clear()
     w = Window.partitionBy("k").orderBy("t", "id")
     ref = (skewed.withColumn("nx", F.lead("v").over(w)).withColumn("rk", F.row_number().over(w) - 1)
            .withColumn("cs", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))))
@@ -27,7 +26,6 @@ def test_split_windows_equal_plain_windows(spark, skewed, hot):
     bad = j.where(~F.col("r.nx").eqNullSafe(F.col("a.nx")) | (F.col("r.rk") != F.col("a.rk"))
                   | (F.abs(F.col("r.cs") - F.col("a.cs")) > 1e-9))
     assert j.count() == 900 and bad.count() == 0
-    ordered._PLAN_MEMO.clear()
 
 
 def test_first_per_key_keeps_smallest_order(spark):
@@ -45,7 +43,6 @@ def test_split_windows_with_a_hot_null_key(spark):
     rows = [(i, None if i % 3 == 0 else rnd.randint(1, 5), rnd.randint(0, 40), float(rnd.randint(0, 9)))
             for i in range(600)]
     df = spark.createDataFrame(rows, "id long, k long, t long, v double")
-    ordered._PLAN_MEMO.clear()
     w = Window.partitionBy("k").orderBy("t", "id")
     ref = (df.withColumn("nx", F.lead("v").over(w)).withColumn("rk", F.row_number().over(w) - 1)
            .withColumn("cs", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0))))
@@ -56,4 +53,15 @@ def test_split_windows_with_a_hot_null_key(spark):
     bad = j.where(~F.col("r.nx").eqNullSafe(F.col("a.nx")) | (F.col("r.rk") != F.col("a.rk"))
                   | (F.abs(F.col("r.cs") - F.col("a.cs")) > 1e-9))
     assert j.count() == 600 and bad.count() == 0
-    ordered._PLAN_MEMO.clear()
+
+
+def test_hot_key_with_a_string_order_and_a_constant_first_order_column(spark):
+    df = spark.createDataFrame([(1 if i % 4 else i, 5, f"t{(i * 37) % 400:04d}", i) for i in range(400)],
+                               "k long, fixed long, t string, id long")
+    ranged, split = ordered._bucketed(df, ["k"], ["fixed", "t"], 10)
+    assert split and ranged.where("k = 1").select(ordered._SUB).distinct().count() >= 4
+    w = Window.partitionBy("k").orderBy("fixed", "t")
+    ref = df.select("id", (F.row_number().over(w) - 1).alias("rk"), F.lead("id").over(w).alias("nx"))
+    got = ordered.next_within(ordered.rank_within(df, "k", ["fixed", "t"], "rk", min_hot_rows=10), "k", ["fixed", "t"],
+                              "id", "nx", min_hot_rows=10).select("id", "rk", "nx")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, ref.collect()), key=str)

@@ -23,3 +23,21 @@ def test_smallest_mode(spark):
     df = spark.createDataFrame([(3,), (1,), (3,), (1,), (2,), (None,)], "x long")
     r = Q.modes(df, ["x"]).first()
     assert (r["mode"], r["mode_count"]) == (1.0, 2)
+
+
+def test_distributed_quantiles_spread_a_large_histogram(spark, monkeypatch):
+    """A histogram of many distinct values is spread over the ranges, without and with a group column."""
+    from riskframe.operators import ordered
+    monkeypatch.setattr(ordered, "MIN_HOT_ROWS", 100)
+    vals = [float((i * 7919) % 5003) for i in range(5003)]
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(vals)], "x double, g int")
+    hist = Q.value_histogram(df, ["x"])
+    ranged, split = ordered._bucketed(hist, ["column"], ["v"])
+    sizes = [r["count"] for r in ranged.groupBy(ordered._SUB).count().collect()]
+    assert split and len(sizes) >= 4 and max(sizes) < 5003 / 2
+    got = {r["prob"]: r["value"] for r in Q.quantiles(df, ["x"], [0.25, 0.5, 0.999], method="distributed").collect()}
+    for p, v in got.items():
+        assert v == pytest.approx(np.quantile(vals, p), abs=1e-9)
+    by = {r["g"]: r["value"] for r in Q.quantiles(df, ["x"], [0.3], by=["g"], method="distributed").collect()}
+    for g, v in by.items():
+        assert v == pytest.approx(np.quantile(vals[g::2], 0.3), abs=1e-9)
