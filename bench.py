@@ -31,7 +31,7 @@ def main() -> None:
 
     from pyspark.sql import functions as F
 
-    from riskframe.operators import explore, metrics, models, profile, validate
+    from riskframe.operators import explore, features, metrics, models, profile, validate
     from riskframe.plans import q_models
     from riskframe.plans.base import clean_enc, encounters, scored
     times: dict[str, float] = {}
@@ -58,9 +58,8 @@ def main() -> None:
 
     def lr_stage():
         tr, te, _ = q_models._train_test(spark, sf_dir)
-        tw = q_models._total_w(tr)
-        holder.update(tr=tr, te=te, tw=tw)
-        m = q_models._lr(tw).fit(tr)
+        holder.update(tr=tr, te=te)
+        m = q_models._lr().fit(tr)
         models.predict(m, te, keep=["target"]).agg(F.avg("score")).collect()
     timed("lr_fit", lr_stage)
 
@@ -70,7 +69,7 @@ def main() -> None:
         models.predict(m, holder["te"], keep=["target"]).agg(F.avg("score")).collect()
     timed("rf_fit", rf_stage)
     timed("cv5", lambda: validate.summarize_cv(
-        validate.cross_validate(holder["tr"], lambda: q_models._lr(holder["tw"]), 5)).collect())
+        validate.cross_validate(features.stratified_folds(holder["tr"], "target", "encounter_id", 5), q_models._lr, 5)).collect())
 
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "pipeline_total", "value": round(sum(times.values()), 3), "unit": "sec",

@@ -9,9 +9,11 @@ same assignment.
 
 from __future__ import annotations
 
-import math
+import random
 from collections.abc import Sequence
 
+from pyspark.ml import Estimator, PipelineModel
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,32 +24,31 @@ from riskframe.operators.ordered import rank_within
 # --- fixed values --------------------------------------------------------------
 TEST_SIZE = 0.2
 SEED = 42
-MAX_LEVELS = 1000
 SCALE_MIN_DISTINCT = 3
 DRIFT_WARN = 0.5
+SMOTE_NEIGHBOURS = 5
+SMOTE_WINDOW = 20             # rows looked at on either side along each order
 MAX_CLASSES = 10_000          # class tables up to this size are broadcast (checked), larger ones are joined
 # --------------------------------------------------------------------------------
 
 
 # F1 -------------------------------------------------------------------------------
-def category_levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list:
-    """Sorted distinct non-null values (a bounded collect: fails past ``max_levels``)."""
-    vals = [r[0] for r in df.select(qcol(column)).where(qcol(column).isNotNull()).distinct()
-            .orderBy(qcol(column)).limit(max_levels + 1).collect()]
-    if len(vals) > max_levels:
-        raise ValueError(f"{column}: more than {max_levels} levels; group rare values first (group_top_n)")
-    return vals
-
-
-def category_levels_many(df: DataFrame, columns: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
-    """Sorted distinct non-null values of several string columns with two small jobs in all: distinct
-    (column, value) pairs are counted per column first (a bound check), then collected (<= max_levels each)."""
+def category_levels(df: DataFrame, column: str, max_levels: int | None = None) -> list:
+    """Sorted distinct non-null values; more than ``max_levels``, if that is given, are an error."""
+    found = df.select(qcol(column)).where(qcol(column).isNotNull()).distinct()
+    if max_levels is not None and found.limit(max_levels + 1).count() > max_levels:
+        raise ValueError(f"{column}: more than {max_levels} levels; group rare values first (max_categories)")
+    return sorted(r[0] for r in found.collect())
+
+
+def category_levels_many(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list]:
+    """Sorted distinct non-null values of several string columns in one job; ``max_levels`` as above."""
     from riskframe.operators.explore import long_categories
     pairs = long_categories(df, columns).where(F.col("value").isNotNull()).distinct()
-    sizes = {r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    big = [c for c, n in sizes.items() if n > max_levels]
-    if big:
-        raise ValueError(f"{big}: more than {max_levels} levels; group rare values first (group_top_n)")
+    if max_levels is not None:
+        big = [r["column"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_levels).collect()]
+        if big:
+            raise ValueError(f"{big}: more than {max_levels} levels; group rare values first (max_categories)")
     out: dict[str, list] = {c: [] for c in columns}
     for r in pairs.collect():
         out[r["column"]].append(r["value"])
@@ -55,13 +56,19 @@ def category_levels_many(df: DataFrame, columns: Sequence[str], max_levels: int
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], levels: dict[str, list] | None = None, drop_first: bool = True,
-            keep_source: bool = False) -> DataFrame:
+            keep_source: bool = False, max_categories: int | None = None) -> DataFrame:
     """Named 0/1 dummies ``<col>_<value>``; levels sorted ascending, first level dropped; null -> all zeros.
 
     ``levels`` may be given explicitly (no discovery job); values unseen at fit
-    time get all zeros, like an encoder with ``handle_unknown='ignore'``.
+    time get all zeros, like an encoder with ``handle_unknown='ignore'``. With ``max_categories`` the values beyond
+    each column's most frequent so many are grouped as one level first. Named columns suit hundreds of levels; for any
+    number of them see the sparse :func:`vector_pipeline`.
     """
     levels = dict(levels or {})
+    if max_categories is not None:
+        from riskframe.operators.clean import group_top_n
+        for c in columns:
+            df = group_top_n(df, c, max_categories)
     from riskframe.functions.core import is_string_type
     missing = [c for c in columns if c not in levels and is_string_type(df.schema[c].dataType)]
     if len(missing) > 1:
@@ -175,48 +182,117 @@ def scaling_drift(df: DataFrame, columns: Sequence[str], split: str = "split") -
 
 
 # F8 -------------------------------------------------------------------------------
-def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """w_c = n / (k * n_c) for k classes (sklearn 'balanced'); joined per row by class (<= k rows)."""
-    g = df.groupBy(qcol(label).alias(label)).agg(F.count(F.lit(1)).alias("_nc"))
+def balanced_weights(df: DataFrame, label: str, name: str = "weight", split: str | None = None) -> DataFrame:
+    """w_c = n / (k * n_c) for k classes (sklearn 'balanced'), joined per row by class (<= k rows); with ``split`` n and
+    n_c are counted over its 'train' rows alone."""
+    src = df if split is None else df.where(qcol(split) == "train")
+    g = src.groupBy(qcol(label).alias(label)).agg(F.count(F.lit(1)).alias("_nc"))
     n = g.agg(F.sum("_nc").cast("double")).scalar()
     k = g.agg(F.count(F.lit(1)).cast("double")).scalar()
     w = g.select(label, (n / (k * F.col("_nc"))).alias(name))
     return df.join(bounded_broadcast(w, MAX_CLASSES), label)
 
 
-# F2 / F6 --------------------------------------------------------------------------
-def vector_pipeline(categorical: Sequence[str], numeric: Sequence[str], label: str = "target",
-                    scale: bool = True, output: str = "features"):
-    """pyspark.ml preprocessing: index (alphabetical, unseen -> extra level), one-hot (first level dropped),
-    assemble with numerics, optionally standardise. Returns an unfitted ``Pipeline``."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-    stages = []
-    ohe_out = []
-    if categorical:
-        idx = [f"{c}__idx" for c in categorical]
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        ohe_out = [f"{c}__ohe" for c in categorical]
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=ohe_out, dropLast=True, handleInvalid="keep"))
-    assembled = output if not scale else f"{output}__raw"
-    stages.append(VectorAssembler(inputCols=list(numeric) + ohe_out, outputCol=assembled, handleInvalid="keep"))
-    if scale:
-        stages.append(StandardScaler(inputCol=assembled, outputCol=output, withMean=True, withStd=True))
-    return Pipeline(stages=stages)
+# F2 / F6 / F7 -----------------------------------------------------------------------
+class VectorPipeline(Estimator):
+    """Sparse feature vectors: numerics (standardised by mean and population std where ``scale``; null: the mean, or 0
+    unscaled), then 0/1 slots for all levels but the first of each categorical; null, the first level and levels unseen
+    at the fit are all zeros. Any number of levels."""
+
+    def __init__(self, categorical: Sequence[str], numeric: Sequence[str], scale: bool = True, output: str = "features"):
+        super().__init__()
+        self.categorical, self.numeric, self.scale, self.output = list(categorical), list(numeric), scale, output
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        stages, hot = [], []
+        if self.categorical:
+            seen = StringIndexer(inputCols=self.categorical, outputCols=[f"{c}__i" for c in self.categorical],
+                                 handleInvalid="skip", stringOrderType="alphabetAsc").fit(dataset).labelsArray
+            # the indexer keeps what it doesn't know in a last slot, which the encoder drops: so it isn't told the first level
+            kept = [(c, list(lv[1:])) for c, lv in zip(self.categorical, seen) if len(lv) > 1]
+            if kept:
+                index, hot = [f"{c}__index" for c, _ in kept], [f"{c}__hot" for c, _ in kept]
+                levels = PipelineModel([StringIndexerModel.from_labels(lv, c, i, handleInvalid="keep")
+                                        for (c, lv), i in zip(kept, index)])
+                encode = OneHotEncoder(inputCols=index, outputCols=hot, dropLast=True)
+                stages += [levels, encode.fit(levels.transform(dataset.limit(1)))]
+        if self.scale:
+            stats = fit_scaler(dataset, self.numeric)
+            terms = [f"coalesce((CAST(`{c}` AS DOUBLE) - ({(m or 0.0)!r}D)) / {s!r}D, 0.0D) AS `{c}__z`"
+                     for c, (m, s) in stats.items()]
+        else:
+            terms = [f"coalesce(CAST(`{c}` AS DOUBLE), 0.0D) AS `{c}__z`" for c in self.numeric]
+        if terms:
+            stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__"))
+        stages.append(VectorAssembler(inputCols=[f"{c}__z" for c in self.numeric] + hot, outputCol=self.output))
+        return PipelineModel(stages)
+
+
+def vector_pipeline(categorical: Sequence[str], numeric: Sequence[str], scale: bool = True, output: str = "features"
+                    ) -> VectorPipeline:
+    return VectorPipeline(categorical, numeric, scale, output)
+
+
+# F9 -------------------------------------------------------------------------------
+def oversample(df: DataFrame, columns: Sequence[str], label: str, key: str, neighbours: int = SMOTE_NEIGHBOURS,
+               window: int = SMOTE_WINDOW, seed: int = SEED) -> DataFrame:
+    """Minority oversampling: rows (label, ``columns`` as double, synthetic) with as many rows of the smaller class of a
+    0/1 label as of the larger; a synthetic row lies between a minority row and one of its ``neighbours`` nearest.
+
+    Nearest among the ``window`` rows on either side along two orders of the standardised minority rows (a fixed random
+    direction each), so each row meets at most 4 x ``window`` others: an approximate search, without pairs of a class.
+    Each minority row makes n // m or n // m + 1 synthetic rows (n missing rows, m minority rows), the extra ones by
+    hash. Null values count as the column's mean. A class of fewer than two rows, or none missing: no synthetic rows.
+    """
+    cols = list(columns)
+    real = df.select(qcol(label).alias(label), *[qcol(c).cast("double").alias(c) for c in cols], F.lit(False).alias("synthetic"))
+    sizes = df.where(qcol(label).isNotNull()).groupBy(qcol(label).alias("c")).agg(F.count(F.lit(1)).alias("n")) \
+        .orderBy("n", "c").limit(3).collect()
+    if len(sizes) > 2:
+        raise ValueError("oversample takes two classes")
+    if len(sizes) < 2 or sizes[0]["n"] < 2 or sizes[0]["n"] == sizes[1]["n"]:
+        return real
+    small, (m, missing) = sizes[0]["c"], (sizes[0]["n"], sizes[1]["n"] - sizes[0]["n"])
+    minority = df.where(qcol(label) == small)
+    stats = fit_scaler(minority, cols)
+    x = F.array(*[F.coalesce((qcol(c).cast("double") - F.lit(mean or 0.0)) / F.lit(sd), F.lit(0.0)) for c, (mean, sd) in stats.items()])
+    points = minority.select(qcol(key).alias("_k"), x.alias("_x"), hash_order(seed, qcol(key)).alias("_h"))
+    near = None
+    for d in range(2):
+        rnd = random.Random(f"{seed}:{d}")
+        direction = F.array(*[F.lit(rnd.gauss(0, 1)) for _ in cols])
+        along = F.aggregate(F.arrays_zip(F.col("_x").alias("a"), direction.alias("b")), F.lit(0.0), lambda s, p: s + p["a"] * p["b"])
+        at = rank_within(points.withColumn("_p", along), [], ["_p", "_h", "_k"], "_r")
+        steps = F.explode(F.array(*[F.lit(i) for i in range(-window, window + 1) if i]))
+        other = at.select("_r", F.col("_k").alias("_k2"), F.col("_x").alias("_y"), steps.alias("_step")) \
+            .select((F.col("_r") + F.col("_step")).alias("_r"), "_k2", "_y")
+        pairs = at.join(other, "_r").select("_k", "_x", "_h", "_k2", "_y")
+        near = pairs if near is None else near.unionByName(pairs)
+    distance = F.aggregate(F.zip_with("_x", "_y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
+    found = near.groupBy("_k", "_x", "_h").agg(F.array_sort(F.collect_set(F.struct(distance.alias("d"), F.col("_k2").alias("k"),
+                                                                                   F.col("_y").alias("y")))).alias("_near")) \
+        .withColumn("_near", F.slice("_near", 1, neighbours))
+    ranked = rank_within(found, [], ["_h", "_k"], "_r")
+    copies = F.lit(missing // m) + (F.col("_r") < missing % m).cast("int")
+    made = ranked.where(copies > 0).select("_k", "_x", "_near", F.explode(F.sequence(F.lit(1), copies)).alias("_i"))
+    draw = F.concat_ws(":", F.col("_k").cast("string"), F.col("_i").cast("string"))
+    pick = F.col("_near")[(uniform(f"{seed}:n", draw) * F.size("_near")).cast("int")]["y"]
+    step = uniform(f"{seed}:u", draw)
+    made = made.select(pick.alias("_y"), step.alias("_u"), "_x")
+    value = [((F.col("_x")[i] + F.col("_u") * (F.col("_y")[i] - F.col("_x")[i])) * F.lit(sd) + F.lit(mean or 0.0)).alias(c)
+             for i, (c, (mean, sd)) in enumerate(stats.items())]
+    return real.unionByName(made.select(F.lit(small).cast(df.schema[label].dataType).alias(label), *value, F.lit(True).alias("synthetic")))
 
 
 # F10 ------------------------------------------------------------------------------
-def processing_report(before: DataFrame, after: DataFrame, encoded_sources: Sequence[str],
-                      high_cardinality: Sequence[str]) -> DataFrame:
-    """Metric rows: columns before/after, encoded source columns, high-cardinality columns, rows."""
-    spark = before.sparkSession
+def processing_report(before: DataFrame, after: DataFrame, high_cardinality: DataFrame) -> DataFrame:
+    """Metric rows measured on the two tables: columns before and after, encoded source columns (those gone), columns
+    flagged in ``high_cardinality`` (rows (column, ..., high_cardinality) of the column partition), rows."""
+    gone = [c for c in before.columns if c not in after.columns]
     rows = [("columns_before", float(len(before.columns))), ("columns_after", float(len(after.columns))),
-            ("encoded_columns", float(len(encoded_sources))), ("high_cardinality_columns", float(len(high_cardinality)))]
-    meta = spark.createDataFrame(rows, "metric string, value double")
+            ("encoded_columns", float(len(gone)))]
+    meta = before.sparkSession.createDataFrame(rows, "metric string, value double")
+    high = high_cardinality.agg(F.count_if("high_cardinality").cast("double").alias("value")) \
+        .select(F.lit("high_cardinality_columns").alias("metric"), "value")
     cnt = after.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("rows").alias("metric"), "value")
-    return meta.unionByName(cnt)
-
-
-def ceil_quota(n: int, frac: float = TEST_SIZE) -> int:
-    return math.ceil(n * frac)
+    return meta.unionByName(high).unionByName(cnt)

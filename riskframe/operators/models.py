@@ -11,18 +11,23 @@ from __future__ import annotations
 import itertools
 import json
 import math
+import re
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.ml import Estimator
+from pyspark.ml.classification import LogisticRegression
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.core import hash_order
-
 # --- fixed values --------------------------------------------------------------
 # Logistic: the reference's C grid and penalties; forest: its default and grid.
 LR_C_GRID = [0.001, 0.01, 0.1, 1, 10, 100]
 LR_PENALTIES = ["l1", "l2"]
+LR_MAX_ITER = 1000
+SEARCH_CANDIDATES, SEARCH_FOLDS = 50, 5
 RF_DEFAULT = {"numTrees": 300, "maxDepth": 15, "min_samples_split": 10, "min_samples_leaf": 4,
               "featureSubsetStrategy": "sqrt"}
 RF_GRID = {"numTrees": [100, 200, 300], "maxDepth": [10, 15, 20, None], "min_samples_split": [5, 10, 15],
@@ -36,18 +41,41 @@ PRESETS = {
 # --------------------------------------------------------------------------------
 
 
+PARALLELISM = 4
+
+
+def parallel_map(fn: Callable, items: Sequence, parallelism: int = PARALLELISM) -> list:
+    """Run independent fits concurrently (Spark schedules the jobs of several driver threads at once);
+    results keep the order of ``items``."""
+    if parallelism <= 1 or len(items) <= 1:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
+        return list(ex.map(fn, items))
+
+
 # L1 -------------------------------------------------------------------------------
-def logistic(features: str = "features", label: str = "target", weight: str | None = "weight", C: float = 1.0,
-             penalty: str = "l2", total_weight: float | None = None, max_iter: int = 1000,
-             tol: float = 1e-6):
-    """Logistic regression with an sklearn-style C: regParam = 1 / (C * sum of weights)."""
-    from pyspark.ml.classification import LogisticRegression
-    reg = 1.0 / (C * total_weight) if total_weight else 1.0 / C
-    kw = dict(featuresCol=features, labelCol=label, maxIter=max_iter, tol=tol, regParam=reg,
-              elasticNetParam=1.0 if penalty == "l1" else 0.0, standardization=False, probabilityCol="probability")
-    if weight:
-        kw["weightCol"] = weight
-    return LogisticRegression(**kw)
+class Logistic(Estimator):
+    """Logistic regression with an sklearn-style C: regParam = 1 / (C * sum of the weights), the sum taken over the very
+    rows of each fit, so folds, fractions and bootstrap samples are penalised alike."""
+
+    def __init__(self, features: str = "features", label: str = "target", weight: str | None = "weight", C: float = 1.0,
+                 penalty: str = "l2", max_iter: int = LR_MAX_ITER, tol: float = 1e-6):
+        super().__init__()
+        self.weight, self.C = weight, C
+        self.settings = dict(featuresCol=features, labelCol=label, maxIter=max_iter, tol=tol, standardization=False,
+                             elasticNetParam=1.0 if penalty == "l1" else 0.0, probabilityCol="probability")
+        if weight:
+            self.settings["weightCol"] = weight
+
+    def _fit(self, dataset: DataFrame):
+        total = dataset.agg(F.sum(self.weight) if self.weight else F.count(F.lit(1))).first()[0]
+        if not total:
+            raise ValueError("no rows with a positive weight to fit on")
+        return LogisticRegression(regParam=1.0 / (self.C * total), **self.settings).fit(dataset)
+
+
+def logistic(**settings) -> Logistic:
+    return Logistic(**settings)
 
 
 # L3 -------------------------------------------------------------------------------
@@ -95,7 +123,7 @@ def feature_names(df: DataFrame, features: str = "features") -> list[str]:
     for group in meta.get("attrs", {}).values():
         attrs.extend(group)
     if attrs:
-        return [a["name"] for a in sorted(attrs, key=lambda a: a["idx"])]
+        return [re.sub(r"__z$", "", a["name"].replace("__hot_", "_")) for a in sorted(attrs, key=lambda a: a["idx"])]
     n = meta.get("num_attrs", 0)
     return [f"f{i}" for i in range(n)]
 
@@ -123,26 +151,13 @@ def impurity_importance(rf_model, names: Sequence[str]):
 
 
 # L2 -------------------------------------------------------------------------------
-def lr_grid(est, C_values=LR_C_GRID, penalties=LR_PENALTIES, total_weight: float = 1.0):
-    """Param maps for (C, penalty) pairs, C translated to regParam = 1 / (C * total weight)."""
-    return [{est.regParam: 1.0 / (C * total_weight), est.elasticNetParam: 1.0 if pen == "l1" else 0.0}
-            for C, pen in itertools.product(C_values, penalties)]
-
-
-def grid_search_cv(est, grid, df: DataFrame, features: str = "features", label: str = "target",
-                   fold: str = "fold", num_folds: int = 5, parallelism: int = 4):
-    """CrossValidator over a stratified fold column, scored by exact ROC AUC."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC",
-                                       numBins=0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=ev, foldCol=fold, numFolds=num_folds,
-                        parallelism=parallelism, seed=42)
-    return cv.fit(df)
+def lr_grid(C_values=LR_C_GRID, penalties=LR_PENALTIES) -> list[dict]:
+    """Settings of :class:`Logistic` for every (C, penalty) pair."""
+    return [{"C": C, "penalty": pen} for C, pen in itertools.product(C_values, penalties)]
 
 
 # L4 -------------------------------------------------------------------------------
-def sample_grid(grid: Mapping[str, Sequence], n: int, seed: int = 42) -> list[dict]:
+def sample_grid(grid: Mapping[str, Sequence], n: int = SEARCH_CANDIDATES, seed: int = 42) -> list[dict]:
     """``n`` distinct grid points chosen by a seeded hash of their description (reproducible)."""
     import hashlib
     keys = list(grid)
@@ -151,36 +166,31 @@ def sample_grid(grid: Mapping[str, Sequence], n: int, seed: int = 42) -> list[di
     return pts[:n]
 
 
-def random_search(df: DataFrame, make_estimator, candidates: Sequence[dict], folds: int, label: str = "target",
-                  fold: str = "fold") -> DataFrame:
-    """cv_results: one row per candidate with per-fold test/train AUC, means, stds, fit times and rank.
-
-    Each (candidate, fold) is one distributed fit on the cached vector table.
+def search_cv(df: DataFrame, make_estimator: Callable, candidates: Sequence[dict], folds: int = SEARCH_FOLDS,
+              label: str = "target", fold: str = "fold", parallelism: int = PARALLELISM) -> DataFrame:
+    """Search results (L2 over a whole grid, L4 over a sample of one): a row per candidate with per-fold test and train
+    AUC, means, stds, fit times and rank. Each (candidate, fold) is a distributed fit; several run at a time.
     """
     from riskframe.operators.metrics import roc_auc
-    spark = df.sparkSession
+
+    def one(job):
+        params, k = job
+        tr, te = df.where(F.col(fold) != k), df.where(F.col(fold) == k)
+        t0 = time.time()
+        m = make_estimator(params).fit(tr)
+        t1 = time.time()
+        test, train = (roc_auc(predict(m, part, keep=[label]), label, "score").first()[0] for part in (te, tr))
+        return float(test), float(train), t1 - t0, time.time() - t1
+    done = parallel_map(one, [(c, k) for c in candidates for k in range(folds)], parallelism)
     rows = []
     for ci, params in enumerate(candidates):
-        test_s, train_s, fit_t, score_t = [], [], [], []
-        for k in range(folds):
-            tr = df.where(F.col(fold) != k)
-            te = df.where(F.col(fold) == k)
-            t0 = time.time()
-            m = make_estimator(params).fit(tr)
-            fit_t.append(time.time() - t0)
-            t0 = time.time()
-            test_s.append(roc_auc(predict(m, te, keep=[label]), label, "score").first()[0])
-            train_s.append(roc_auc(predict(m, tr, keep=[label]), label, "score").first()[0])
-            score_t.append(time.time() - t0)
-        rows.append((ci, json.dumps(params, sort_keys=True), float(_mean(fit_t)), float(_std(fit_t)),
-                     float(_mean(score_t)), float(_std(score_t)), [float(x) for x in test_s],
-                     float(_mean(test_s)), float(_std(test_s)), [float(x) for x in train_s],
-                     float(_mean(train_s)), float(_std(train_s))))
-    res = spark.createDataFrame(rows, "candidate int, params string, mean_fit_time double, std_fit_time double, "
-                                      "mean_score_time double, std_score_time double, split_test_scores array<double>, "
-                                      "mean_test_score double, std_test_score double, split_train_scores array<double>, "
-                                      "mean_train_score double, std_train_score double")
-    from pyspark.sql import Window
+        test_s, train_s, fit_t, score_t = ([r[i] for r in done[ci * folds:(ci + 1) * folds]] for i in range(4))
+        rows.append((ci, json.dumps(params, sort_keys=True), _mean(fit_t), _std(fit_t), _mean(score_t), _std(score_t),
+                     test_s, _mean(test_s), _std(test_s), train_s, _mean(train_s), _std(train_s)))
+    res = df.sparkSession.createDataFrame(
+        rows, "candidate int, params string, mean_fit_time double, std_fit_time double, mean_score_time double, "
+              "std_score_time double, split_test_scores array<double>, mean_test_score double, std_test_score double, "
+              "split_train_scores array<double>, mean_train_score double, std_train_score double")
     w = Window.orderBy(F.desc("mean_test_score"), F.asc("candidate"))     # one row per candidate
     return res.withColumn("rank_test_score", F.rank().over(w))
 
@@ -219,10 +229,6 @@ def load_model(path: str, kind: str = "pipeline"):
     return model, json.loads(meta["metadata"]) if meta else {}
 
 
-def hash_shuffle_key(seed, key_col: str):
-    return hash_order(seed, F.col(key_col))
-
-
 # L3 out-of-bag score (K10) ------------------------------------------------------------
 def oob_forest(df: DataFrame, key: str, n_trees: int, features: str = "features", label: str = "target",
                weight: str | None = "weight", seed: int = 42, **params) -> DataFrame:
@@ -236,8 +242,8 @@ def oob_forest(df: DataFrame, key: str, n_trees: int, features: str = "features"
     p = {**RF_DEFAULT, **params}
     depth = SPARK_MAX_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), SPARK_MAX_DEPTH)
     min_inst = max(int(p["min_samples_leaf"]), math.ceil(int(p["min_samples_split"]) / 2))
-    preds = None
-    for b in range(n_trees):
+
+    def one(b):
         bw = poisson1(uniform(f"oob{seed}:{b}", F.col(key))).cast("double")
         d = df.withColumn("_bag", bw).withColumn("_bw", F.col("_bag") * (F.col(weight) if weight else F.lit(1.0)))
         tree = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=1, bootstrap=False,
@@ -245,6 +251,6 @@ def oob_forest(df: DataFrame, key: str, n_trees: int, features: str = "features"
                                       featureSubsetStrategy=str(p["featureSubsetStrategy"]), weightCol="_bw",
                                       seed=seed + b)
         m = tree.fit(d.where(F.col("_bag") > 0))
-        pb = predict(m, d.where(F.col("_bag") == 0), keep=[key, label]).select(key, label, "score")
-        preds = pb if preds is None else preds.unionByName(pb)
+        return predict(m, d.where(F.col("_bag") == 0), keep=[key, label]).select(key, label, "score")
+    preds = reduce(DataFrame.unionByName, parallel_map(one, range(n_trees)))
     return preds.groupBy(key, label).agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("oob_trees"))

@@ -9,6 +9,7 @@ cached table.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable, Sequence
 
@@ -18,14 +19,19 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.core import hash_order, qcol
 from riskframe.operators import metrics as M
-from riskframe.operators.models import predict
+from riskframe.operators.models import parallel_map, predict
 from riskframe.operators.ordered import rank_within
+from riskframe.session import cut_lineage
 
 # --- fixed values --------------------------------------------------------------
 VIF_FLAG = 10.0
 STABLE_CV, STABLE_RANK_STD = 0.5, 5.0
 UNSTABLE_CV, UNSTABLE_RANK_STD = 1.0, 10.0
 CV_EPS = 1e-8
+PERMUTATION_REPEATS = 10
+RFE_MIN_FEATURES = 10
+SHAP_ROWS = 1000
+STABILITY_RESAMPLES = 20
 # --------------------------------------------------------------------------------
 
 
@@ -124,30 +130,40 @@ def linear_shap(df: DataFrame, columns: Sequence[str], coefficients: Sequence[fl
 
 
 # X2 -------------------------------------------------------------------------------
-def permute_column(df: DataFrame, column: str, key: str, seed) -> DataFrame:
-    """Exact global permutation of one column: row i (by key order) takes the value of the row ranked i
-    by md5(seed:key). Both ranks are skew-safe running counts; the pairing is an equi-join on rank."""
-    a = rank_within(df.withColumn("_one", F.lit(1)), ["_one"], [key], "_r").drop("_one")
-    src = df.select(qcol(key).alias("_k"), qcol(column).alias("_v")).withColumn("_h", hash_order(seed, F.col("_k")))
-    b = rank_within(src.withColumn("_one", F.lit(1)), ["_one"], ["_h", "_k"], "_r").select("_r", "_v")
-    return a.join(b, "_r").withColumn(column, F.col("_v")).drop("_r", "_v")
+def shuffled_ranks(df: DataFrame, key: str, seed) -> tuple[DataFrame, int]:
+    """``df`` with ``_r``, its place in the order of md5(seed:key), written once to the shared folder; and its rows."""
+    ranked = cut_lineage(rank_within(df.withColumn("_h", hash_order(seed, qcol(key))), [], ["_h", key], "_r").drop("_h"))
+    return ranked, ranked.count()
+
+
+def permute_column(df: DataFrame, column: str, key: str, seed, ranked: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """Exact permutation of one column: each row takes the value of the row some places on in a shuffled order (the
+    distance chosen by ``seed``, 1 to rows - 1). ``ranked`` may be shared by many columns and seeds."""
+    t, n = ranked or shuffled_ranks(df, key, seed)
+    if n < 2:
+        return t.drop("_r")
+    shift = 1 + int(hashlib.md5(f"{seed}:{column}".encode()).hexdigest(), 16) % (n - 1)
+    moved = t.select(F.pmod(F.col("_r") - shift, F.lit(n)).alias("_r"), qcol(column).alias("_v"))
+    return t.join(moved, "_r").withColumn(column, F.col("_v")).drop("_r", "_v")
 
 
 def permutation_importance(model, df: DataFrame, columns: Sequence[str], assemble: Callable, key: str,
-                           label: str = "target", repeats: int = 3, seed: int = 42) -> DataFrame:
-    """Drop in AUC when one raw column is permuted (``assemble`` rebuilds the feature vector)."""
-    spark = df.sparkSession
-    base = M.roc_auc(predict(model, assemble(df), keep=[label]), label, "score").first()[0]
+                           label: str = "target", repeats: int = PERMUTATION_REPEATS, seed: int = 42) -> DataFrame:
+    """Drop in AUC when one raw column is permuted (``assemble`` rebuilds the feature vector); ``df`` should be rows the
+    model wasn't fitted on."""
+    ranked = shuffled_ranks(df, key, seed)
+
+    def auc(frame):
+        return M.roc_auc(predict(model, assemble(frame), keep=[label]), label, "score").first()[0]
+    base = auc(df)
+    jobs = [(c, r) for c in columns for r in range(repeats)]
+    drops = parallel_map(lambda j: base - auc(permute_column(df, j[0], key, f"{seed}:{j[1]}", ranked)), jobs)
     rows = []
-    for c in columns:
-        drops = []
-        for r in range(repeats):
-            p = permute_column(df, c, key, f"{seed}:{c}:{r}")
-            drops.append(base - M.roc_auc(predict(model, assemble(p), keep=[label]), label, "score").first()[0])
-        m = sum(drops) / len(drops)
-        s = math.sqrt(sum((d - m) ** 2 for d in drops) / len(drops))
-        rows.append((c, float(m), float(s)))
-    return spark.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
+    for i, c in enumerate(columns):
+        of = drops[i * repeats:(i + 1) * repeats]
+        m = sum(of) / repeats
+        rows.append((c, float(m), math.sqrt(sum((d - m) ** 2 for d in of) / repeats)))
+    return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
 
 
 # X1 / X11 -------------------------------------------------------------------------
@@ -167,24 +183,32 @@ def side_by_side(a: DataFrame, b: DataFrame, a_name: str, b_name: str) -> DataFr
 
 
 # X5 -------------------------------------------------------------------------------
-def rfe_cv(df: DataFrame, features: Sequence[str], importance_fn: Callable, cv_auc_fn: Callable, step=1,
-           min_features: int = 10) -> DataFrame:
-    """Recursive elimination: score the current set by CV AUC, drop the ``step`` least important."""
+def rfe_cv(df: DataFrame, features: Sequence[str], importance_fn: Callable, cv_fn: Callable, step=1,
+           min_features: int = RFE_MIN_FEATURES) -> tuple[DataFrame, DataFrame]:
+    """Recursive elimination: score the current set by CV, drop the ``step`` least important (ties by name).
+
+    ``cv_fn(features)`` gives (mean, std) of the score. Returns the path (n_features, cv_auc, cv_std, features) and the
+    verdict per feature (feature, ranking, selected, eliminated_at): the selected set is the smallest with the best
+    mean and has ranking 1, the last eliminated before it 2, and so on; eliminated_at is the step at which elimination
+    down to ``min_features`` dropped the feature (null: never)."""
     spark = df.sparkSession
-    cur = list(features)
-    rows, order = [], []
+    cur, path, gone = list(features), [], []
     while True:
-        auc = cv_auc_fn(cur)
-        rows.append((len(cur), float(auc), ",".join(cur)))
+        mean, std = cv_fn(cur)
+        path.append((len(cur), float(mean), float(std), ",".join(cur)))
         if len(cur) <= min_features:
             break
         imp = importance_fn(cur)                 # {feature: importance}
         n_drop = step if isinstance(step, int) else max(1, int(len(cur) * step))
-        n_drop = min(n_drop, len(cur) - min_features)
-        drop = sorted(cur, key=lambda f: (imp.get(f, 0.0), f))[:n_drop]
-        order.extend(drop)
+        drop = sorted(cur, key=lambda f: (imp.get(f, 0.0), f))[:min(n_drop, len(cur) - min_features)]
+        gone.append(drop)
         cur = [f for f in cur if f not in drop]
-    return spark.createDataFrame(rows, "n_features int, cv_auc double, features string")
+    best = max(range(len(path)), key=lambda i: (path[i][1], i))
+    at = {f: i for i, drop in enumerate(gone) for f in drop}
+    rows = [(f, 1 if at.get(f, best) >= best else 1 + best - at[f], at.get(f, best) >= best, at[f] + 1 if f in at else None)
+            for f in features]
+    return (spark.createDataFrame(path, "n_features int, cv_auc double, cv_std double, features string"),
+            spark.createDataFrame(rows, "feature string, ranking int, selected boolean, eliminated_at int"))
 
 
 # X8 -------------------------------------------------------------------------------
@@ -226,22 +250,19 @@ def interaction_gain(df: DataFrame, pairs: Sequence[tuple[str, str]], base: Sequ
         .orderBy(F.desc("gain"), "feature_a", "feature_b")
 
 
-def permutation_shap(model, df: DataFrame, key: str, features: str = "features", fraction: float = 0.1,
+def permutation_shap(model, df: DataFrame, key: str, features: str = "features", rows: int = SHAP_ROWS,
                      permutations: int = 8, seed: int = 42) -> DataFrame:
     """Sampled-permutation Shapley values for any vector model (X9 beyond the linear case).
 
-    A hash-chosen ``fraction`` of rows (the explainer's sample) is crossed with ``permutations`` feature
+    The ``rows`` rows that come first by hash (the explainer's sample, whatever the size of the table) is crossed with ``permutations`` feature
     orders and d+1 prefix steps; the hybrid vector at step s takes the row's values for the first s
     features of the order and the column means elsewhere. Each hybrid is scored by ``model.transform``;
     the score change between consecutive steps is credited to the feature added. Rows: (feature_index,
-    mean_abs_shap, mean_shap). The feature orders are d x permutations numbers built on the driver.
+    mean_abs_shap, mean_shap, rows_explained). The feature orders are d x permutations numbers built on the driver.
     """
-    import hashlib
-
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
-    from riskframe.functions.core import uniform
     d = len(df.select(features).first()[0])
     bg = df.select(Summarizer.mean(F.col(features)).alias("m")).first()["m"].toArray().tolist()
     orders = []
@@ -252,7 +273,7 @@ def permutation_shap(model, df: DataFrame, key: str, features: str = "features",
     for p, idx in enumerate(orders):
         for r, j in enumerate(idx):
             pos[p][j] = r
-    sample = df.where(uniform(f"shap{seed}", F.col(key)) < fraction) \
+    sample = df.orderBy(hash_order(f"shap{seed}", F.col(key)), key).limit(rows) \
         .select(F.col(key), vector_to_array(F.col(features)).alias("_x"))
     perm_tab = F.array(*[F.struct(F.lit(p).alias("p"), F.array(*[F.lit(v) for v in pos[p]]).alias("pos"),
                                   F.array(*[F.lit(v) for v in orders[p]]).alias("order"))
@@ -273,4 +294,4 @@ def permutation_shap(model, df: DataFrame, key: str, features: str = "features",
         .select(key, F.element_at(F.col("order"), F.col("step")).alias("feature_index"), "delta")
     value = delta.groupBy(key, "feature_index").agg(F.avg("delta").alias("value"))         # a row's Shapley value
     return value.groupBy("feature_index").agg(F.avg(F.abs("value")).alias("mean_abs_shap"),
-                                              F.avg("value").alias("mean_shap"))
+                                              F.avg("value").alias("mean_shap"), F.count("*").alias("rows_explained"))

@@ -8,37 +8,31 @@ fold for all metrics -- the reference refits once per metric).
 
 from __future__ import annotations
 
-import math
+import json
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import poisson1, qcol, uniform
 from riskframe.operators import metrics as M
-from riskframe.operators.models import predict
+from riskframe.operators.features import stratified_folds
+from riskframe.operators.models import parallel_map, predict
+from riskframe.session import cut_lineage
 
 # --- fixed values --------------------------------------------------------------
 CV_METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 STABILITY_CV_HIGH, STABILITY_CV_MED = 0.05, 0.10
-OVERFIT_LOW = 0.05
+SPREAD_LOW, SPREAD_MED = 0.05, 0.10
+OVERFIT_LOW, OVERFIT_MED = 0.05, 0.15
+CV_FOLDS, NESTED_OUTER, NESTED_INNER = 10, 3, 3
+BOOTSTRAP_REPLICATES, STABILITY_RUNS, STABILITY_FOLDS = 100, 20, 5
+CURVE_SIZES, CURVE_FOLDS = [round(0.1 * i, 1) for i in range(1, 11)], 5
 BOOT_LOW_PCT, BOOT_HIGH_PCT = 2.5, 97.5
 # --------------------------------------------------------------------------------
 
 
-PARALLELISM = 4
-
-
-def parallel_map(fn: Callable, items: Sequence, parallelism: int = PARALLELISM) -> list:
-    """Run independent fits concurrently (Spark schedules the jobs of several driver threads at once,
-    as CrossValidator's ``parallelism`` does); results keep the order of ``items``."""
-    from concurrent.futures import ThreadPoolExecutor
-    if parallelism <= 1 or len(items) <= 1:
-        return [fn(x) for x in items]
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as ex:
-        return list(ex.map(fn, items))
-
-
 def fold_metrics(scored: DataFrame, label: str = "target", threshold: float = 0.5) -> dict[str, float]:
     """All CV metrics from one scored frame (two small aggregates)."""
     cm = M.classification_metrics(scored, label, "score", threshold).first()
@@ -48,19 +42,22 @@ def fold_metrics(scored: DataFrame, label: str = "target", threshold: float = 0.
 
 
 # V2 / V3 / V4 ----------------------------------------------------------------------
-def cross_validate(df: DataFrame, make_estimator: Callable, k: int, label: str = "target", fold: str = "fold",
+def cross_validate(df: DataFrame, make_estimator: Callable, k: int = CV_FOLDS, label: str = "target", fold: str = "fold",
                    with_train: bool = False, threshold: float = 0.5) -> DataFrame:
-    """Per (fold, side, metric) values, one fit per fold."""
+    """Per (fold, side, metric) values, one fit per fold; the seconds of the fit and of the scoring are metrics
+    fit_time and score_time of side 'time'."""
     spark = df.sparkSession
 
     def one(i):
         tr, te = df.where(F.col(fold) != i), df.where(F.col(fold) == i)
+        t0 = time.time()
         m = make_estimator().fit(tr)
+        t1 = time.time()
         out = []
         for side, part in [("test", te)] + ([("train", tr)] if with_train else []):
             for name, v in fold_metrics(predict(m, part, threshold, keep=[label]), label, threshold).items():
                 out.append((i, side, name, float(v) if v is not None else None))
-        return out
+        return out + [(i, "time", "fit_time", t1 - t0), (i, "time", "score_time", time.time() - t1)]
     rows = [r for part in parallel_map(one, list(range(k))) for r in part]
     return spark.createDataFrame(rows, "fold int, side string, metric string, value double")
 
@@ -80,35 +77,28 @@ def overfitting(summary: DataFrame) -> DataFrame:
 
 
 # V5 -------------------------------------------------------------------------------
-def nested_cv(df: DataFrame, make_estimator: Callable, grid: Sequence[dict], outer_k: int, inner_k: int,
-              label: str = "target", fold: str = "fold", key: str = "encounter_id", seed: int = 7) -> DataFrame:
-    """Outer folds from ``fold``; inside each outer-train part a fresh stratified inner fold column,
-    a search over ``grid`` by mean inner AUC, refit, and the outer-test AUC. Rows per outer fold."""
-    from riskframe.operators.features import stratified_folds
-    import json
-    spark = df.sparkSession
+def nested_cv(df: DataFrame, make_estimator: Callable, grid: Sequence[dict], outer_k: int = NESTED_OUTER,
+              inner_k: int = NESTED_INNER, label: str = "target", fold: str = "fold", key: str = "encounter_id",
+              seed: int = 7) -> DataFrame:
+    """Outer folds from ``fold``; inside each outer-train part a fresh stratified inner fold column, a search over
+    ``grid`` by mean inner AUC (the first best wins ties), refit, and the outer-test AUC. Rows per outer fold."""
     rows = []
     for o in range(outer_k):
         tr, te = df.where(F.col(fold) != o), df.where(F.col(fold) == o)
-        inner = stratified_folds(tr.drop(fold), label, key, inner_k, seed=seed + o, name="_inner").cache()
+        inner = cut_lineage(stratified_folds(tr.drop(fold), label, key, inner_k, seed=seed + o, name="_inner"))
+
         def inner_auc(job):
             params, i = job
             m = make_estimator(params).fit(inner.where(F.col("_inner") != i))
             s = predict(m, inner.where(F.col("_inner") == i), keep=[label])
             return M.roc_auc(s, label, "score").first()[0]
-        jobs = [(gi, i) for gi in range(len(grid)) for i in range(inner_k)]
-        aucs = parallel_map(lambda j: inner_auc((grid[j[0]], j[1])), jobs)
-        best, best_auc = None, -1.0
-        for gi, params in enumerate(grid):
-            vals = [a for (g, _), a in zip(jobs, aucs) if g == gi]
-            mean_auc = sum(vals) / len(vals)
-            if mean_auc > best_auc:                       # strict: the first best grid point wins ties
-                best, best_auc = params, mean_auc
-        inner.unpersist()
-        m = make_estimator(best).fit(tr)
+        aucs = parallel_map(inner_auc, [(params, i) for params in grid for i in range(inner_k)])
+        means = [sum(aucs[g * inner_k:(g + 1) * inner_k]) / inner_k for g in range(len(grid))]
+        g = means.index(max(means))
+        m = make_estimator(grid[g]).fit(tr)
         outer_auc = M.roc_auc(predict(m, te, keep=[label]), label, "score").first()[0]
-        rows.append((o, json.dumps(best, sort_keys=True), float(best_auc), float(outer_auc)))
-    return spark.createDataFrame(rows, "outer_fold int, best_params string, inner_auc double, outer_auc double")
+        rows.append((o, json.dumps(grid[g], sort_keys=True), float(means[g]), float(outer_auc)))
+    return df.sparkSession.createDataFrame(rows, "outer_fold int, best_params string, inner_auc double, outer_auc double")
 
 
 def nested_summary(nested: DataFrame) -> DataFrame:
@@ -127,19 +117,18 @@ def bootstrap_weights(df: DataFrame, key: str, replicate: int, seed: int = 42, n
     return df.withColumn(name, poisson1(uniform(f"{seed}:{replicate}", qcol(key))).cast("double"))
 
 
-def bootstrap_models(df: DataFrame, make_estimator: Callable, replicates: int, key: str = "encounter_id",
-                     label: str = "target", seed: int = 42) -> DataFrame:
-    """Fit on in-bag rows with Poisson weights (times the row weights, if any), evaluate AUC out of bag; one row per
-    replicate."""
-    spark = df.sparkSession
-    rows = []
-    for b in range(replicates):
+def bootstrap_models(df: DataFrame, make_estimator: Callable, replicates: int = BOOTSTRAP_REPLICATES,
+                     key: str = "encounter_id", label: str = "target", seed: int = 42) -> DataFrame:
+    """Fit on in-bag rows with Poisson weights (times the row weights, if any), evaluate out of bag: rows (replicate,
+    accuracy, precision, recall, f1, roc_auc)."""
+    def one(b):
         w = bootstrap_weights(df, key, b, seed)
         weight = F.col("bw") * F.col("weight") if "weight" in df.columns else F.col("bw")
         m = make_estimator("bw").fit(w.where(F.col("bw") > 0).withColumn("bw", weight))
-        oob = w.where(F.col("bw") == 0)
-        rows.append((b, float(M.roc_auc(predict(m, oob, keep=[label]), label, "score").first()[0])))
-    return spark.createDataFrame(rows, "replicate int, roc_auc double")
+        values = fold_metrics(predict(m, w.where(F.col("bw") == 0), keep=[label]), label)
+        return (b, *[float(values[c]) for c in CV_METRICS])
+    return df.sparkSession.createDataFrame(parallel_map(one, range(replicates)),
+                                           "replicate int, " + ", ".join(f"{c} double" for c in CV_METRICS))
 
 
 def metric_bootstrap(scored: DataFrame, key: str, replicates: int, label: str = "label", score: str = "score",
@@ -176,43 +165,46 @@ def bootstrap_summary(reps: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 # V7 -------------------------------------------------------------------------------
-def learning_curve(df: DataFrame, make_estimator: Callable, fractions: Sequence[float], k: int,
+def learning_curve(df: DataFrame, make_estimator: Callable, fractions: Sequence[float] = CURVE_SIZES, k: int = CURVE_FOLDS,
                    key: str = "encounter_id", label: str = "target", fold: str = "fold", seed: int = 42) -> DataFrame:
-    """Train on a hash-chosen fraction of each training fold; train and validation AUC per (size, fold)."""
-    spark = df.sparkSession
+    """Train on a hash-chosen fraction of each training fold: per (fraction, metric) mean and std over the folds of the
+    training and the validation value, for all CV metrics, and their gap."""
     u = uniform(f"lc{seed}", qcol(key))
 
     def one(job):
         frac, i = job
-        tr = df.where((F.col(fold) != i) & (u <= frac))
-        te = df.where(F.col(fold) == i)
+        tr, te = df.where((F.col(fold) != i) & (u <= frac)), df.where(F.col(fold) == i)
         m = make_estimator().fit(tr)
-        a_tr = M.roc_auc(predict(m, tr, keep=[label]), label, "score").first()[0]
-        a_te = M.roc_auc(predict(m, te, keep=[label]), label, "score").first()[0]
-        return (float(frac), i, float(a_tr), float(a_te))
-    rows = parallel_map(one, [(f, i) for f in fractions for i in range(k)])
-    res = spark.createDataFrame(rows, "fraction double, fold int, train_auc double, val_auc double")
-    return res.groupBy("fraction").agg(F.avg("train_auc").alias("train_mean"), F.stddev_pop("train_auc").alias("train_std"),
-                                       F.avg("val_auc").alias("val_mean"), F.stddev_pop("val_auc").alias("val_std")) \
+        a, b = (fold_metrics(predict(m, part, keep=[label]), label) for part in (tr, te))
+        return [(float(frac), i, c, float(a[c]), float(b[c])) for c in CV_METRICS]
+    rows = [r for part in parallel_map(one, [(f, i) for f in fractions for i in range(k)]) for r in part]
+    res = df.sparkSession.createDataFrame(rows, "fraction double, fold int, metric string, train double, val double")
+    return res.groupBy("fraction", "metric").agg(F.avg("train").alias("train_mean"), F.stddev_pop("train").alias("train_std"),
+                                                 F.avg("val").alias("val_mean"), F.stddev_pop("val").alias("val_std")) \
         .withColumn("gap", F.col("train_mean") - F.col("val_mean"))
 
 
 # V8 -------------------------------------------------------------------------------
-def stability(df: DataFrame, make_estimator: Callable, runs: int, k: int, key: str = "encounter_id",
-              label: str = "target") -> DataFrame:
-    """``runs`` reseeded k-fold CVs: AUC per (run, fold)."""
-    from riskframe.operators.features import stratified_folds
+def stability(df: DataFrame, make_estimator: Callable, runs: int = STABILITY_RUNS, k: int = STABILITY_FOLDS,
+              key: str = "encounter_id", label: str = "target", importance: Callable | None = None
+              ) -> tuple[DataFrame, DataFrame | None]:
+    """``runs`` reseeded k-fold CVs: AUC per (run, fold); with ``importance(model) -> {feature: value}`` also, per
+    feature, mean and std over all fits and its place by std (1: the steadiest)."""
     spark = df.sparkSession
-    folds = {r: stratified_folds(df, label, key, k, seed=1000 + r, name="_sf") for r in range(runs)}
+    folds = [cut_lineage(stratified_folds(df, label, key, k, seed=1000 + r, name="_sf")) for r in range(runs)]
 
     def one(job):
         r, i = job
-        f = folds[r]
-        m = make_estimator().fit(f.where(F.col("_sf") != i))
-        auc = M.roc_auc(predict(m, f.where(F.col("_sf") == i), keep=[label]), label, "score").first()[0]
-        return (r, i, float(auc))
-    rows = parallel_map(one, [(r, i) for r in range(runs) for i in range(k)])
-    return spark.createDataFrame(rows, "run int, fold int, roc_auc double")
+        m = make_estimator().fit(folds[r].where(F.col("_sf") != i))
+        auc = M.roc_auc(predict(m, folds[r].where(F.col("_sf") == i), keep=[label]), label, "score").first()[0]
+        return (r, i, float(auc)), [(f, float(v)) for f, v in importance(m).items()] if importance else []
+    done = parallel_map(one, [(r, i) for r in range(runs) for i in range(k)])
+    scores = spark.createDataFrame([d[0] for d in done], "run int, fold int, roc_auc double")
+    if importance is None:
+        return scores, None
+    long = spark.createDataFrame([x for d in done for x in d[1]], "feature string, value double")
+    steady = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    return scores, steady.withColumn("stability_rank", F.row_number().over(Window.orderBy("std", "feature")))   # one row a feature
 
 
 def stability_summary(runs: DataFrame) -> DataFrame:
@@ -223,14 +215,13 @@ def stability_summary(runs: DataFrame) -> DataFrame:
 
 # V9 -------------------------------------------------------------------------------
 def verdicts(summary: DataFrame) -> DataFrame:
-    """Verdict rows from a CV summary: stability grade by CV, spread by std."""
-    cv = F.col("stability")
-    return summary.where(F.col("side") == "test").select(
+    """Verdict rows from a CV summary: stability grade by CV, spread by std, risk of overfitting by the gap between the
+    training and the test mean (null where the summary has no training side)."""
+    cv, std, gap = F.col("stability"), F.col("std"), F.col("gap")
+    rows = summary.where(F.col("side") == "test").join(overfitting(summary), "metric", "left")
+    return rows.select(
         "metric", "mean", "std", F.when(cv < STABILITY_CV_HIGH, "high").when(cv < STABILITY_CV_MED, "medium")
         .otherwise("low").alias("stability_verdict"),
-        F.when(F.col("std") < 0.05, "consistent").otherwise("variable").alias("spread_verdict"))
-
-
-def ci(mean: float, std: float, k: int) -> tuple[float, float]:
-    h = 1.96 * std / math.sqrt(k)
-    return mean - h, mean + h
+        F.when(std < SPREAD_LOW, "consistent").when(std < SPREAD_MED, "moderately variable").otherwise("highly variable")
+        .alias("spread_verdict"),
+        F.when(gap < OVERFIT_LOW, "low").when(gap < OVERFIT_MED, "moderate").when(gap.isNotNull(), "high").alias("overfit_verdict"))

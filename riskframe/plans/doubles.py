@@ -51,6 +51,7 @@ DOUBLE_COLUMNS = {
     'f3_split_balance': ['rate', 'max_gap'],
     'f4_standard_scaling': ['time_in_hospital', 'num_lab', 'num_med', 'num_proc', 'total_procedures'],
     'f5_scaling_drift': ['train_mean', 'test_mean', 'train_std', 'test_std', 'mean_gap'],
+    'f6_vector_pipeline': ['feature_sum'],
     'f8_balanced_weights': ['weight'],
     'j2_coverage': ['coverage'],
     'm10_score_distribution': ['mean', 'std', 'separation'],

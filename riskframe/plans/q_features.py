@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import hash_order_sql
@@ -121,11 +123,24 @@ def f8(spark, sf):
 
 
 # F6 (vector path; rows-only)
-@register("f6_vector_pipeline")
+_F6_CAT, _F6_NUM = ONEHOT + ["specialty"], ["num_lab", "num_med", "num_proc"]
+
+
+def _f6_sql():
+    z = " + ".join(f"coalesce((CAST({q(c)} AS DOUBLE) - s.m_{c}) / coalesce(nullif(s.s_{c}, 0), 1), 0)" for c in _F6_NUM)
+    seen = " + ".join(f"CAST(coalesce(list_contains(s.v_{c}[2:], {q(c)}), false) AS INTEGER)" for c in _F6_CAT)
+    slots = " + ".join(f"len(s.v_{c}) - 1" for c in _F6_CAT)
+    stats = ", ".join([f"avg(CAST({q(c)} AS DOUBLE)) AS m_{c}, stddev_pop(CAST({q(c)} AS DOUBLE)) AS s_{c}" for c in _F6_NUM]
+                      + [f"list_sort(list(DISTINCT {q(c)}) FILTER ({q(c)} IS NOT NULL)) AS v_{c}" for c in _F6_CAT])
+    return clean_sql(f"SELECT encounter_id, split, CAST({len(_F6_NUM)} + {slots} AS INTEGER) AS n_features, {z} + {seen} AS feature_sum "
+                     "FROM split_t, s", SPLIT_SQL + f", s AS (SELECT {stats} FROM split_t WHERE split = 'train')")
+
+
+@register("f6_vector_pipeline", _f6_sql())
 def f6(spark, sf):
     from pyspark.ml.functions import vector_to_array
     s = split_frame(spark, sf)
-    pipe = FE.vector_pipeline(ONEHOT + ["specialty"], ["num_lab", "num_med", "num_proc"], scale=True)
+    pipe = FE.vector_pipeline(_F6_CAT, _F6_NUM)
     model = pipe.fit(s.where("split = 'train'"))
     t = model.transform(s)
     arr = vector_to_array("features")
@@ -149,7 +164,8 @@ LATERAL (VALUES ('columns_before', {float(n)}), ('columns_after', CAST({n} - {le
 def f10(spark, sf):
     c = clean_enc(spark, sf)
     enc = FE.one_hot(c, ONEHOT)
-    return FE.processing_report(c, enc, ONEHOT, [])
+    from riskframe.operators.clean import column_partition
+    return FE.processing_report(c, enc, column_partition(c.select(*ONEHOT)))
 
 
 # feature / target separation with checks (assembled vector + rule counts)
@@ -159,9 +175,25 @@ def f10(spark, sf):
     f"{len(SCALE) + 2} AS n_features FROM clean"))
 def f2(spark, sf):
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
     c = clean_enc(spark, sf)
     feats = [x for x in SCALE + ["long_stay", "medication_changed"]]
     v = VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep").transform(c)
     return v.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("target").isNull()).alias("null_targets"),
                  F.count_if(~F.coalesce(F.col("target").isin(0, 1), F.lit(False))).alias("non_binary"),
-                 F.avg("target").alias("positive_rate")).withColumn("n_features", F.lit(len(feats)))
+                 F.avg("target").alias("positive_rate"), F.max(F.size(vector_to_array("features"))).alias("n_features"))
+
+
+# synthetic minority rows among the training rows (their number, and none outside the minority's range)
+@register("f9_oversample", clean_sql(f"""
+SELECT target, false AS synthetic, n, 0 AS outside FROM c
+UNION ALL SELECT (SELECT target FROM c ORDER BY n, target LIMIT 1), true, (SELECT max(n) - min(n) FROM c), 0""",
+    SPLIT_SQL + ", c AS (SELECT target, count(*) AS n FROM split_t WHERE split = 'train' GROUP BY target)"))
+def f9(spark, sf):
+    cols = ["num_lab", "num_med", "num_proc"]
+    s = split_frame(spark, sf).where("split = 'train'")
+    out = FE.oversample(s, cols, "target", "encounter_id")
+    real = out.where("NOT synthetic").groupBy("target").agg(*[f(c).alias(f"{n}_{c}") for c in cols for n, f in (("lo", F.min), ("hi", F.max))])
+    j = out.join(F.broadcast(real), "target")            # one row a class
+    outside = reduce(lambda a, b: a | b, [~F.col(c).between(F.col(f"lo_{c}") - 1e-9, F.col(f"hi_{c}") + 1e-9) for c in cols])
+    return j.groupBy("target", "synthetic").agg(F.count("*").alias("n"), F.count_if(outside).cast("int").alias("outside"))

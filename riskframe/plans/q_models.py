@@ -6,6 +6,9 @@ a fixed score column or as a closed-form aggregate has a SQL oracle.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import hash_order_sql, poisson1_sql, uniform_sql
@@ -21,16 +24,16 @@ from riskframe.session import cut_lineage
 CAT = ["race", "gender", "age", "specialty"]
 NUMF = ["num_lab", "num_med", "num_proc", "total_procedures", "long_stay", "medication_changed"]
 H = hash_order_sql(42, "encounter_id")
+L4_CANDIDATES = 4
+RFE_MIN = 2                   # of the few numeric columns here; the operator's default is the reference's ten
 
 
-def model_table(spark, sf, folds: int = 5):
-    """Cleaned rows -> stratified split -> folds -> balanced weights -> fitted vector pipeline (train-only fit)."""
+def model_table(spark, sf):
+    """Cleaned rows -> stratified split -> balanced weights and vector pipeline, both fitted on the training rows."""
     s = FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id")
-    s = FE.stratified_folds(s, "target", "encounter_id", folds)
-    s = FE.balanced_weights(s, "target")
-    pipe = FE.vector_pipeline(CAT, NUMF, scale=True)
-    prep = pipe.fit(s.where("split = 'train'"))
-    t = prep.transform(s).select("encounter_id", "target", "split", "fold", "weight", "features", *NUMF)
+    s = cut_lineage(FE.balanced_weights(s, "target", split="split"))
+    prep = FE.vector_pipeline(CAT, NUMF).fit(s.where("split = 'train'"))
+    t = prep.transform(s).select("encounter_id", "target", "split", "weight", "features", *NUMF)
     # many fits read this table: cut the lineage once (reliable checkpoint in the shared checkpoint folder)
     return cut_lineage(t), prep
 
@@ -40,26 +43,27 @@ def _train_test(spark, sf):
     return t.where("split = 'train'"), t.where("split = 'test'"), prep
 
 
-def _lr(total_w, C=1.0, penalty="l2", weight="weight"):
-    return MD.logistic(weight=weight, C=C, penalty=penalty, total_weight=total_w)
+def _train_folds(spark, sf, k):
+    """Training rows in ``k`` balanced folds of their own."""
+    return cut_lineage(FE.stratified_folds(_train_test(spark, sf)[0], "target", "encounter_id", k))
 
 
-def _total_w(df):
-    return df.agg(F.sum("weight")).first()[0]
+def _lr(**settings):
+    return MD.logistic(**settings)
 
 
 # L1 / L5
 @register("l1_logistic_test_scores")
 def l1(spark, sf):
     tr, te, _ = _train_test(spark, sf)
-    m = _lr(_total_w(tr)).fit(tr)
+    m = _lr().fit(tr)
     return MD.predict(m, te, keep=["encounter_id", "target"])
 
 
 @register("l1_logistic_test_metrics")
 def l1m(spark, sf):
     tr, te, _ = _train_test(spark, sf)
-    m = _lr(_total_w(tr)).fit(tr)
+    m = _lr().fit(tr)
     return M.all_metrics(MD.predict(m, te, keep=["target"]), "target", "score", 0.5)
 
 
@@ -76,10 +80,9 @@ def l3(spark, sf):
 def l6(spark, sf):
     from pyspark.ml import Pipeline
     from riskframe.session import scratch_path
-    s = FE.balanced_weights(FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id"), "target")
-    stages = FE.vector_pipeline(CAT, NUMF, scale=True).getStages()
+    s = FE.balanced_weights(FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id"), "target", split="split")
     tr = s.where("split = 'train'")
-    full = Pipeline(stages=stages + [_lr(_total_w(tr))]).fit(tr)
+    full = Pipeline(stages=[FE.vector_pipeline(CAT, NUMF), _lr()]).fit(tr)
     path = scratch_path(spark, "model")
     MD.save_model(full, path, {"features": CAT + NUMF, "threshold": 0.5, "kind": "logistic"})
     loaded, meta = MD.load_model(path)
@@ -90,7 +93,7 @@ def l6(spark, sf):
 @register("l7_coefficient_importance")
 def l7(spark, sf):
     tr, _, _ = _train_test(spark, sf)
-    m = _lr(_total_w(tr)).fit(tr)
+    m = _lr().fit(tr)
     return MD.coefficient_importance(m, MD.feature_names(tr), top=10)
 
 
@@ -104,28 +107,16 @@ def l8(spark, sf):
 # L2
 @register("l2_grid_search")
 def l2(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    est = _lr(tw)
-    grid = MD.lr_grid(est, [0.01, 1.0], ["l1", "l2"], tw)
-    cvm = MD.grid_search_cv(est, grid, tr, parallelism=4)
-    rows = [(i, float(g[est.regParam]), float(g[est.elasticNetParam]), float(a))
-            for i, (g, a) in enumerate(zip(grid, cvm.avgMetrics))]
-    return spark.createDataFrame(rows, "candidate int, reg_param double, elastic_net double, mean_auc double")
+    return MD.search_cv(_train_folds(spark, sf, MD.SEARCH_FOLDS), lambda p: _lr(**p), MD.lr_grid())
 
 
-# L4 / S9
+# Four of the reference's grid points here (its whole search is the operator's default)
 @register("l4_random_search")
 def l4(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    # the search operator over a compact grid (same parameter names as the reference grid, smaller forests)
-    grid = {"numTrees": [20, 40], "maxDepth": [5, 10, None], "min_samples_split": [5, 15], "min_samples_leaf": [2, 6],
-            "featureSubsetStrategy": ["sqrt", "log2"]}
-    cands = MD.sample_grid(grid, 2, seed=42)
-    folds = tr.withColumn("fold", F.col("fold") % 3)
-    res = MD.random_search(folds, lambda p: MD.forest(**p), cands, 3)
     from riskframe.session import scratch_path
     from riskframe.sources import io
+    cands = MD.sample_grid(MD.RF_GRID, L4_CANDIDATES)
+    res = MD.search_cv(_train_folds(spark, sf, MD.SEARCH_FOLDS), lambda p: MD.forest(**p), cands)
     path = scratch_path(spark, "cv-results")          # S9: the search-result sink, read back
     io.write_table(res, path, "json")
     return spark.read.json(path)
@@ -172,7 +163,7 @@ def v2f(spark, sf):
 @register("v9_verdicts_fixed_score", scored_sql(
     "SELECT metric, round(mean, 6) AS mean, round(std, 6) AS std, CASE WHEN stability < 0.05 THEN 'high' "
     "WHEN stability < 0.1 THEN 'medium' ELSE 'low' END AS stability_verdict, CASE WHEN std < 0.05 THEN 'consistent' "
-    "ELSE 'variable' END AS spread_verdict FROM cvs", FOLD_SQL))
+    "WHEN std < 0.1 THEN 'moderately variable' ELSE 'highly variable' END AS spread_verdict, CAST(NULL AS VARCHAR) AS overfit_verdict FROM cvs", FOLD_SQL))
 def v9(spark, sf):
     return _r6(V.verdicts(V.summarize_cv(_fixed_fold_frame(spark, sf))))
 
@@ -180,35 +171,25 @@ def v9(spark, sf):
 # V2 / V3 / V4 with fitted models (rows)
 @register("v2_cross_validate_logistic")
 def v2(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    return V.summarize_cv(V.cross_validate(tr, lambda: _lr(tw), 5))
+    return V.summarize_cv(V.cross_validate(_train_folds(spark, sf, 5), _lr, 5))
 
 
 @register("v3_quick_validation")
 def v3(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    f3 = tr.withColumn("fold", F.col("fold") % 3)
-    return V.summarize_cv(V.cross_validate(f3, lambda: _lr(tw), 3))
+    return V.summarize_cv(V.cross_validate(_train_folds(spark, sf, 3), _lr, 3))
 
 
 @register("v4_comprehensive_cv")
 def v4(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    s = V.summarize_cv(V.cross_validate(tr, lambda: _lr(tw), 5, with_train=True))
-    return s.join(V.overfitting(s), "metric")
+    s = V.summarize_cv(V.cross_validate(_train_folds(spark, sf, V.CV_FOLDS), _lr, with_train=True))
+    return s.join(V.overfitting(s), "metric", "left").join(
+        V.verdicts(s).select("metric", "stability_verdict", "spread_verdict", "overfit_verdict"), "metric", "left")
 
 
 # V5
 @register("v5_nested_cv")
 def v5(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    f3 = tr.withColumn("fold", F.col("fold") % 3)
-    grid = [{"C": 0.01}, {"C": 1.0}]
-    nested = V.nested_cv(f3, lambda p: _lr(tw, C=p["C"]), grid, 3, 2)
+    nested = V.nested_cv(_train_folds(spark, sf, V.NESTED_OUTER), lambda p: _lr(**p), MD.lr_grid())
     summ, freq = V.nested_summary(nested)
     return nested.join(freq, "best_params").withColumns(
         {c: summ.select(c).scalar() for c in ("mean", "ci_low", "ci_high")})
@@ -251,23 +232,29 @@ def v6s(spark, sf):
 @register("v6_bootstrap_models")
 def v6(spark, sf):
     tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    return V.bootstrap_models(tr, lambda wcol: _lr(tw, weight=wcol), 3)
+    return V.bootstrap_summary(V.bootstrap_models(tr, lambda w: _lr(weight=w)), V.CV_METRICS)
 
 
 # V7 / V8
 @register("v7_learning_curve")
 def v7(spark, sf):
+    return V.learning_curve(_train_folds(spark, sf, V.CURVE_FOLDS), _lr)
+
+
+def _stability(spark, sf):
     tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    return V.learning_curve(tr.withColumn("fold", F.col("fold") % 3), lambda: _lr(tw), [0.3, 0.6, 1.0], 3)
+    names = MD.feature_names(tr)
+    return V.stability(tr, _lr, importance=lambda m: dict(zip(names, map(abs, m.coefficients.toArray().tolist()))))
 
 
 @register("v8_stability")
 def v8(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
-    tw = _total_w(tr)
-    return V.stability_summary(V.stability(tr, lambda: _lr(tw), 2, 3))
+    return V.stability_summary(_stability(spark, sf)[0])
+
+
+@register("v8_importance_stability")
+def v8i(spark, sf):
+    return _stability(spark, sf)[1]
 
 
 # X3 ANOVA F (SQL oracle)
@@ -334,63 +321,67 @@ def x7(spark, sf):
     return s.select("feature_a", "feature_b", F.round("corr", 6).alias("corr"))
 
 
-# X9 linear Shapley (fitted coefficients; rows)
+# X1-X11 share one preparation: training rows fit the scaling, the weights and the models, test rows are explained
+def _numeric(spark, sf, columns, folds=None):
+    """(training rows, test rows, assemble): ``assemble(columns)`` gives a pipeline that scales raw columns (null: the
+    training mean) into the feature vector; ``fold`` numbers the training rows where asked for."""
+    s = FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id")
+    s = cut_lineage(FE.balanced_weights(s, "target", split="split").select("encounter_id", "target", "split", "weight", *columns))
+    tr, te = s.where("split = 'train'"), s.where("split = 'test'")
+    if folds:
+        tr = cut_lineage(FE.stratified_folds(tr, "target", "encounter_id", folds))
+    return tr, te, lambda cols: FE.vector_pipeline([], cols).fit(tr)
+
+
+def _vectors(prep, df):
+    return prep.transform(df.drop("features", *[c for c in df.columns if c.endswith("__z")]))
+
+
 @register("x9_linear_shap")
 def x9(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    c = FE.balanced_weights(clean_enc(spark, sf), "target")
-    va = VectorAssembler(inputCols=XV, outputCol="features")
-    m = MD.logistic(total_weight=None, C=1.0).fit(va.transform(c))
-    return X.linear_shap(c, XV, m.coefficients.toArray().tolist())
+    tr, te, assemble = _numeric(spark, sf, XN)
+    prep = assemble(XN)
+    m = _lr().fit(_vectors(prep, tr))
+    shap = X.linear_shap(_vectors(prep, te), [f"{c}__z" for c in XN], m.coefficients.toArray().tolist())
+    return shap.withColumn("feature", F.regexp_replace("feature", "__z$", ""))
 
 
-# X2 / X11 permutation importance and side-by-side with impurity (rows)
-def _raw_numeric_models(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    c = cut_lineage(FE.balanced_weights(clean_enc(spark, sf), "target"))
-    va = VectorAssembler(inputCols=XV, outputCol="features")
-    return c, va
+# X2 / X11 permutation importance on the test rows, and side by side with impurity (rows)
+def _permuted(spark, sf):
+    tr, te, assemble = _numeric(spark, sf, XN)
+    prep = assemble(XN)
+    m = MD.forest(**MD.PRESETS["fast"]).fit(_vectors(prep, tr))
+    return m, X.permutation_importance(m, te, XN, lambda df: _vectors(prep, df), "encounter_id")
 
 
 @register("x2_permutation_importance")
 def x2(spark, sf):
-    c, va = _raw_numeric_models(spark, sf)
-    m = MD.forest(**MD.PRESETS["fast"]).fit(va.transform(c))
-    return X.permutation_importance(m, c, XV, va.transform, "encounter_id", repeats=2)
+    return _permuted(spark, sf)[1]
 
 
 @register("x11_impurity_vs_permutation")
 def x11(spark, sf):
-    c, va = _raw_numeric_models(spark, sf)
-    m = MD.forest(**MD.PRESETS["fast"]).fit(va.transform(c))
-    imp = X.ranked(MD.impurity_importance(m, XV), "importance", "impurity", "forest")
-    per = X.ranked(X.permutation_importance(m, c, XV, va.transform, "encounter_id", repeats=2),
-                   "importance_mean", "permutation", "forest")
-    return X.side_by_side(imp, per, "impurity", "permutation")
+    m, permuted = _permuted(spark, sf)
+    imp = X.ranked(MD.impurity_importance(m, XN), "importance", "impurity", "forest")
+    return X.side_by_side(imp, X.ranked(permuted, "importance_mean", "permutation", "forest"), "impurity", "permutation")
 
 
 # X1 / X10 / A22 multi-method importance table and its ranking (rows)
 def _importance_long(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    c = FE.balanced_weights(clean_enc(spark, sf), "target")
-    va = VectorAssembler(inputCols=XN, outputCol="features", handleInvalid="skip")
-    v = va.transform(c)
-    lr = MD.logistic(C=1.0).fit(v)
-    rf = MD.forest(**MD.PRESETS["fast"]).fit(v)
     from riskframe.operators.explore import target_correlations
-    parts = [X.ranked(MD.coefficient_importance(lr, XN).select("feature", F.col("abs_coefficient").alias("v")), "v",
-                      "coefficient", "logistic"),
-             X.ranked(MD.impurity_importance(rf, XN).select("feature", F.col("importance").alias("v")), "v",
-                      "impurity", "forest"),
-             X.ranked(target_correlations(c, XN).select(F.col("column").alias("feature"), F.col("abs_corr").alias("v")),
-                      "v", "correlation", ""),
-             X.ranked(X.anova_f(c, XN).select("feature", F.col("f_stat").alias("v")), "v", "anova_f", ""),
-             X.ranked(X.mutual_information(c, XN, bins=10).select("feature", F.col("mutual_info").alias("v")), "v",
-                      "mutual_info", "")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tr, te, assemble = _numeric(spark, sf, XN)
+    prep = assemble(XN)
+    v = _vectors(prep, tr)
+    lr, rf = _lr().fit(v), MD.forest(**MD.PRESETS["fast"]).fit(v)
+    shap = X.linear_shap(_vectors(prep, te), [f"{c}__z" for c in XN], lr.coefficients.toArray().tolist())
+    parts = [(MD.coefficient_importance(lr, XN), "abs_coefficient", "coefficient", "logistic"),
+             (MD.impurity_importance(rf, XN), "importance", "impurity", "forest"),
+             (X.permutation_importance(rf, te, XN, lambda df: _vectors(prep, df), "encounter_id"), "importance_mean", "permutation", "forest"),
+             (shap.withColumn("feature", F.regexp_replace("feature", "__z$", "")), "mean_abs_shap", "shap", "logistic"),
+             (target_correlations(tr, XN).withColumnRenamed("column", "feature"), "abs_corr", "correlation", ""),
+             (X.anova_f(tr, XN), "f_stat", "anova_f", ""),
+             (X.mutual_information(tr, XN, bins=10), "mutual_info", "mutual_info", "")]
+    return reduce(DataFrame.unionByName, [X.ranked(df.select("feature", value), value, method, model) for df, value, method, model in parts])
 
 
 @register("x1_importance_table")
@@ -407,47 +398,59 @@ def a22(spark, sf):
 
 @register("x10_feature_summary")
 def x10(spark, sf):
-    long = _importance_long(spark, sf)
-    return long.where(F.col("rank") <= 3).groupBy("feature").agg(F.count(F.lit(1)).alias("top3_methods"),
-                                                                  F.avg("rank").alias("mean_rank"))
+    """Per feature: methods that rank it in their first three, mean rank, VIF, its strongest product term with another,
+    verdict of its stability, and its ranking by elimination."""
+    ranks = _importance_long(spark, sf).groupBy("feature").agg(F.count_if(F.col("rank") <= 3).alias("top3_methods"),
+                                                               F.avg("rank").alias("mean_rank"))
+    c = clean_enc(spark, sf)
+    pairs = X.interaction_screen(c, XN)
+    both = pairs.select(F.explode(F.array("feature_a", "feature_b")).alias("feature"), F.abs("corr").alias("c"))
+    strongest = both.groupBy("feature").agg(F.max("c").alias("strongest_interaction"))
+    return ranks.join(X.vif(c, XN), "feature").join(strongest, "feature") \
+        .join(_importance_stability(spark, sf).select("feature", F.col("verdict").alias("stability")), "feature") \
+        .join(_rfe(spark, sf, XN)[1].select("feature", F.col("ranking").alias("rfe_ranking")), "feature")
 
 
 # X5 RFE with CV (rows)
-@register("x5_rfe_cv")
-def x5(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    c = FE.stratified_folds(FE.balanced_weights(clean_enc(spark, sf), "target"), "target", "encounter_id", 3)
-    c = cut_lineage(c)
-    feats = ["num_lab", "num_med", "num_proc", "total_procedures", "long_stay", "medication_changed"]
+def _cv_auc(tr, prep, folds):
+    per_fold = V.cross_validate(cut_lineage(_vectors(prep, tr)), _lr, folds).where("metric = 'roc_auc' AND side = 'test'")
+    return V.summarize_cv(per_fold).select("mean", "std").first()
 
-    def assemble(cols):
-        return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(c)
+
+def _rfe(spark, sf, feats):
+    tr, _, assemble = _numeric(spark, sf, feats, folds=5)
 
     def importance(cols):
-        m = MD.logistic(C=1.0).fit(assemble(cols))
-        return {f: abs(v) for f, v in zip(cols, m.coefficients.toArray().tolist())}
+        m = _lr().fit(_vectors(assemble(cols), tr))
+        return dict(zip(cols, map(abs, m.coefficients.toArray().tolist())))
+    return X.rfe_cv(tr, feats, importance, lambda cols: _cv_auc(tr, assemble(cols), 5), step=1, min_features=RFE_MIN)
+
+
+@register("x5_rfe_cv")
+def x5(spark, sf):
+    return _rfe(spark, sf, list(dict.fromkeys(NUMF + XN)))[0]
+
 
-    def cv_auc(cols):
-        v = assemble(cols)
-        s = V.summarize_cv(V.cross_validate(v, lambda: MD.logistic(C=1.0), 3))
-        return s.where("metric = 'roc_auc'").select("mean").first()[0]
-    return X.rfe_cv(c, feats, importance, cv_auc, step=1, min_features=3)
+@register("x5_rfe_ranking")
+def x5r(spark, sf):
+    return _rfe(spark, sf, list(dict.fromkeys(NUMF + XN)))[1]
 
 
 # X8 importance stability under bootstrap (rows)
+def _importance_stability(spark, sf):
+    tr, _, assemble = _numeric(spark, sf, XN)
+    v = cut_lineage(_vectors(assemble(XN), tr))
+
+    def one(b):
+        w = V.bootstrap_weights(v, "encounter_id", b).withColumn("bw", F.col("bw") * F.col("weight"))
+        m = _lr(weight="bw").fit(w.where("bw > 0"))
+        return X.ranked(MD.coefficient_importance(m, XN), "abs_coefficient", "coefficient", f"b{b}")
+    return X.importance_stability(reduce(DataFrame.unionByName, MD.parallel_map(one, range(X.STABILITY_RESAMPLES))))
+
+
 @register("x8_importance_stability")
 def x8(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    c = FE.balanced_weights(clean_enc(spark, sf), "target")
-    va = VectorAssembler(inputCols=XN, outputCol="features", handleInvalid="skip")
-    longs = None
-    for b in range(4):
-        w = V.bootstrap_weights(va.transform(c), "encounter_id", b).withColumn("bw", F.col("bw") * F.col("weight"))
-        m = MD.logistic(C=1.0, weight="bw").fit(w.where("bw > 0"))
-        r = X.ranked(MD.coefficient_importance(m, XN).select("feature", F.col("abs_coefficient").alias("v")), "v",
-                     "coefficient", f"b{b}")
-        longs = r if longs is None else longs.unionByName(r)
-    return X.importance_stability(longs)
+    return _importance_stability(spark, sf)
 
 
 # L6 on a stream: the fitted pipeline scores test rows arriving as parquet files (rows)
@@ -456,9 +459,9 @@ def l6s(spark, sf):
     from pyspark.ml import Pipeline
     from riskframe.session import scratch_path
     from riskframe.streaming.scoring import score_stream
-    s = FE.balanced_weights(FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id"), "target")
+    s = FE.balanced_weights(FE.stratified_split(clean_enc(spark, sf), "target", "encounter_id"), "target", split="split")
     tr = s.where("split = 'train'")
-    full = Pipeline(stages=FE.vector_pipeline(CAT, NUMF, scale=True).getStages() + [_lr(_total_w(tr))]).fit(tr)
+    full = Pipeline(stages=[FE.vector_pipeline(CAT, NUMF), _lr()]).fit(tr)
     src = scratch_path(spark, "stream-src")
     te = s.where("split = 'test'").drop("weight")
     te.repartition(4).write.parquet(src)
@@ -469,36 +472,28 @@ def l6s(spark, sf):
     return spark.read.parquet(sink)
 
 
-# X7 interaction gain: the two strongest product terms of the screen, 3-fold CV AUC gain (rows)
+# X7 interaction gain: 3-fold CV AUC gain of every product term (rows)
 @register("x7_interaction_gain")
 def x7g(spark, sf):
-    from pyspark.ml.feature import VectorAssembler
-    c = FE.stratified_folds(FE.balanced_weights(clean_enc(spark, sf), "target"), "target", "encounter_id", 3)
-    scr = X.interaction_screen(c, XI).where(F.col("corr").isNotNull()) \
-        .orderBy(F.desc(F.abs("corr")), "feature_a", "feature_b").limit(2).collect()
-    pairs = [(r["feature_a"], r["feature_b"]) for r in scr]
-
-    def cv_auc(frame, cols):
-        v = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip").transform(frame)
-        s = V.summarize_cv(V.cross_validate(v, lambda: MD.logistic(C=1.0), 3))
-        return s.where("metric = 'roc_auc'").select("mean").first()[0]
-    return X.interaction_gain(c, pairs, XI, cv_auc)
+    tr, _, _ = _numeric(spark, sf, XI, folds=3)
+    pairs = [(a, b) for i, a in enumerate(XI) for b in XI[i + 1:]]
+    return X.interaction_gain(tr, pairs, XI, lambda frame, cols: _cv_auc(frame, FE.vector_pipeline([], cols).fit(frame), 3)[0])
 
 
 # L3 out-of-bag score of a bagged forest (rows)
 @register("l3_forest_oob_score")
 def l3oob(spark, sf):
     tr, _, _ = _train_test(spark, sf)
-    oob = MD.oob_forest(tr, "encounter_id", 8, **MD.PRESETS["fast"])
+    oob = MD.oob_forest(tr, "encounter_id", MD.PRESETS["fast"]["numTrees"], **MD.PRESETS["fast"])
     return M.all_metrics(oob, "target", "score", 0.5).withColumn("oob_rows", oob.agg(F.count(F.lit(1))).scalar())
 
 
 # X9 for a non-linear model: sampled-permutation Shapley values of the forest (rows)
 @register("x9_forest_shap")
 def x9f(spark, sf):
-    tr, _, _ = _train_test(spark, sf)
+    tr, te, _ = _train_test(spark, sf)
     m = MD.forest(**MD.PRESETS["fast"]).fit(tr)
     names = MD.feature_names(tr)
-    shap = X.permutation_shap(m, tr, "encounter_id", fraction=0.1, permutations=4)
+    shap = X.permutation_shap(m, te, "encounter_id")
     name_df = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "feature_index int, feature string")
-    return shap.join(F.broadcast(name_df), "feature_index").select("feature", "mean_abs_shap", "mean_shap")
+    return shap.join(F.broadcast(name_df), "feature_index").select("feature", "mean_abs_shap", "mean_shap", "rows_explained")

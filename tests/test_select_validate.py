@@ -114,14 +114,14 @@ def test_permutation_shap_is_efficient(spark, data):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
-    from riskframe.functions.core import uniform
+    from riskframe.functions.core import hash_order
     rows, df = data
     v = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df)
     m = LogisticRegression(labelCol="target", maxIter=20).fit(v)
-    shap = X.permutation_shap(m, v, "key", fraction=0.3, permutations=3)
+    shap = X.permutation_shap(m, v, "key", rows=40, permutations=3)
     total = sum(r["mean_shap"] for r in shap.collect())
     bg = v.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray().tolist()
-    sample = v.where(uniform("shap42", F.col("key")) < 0.3)
+    sample = v.orderBy(hash_order("shap42", F.col("key")), "key").limit(40)
     fx = m.transform(sample).select(vector_to_array("probability")[1].alias("p")).agg(F.avg("p")).first()[0]
     bgdf = spark.createDataFrame([(bg,)], "x array<double>").select(array_to_vector("x").alias("features"))
     fb = m.transform(bgdf).select(vector_to_array("probability")[1]).first()[0]
