@@ -181,17 +181,19 @@ def drop_ids_with_twin(df: DataFrame, id_suffix: str = "_id", desc_suffix: str =
 def near_unique_columns(df: DataFrame, ratio: float = 0.9, approx: bool = False) -> DataFrame:
     """Long rows ``(column, distinct, rows, ratio, near_unique)`` over string/integer columns.
 
-    One aggregate; ``approx=True`` uses HyperLogLog++ (bounded memory at scale).
+    Exact counts by a two-level count; ``approx=True`` takes HyperLogLog++ estimates, in one aggregate.
     """
+    from riskframe.operators.explore import distinct_counts
     from riskframe.functions.core import is_integral_type
     cols = [f.name for f in df.schema.fields if is_string_type(f.dataType) or is_integral_type(f.dataType)]
-    cd = F.approx_count_distinct if approx else F.count_distinct
-    agg = df.agg(F.count(F.lit(1)).alias("_n"), *[cd(qcol(c)).alias(c) for c in cols])
-    s = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), qcol(c).cast("bigint").alias("distinct"))
-                            for c in cols]))
-    return agg.select("_n", s.alias("s")).select(
-        "s.column", "s.distinct", F.col("_n").alias("rows"),
-        F.round(F.try_divide(F.col("s.distinct").cast("double"), F.col("_n")), 6).alias("ratio")) \
+    if approx:
+        agg = df.agg(*[F.approx_count_distinct(qcol(c)).alias(c) for c in cols])
+        found = agg.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), qcol(c).cast("bigint").alias("distinct"))
+                                               for c in cols])).alias("s")).select("s.*")
+    else:
+        found = distinct_counts(df, cols)
+    return found.withColumn("rows", df.agg(F.count(F.lit(1))).scalar()).select(
+        "column", "distinct", "rows", F.round(F.try_divide(F.col("distinct").cast("double"), F.col("rows")), 6).alias("ratio")) \
         .withColumn("near_unique", F.col("ratio") > ratio)
 
 
@@ -288,12 +290,11 @@ def drop_report(df: DataFrame, columns: Sequence[str], sentinel: str | None = SE
 
 
 def column_partition(df: DataFrame, exclude: Sequence[str] = (), threshold: int = 50) -> DataFrame:
-    """Rows ``(column, kind, distinct, high_cardinality)``; kind numeric or categorical (one aggregate)."""
+    """Rows ``(column, kind, distinct, high_cardinality)``; kind numeric or categorical."""
+    from riskframe.operators.explore import distinct_counts
     from riskframe.functions.core import is_numeric_type
     fields = [f for f in df.schema.fields if f.name not in set(exclude)]
-    agg = df.agg(*[F.count_distinct(qcol(f.name)).alias(f"_d{i}") for i, f in enumerate(fields)])
-    arr = F.array(*[F.struct(F.lit(f.name).alias("column"),
-                             F.lit("numeric" if is_numeric_type(f.dataType) else "categorical").alias("kind"),
-                             F.col(f"_d{i}").alias("distinct")) for i, f in enumerate(fields)])
-    return agg.select(F.explode(arr).alias("_s")).select("_s.*") \
+    numeric = [f.name for f in fields if is_numeric_type(f.dataType)]
+    kind = F.when(F.col("column").isin(numeric), "numeric").otherwise("categorical")
+    return distinct_counts(df, [f.name for f in fields]).select("column", kind.alias("kind"), "distinct") \
         .withColumn("high_cardinality", (F.col("kind") == "categorical") & (F.col("distinct") > threshold))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import qcol
+from riskframe.operators.lookup import bounded_broadcast
+from riskframe.session import cut_lineage
 
 
 def _not_null(cols: Sequence[str]) -> Column:
@@ -162,6 +164,15 @@ def long_categories(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     return df.select(*[qcol(k) for k in keep], F.explode(arr).alias("_s")).select(*[qcol(k) for k in keep], "_s.*")
 
 
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows ``(column, distinct)``: exact counts of distinct non-null values, counted per (column, value) and then per
+    column, so that rows are reduced before the shuffle and no task holds a column's values."""
+    empty = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    values = long_categories(df, columns).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("_n"))
+    found = values.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
+    return empty.join(found, "column", "left").select("column", F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"))
+
+
 def usage_summary(df: DataFrame, columns: Sequence[str], target: str = "target", none_value: str = "No") -> DataFrame:
     """Per indicator column: users (value != none), usage pct, mean target among users."""
     lv = long_categories(df, columns, [target])
@@ -237,7 +248,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30, by: Sequence[str] = ()
     j = df.select(*[qcol(b) for b in by], x.alias("_x")).where(F.col("_x").isNotNull())
     if by:
         rng = j.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))   # one row per group
-        j = j.join(rng, by)
+        j = j.join(bounded_broadcast(cut_lineage(rng)), by)
     else:
         j = j.withColumns({"_lo": j.agg(F.min("_x")).scalar(), "_hi": j.agg(F.max("_x")).scalar()})
     w = (F.col("_hi") - F.col("_lo")) / bins
@@ -260,7 +271,7 @@ def box_stats(df: DataFrame, column: str, by: str) -> DataFrame:
     from riskframe.operators.quantiles import quantiles_wide
     q = quantiles_wide(df, [column], [0.25, 0.5, 0.75], ["q1", "median", "q3"], by=[by])
     x = qcol(column).cast("double")
-    j = df.select(qcol(by), x.alias("_x")).where(F.col("_x").isNotNull()).join(q, [by])
+    j = df.select(qcol(by), x.alias("_x")).where(F.col("_x").isNotNull()).join(bounded_broadcast(cut_lineage(q)), [by])
     iqr = F.col("q3") - F.col("q1")
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(F.col("_x") >= F.col("q1") - 1.5 * iqr, F.col("_x"))).alias("whisker_lo"),

@@ -24,7 +24,6 @@ from riskframe.operators.ordered import rank_within
 # --- fixed values --------------------------------------------------------------
 TEST_SIZE = 0.2
 SEED = 42
-SCALE_MIN_DISTINCT = 3
 DRIFT_WARN = 0.5
 SMOTE_NEIGHBOURS = 5
 SMOTE_WINDOW = 20             # rows looked at on either side along each order
@@ -130,10 +129,11 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int
 
 # F4 / F5 --------------------------------------------------------------------------
 def scalable_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """Numeric columns with more than 2 distinct values (one aggregate)."""
+    """Numeric columns with more than 2 distinct values: some value is neither the least nor the greatest."""
     cols = list(columns) if columns else [f.name for f in df.schema.fields if is_numeric_type(f.dataType)]
-    row = df.agg(*[F.count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if row[f"_d{i}"] >= SCALE_MIN_DISTINCT]
+    ends = df.agg(*[f(qcol(c)) for c in cols for f in (F.min, F.max)]).first()
+    inside = df.agg(*[F.count_if((qcol(c) != F.lit(ends[2 * i])) & (qcol(c) != F.lit(ends[2 * i + 1]))) for i, c in enumerate(cols)]).first()
+    return [c for c, n in zip(cols, inside) if n]
 
 
 def fit_scaler(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.core import qcol, safe_ratio
 from riskframe.operators.ordered import running_sums
+from riskframe.session import cut_lineage
 
 # --- fixed values --------------------------------------------------------------
 LOG_EPS = 2.220446049250313e-16
@@ -81,7 +82,8 @@ def score_counts(df: DataFrame, label: str = "label", score: str = "score", weig
 
 
 def curve(df: DataFrame, label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
-    """One point per distinct threshold t (predict score >= t): tp, fp, tpr, fpr, precision, recall.
+    """One point per distinct threshold t (predict score >= t): tp, fp, tpr, fpr, precision, recall. The curves' end
+    points at no predictions are in :func:`with_end_points`.
 
     Running sums over descending score (ordered by the negated score).
     """
@@ -96,6 +98,13 @@ def curve(df: DataFrame, label: str = "label", score: str = "score", weight: str
                       safe_ratio(2 * F.col("tp"), F.col("tp") + F.col("fp") + tot_p).alias("f1"))
 
 
+def with_end_points(points: DataFrame) -> DataFrame:
+    """A curve and the point before its first threshold (infinite): nothing predicted, tpr and fpr 0, precision 1."""
+    start = {"threshold": float("inf"), "precision": 1.0}
+    first = points.agg(*[F.lit(start.get(c, 0.0)).cast(points.schema[c].dataType).alias(c) for c in points.columns])
+    return first.unionByName(points)
+
+
 # M4 -------------------------------------------------------------------------------
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
     """Trapezoidal ROC AUC = Mann-Whitney U with mid-ranks: sum pos(s) * (neg below s + neg(s)/2) / (P N)."""
@@ -124,7 +133,9 @@ def probability_losses(df: DataFrame, label: str = "label", score: str = "score"
 
 def all_metrics(df: DataFrame, label: str = "label", score: str = "score", threshold: float = DEFAULT_THRESHOLD,
                 digits: int = 6) -> DataFrame:
-    """One row: threshold metrics + AUC, AP, log loss, Brier (each from its own aggregate)."""
+    """One row: threshold metrics + AUC, AP, log loss, Brier. The rows are scored once: (label, score) is written to the
+    shared folder, and every metric reads that."""
+    df = cut_lineage(df.select(qcol(label).alias(label), qcol(score).alias(score)))
     base = classification_metrics(df, label, score, threshold, digits)
     return base.withColumns({
         "roc_auc": F.round(roc_auc(df, label, score).scalar(), digits),

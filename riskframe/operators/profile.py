@@ -172,9 +172,11 @@ def missing_patterns(df: DataFrame, columns: Sequence[str], top: int = 10) -> Da
 
 # B12 ------------------------------------------------------------------------------
 def nulls_per_row(df: DataFrame) -> DataFrame:
-    """Rows ``(nulls_in_row, rows)``."""
+    """Rows ``(nulls_in_row, rows, mean)``; mean nulls per row over the whole table."""
     k = sum((qcol(c).isNull().cast("int") for c in df.columns), F.lit(0))
-    return df.select(k.alias("nulls_in_row")).groupBy("nulls_in_row").agg(F.count(F.lit(1)).alias("rows"))
+    g = df.select(k.alias("nulls_in_row")).groupBy("nulls_in_row").agg(F.count(F.lit(1)).alias("rows"))
+    mean = g.agg(F.sum(F.col("nulls_in_row") * F.col("rows")) / F.sum("rows")).scalar()
+    return g.withColumn("mean", mean)
 
 
 # B13 ------------------------------------------------------------------------------
@@ -220,11 +222,6 @@ def basic_info(df: DataFrame, entity: str) -> DataFrame:
         .withColumn("columns", F.lit(len(df.columns)))
 
 
-def dtypes_frame(df: DataFrame) -> DataFrame:
-    return df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
-                                           "column string, dtype string")
-
-
 # B18 ------------------------------------------------------------------------------
 def validate_table(df: DataFrame, target: str, entity: str) -> DataFrame:
     """Rows ``(check, value, issue)`` for a cleaned table."""
@@ -274,25 +271,18 @@ def before_after(before: DataFrame, after: DataFrame, entity: str, target: str)
 
 # B20 ------------------------------------------------------------------------------
 def feature_summary(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """Rows ``(column, kind, nulls, distinct)``; kind numeric / binary / categorical."""
+    """Rows ``(column, kind, nulls, distinct)``; kind numeric / binary (both 0 and 1, nothing else) / categorical."""
+    from riskframe.operators.explore import distinct_counts
     fields = [f for f in df.schema.fields if f.name not in set(exclude)]
     aggs = []
     for i, f in enumerate(fields):
         c = qcol(f.name)
-        aggs += [F.count_if(c.isNull()).alias(f"_z{i}"), F.count_distinct(c).alias(f"_d{i}")]
-        if is_numeric_type(f.dataType):
-            aggs += [F.min(c).cast("double").alias(f"_lo{i}"), F.max(c).cast("double").alias(f"_hi{i}")]
-    a = df.agg(*aggs)
-    items = []
-    for i, f in enumerate(fields):
-        if is_numeric_type(f.dataType):
-            binary = (F.col(f"_d{i}") == 2) & (F.col(f"_lo{i}") == 0) & (F.col(f"_hi{i}") == 1)
-            kind = F.when(binary, "binary").when(F.col(f"_d{i}") < CATEGORICAL_MAX_DISTINCT, "categorical") \
-                .otherwise("numeric")
-        else:
-            kind = F.lit("categorical")
-        items.append((f.name, [("kind", kind), ("nulls", F.col(f"_z{i}")), ("distinct", F.col(f"_d{i}"))]))
-    return _explode_rows(a, items)
+        other = F.count_if((c != 0) & (c != 1)) if is_numeric_type(f.dataType) else F.lit(-1)
+        aggs += [F.count_if(c.isNull()).alias(f"_z{i}"), other.cast("bigint").alias(f"_o{i}")]
+    a = _explode_rows(df.agg(*aggs), [(f.name, [("nulls", F.col(f"_z{i}")), ("other", F.col(f"_o{i}"))]) for i, f in enumerate(fields)])
+    kind = F.when(F.col("other") < 0, "categorical").when((F.col("distinct") == 2) & (F.col("other") == 0), "binary") \
+        .when(F.col("distinct") < CATEGORICAL_MAX_DISTINCT, "categorical").otherwise("numeric")
+    return a.join(distinct_counts(df, [f.name for f in fields]), "column").select("column", kind.alias("kind"), "nulls", "distinct")
 
 
 # B21 ------------------------------------------------------------------------------

@@ -37,6 +37,7 @@ DOUBLE_COLUMNS = {
     'a9_strongest_predictor': ['abs_corr'],
     'a9_target_correlations': ['corr', 'abs_corr'],
     'b10_class_balance': ['share', 'imbalance_ratio'],
+    'b12_nulls_per_row': ['mean'],
     'b13_value_distribution': ['pct'],
     'b14_iqr_outliers': ['q1', 'q3', 'iqr', 'lower', 'upper', 'outlier_pct'],
     'b15_quality_score': ['mean_missing_pct', 'duplicate_pct', 'quality_score'],

@@ -276,9 +276,9 @@ def w2l(spark, sf):
 # W3
 @register("w3_full_row_duplicates", _staged_sql(
     "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM staged "
-    "GROUP BY race, gender, age, specialty, admission_type_id)"))
+    "GROUP BY ALL_COLUMNS)".replace("ALL_COLUMNS", ", ".join(q(c) for c in ENC_COLUMNS + ["target"]))))
 def w3(spark, sf):
-    return clean.full_row_duplicates(staged(spark, sf).select("race", "gender", "age", "specialty", "admission_type_id"))
+    return clean.full_row_duplicates(staged(spark, sf))
 
 
 # J1

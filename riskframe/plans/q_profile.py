@@ -172,7 +172,7 @@ def b11(spark, sf):
 # B12
 @register("b12_nulls_per_row", sql_with(STAGED_SQL, body=f"""
 SELECT {' + '.join(f'CAST({q(c)} IS NULL AS INTEGER)' for c in ENC_COLUMNS + ['target'])} AS nulls_in_row,
-       count(*) AS rows FROM staged GROUP BY 1"""))
+       count(*) AS rows, sum(nulls_in_row * count(*)) OVER () / sum(count(*)) OVER () AS mean FROM staged GROUP BY 1"""))
 def b12(spark, sf):
     return profile.nulls_per_row(staged(spark, sf))
 
@@ -277,14 +277,10 @@ def b19(spark, sf):
 
 
 # B20
-_B20 = ["time_in_hospital", "num_proc", "long_stay", "medication_changed", "race", "gender", "target",
-        "admission_type_id"]
-
-
 def _b20_sql() -> str:
-    from riskframe.plans.base import CLEAN_NUMERIC
+    from riskframe.plans.base import CLEAN_COLUMNS, CLEAN_NUMERIC
     parts = []
-    for c in _B20:
+    for c in CLEAN_COLUMNS:
         if c in CLEAN_NUMERIC:
             kind = (f"CASE WHEN count(DISTINCT {q(c)}) = 2 AND count(*) FILTER (WHERE {q(c)} NOT IN (0, 1)) = 0 THEN 'binary' "
                     f"WHEN count(DISTINCT {q(c)}) < 10 THEN 'categorical' ELSE 'numeric' END")
@@ -297,7 +293,7 @@ def _b20_sql() -> str:
 
 @register("b20_feature_summary", _b20_sql())
 def b20(spark, sf):
-    return profile.feature_summary(clean_enc(spark, sf).select(*[f"`{c}`" for c in _B20]))
+    return profile.feature_summary(clean_enc(spark, sf))
 
 
 # B21
