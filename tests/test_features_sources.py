@@ -129,3 +129,51 @@ def test_levels_of_several_columns_in_one_pass(spark):
     assert enc.columns == ["c1_b", "c2_y", "c2_z"]
     with pytest.raises(ValueError):
         FE.category_levels_many(df, ["c1", "c2"], max_levels=2)
+
+
+def test_vector_pipeline_drops_first_level_and_zeroes_null_and_unseen(spark):
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.operators.models import feature_names
+    df = spark.createDataFrame([("a", "x", 1.0), ("b", "x", 3.0), ("c", "x", None), (None, "x", 5.0)], "c string, one string, v double")
+    fitted = FE.vector_pipeline(["c", "one"], ["v"]).fit(df)
+    new = spark.createDataFrame([("a", "x", 3.0), ("c", "y", None), (None, None, 3.0), ("zz", "x", 3.0)], "c string, one string, v double")
+    out = fitted.transform(new)
+    rows = [[round(v, 9) for v in r[0]] for r in out.select(vector_to_array("features")).collect()]
+    assert rows == [[0, 0, 0], [0, 0, 1], [0, 0, 0], [0, 0, 0]]       # mean 3, one level: no slot
+    assert feature_names(out) == ["v", "c_b", "c_c"]
+    many = spark.range(1500).selectExpr("concat('l', id) AS c", "1.0D AS v")
+    assert FE.vector_pipeline(["c"], ["v"]).fit(many).transform(many).first()["features"].size == 1500
+
+
+def test_oversample_balances_between_minority_neighbours(spark):
+    import random as _r
+    rnd = _r.Random(3)
+    rows = [(i, int(i % 7 == 0), rnd.random() * 10, rnd.random()) for i in range(210)]
+    rows.append((500, 1, None, 0.5))
+    df = spark.createDataFrame(rows, "k long, y int, a double, b double")
+    out = FE.oversample(df, ["a", "b"], "y", "k").collect()
+    made = [r for r in out if r["synthetic"]]
+    n1 = sum(r[1] for r in rows)
+    assert len(out) - len(made) == len(rows) and len(made) == len(rows) - 2 * n1 and all(r["y"] == 1 for r in made)
+    real = [(r[2], r[3]) for r in rows if r[1]]
+    mean = sum(a for a, _ in real if a is not None) / (n1 - 1)
+    real = [(mean if a is None else a, b) for a, b in real]
+
+    def on_a_segment(p):
+        for (a1, b1) in real:
+            for (a2, b2) in real:
+                cross = (a2 - a1) * (p[1] - b1) - (b2 - b1) * (p[0] - a1)
+                if abs(cross) < 1e-7 and min(a1, a2) - 1e-9 <= p[0] <= max(a1, a2) + 1e-9:
+                    return True
+    assert all(on_a_segment((r["a"], r["b"])) for r in made)
+    assert sorted(map(str, FE.oversample(df, ["a", "b"], "y", "k").collect())) == sorted(map(str, out))
+    one = spark.createDataFrame([(1, 1, 1.0), (2, 0, 2.0), (3, 0, 3.0)], "k long, y int, a double")
+    assert FE.oversample(one, ["a"], "y", "k").count() == 3 and FE.oversample(one.limit(0), ["a"], "y", "k").count() == 0
+
+
+def test_scalable_columns_and_distinct_counts(spark):
+    from riskframe.operators.explore import distinct_counts
+    df = spark.createDataFrame([(0.2, 1, None, "a"), (0.7, 1, None, None), (0.2, 2, None, "b"), (0.7, 3, None, "a")],
+                               "two double, three int, none int, s string")
+    assert FE.scalable_columns(df) == ["three"]
+    assert {r["column"]: r["distinct"] for r in distinct_counts(df, df.columns).collect()} == {"two": 2, "three": 3, "none": 0, "s": 2}

@@ -126,3 +126,44 @@ def test_permutation_shap_is_efficient(spark, data):
     bgdf = spark.createDataFrame([(bg,)], "x array<double>").select(array_to_vector("x").alias("features"))
     fb = m.transform(bgdf).select(vector_to_array("probability")[1]).first()[0]
     assert shap.count() == 3 and total == pytest.approx(fx - fb, abs=1e-9)
+
+
+def test_rfe_path_ranking_and_elimination_order(spark):
+    weight = {"a": 3.0, "b": 2.0, "c": 1.0, "d": 0.5}
+    score = {4: 0.70, 3: 0.80, 2: 0.75}
+    path, verdict = X.rfe_cv(spark.range(1), list(weight), lambda cols: weight, lambda cols: (score[len(cols)], 0.01), min_features=2)
+    assert [(r["n_features"], r["cv_auc"], r["cv_std"]) for r in path.collect()] == [(4, 0.70, 0.01), (3, 0.80, 0.01), (2, 0.75, 0.01)]
+    got = {r["feature"]: (r["ranking"], r["selected"], r["eliminated_at"]) for r in verdict.collect()}
+    assert got == {"a": (1, True, None), "b": (1, True, None), "c": (1, True, 2), "d": (2, False, 1)}
+
+
+def test_penalty_follows_the_fitted_rows(spark, data):
+    """C weighs the summed loss: a table and ten copies of it need the same C / 10 for the same coefficients."""
+    from pyspark.ml.feature import VectorAssembler
+    from riskframe.operators.models import logistic
+    _, df = data
+    v = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).withColumn("weight", F.lit(1.0))
+    ten = v.withColumn("weight", F.lit(10.0))
+    one_fit = logistic(C=0.5).fit(v).coefficients.toArray()
+    ten_fit = logistic(C=0.05).fit(ten).coefficients.toArray()
+    assert np.allclose(one_fit, ten_fit, atol=1e-6)
+    assert not np.allclose(one_fit, logistic(C=0.5).fit(ten).coefficients.toArray(), atol=1e-6)
+
+
+def test_verdict_levels(spark):
+    s = spark.createDataFrame([("test", "m", 0.70, 0.07, 0.1), ("train", "m", 0.80, 0.0, 0.0), ("test", "q", 0.5, 0.2, 0.4)],
+                              "side string, metric string, mean double, std double, stability double")
+    got = {r["metric"]: tuple(r)[3:] for r in V.verdicts(s).collect()}
+    assert got == {"m": ("low", "moderately variable", "moderate"), "q": ("low", "highly variable", None)}
+
+
+def test_permutation_importance_finds_the_informative_column(spark, data):
+    from pyspark.ml.feature import VectorAssembler
+    from riskframe.operators.models import logistic
+    df = spark.range(400).selectExpr("id AS key", "CAST(id % 2 AS INT) AS target", "CAST(id % 2 AS DOUBLE) AS a",
+                                     "CAST(hash(id) % 100 AS DOUBLE) / 100 AS b")
+    va = VectorAssembler(inputCols=["a", "b"], outputCol="features")
+    m = logistic(weight=None).fit(va.transform(df))
+    got = {r["feature"]: r["importance_mean"] for r in
+           X.permutation_importance(m, df, ["a", "b"], va.transform, "key", repeats=2).collect()}
+    assert got["a"] > 0.3 > abs(got["b"])
