@@ -443,9 +443,10 @@ def _importance_stability(spark, sf):
 
     def one(b):
         w = V.bootstrap_weights(v, "encounter_id", b).withColumn("bw", F.col("bw") * F.col("weight"))
-        m = _lr(weight="bw").fit(w.where("bw > 0"))
-        return X.ranked(MD.coefficient_importance(m, XN), "abs_coefficient", "coefficient", f"b{b}")
-    return X.importance_stability(reduce(DataFrame.unionByName, MD.parallel_map(one, range(X.STABILITY_RESAMPLES))))
+        return _lr(weight="bw").fit(w.where("bw > 0"))
+    models = MD.parallel_map(one, range(X.STABILITY_RESAMPLES))
+    return X.importance_stability(reduce(DataFrame.unionByName, [
+        X.ranked(MD.coefficient_importance(m, XN), "abs_coefficient", "coefficient", f"b{b}") for b, m in enumerate(models)]))
 
 
 @register("x8_importance_stability")
