@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import qcol
@@ -141,12 +141,13 @@ def strongest_predictor(corrs: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long pairwise Pearson matrix ``(col_a, col_b, corr)`` for a small column list (k^2 aggregates, one pass)."""
-    pairs = [(a, b) for a in columns for b in columns]
-    agg = df.agg(*[F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"_c{i}")
-                   for i, (a, b) in enumerate(pairs)])
-    arr = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_c{i}").alias("corr"))
-                    for i, (a, b) in enumerate(pairs)])
+    """Long pairwise Pearson matrix ``(col_a, col_b, corr)``, nulls left out pair by pair: one pass, an aggregate for each
+    pair of the upper triangle, whose result serves both ways round."""
+    k = len(columns)
+    agg = df.agg(*[F.corr(qcol(columns[i]).cast("double"), qcol(columns[j]).cast("double")).alias(f"_c{i}_{j}")
+                   for i in range(k) for j in range(i, k)])
+    arr = F.array(*[F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
+                             F.col(f"_c{min(i, j)}_{max(i, j)}").alias("corr")) for i in range(k) for j in range(k)])
     return agg.select(F.explode(arr).alias("_s")).select("_s.*")
 
 
@@ -164,6 +165,13 @@ def long_categories(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     return df.select(*[qcol(k) for k in keep], F.explode(arr).alias("_s")).select(*[qcol(k) for k in keep], "_s.*")
 
 
+def top_values(df: DataFrame, columns: Sequence[str], n: int = 5) -> DataFrame:
+    """The ``n`` most frequent non-null values per column (ties by value): rows (column, rank, value, n)."""
+    g = long_categories(df, columns).where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("column").orderBy(F.desc("n"), "value")       # over distinct values, limited before the shuffle
+    return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select("column", "rank", "value", "n")
+
+
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows ``(column, distinct)``: exact counts of distinct non-null values, counted per (column, value) and then per
     column, so that rows are reduced before the shuffle and no task holds a column's values."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import qcol
@@ -75,10 +75,13 @@ def coverage(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = N
                                                                   F.col("distinct_ids")), F.lit(0.0)), 6))
 
 
-def lookup_summary(dim: DataFrame) -> DataFrame:
-    """Per mapping: entries, min id, max id."""
+def lookup_summary(dim: DataFrame, sample: int = 3) -> DataFrame:
+    """Per mapping: entries, min id, max id, and its first ``sample`` entries by id as text."""
+    first = dim.withColumn("_r", F.row_number().over(Window.partitionBy("mapping").orderBy("id", "description"))) \
+        .where(F.col("_r") <= sample).groupBy("mapping").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
+            "_r", F.concat_ws("=", F.col("id").cast("string"), "description").alias("e")))), lambda x: x["e"]), "; ").alias("sample"))
     return dim.groupBy("mapping").agg(F.count(F.lit(1)).alias("entries"), F.min("id").alias("min_id"),
-                                      F.max("id").alias("max_id"))
+                                      F.max("id").alias("max_id")).join(first, "mapping")
 
 
 def unexpected_values(df: DataFrame, column: str, allowed: list) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.core import poisson1, qcol, uniform
 from riskframe.operators import metrics as M
+from riskframe.operators.explore import stability_grade
 from riskframe.operators.features import stratified_folds
 from riskframe.operators.models import parallel_map, predict
 from riskframe.session import cut_lineage
@@ -210,7 +211,7 @@ def stability(df: DataFrame, make_estimator: Callable, runs: int = STABILITY_RUN
 def stability_summary(runs: DataFrame) -> DataFrame:
     return runs.agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std"),
                     F.min("roc_auc").alias("min"), F.max("roc_auc").alias("max")) \
-        .withColumn("cv", F.try_divide(F.col("std"), F.col("mean")))
+        .withColumn("cv", F.try_divide(F.col("std"), F.col("mean"))).withColumn("grade", stability_grade(F.col("cv")))
 
 
 # V9 -------------------------------------------------------------------------------

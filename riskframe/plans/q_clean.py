@@ -315,7 +315,8 @@ def j3(spark, sf):
 
 # J4
 @register("j4_lookup_summary", sql_with(LOOKUP_SQL, body=
-          "SELECT mapping, count(*) AS entries, min(id) AS min_id, max(id) AS max_id FROM lk GROUP BY mapping"))
+          "SELECT mapping, count(*) AS entries, min(id) AS min_id, max(id) AS max_id, "
+          "array_to_string(list(concat_ws('=', CAST(id AS VARCHAR), description) ORDER BY id, description)[1:3], '; ') AS sample FROM lk GROUP BY mapping"))
 def j4(spark, sf):
     return lookup.lookup_summary(lookup_dim(spark, sf))
 

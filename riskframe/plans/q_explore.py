@@ -163,6 +163,14 @@ def a12(spark, sf):
     return explore.usage_summary(clean_enc(spark, sf), MED_COLUMNS)
 
 
+@register("a12_top_values", clean_sql(
+    "SELECT \"column\", CAST(rank AS INTEGER) AS rank, value, n FROM (SELECT *, row_number() OVER (PARTITION BY \"column\" ORDER BY n DESC, value) AS rank "
+    "FROM (" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {q(c)} AS value, count(*) AS n FROM clean WHERE {q(c)} IS NOT NULL GROUP BY {q(c)}"
+                                  for c in MED_COLUMNS + ["race", "age", "specialty"]) + ")) WHERE rank <= 5"))
+def a12t(spark, sf):
+    return explore.top_values(clean_enc(spark, sf), MED_COLUMNS + ["race", "age", "specialty"])
+
+
 @register("a13_summary_correlation", clean_sql(
     f"SELECT count(*) AS rows, CASE WHEN count(*) > 2 THEN corr(usage_pct, user_rate_pct) END AS corr FROM ({_a12_sql()})"))
 def a13(spark, sf):
