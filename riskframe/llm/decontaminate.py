@@ -1,9 +1,11 @@
-"""Operator 4: benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Operator 4: benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-The corpus is scanned for the n-grams of the test items (a filter of fixed size first, then an exact join). An item's
-seeds are its rarest n-grams by the documents that hold them. Where a document holds two seeds of an item, or one if the
-item has no more, the stretch around them is aligned with the item; a local alignment that reaches ``least`` of the
-item's full score is a hit, whether the passage is a copy, an edited or a paraphrased one.
+The corpus is scanned once for the n-grams of the test items (a filter of fixed size first, then the exact table). Every
+distinct n-gram of an item is a seed, however many documents hold it. Where a document holds two distinct seeds of an item
+within two item lengths (one, if the item has at most ``SHORT`` words), the stretch around them is aligned with the item; a
+local alignment that reaches ``least`` of the item's full score is a hit, whether the passage is a copy, an edited or a
+paraphrased one. Seeds are paired and aligned in the scan, so no text and no hit is dealt out; the items go to all tasks,
+and items of more than ``PASS_WORDS`` words in all take further scans.
 
 Words are lower-cased (A-Z) and cut at white space and ASCII punctuation. Defined results: null and empty texts hold no
 passage; items of fewer than ``n`` words are matched by no document; repeated rows each get their hits; rows with a null
@@ -14,21 +16,21 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from riskframe.llm import common
-
-N, SEED_SHARE, LEAST_SEEDS = 3, 0.5, 4
+N, SHORT = 3, 12
 LEAST = 0.5
 MATCH, MISS, GAP = 2, -1, 1
-#: Bits of the scan's filter (2 MB), and items' n-grams up to which their table is sent to all tasks.
-FILTER_BITS, SEND_ROWS = 24, 500_000
+#: Bits of the scan's filter (2 MB), and words of the items that one scan looks for.
+FILTER_BITS, PASS_WORDS = 24, 2_000_000
+#: Seeds of a document that are paired at once, and pairs that are aligned at once.
+SEEDS_AT_ONCE, JOBS_AT_ONCE = 4_000_000, 4096
 _CUT = bytes.maketrans(string.ascii_uppercase.encode() + string.punctuation.encode(), string.ascii_lowercase.encode() + b" " * len(string.punctuation))
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -57,43 +59,75 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
         return (out ^ (out >> np.uint64(29))) * _P
 
 
-def item_grams(items: DataFrame, n: int = N) -> DataFrame:
-    """(item_id, gram, size): the distinct n-grams of each item, and its number of words."""
+class Table:
+    """The n-grams of some items, sorted, each with the items that hold it."""
+
+    def __init__(self, items: list[tuple[int | None, np.ndarray]], n: int):
+        self.ids, self.words = [i for i, _ in items], [w for _, w in items]
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        held = [np.unique(grams(w, n)) for w in self.words]
+        gram, item = np.concatenate(held), np.repeat(np.arange(len(items)), list(map(len, held)))
+        order = np.lexsort((item, gram))
+        self.grams, self.first, self.count = np.unique(gram[order], return_index=True, return_counts=True)
+        self.items = item[order].astype(np.int32)
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        bits[(self.grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        self.bits = np.packbits(bits)
+
+    def stretches(self, g: np.ndarray, passes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(item, stretch) of a document of n-grams ``g``: stretches of two item lengths that hold a seed with another
+        distinct seed of the item, here or in a stretch beside it, within two item lengths."""
+        at = np.flatnonzero(passes[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        k = np.minimum(np.searchsorted(self.grams, g[at]), len(self.grams) - 1)
+        exact = self.grams[k] == g[at]
+        at, k = at[exact], k[exact]
+        found = [np.zeros((0, 2), np.int64)]
+        for part in self._parts(at, k):
+            found.append(np.unique(np.stack(self._paired(at[part], k[part]), axis=1), axis=0))
+        both = np.unique(np.concatenate(found), axis=0) if len(found) > 2 else found[-1]
+        return both[:, 0], both[:, 1]
+
+    def _parts(self, at: np.ndarray, k: np.ndarray) -> Iterator[slice]:
+        """Slices of the seeds; each begins as far before the end of the last one as seeds can be paired."""
+        far, upto, lo = 2 * int(self.size.max()), np.cumsum(self.count[k]), 0
+        while lo < len(at):
+            hi = max(np.searchsorted(upto, upto[lo] + SEEDS_AT_ONCE), np.searchsorted(at, at[lo] + 2 * far + 1))
+            yield slice(lo, hi)
+            lo = len(at) if hi >= len(at) else int(np.searchsorted(at, at[hi] - far))
+
+    def _paired(self, at: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = self.count[k]
+        item = self.items[np.repeat(self.first[k] - np.cumsum(n) + n, n) + np.arange(n.sum())].astype(np.int64)
+        place, gram = np.repeat(at, n), np.repeat(k, n)
+        order = np.lexsort((place, item))
+        item, place, gram = item[order], place[order], gram[order]
+        good = self.size[item] <= SHORT                                      # neighbours in place: any two seeds of a
+        near = (item[1:] == item[:-1]) & (gram[1:] != gram[:-1]) & (place[1:] - place[:-1] <= 2 * self.size[item[1:]])
+        good[1:] |= near                                                     # stretch that differ have such between them
+        good[:-1] |= near
+        return item[good], place[good] // (2 * self.size[item[good]])
+
+
+def tables(items: DataFrame, n: int = N) -> Iterator[Table]:
+    """The items (item_id, text) of at least ``n`` words, as tables of up to ``PASS_WORDS`` words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _Hashes()
         for batch in batches:
-            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                words = word_hashes(text or "", memo)
-                g = np.unique(grams(words, n))
-                yield pa.RecordBatch.from_pydict({"item_id": pa.array([item] * len(g), pa.int64()), "gram": g.view(np.int64),
-                                                  "size": pa.array([len(words)] * len(g), pa.int32())})
-    return items.mapInArrow(run, "item_id long, gram long, size int")
-
-
-def hits(docs: DataFrame, wanted: DataFrame, n: int = N) -> DataFrame:
-    """(doc_id, tie, gram, places): where each document holds one of the n-grams (and a few others that the filter passes)."""
-    cell = F.shiftrightunsigned("gram", 64 - FILTER_BITS)
-    cells = np.array([r[0] for r in wanted.select(cell.alias("c")).distinct().collect()], np.int64)   # at most 2^24 numbers
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[cells] = True
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, passes = _Hashes(), np.unpackbits(sent.value).view(bool)
-        for batch in batches:
-            rows: list[list] = [[], [], [], []]
-            for doc, tie, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                g = grams(word_hashes(text, memo), n)
-                at = np.flatnonzero(passes[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-                if len(at):
-                    found, where = np.unique(g[at], return_inverse=True)
-                    order = np.argsort(where, kind="stable")
-                    for x, places in zip(found.view(np.int64).tolist(), np.split(at[order], np.cumsum(np.bincount(where))[:-1]), strict=True):
-                        for r, v in zip(rows, (doc, tie, x, places.astype(np.int32)), strict=True):
-                            r.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int64()),
-                                              pa.array(rows[3], pa.list_(pa.int32()))], ["doc_id", "tie", "gram", "places"])
-    return docs.select("doc_id", F.xxhash64("text").alias("tie"), "text").mapInArrow(run, "doc_id long, tie long, gram long, places array<int>")
+            words = [word_hashes(t, memo) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w.tobytes() for w in words], pa.binary())], ["item_id", "words"])
+    some: list = []
+    total = 0
+    for item, raw in items.mapInArrow(run, "item_id long, words binary").toLocalIterator():
+        words = np.frombuffer(raw, np.uint64)
+        if len(words) < n:
+            continue
+        if some and total + len(words) > PASS_WORDS:
+            yield Table(some, n)
+            some, total = [], 0
+        some.append((item, words))
+        total += len(words)
+    if some:
+        yield Table(some, n)
 
 
 def align(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
@@ -116,56 +150,52 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def find(docs: DataFrame, items: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
-    """(doc_id, item_id, score): hits, score the share of the item's full alignment score; ``docs`` (doc_id, text),
-    ``items`` (item_id, text)."""
-    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    wanted = common.saved(item_grams(items, n), "item-grams")
-    small = wanted.count() <= SEND_ROWS
-    send = (lambda df: F.broadcast(df)) if small else (lambda df: df)
-    found = common.saved(hits(docs, wanted, n).join(send(wanted.select("gram").distinct()), "gram", "left_semi"), "gram-hits")
-    held = found.groupBy("gram").agg(F.count("*").alias("df"))
-    w = Window.partitionBy("item_id").orderBy("df", "gram")                  # an item's n-grams
-    ranked = wanted.join(held, "gram").withColumn("rank", F.row_number().over(w)).withColumn("of", F.count("*").over(Window.partitionBy("item_id")))
-    seeds = ranked.where((F.col("rank") <= F.ceil(F.col("of") * SEED_SHARE)) | (F.col("rank") <= LEAST_SEEDS)).select("item_id", "gram", "size", "of")
-    # places fall into stretches of two item lengths; an occurrence lies in one stretch and its margins
-    at = found.join(send(seeds), "gram").select("doc_id", "tie", "item_id", "gram", "size", "of", F.explode("places").alias("place"))
-    near = (at.select("doc_id", "tie", "item_id", "size", "of", "gram", F.floor(F.col("place") / (2 * F.col("size"))).cast("int").alias("stretch"))
-            .groupBy("doc_id", "tie", "item_id", "size", "of").agg(F.count_distinct("gram").alias("seeds"), F.collect_set("stretch").alias("stretches"))
-            .where((F.col("seeds") >= 2) | (F.col("of") == 1)))
-    pairs = (near.join(items.withColumnRenamed("text", "item"), "item_id").groupBy("doc_id", "tie")
-             .agg(F.collect_list(F.struct("item_id", "item", "size", "stretches")).alias("asked")))      # at most one entry an item
-    known = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
-    ready = known.join(pairs, known.doc_id.eqNullSafe(pairs.doc_id) & (known.tie == pairs.tie)).select(known.doc_id, "text", F.explode("asked").alias("a"))
+def scan(docs: DataFrame, table: Table, n: int, least: float) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Hashes()
-        last: tuple[str | None, np.ndarray | None] = (None, None)
+        t, memo = sent.value, _Hashes()
+        passes = np.unpackbits(t.bits).view(bool)
+        jobs: list[tuple] = []                                               # (row, doc_id, item, window)
+        best: dict[tuple, int] = {}
 
-        def done(jobs: list) -> pa.RecordBatch:
-            scores: dict[int, float] = {}
+        def work() -> None:
             jobs.sort(key=lambda j: len(j[3]))
-            for i in range(0, len(jobs), 64):
-                some = jobs[i:i + 64]
-                for (k, *_), s in zip(some, align([j[2] for j in some], [j[3] for j in some]), strict=True):
-                    scores[k] = max(scores.get(k, 0.0), float(s))
-            of = {j[0]: j for j in jobs}
-            keep = [(of[k][1], s / (MATCH * len(of[k][2]))) for k, s in sorted(scores.items()) if s >= least * MATCH * len(of[k][2])]
-            return pa.RecordBatch.from_arrays([pa.array([d for (d, _), _ in keep], pa.int64()), pa.array([i for (_, i), _ in keep], pa.int64()),
-                                               pa.array([round(s, 6) for _, s in keep], pa.float64())], ["doc_id", "item_id", "score"])
+            i = 0
+            while i < len(jobs):
+                some = jobs[i:i + max(1, min(64, 1_000_000 // len(jobs[min(i + 63, len(jobs) - 1)][3])))]
+                for (*key, _), s in zip(some, align([t.words[j[2]] for j in some], [j[3] for j in some]).tolist(), strict=True):
+                    best[tuple(key)] = max(best.get(tuple(key), 0), s)
+                i += len(some)
+            jobs.clear()
+
+        def done() -> pa.RecordBatch:
+            work()
+            full = {key: MATCH * int(t.size[key[2]]) for key in best}
+            keep = [key for key in sorted(best, key=lambda x: (x[0], x[2])) if best[key] >= least * full[key]]
+            out = pa.RecordBatch.from_arrays([pa.array([d for _, d, _ in keep], pa.int64()), pa.array([t.ids[i] for _, _, i in keep], pa.int64()),
+                                              pa.array([round(best[key] / full[key], 6) for key in keep], pa.float64())], ["doc_id", "item_id", "score"])
+            best.clear()
+            return out
+        row = 0
         for batch in batches:
-            jobs: list = []
-            for k, (doc, text, a) in enumerate(zip(*(batch.column(c) for c in ("doc_id", "text", "a")), strict=True)):
-                doc, text, a = doc.as_py(), text.as_py(), a.as_py()
-                if last[0] != text:
-                    last = (text, word_hashes(text, memo))
-                item = word_hashes(a["item"], memo)
-                for s in a["stretches"]:
-                    lo = max(0, (2 * s - 2) * a["size"])
-                    jobs.append((k, (doc, a["item_id"]), item, last[1][lo:(2 * s + 4) * a["size"]]))
-                if len(jobs) >= 4096:
-                    yield done(jobs)                                        # all stretches of a pair are in one list
-                    jobs = []
-            if jobs:
-                yield done(jobs)
-    return ready.mapInArrow(run, "doc_id long, item_id long, score double")
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                row += 1
+                words = word_hashes(text.as_py(), memo)
+                for i, s in zip(*(x.tolist() for x in t.stretches(grams(words, n), passes)), strict=True):
+                    size = len(t.words[i])
+                    jobs.append((row, doc, i, words[max(0, (2 * s - 2) * size):(2 * s + 4) * size]))
+                    if len(jobs) >= 16 * JOBS_AT_ONCE:                       # within a document: align, but go on
+                        work()
+                if len(jobs) + len(best) >= JOBS_AT_ONCE:
+                    yield done()
+        yield done()
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, score double")
+
+
+def find(docs: DataFrame, items: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
+    """(doc_id, item_id, score): hits, score the share of the item's full alignment score; ``docs`` (doc_id, text),
+    ``items`` (item_id, text)."""
+    items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = [scan(docs, t, n, least) for t in tables(items, n)]
+    return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double")

@@ -227,6 +227,38 @@ def test_decontamination(spark, edge, none):
     assert decontaminate.align([x, x], [y, y[:1]]).tolist() == [7, 0]
 
 
+def test_decontamination_of_a_much_copied_edit(spark, monkeypatch):
+    """Against brute-force alignment: an edited version in far more documents than the verbatim one; seeds of few words."""
+    words = [f"w{k}" for k in range(40)]
+    edited = " ".join("changed" if k % 5 == 4 else w for k, w in enumerate(words))
+    texts = [(0, prose(50, 1) + " " + " ".join(words) + " " + prose(50, 2))]
+    texts += [(k, f"{prose(k % 7 * 60, k)} {edited} {prose(40, 900 + k)}") for k in range(1, 120)]
+    texts += [(200 + k, prose(90, 500 + k)) for k in range(20)] + [(300, "p q r x"), (301, "s p q r"), (302, " ".join(words[:3]) + " " + prose(20, 3) + " " + " ".join(words[20:23]))]
+    items = [(0, " ".join(words)), (1, "p q r s"), (2, prose(40, 77)), (3, "p q")]
+    memo = decontaminate._Hashes()
+    want = []
+    for d, t in texts:
+        for i, x in items[:3]:
+            a = decontaminate.word_hashes(x, memo)
+            s = int(decontaminate.align([a], [decontaminate.word_hashes(t, memo)])[0])
+            if s >= decontaminate.LEAST * 2 * len(a):
+                want.append((d, i, round(s / (2 * len(a)), 6)))
+    assert len(want) == 122
+    docs, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert rows(decontaminate.find(docs, bench), "doc_id", "item_id", "score") == sorted(want, key=repr)
+    monkeypatch.setattr(decontaminate, "PASS_WORDS", 44)                     # several scans
+    assert rows(decontaminate.find(docs, bench), "doc_id", "item_id", "score") == sorted(want, key=repr)
+
+
+def test_decontamination_seeds_in_parts(monkeypatch):
+    r = np.random.default_rng(3)
+    t = decontaminate.Table([(k, r.integers(0, 9, int(r.integers(3, 40))).astype(np.uint64)) for k in range(30)], 3)
+    g, passes = decontaminate.grams(r.integers(0, 9, 3000).astype(np.uint64), 3), np.ones(1 << 24, bool)
+    whole = [x.tolist() for x in t.stretches(g, passes)]
+    monkeypatch.setattr(decontaminate, "SEEDS_AT_ONCE", 50)
+    assert len(whole[0]) > 100 and [x.tolist() for x in t.stretches(g, passes)] == whole
+
+
 def test_lm(spark, edge, none):
     r = random.Random(5)
     texts = [(k, " ".join(["red fox", "blue sky"][(k + j) % 2] for j in range(r.randint(20, 60)))) for k in range(300)] + [x for x in EDGE if x[0] != 7]
