@@ -3,8 +3,8 @@
 The corpus is scanned once for the n-grams of the test items (a filter of fixed size first, then the exact table). Every
 distinct n-gram of an item is a seed, however many documents hold it. Where a document holds two distinct seeds of an item
 within two item lengths (one, if the item has at most ``SHORT`` words), the stretch around them is aligned with the item; a
-local alignment that reaches ``least`` of the item's full score is a hit, whether the passage is a copy, an edited or a
-paraphrased one. Seeds are paired and aligned in the scan, so no text and no hit is dealt out; the items go to all tasks,
+local alignment that reaches ``least`` of the item's full score, or the score of ``passage`` words copied word for word
+however long the item, is a hit, whether the passage is a copy, an edited or a paraphrased one. Seeds are paired and aligned in the scan, so no text and no hit is dealt out; the items go to all tasks,
 and items of more than ``PASS_WORDS`` words in all take further scans.
 
 Words are lower-cased (A-Z) and cut at white space and ASCII punctuation. Defined results: null and empty texts hold no
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 N, SHORT = 3, 12
-LEAST = 0.5
+LEAST, PASSAGE = 0.5, 13
 MATCH, MISS, GAP = 2, -1, 1
 #: Bits of the scan's filter (2 MB), and words of the items that one scan looks for.
 FILTER_BITS, PASS_WORDS = 24, 2_000_000
@@ -150,7 +150,7 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def scan(docs: DataFrame, table: Table, n: int, least: float) -> DataFrame:
+def scan(docs: DataFrame, table: Table, n: int, least: float, passage: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +172,7 @@ def scan(docs: DataFrame, table: Table, n: int, least: float) -> DataFrame:
         def done() -> pa.RecordBatch:
             work()
             full = {key: MATCH * int(t.size[key[2]]) for key in best}
-            keep = [key for key in sorted(best, key=lambda x: (x[0], x[2])) if best[key] >= least * full[key]]
+            keep = [key for key in sorted(best, key=lambda x: (x[0], x[2])) if best[key] >= min(least * full[key], MATCH * passage)]
             out = pa.RecordBatch.from_arrays([pa.array([d for _, d, _ in keep], pa.int64()), pa.array([t.ids[i] for _, _, i in keep], pa.int64()),
                                               pa.array([round(best[key] / full[key], 6) for key in keep], pa.float64())], ["doc_id", "item_id", "score"])
             best.clear()
@@ -193,9 +193,9 @@ def scan(docs: DataFrame, table: Table, n: int, least: float) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, score double")
 
 
-def find(docs: DataFrame, items: DataFrame, n: int = N, least: float = LEAST) -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, n: int = N, least: float = LEAST, passage: int = PASSAGE) -> DataFrame:
     """(doc_id, item_id, score): hits, score the share of the item's full alignment score; ``docs`` (doc_id, text),
     ``items`` (item_id, text)."""
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = [scan(docs, t, n, least) for t in tables(items, n)]
+    found = [scan(docs, t, n, least, passage) for t in tables(items, n)]
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double")

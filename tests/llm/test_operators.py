@@ -250,6 +250,15 @@ def test_decontamination_of_a_much_copied_edit(spark, monkeypatch):
     assert rows(decontaminate.find(docs, bench), "doc_id", "item_id", "score") == sorted(want, key=repr)
 
 
+def test_decontamination_of_a_long_item(spark):
+    """Less than half of an item: 240 of 500 words, 28 of 59, the same with edits; 12 words are too few, 13 are not."""
+    long, short = [f"a{k}" for k in range(500)], [f"b{k}" for k in range(59)]
+    passages = [long[100:340], ["changed" if k % 7 == 6 else w for k, w in enumerate(long[100:340])], short[20:48], long[:13], long[:12], short[-12:], []]
+    docs = [(k, f"{prose(60, k)} {' '.join(p)} {prose(700, 50 + k)}") for k, p in enumerate(passages)]
+    found = decontaminate.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id long, text string"))
+    assert rows(found, "doc_id", "item_id", "score") == [(0, 1, 0.48), (1, 1, round((206 * 2 - 34) / 1000, 6)), (2, 2, round(56 / 118, 6)), (3, 1, 0.026)]
+
+
 def test_decontamination_seeds_in_parts(monkeypatch):
     r = np.random.default_rng(3)
     t = decontaminate.Table([(k, r.integers(0, 9, int(r.integers(3, 40))).astype(np.uint64)) for k in range(30)], 3)
