@@ -9,6 +9,8 @@ substrings, and equal strings hold it in the same place. So only suffixes at anc
 3. Classes that share the core with another class are sorted: every task sorts its suffixes and hands them on as
    front-coded runs, a loser tree merges the runs and compares characters only behind the prefixes known to be common.
    The common prefix lengths of neighbours, with names of the left contexts, tell which strings two classes share.
+   The classes of a core with more than ``HOT_CLASSES`` go to no single task: their starts are halved by distance from
+   the anchor until what surrounds them is equal or met once, by grouped counts (``split``).
 4. Repeated starts are joined back to all places, and each document drops the bytes they cover.
 
 Defined results: a null or empty text has no bytes and loses none; texts shorter than ``length`` lose none; repeated rows
@@ -20,17 +22,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskframe.llm import common
 
 LENGTH, CORE = 400, 100
 SLICE = 1_000_000
+#: Classes of one core that are merged in one task, at most, and classes whose starts are compared at once, about.
+HOT_CLASSES, AT_ONCE = 20_000, 5_000
 #: Cells of the filters that spare documents without matches a shuffle of their text; a fixed size.
 CELLS = 1 << 22
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -264,10 +269,21 @@ def _filter(docs: DataFrame, rows: DataFrame) -> tuple[Column, object]:
     return may(_cell(F.col("row")))
 
 
+def _asked(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(text, asked): the documents that show ``classes`` (row, lo, off, width, number, target), with these."""
+    wanted = classes.groupBy("row").agg(F.collect_list(F.struct("lo", "off", "width", "number", "target")).alias("asked"))
+    return docs.where(_filter(docs, wanted)).join(wanted, "row").select("text", "asked")
+
+
+def _surroundings(raw: bytes, x: dict, length: int) -> tuple[bytes, bytes]:
+    """The suffix at the anchor and the left context, reversed: nearest to the anchor first."""
+    a = x["lo"] + x["off"]
+    return raw[a:min(a + length, x["lo"] + x["width"] + length)], raw[x["lo"]:a][::-1]
+
+
 def _contexts(docs: DataFrame, classes: DataFrame, length: int, targets: int) -> DataFrame:
     """(target, run): front-coded sorted runs of the suffixes of ``classes`` (row, lo, off, width, number, target)."""
-    wanted = classes.groupBy("row").agg(F.collect_list(F.struct("lo", "off", "width", "number", "target")).alias("asked"))
-    ready = docs.where(_filter(docs, wanted)).join(wanted, "row").select("text", "asked")
+    ready = _asked(docs, classes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
@@ -282,8 +298,7 @@ def _contexts(docs: DataFrame, classes: DataFrame, length: int, targets: int) ->
             for text, asked in zip(*batch.columns, strict=True):
                 raw = text.as_py().encode()
                 for x in asked.as_py():
-                    a = x["lo"] + x["off"]
-                    held.setdefault(x["target"], []).append((raw[a:min(a + length, x["lo"] + x["width"] + length)], raw[x["lo"]:a][::-1], x["number"], x["off"], x["width"]))
+                    held.setdefault(x["target"], []).append((*_surroundings(raw, x, length), x["number"], x["off"], x["width"]))
                     n += 1
             if n > 60_000:
                 yield flush()
@@ -293,25 +308,88 @@ def _contexts(docs: DataFrame, classes: DataFrame, length: int, targets: int) ->
     return ready.mapInArrow(run, "target int, run binary")
 
 
+def _batches(merged: Iterator[tuple], core: int) -> Iterator[list[tuple]]:
+    """Sorted classes in lists that end where a core ends."""
+    some: list[tuple] = []
+    for m in merged:
+        if m[1] < core and len(some) >= AT_ONCE:
+            yield some
+            some = []
+        some.append(m)
+    if some:
+        yield some
+
+
+def split(docs: DataFrame, classes: DataFrame, length: int, core: int) -> DataFrame:
+    """(number, starts): which string starts of ``classes`` (row, lo, off, width, number, target) another class has too.
+
+    All strings that begin p to q bytes before the anchor hold the p bytes before it and the length - q from it on:
+    classes that differ there share none of them. Classes with equal q bytes before and length - p from the anchor on
+    share all; one goes on for them. Where several go on that don't differ in the former, p to q is halved.
+    """
+    def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, asked in zip(*batch.columns, strict=True):
+                raw = text.as_py().encode()
+                found = [(x["number"], x["target"], x["off"], x["width"], *_surroundings(raw, x, length)) for x in asked.as_py()]
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), kinds, strict=True)],
+                                                 ["number", "core", "off", "width", "suffix", "before"])
+
+    def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64()] + [pa.int32()] * 4 + [pa.binary()] * 2
+        for batch in batches:
+            out: list[tuple] = []
+            for x in batch.to_pylist():
+                for n in x["nodes"]:
+                    p, q = n["p"], n["q"]
+                    first, last = max(p, x["off"] - x["width"]), min(q, x["off"])            # those that the class serves
+                    if first <= last:
+                        all_ = xxhash.xxh3_128_digest(b"%d %d %d %d %d %d " % (x["core"], p, q, first, last, len(x["before"][:last])) + x["before"][:last] + x["suffix"][:length - first])
+                        any_ = xxhash.xxh3_128_digest(b"%d %d %d " % (x["core"], p, q) + x["before"][:p] + x["suffix"][:length - q])
+                        out.append((x["number"], p, q, x["off"] - last, x["off"] - first, all_, any_))
+            columns = zip(*out, strict=True) if out else [[]] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["number", "p", "q", "a", "b", "all", "any"])
+    ready = _asked(docs, classes)
+    shown = common.saved(ready.mapInArrow(show, "number long, core long, off int, width int, suffix binary, before binary"), "hot-contexts")
+    node = lambda p, q: F.struct(p.cast("int").alias("p"), q.cast("int").alias("q"))
+    todo = shown.select("number", F.array(node(F.lit(0), F.lit(length - core))).alias("nodes"))
+    marks = []
+    while True:                                                                 # as often as length - core can be halved
+        level = common.saved(shown.join(todo, "number").mapInArrow(names, "number long, p int, q int, a int, b int, all binary, any binary"), "hot-names")
+        alike = common.saved(level.groupBy("all").agg(F.count("*").alias("n"), F.min(F.struct("number", "p", "q", "any")).alias("one")), "hot-alike")
+        marks.append(level.join(alike.where("n > 1").select("all"), "all", "left_semi").select("number", "a", "b"))
+        ones = alike.select("one.*").where("p < q")
+        several = ones.groupBy("any").agg(F.count("*").alias("n")).where("n > 1").select("any")
+        middle = F.floor((F.col("p") + F.col("q")) / 2)
+        halves = ones.join(several, "any", "left_semi").select("number", F.array(node(F.col("p"), middle), node(middle + 1, F.col("q"))).alias("nodes"))
+        todo = common.saved(halves.groupBy("number").agg(F.flatten(F.collect_list("nodes")).alias("nodes")), "hot-nodes")   # length - core + 1 at most
+        if todo.isEmpty():
+            return reduce(DataFrame.unionAll, marks).groupBy("number").agg(F.collect_list(F.struct("a", "b")).alias("starts"))
+
+
 def repeated(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
     """(row, spans): for each of ``docs`` (row, text) with repeated strings the runs a..b of their starts."""
     found = common.saved(anchors(docs, length, core), "anchors")
-    kinds = found.groupBy(*_KEY).agg(F.count("*").alias("n"), F.min(F.struct("row", "lo")).alias("one"))
-    several = Window.partitionBy("core")                                        # classes, not places, share a core
-    classes = kinds.withColumn("kinds", F.count("*").over(several)).where("n > 1 or kinds > 1").withColumn("number", F.monotonically_increasing_id())
+    kinds = common.saved(found.groupBy(*_KEY).agg(F.count("*").alias("n"), F.min(F.struct("row", "lo")).alias("one")), "suffix-kinds")
+    several = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")     # classes, not places, share a core
+    classes = kinds.join(several, "core", "left").where("n > 1 or kinds > 1").withColumn("number", F.monotonically_increasing_id())
     classes = common.saved(classes, "suffix-classes")
     targets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    open_ = classes.where("kinds > 1").select("one.row", "one.lo", "off", "width", "number", F.pmod("core", F.lit(targets)).cast("int").alias("target"))
+    asked = lambda which, target: classes.where(which).select("one.row", "one.lo", "off", "width", "number", target.alias("target"))
+    open_ = asked((F.col("kinds") > 1) & (F.col("kinds") <= HOT_CLASSES), F.pmod("core", F.lit(targets)).cast("int"))
+    hot = asked(F.col("kinds") > HOT_CLASSES, F.col("core"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs = [unfolded(x) for batch in batches for x in batch.column("run").to_pylist()]
-        merged = list(LoserTree(runs)) if runs else []
-        if merged:
+        for merged in _batches(LoserTree(runs), core) if runs else ():
             marks = shared_starts(merged, length, core)
             hit = np.flatnonzero(marks.any(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array([merged[i][3] for i in hit], pa.int64()), pa.array([_intervals(marks[i]) for i in hit], pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))],
                                              ["number", "starts"])
     sorted_ = _contexts(docs, open_, length, targets).repartition(targets, "target").mapInArrow(merge, "number long, starts array<struct<a: int, b: int>>")
+    if not hot.isEmpty():
+        sorted_ = sorted_.unionByName(split(docs, hot, length, core))
     shared = common.saved(sorted_, "shared-starts")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("width").cast("int").alias("b")))
     marked = (classes.join(shared, "number", "left")

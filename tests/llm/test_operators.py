@@ -313,6 +313,28 @@ def test_suffix_dedup(spark, edge, none, length, core):
     assert suffix_dedup.remove(common.texts(none), length, core).count() == 0
 
 
+def test_suffix_dedup_of_a_hot_core(spark, monkeypatch):
+    """One footer in many documents with different text around it, edited and cut ones too: no task gets all its classes."""
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    own = lambda n: " ".join(word() for _ in range(n))
+    footer, head = own(30), [own(8), own(9)]
+    texts = [own(12) + r.choice(head)[r.randint(0, 30):] + footer[:r.choice([60, 120, 179])] + own(12) for _ in range(80)]
+    texts += [own(6) + footer[r.randint(0, 60):] + own(2) for _ in range(40)] + texts[:3]
+    given, contexts = [], suffix_dedup._contexts
+    monkeypatch.setattr(suffix_dedup, "HOT_CLASSES", 6, raising=False)
+    monkeypatch.setattr(suffix_dedup, "_contexts", lambda docs, classes, *a: given.append(classes) or contexts(docs, classes, *a))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = suffix_dedup.remove(docs, length=60, core=20)
+    assert rows(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(removed(texts, 60), key=repr)
+    classes = given[0].join(docs.select(F.col("doc_id"), "text").withColumn("row", F.monotonically_increasing_id()), "row")
+    cores = classes.select(F.expr("substring(text, lo + off + 1, 20)").alias("core")).groupBy("core").count()
+    assert all(c["count"] <= 6 for c in cores.collect())
+    merged = [(b"", k, b"", i, 0, 0) for i, k in enumerate([0, 25, 3, 30, 30, 2])]
+    monkeypatch.setattr(suffix_dedup, "AT_ONCE", 2)
+    assert [[m[3] for m in x] for x in suffix_dedup._batches(iter(merged), 20)] == [[0, 1], [2, 3, 4], [5]]
+
+
 def test_loser_tree():
     r = random.Random(3)
     entries = [(bytes(r.choices(b"ab", k=r.randint(0, 12))), b"", k, 0, 0) for k in range(500)]
