@@ -42,16 +42,25 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a row's place in its file; the file's number stands above them.
+PLACE_BITS = 38
+
+
 def numbered(df: DataFrame, column: str) -> DataFrame:
-    """``df`` with a number for each row, the same whenever it is read again.
+    """``df`` with a number for each row, the same whenever it is read again, however the scan is split.
 
-    Rows of a plain scan keep their places. Where the plan deals rows anew, reading fewer columns or running a task
-    again may deal them otherwise; such rows are written to the shared folder first.
+    The number is that of the row's file (by name) and its place in it. What isn't a plain scan of files is written to
+    the shared folder first. The files' names, a row each, are broadcast: the driver lists them anyway.
     """
     plan = df._jdf.queryExecution().optimizedPlan().toString()
-    if re.search(r"Repartition|Rebalance|Join|Aggregate|Sort|Window|Limit|Sample|MapIn|Generate|Union|Distinct|Python|FlatMap", plan):
+    if not re.search(r"Relation .*parquet", plan) or re.search(r"Repartition|Rebalance|Join|Aggregate|Sort|Window|Limit|Sample|MapIn|Generate|Union|Distinct|Python|FlatMap|InMemory|LocalRelation|Range", plan):
         df = saved(df, "rows")
-    return df.withColumn(column, F.monotonically_increasing_id())
+    meta = df.metadataColumn("_metadata")
+    names = sorted(r[0] for r in df.select(meta["file_path"].alias("f")).distinct().collect())
+    files = df.sparkSession.createDataFrame([(f, i << PLACE_BITS) for i, f in enumerate(names)], f"{column}_file string, {column}_base long")
+    placed = df.withColumns({f"{column}_path": meta["file_path"], f"{column}_index": meta["row_index"]})
+    found = placed.join(F.broadcast(files), F.col(f"{column}_path") == F.col(f"{column}_file"))
+    return found.select(*[F.col(f"`{c}`") for c in df.columns if c != column], (F.col(f"{column}_base") + F.col(f"{column}_index")).alias(column))
 
 
 def fewer(df: DataFrame, factor: int = 8) -> DataFrame:
