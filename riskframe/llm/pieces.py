@@ -23,7 +23,7 @@ _UNEVEN = (r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x
            r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\A\z")
 MEMO, SLICE, AT_ONCE = 600_000, 8_000_000, 20_000
 #: By name: encoders that the tasks of one Python worker share, so that each doesn't start with an empty memory.
-_SHARED: dict[str, PartEncoder] = {}
+_SHARED: dict[str, Callable] = {}
 
 
 def pieces(text: str, specials: list[str]) -> list[str]:
@@ -107,7 +107,7 @@ class PartEncoder:
         return ids[spread(first[codes], of_part)], ends[stops] - ends[stops - parts]
 
 
-def shared(name: str, make: Callable[[], PartEncoder]) -> PartEncoder:
+def shared(name: str, make: Callable[[], Callable]) -> Callable:
     """The worker's encoder of that name; another name takes its place, so one memory is held at a time."""
     if name not in _SHARED:
         _SHARED.clear()

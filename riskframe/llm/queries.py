@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, quality, secrets, simhash, suffix_dedup, token_index, warc
+from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, quality, secrets, simhash, suffix_dedup, token_count, token_index, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove(documents(spark, sf_dir), length=400)
+
+
+@query
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
