@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, quality, secrets, simhash, suffix_dedup, token_count, token_index, warc
+from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, quality, ranked_search, secrets, simhash, suffix_dedup, token_count, token_index, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,24 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count(documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), common.table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLES["op12_ranked_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS ws FROM documents),
+t AS (SELECT count(*) FILTER (len(ws) > 0) AS N, coalesce(sum(len(ws)), 0)::BIGINT AS L FROM d),
+i AS (SELECT DISTINCT iid, item_id, unnest(ws) AS w FROM (SELECT row_number() OVER () AS iid, item_id, {_TERMS} AS ws FROM benchmark)),
+p AS (SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(ws) AS w FROM d) WHERE w IN (SELECT w FROM i) GROUP BY rid, w),
+wt AS (SELECT w, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM (SELECT w, count(*) AS df FROM p GROUP BY w), t),
+x AS (SELECT p.rid, p.w, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(ws) * N) // L))) AS impact
+      FROM p JOIN wt USING (w) JOIN d USING (rid), t),
+s AS (SELECT iid, item_id, rid, sum(impact)::BIGINT AS score FROM i JOIN x USING (w) GROUP BY iid, item_id, rid),
+r AS (SELECT item_id, (row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST))::INT AS rank, doc_id, score
+      FROM s JOIN d USING (rid) WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+"""

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskframe.llm import bpe, common, pieces, token_count
+from riskframe.llm import bpe, common, pieces, ranked_search, token_count
 from tests.llm.test_operators import EDGE, SCHEMA, prose
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,3 +63,64 @@ def test_token_counts(edge, none):
     want = [(i, len((x or "").encode()), n := len(t.encode(x or "", add_special_tokens=False).ids), n > 100) for i, x in EDGE]
     assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, want))
     assert token_count.count(common.texts(none), BPE).count() == 0
+
+
+def terms_of(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+
+
+def ranked(docs, items, k):
+    of = [(i, terms_of(t)) for i, t in docs]
+    n_docs, total = sum(1 for _, w in of if w), sum(len(w) for _, w in of)
+    df = Counter(t for _, w in of for t in set(w))
+    out = []
+    for item, text in items:
+        found = []
+        for i, w in of:
+            m = 100 - 90 + (90 * len(w) * n_docs) // max(1, total)
+            tf = Counter(w)
+            score = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * tf[t]) // (1000 * tf[t] + 8 * m)) for t in set(terms_of(text)))
+            if score > 0:
+                found.append((-score, i is None, i or 0))
+        out += [(item, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(found)[:k])]
+    return sorted(out, key=repr)
+
+
+def test_terms():
+    texts = ["Ab,cD é中\x00x", "", "tail", "Zed 9-9", "É_É"]
+    words, text = ranked_search.terms(pa.array(texts).slice(0))
+    assert [w.decode() for w in words.to_pylist()] == [w for t in texts for w in terms_of(t)]
+    assert text.tolist() == [i for i, t in enumerate(texts) for _ in terms_of(t)]
+    assert ranked_search.terms(pa.array(texts).slice(2, 2))[1].tolist() == [0, 1, 1, 1]
+
+
+def test_nra(monkeypatch):
+    monkeypatch.setattr(ranked_search, "FIRST", 2)
+    g = np.random.default_rng(3)
+    for _ in range(300):
+        size, n = int(g.integers(1, 60)), int(g.integers(1, 8))
+        lists, score = [], np.zeros(size)
+        for _ in range(n):
+            docs = np.flatnonzero(g.random(size) < g.random())
+            x = np.sort(g.integers(1, int(g.integers(2, 50)), len(docs)))[::-1].astype(float)
+            docs = g.permutation(docs)
+            score[docs] += x
+            lists.append((docs, x))
+        hit, found = ranked_search.nra(lists, size, 5)
+        bar = max(1, np.sort(score)[::-1][min(4, size - 1)] if size >= 5 else 1)
+        assert hit.tolist() == np.flatnonzero(score >= bar).tolist() and found.tolist() == score[hit].tolist()
+
+
+def test_search(spark, edge, none, monkeypatch):
+    monkeypatch.setattr(ranked_search, "BLOCK_DOCS", 7)
+    r = random.Random(4)
+    docs = [(i % 90, prose(r.randint(0, 60), i % 70)) for i in range(200)] + EDGE
+    items = [(1, prose(30, 500)), (2, None), (3, "zzz"), (3, prose(3, 7)), (4, docs[5][1]), (None, "one " * 3)]
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, item_id string, score int")
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    for at_once in (10, 10**6):
+        found = ranked_search.search(common.texts(frame), asked, k=5, terms_at_once=at_once)
+        assert sorted(map(tuple, found.collect()), key=repr) == ranked(docs, items, 5)
+    assert ranked_search.search(common.texts(none), asked).count() == 0
+    assert ranked_search.search(common.texts(edge), asked.where("false")).count() == 0
