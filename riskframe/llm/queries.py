@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, quality, ranked_search, secrets, simhash, suffix_dedup, token_count, token_index, warc
+from riskframe.llm import bpe, common, decontaminate, langid, neural_lm, phrases, quality, ranked_search, secrets, simhash, suffix_dedup, token_count, token_index, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,29 @@ r AS (SELECT item_id, (row_number() OVER (PARTITION BY iid ORDER BY score DESC,
       FROM s JOIN d USING (rid) WHERE score > 0)
 SELECT * FROM r WHERE rank <= 10
 """
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(common.table(spark, sf_dir, "documents"), least=100, limit=2000, share=100)
+
+
+ORACLES["op13_phrases"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d)),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS k))),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS cut FROM c),
+s AS (SELECT cut.lang, cut.phrase, a, x.n AS l, y.n AS r, t.n, cut, ((1000::HUGEINT * a * t.n) // (x.n::HUGEINT * y.n))::BIGINT AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+               JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[cut + 1:], ' ') JOIN t ON t.lang = cut.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS around
+           FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) GROUP BY ALL),
+o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+      FROM b LEFT JOIN inside USING (lang, phrase) WHERE around IS NULL OR 100 * around < 100 * a)
+SELECT * FROM o WHERE rank <= 2000
+"""

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskframe.llm import bpe, common, pieces, ranked_search, token_count
+from riskframe.llm import bpe, common, phrases, pieces, ranked_search, token_count
 from tests.llm.test_operators import EDGE, SCHEMA, prose
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -124,3 +124,66 @@ def test_search(spark, edge, none, monkeypatch):
         assert sorted(map(tuple, found.collect()), key=repr) == ranked(docs, items, 5)
     assert ranked_search.search(common.texts(none), asked).count() == 0
     assert ranked_search.search(common.texts(edge), asked.where("false")).count() == 0
+
+
+def mined(docs, least, limit, share):
+    f, n = Counter(), Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            f.update((lang, tuple(w[i:i + k])) for k in range(1, 6) for i in range(len(w) - k + 1))
+    found = []
+    for (lang, w), a in f.items():
+        if len(w) < 2 or a < least:
+            continue
+        score, cut = min((1000 * a * n[lang] // (f[lang, w[:c]] * f[lang, w[c:]]), c) for c in range(1, len(w)))
+        inside = any(len(v) > len(w) and b >= least and 100 * b >= share * a and any(v[i:i + len(w)] == w for i in range(len(v) - len(w) + 1))
+                     for (of, v), b in f.items() if of == lang and len(v) > len(w) and b >= least)
+        if not inside:
+            found.append((lang, -score, -a, " ".join(w).encode(), f[lang, w[:cut]], f[lang, w[cut:]], n[lang]))
+    out = []
+    for lang in n:
+        mine = sorted(x for x in found if x[0] == lang)[:limit]
+        out += [(lang, i + 1, x[3].decode(), -x[2], x[4], x[5], x[6], -x[1]) for i, x in enumerate(mine)]
+    return sorted(out)
+
+
+def chatter(n, seed):
+    r = random.Random(seed)
+    return [(r.choice(["a", "b", None]), r.choice([" ", "\t", "  ", ""]) + "".join(
+        r.choice(["red Fox jumps over it", "big red fox", "é中", "x", "to be or not to be", "so", "a a a"]) + r.choice([" ", ", ", "  ", "\n", ". ", "\t", " so "])
+        for _ in range(r.randint(0, 12)))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("share", [100, 60])
+def test_collocations(spark, share):
+    docs = chatter(400, 8) + [("a", None), (None, ""), ("c", "only here"), ("a", " \t\n")]
+    frame = spark.createDataFrame([(i, lang, t, 3, "x") for i, (lang, t) in enumerate(docs)], "doc_id long, lang string, text string, n long, phrase string")
+    found = phrases.collocations(frame, least=12, limit=25, share=share)
+    assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    assert sorted(map(tuple, found.collect())) == mined(docs, 12, 25, share)
+
+
+def test_border_failures(spark, monkeypatch):
+    """An empty first filter: every longer phrase is found by further passes."""
+    docs = chatter(200, 9)
+    frame = spark.createDataFrame([(lang or "und", t) for lang, t in docs], "lang string, text string")
+    nothing = np.zeros(1 << (phrases.CELL_BITS - 3), np.uint8)
+    found = phrases.frequent_phrases(frame, 20, bits=nothing).where("k > 0").select("lang", "phrase", "n").collect()
+    f = Counter()
+    for lang, text in docs:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text.lower()):
+            w = piece.split()
+            f.update((lang or "und", " ".join(w[i:i + k])) for k in range(1, 6) for i in range(len(w) - k + 1))
+    assert sorted(map(tuple, found)) == sorted((lang, p, n) for (lang, p), n in f.items() if n >= 20)
+    full = np.full_like(nothing, 255)                                     # a saturated filter lets everything through
+    again = phrases.frequent_phrases(frame, 20, bits=full).where("k > 0").select("lang", "phrase", "n").collect()
+    assert sorted(again) == sorted(found)
+
+
+def test_no_phrases(spark, none, edge):
+    assert phrases.collocations(none).count() == 0
+    found = phrases.collocations(edge, least=2).collect()
+    assert found and {r["lang"] for r in found} == {"en"}
