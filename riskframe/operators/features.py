@@ -119,11 +119,12 @@ def split_balance(df: DataFrame, label: str, split: str = "split") -> DataFrame:
 
 
 # V1 -------------------------------------------------------------------------------
-def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = SEED, name: str = "fold"
+def stratified_folds(df: DataFrame, label: str | Sequence[str], key: str, k: int = 5, seed: int = SEED, name: str = "fold"
                      ) -> DataFrame:
-    """Class-balanced folds: (rank inside class by md5(seed:key)) mod k; sizes differ by at most 1 per class."""
+    """Class-balanced folds: (rank inside class by md5(seed:key)) mod k; sizes differ by at most 1 per class. ``label``
+    may be several columns: each combination is a class."""
     h = df.withColumn("_h", hash_order(seed, qcol(key)))
-    r = rank_within(h, [label], ["_h", key], "_rk")
+    r = rank_within(h, [label] if isinstance(label, str) else list(label), ["_h", key], "_rk")
     return r.withColumn(name, (F.col("_rk") % k).cast("int")).drop("_h", "_rk")
 
 

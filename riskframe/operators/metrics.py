@@ -73,10 +73,11 @@ def classification_metrics(df: DataFrame, label: str = "label", score: str = "sc
 
 
 # per-score aggregate + curves (M4-M7, W6) -----------------------------------------
-def score_counts(df: DataFrame, label: str = "label", score: str = "score", weight: str | None = None) -> DataFrame:
-    """One row per distinct score: weighted positives and negatives."""
+def score_counts(df: DataFrame, label: str = "label", score: str = "score", weight: str | None = None,
+                 by: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct score (and group): weighted positives and negatives."""
     w = _w(weight)
-    return df.where(qcol(score).isNotNull()).groupBy(qcol(score).cast("double").alias("score")).agg(
+    return df.where(qcol(score).isNotNull()).groupBy(*map(qcol, by), qcol(score).cast("double").alias("score")).agg(
         F.sum(F.when(qcol(label) == 1, w).otherwise(0.0)).alias("pos"),
         F.sum(F.when(qcol(label) == 1, 0.0).otherwise(w)).alias("neg"))
 
@@ -267,3 +268,30 @@ def rank_summary(df: DataFrame, label: str = "label", score: str = "score", weig
     return a.select(F.try_divide(F.col("_auc_num"), F.col("_P") * F.col("_N")).alias("roc_auc"),
                     F.try_divide(F.col("_ap_num"), F.col("_P")).alias("average_precision"),
                     (-F.col("_best.nt")).alias("best_threshold"), F.col("_best.f1").alias("best_f1"))
+
+
+# M2-M5 of many scorings at once -----------------------------------------------------------
+def grouped_metrics(df: DataFrame, by: Sequence[str], label: str = "label", score: str = "score",
+                    weight: str | None = None, threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
+    """Per group of ``by`` (a fold, a replicate, a candidate, a permuted column): n, accuracy, precision, recall, f1,
+    roc_auc, average_precision of the scores in it; weighted where ``weight`` is given.
+
+    One curve for all groups: distinct scores per group, then running sums by descending score inside each group, a group
+    that holds more than its share of them being split into ranges like any other key. Nothing is computed per group on
+    the driver, and a group with one class has no AUC (null).
+    """
+    by = list(by)
+    sc = score_counts(df, label, score, weight, by).withColumn("_neg_score", -F.col("score"))
+    cum = running_sums(sc, ["_neg_score"], {"tp": "pos", "fp": "neg"}, keys=by)
+    above = F.col("score") >= threshold
+    a = cum.groupBy(*map(qcol, by)).agg(
+        F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
+        F.coalesce(F.sum(F.when(above, F.col("pos"))), F.lit(0.0)).alias("_tp"),
+        F.coalesce(F.sum(F.when(above, F.col("neg"))), F.lit(0.0)).alias("_fp"),
+        F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)).alias("_auc"),
+        F.sum(F.try_divide(F.col("pos") * F.col("tp"), F.col("tp") + F.col("fp"))).alias("_ap"))
+    r = rates_from_counts(F.col("_n") - F.col("_fp"), F.col("_fp"), F.col("_p") - F.col("_tp"), F.col("_tp"))
+    return a.select(*map(qcol, by), (F.col("_p") + F.col("_n")).alias("n"),
+                    *[r[m].alias(m) for m in ("accuracy", "precision", "recall", "f1")],
+                    F.try_divide(F.col("_auc"), F.col("_p") * F.col("_n")).alias("roc_auc"),
+                    F.try_divide(F.col("_ap"), F.col("_p")).alias("average_precision"))

@@ -187,7 +187,12 @@ def search_cv(df: DataFrame, make_estimator: Callable, candidates: Sequence[dict
         test_s, train_s, fit_t, score_t = ([r[i] for r in done[ci * folds:(ci + 1) * folds]] for i in range(4))
         rows.append((ci, json.dumps(params, sort_keys=True), _mean(fit_t), _std(fit_t), _mean(score_t), _std(score_t),
                      test_s, _mean(test_s), _std(test_s), train_s, _mean(train_s), _std(train_s)))
-    res = df.sparkSession.createDataFrame(
+    return search_ranks(df.sparkSession, rows)
+
+
+def search_ranks(spark, rows: list[tuple]) -> DataFrame:
+    """The result table of a search, a row per candidate, with their ranks by mean test score."""
+    res = spark.createDataFrame(
         rows, "candidate int, params string, mean_fit_time double, std_fit_time double, mean_score_time double, "
               "std_score_time double, split_test_scores array<double>, mean_test_score double, std_test_score double, "
               "split_train_scores array<double>, mean_train_score double, std_train_score double")
