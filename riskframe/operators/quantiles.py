@@ -1,16 +1,18 @@
 """Exact, distributed quantiles and modes.
 
-``percentile``/``median`` buffer every value of a group in one task. Here each
-column is reduced to a value histogram first (partial aggregation, so a hot
-value costs one row per map task), positions are found with distributed
-running counts, and the two neighbours of each requested position are picked
-by a join against a positions table whose size is #columns x #probabilities
-(caller-bounded, so it is broadcast). Result = linear interpolation, identical
-to pandas ``quantile`` / SQL ``quantile_cont``.
+A position is bracketed by two values and narrowed until its neighbours are known. Each round is one aggregate over all
+columns and positions: a mergeable digest proposes values on either side of a position, a count of the rows below, at,
+between and above them says exactly where the position lies. Once few rows lie between, their values are counted and
+picked from. No task holds a column's values, whatever they are; digest errors cost rounds, never exactness.
+
+Quantiles within groups reduce each column to a value histogram (partial aggregation, so a hot value costs one row per
+map task) and find positions by distributed running counts. Result = linear interpolation, identical to pandas
+``quantile`` / SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -32,40 +34,104 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
     return long_values(df, cols, by).groupBy(*by, "column", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-# Largest number of distinct values per group for which Spark's exact ``percentile`` buffer
-# (a value -> count map held by one task per group) is used.
-AGGREGATE_MAX_DISTINCT = 1_000_000
-
-
-def choose_method(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> str:
-    """'aggregate' when every column has few distinct values (HyperLogLog estimate, one pass), else 'distributed'."""
-    if not cols:
-        return "aggregate"
-    row = df.agg(*[F.approx_count_distinct(qcol(c)).alias(f"_d{i}") for i, c in enumerate(cols)]).first()
-    return "aggregate" if max(n or 0 for n in row) <= AGGREGATE_MAX_DISTINCT else "distributed"
+# Relative error of the digests, and rows between two bracketing values that are counted value by value on the driver.
+DIGEST_ACCURACY, FEW_ROWS = 10_000, 100_000
+
+
+class _Position:
+    """The value at rank ``rank`` (from 0) of a column: known to lie strictly between ``a`` and ``b`` (None: open), with
+    ``below`` rows up to and with ``a`` and ``rows`` rows between."""
+
+    def __init__(self, column: int, rank: int, rows: int):
+        self.column, self.rank, self.rows = column, rank, rows
+        self.a, self.b, self.below, self.value, self.at = None, None, 0, None, None
+
+    def inside(self, x):
+        out = x.isNotNull()
+        if self.a is not None:
+            out &= x > F.lit(self.a)
+        return out if self.b is None else out & (x < F.lit(self.b))
+
+    def narrow(self, lo: float, hi: float, under: int, at_lo: int, between: int, at_hi: int) -> None:
+        """``lo`` <= ``hi`` are values inside: so many rows inside lie under, at, between and at the latter."""
+        r = self.rank - self.below
+        if r < under:
+            self.b, self.rows = lo, under
+        elif r < under + at_lo:
+            self.value = lo
+        elif r < under + at_lo + between:
+            self.a, self.b, self.below, self.rows = lo, hi, self.below + under + at_lo, between
+        elif r < under + at_lo + between + at_hi:
+            self.value = hi
+        else:
+            done = under + at_lo + between + at_hi
+            self.a, self.below, self.rows = hi, self.below + done, self.rows - done
+
+
+def _refined(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> list[tuple]:
+    """(column, prob, value) by refinement; NaN counts as the greatest value."""
+    nan = float("nan")
+    src = df.select(*[qcol(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    x = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(len(cols))]
+    sizes = src.agg(*[F.count(f"c{i}") for i in range(len(cols))], *[F.count(v) for v in x]).first()
+    n, real = sizes[:len(cols)], sizes[len(cols):]
+    wanted: dict[tuple[int, int], _Position] = {}
+    for i in range(len(cols)):
+        for p in probs:
+            h = (n[i] - 1) * p
+            for rank in {math.floor(h), math.ceil(h)} if n[i] else ():
+                if (i, rank) not in wanted:
+                    wanted[i, rank] = at = _Position(i, rank, real[i])
+                    at.value = nan if rank >= real[i] else None
+    while todo := [p for p in wanted.values() if p.value is None and p.rows > FEW_ROWS]:
+        digests = []
+        for p in todo:
+            share, slack = (p.rank - p.below) / max(1, p.rows - 1), 3.0 / DIGEST_ACCURACY
+            digests.append(F.percentile_approx(F.when(p.inside(x[p.column]), x[p.column]),
+                                               [max(0.0, share - slack), min(1.0, share + slack)], DIGEST_ACCURACY))
+        ends = [sorted(e) for e in src.agg(*[d.alias(f"d{k}") for k, d in enumerate(digests)]).first()]
+        counts = []
+        for p, (lo, hi) in zip(todo, ends, strict=True):
+            v, ok = x[p.column], p.inside(x[p.column])
+            counts += [F.count_if(ok & (v < F.lit(lo))), F.count_if(ok & (v == F.lit(lo))),
+                       F.count_if(ok & (v > F.lit(lo)) & (v < F.lit(hi))), F.count_if(ok & (v == F.lit(hi)) & F.lit(hi > lo))]
+        found = src.agg(*[c.alias(f"n{k}") for k, c in enumerate(counts)]).first()
+        for k, (p, (lo, hi)) in enumerate(zip(todo, ends, strict=True)):
+            p.narrow(lo, hi, *found[4 * k:4 * k + 4])
+    left = [p for p in wanted.values() if p.value is None]
+    spans = sorted({(p.column, p.a, p.b) for p in left}, key=repr)
+    if left:
+        of = {s: k for k, s in enumerate(spans)}
+        first = {(p.column, p.a, p.b): p for p in left}
+        some = F.explode(F.filter(F.array(*[F.struct(F.lit(k).alias("span"), F.when(first[s].inside(x[s[0]]), x[s[0]]).alias("v")) for k, s in enumerate(spans)]),
+                                  lambda e: e["v"].isNotNull())).alias("e")
+        hist = src.select(some).groupBy("e.span", "e.v").agg(F.count(F.lit(1)).alias("cnt")).toPandas()      # FEW_ROWS rows a span
+        for k, g in hist.sort_values(["span", "v"]).groupby("span"):
+            values, upto = g["v"].to_numpy(), g["cnt"].cumsum().to_numpy()
+            for p in left:
+                if of[p.column, p.a, p.b] == k:
+                    p.value = float(values[(upto > p.rank - p.below).argmax()])
+    rows = []
+    for i, c in enumerate(cols):
+        for p in probs:
+            if n[i]:
+                h = (n[i] - 1) * p
+                lo, hi = (wanted[i, r].value for r in (math.floor(h), math.ceil(h)))
+                rows.append((c, float(p), lo + (h - math.floor(h)) * (hi - lo) if hi != lo else lo))
+    return rows
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
               hist: DataFrame | None = None, method: str = "auto") -> DataFrame:
-    """Rows ``(by..., column, prob, value)`` with exact linear-interpolated quantiles.
-
-    ``method="aggregate"``: Spark's exact ``percentile``, whose buffer is a
-    value -> count map (memory ~ distinct values per group, partial-aggregated)
-    -- right for count-like columns. ``method="distributed"``: histogram +
-    split running counts, for high-cardinality columns where the distinct
-    values of one group must not meet in one task. ``"auto"`` (default) picks
-    by an approximate distinct count.
+    """Rows ``(by..., column, prob, value)`` with exact linear-interpolated quantiles; a column without values gives none.
+
+    Without groups the positions are refined (jobs run when this is called; the result is as many rows as asked for).
+    With ``by``, a given ``hist`` or ``method="distributed"``: histogram + split running counts, for any number of groups.
     """
     by = list(by)
     keys = by + ["column"]
-    if method == "auto" and hist is None:
-        method = choose_method(df, cols, by)
-    if method == "aggregate" and hist is None:
-        lv = long_values(df, cols, by)
-        return lv.groupBy(*keys).agg(F.percentile("v", [float(p) for p in probs]).alias("_q")) \
-            .select(*keys, F.posexplode("_q").alias("_i", "value")) \
-            .select(*keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
-                    "value")
+    if not by and hist is None and method != "distributed":
+        return df.sparkSession.createDataFrame(_refined(df, cols, probs) if cols else [], "column string, prob double, value double")
     h = hist if hist is not None else value_histogram(df, cols, by)
     cum = running_sums(h, ["v"], {"cum": "cnt"}, keys=keys)
     totals = h.groupBy(*keys).agg(F.sum("cnt").alias("n"))
