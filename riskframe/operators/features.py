@@ -9,6 +9,7 @@ same assignment.
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 
@@ -27,6 +28,7 @@ SEED = 42
 DRIFT_WARN = 0.5
 SMOTE_NEIGHBOURS = 5
 SMOTE_WINDOW = 20             # rows looked at on either side along each order
+FEW_ROWS = 20_000             # rows around the quotas that the driver sees when a split is found
 MAX_CLASSES = 10_000          # class tables up to this size are broadcast (checked), larger ones are joined
 # --------------------------------------------------------------------------------
 
@@ -91,24 +93,67 @@ def dummy_counts(encoded: DataFrame, prefix_columns: Sequence[str]) -> DataFrame
 
 
 # F3 -------------------------------------------------------------------------------
+def _quota_bounds(df: DataFrame, label: str, key: str, share: float, seed: int) -> DataFrame:
+    """(label, _hb, _kb): per class the (hash, key) of its ceil(share * n)-th row in that order, found without an order:
+    rows are counted by hash prefix, then by longer prefixes inside the one that holds the quota, until few rows are left.
+    Null keys hash to -1, before all others."""
+    digits, width = 8, 32
+    src = df.select(qcol(label).alias("y"), F.coalesce(hash_order(seed, qcol(key)), F.lit(-1).cast("long")).alias("h"), qcol(key).alias("k")) \
+        .where("y is not null")
+    counts: dict = {}
+    for r in src.groupBy("y", F.shiftright("h", width - digits).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
+        counts.setdefault(r["y"], []).append((r["b"], r["n"]))
+        if len(counts) > MAX_CLASSES:
+            raise ValueError(f"{label}: more than {MAX_CLASSES} classes")
+    few, state = max(16, FEW_ROWS // max(1, len(counts))), {}
+
+    def find(bins, quota):
+        """(bin, quota inside it, rows of it)."""
+        for b, n in sorted(bins):
+            if quota <= n:
+                return b, quota, n
+            quota -= n
+        raise ValueError("rows changed while they were counted")
+    for y, bins in counts.items():
+        quota = math.ceil(sum(n for _, n in bins) * share)
+        if quota:
+            state[y] = (*find(bins, quota), width - digits)
+    kind = df.schema[label].dataType.simpleString()
+    spark = df.sparkSession
+
+    def inside(classes):
+        """Rows of ``src`` whose hash begins with their class's prefix."""
+        t = spark.createDataFrame([(y, int(state[y][0]), state[y][3]) for y in classes], f"y {kind}, b long, shift int")   # a row a class
+        return src.join(F.broadcast(t), "y").where(F.expr("shiftright(h, shift) = b"))
+    while todo := [y for y, (_, _, n, shift) in state.items() if n > few and shift > 0]:
+        more: dict = {}
+        for r in inside(todo).groupBy("y", F.expr(f"shiftright(h, shift - {digits})").alias("b")).agg(F.count(F.lit(1)).alias("n")).collect():
+            more.setdefault(r["y"], []).append((r["b"], r["n"]))
+        for y in todo:
+            state[y] = (*find(more[y], state[y][1]), state[y][3] - digits)
+    last: dict = {}
+    if state:
+        for r in inside(list(state)).groupBy("y", "h", "k").agg(F.count(F.lit(1)).alias("n")).collect():      # FEW_ROWS rows, or those of equal hashes
+            last.setdefault(r["y"], []).append(((r["h"], r["k"] is not None, r["k"]), r["n"]))
+    rows = [(y, *(lambda at: (at[0], at[2]))(find(last[y], state[y][1])[0])) for y in state]
+    return spark.createDataFrame(rows, f"`{label}` {kind}, _hb long, _kb {df.schema[key].dataType.simpleString()}")
+
+
 def stratified_split(df: DataFrame, label: str, key: str, test_size: float = TEST_SIZE, seed: int = SEED,
                      method: str = "exact", name: str = "split") -> DataFrame:
-    """Add ``split`` in {'train','test'}.
+    """Add ``split`` in {'train','test'}; rows without a label are left out.
 
-    exact: inside each class, rows ordered by md5(seed:key) (key breaks ties);
-    the first ceil(test_size * n_class) go to test. The per-class ranking is a
-    skew-safe running count, so a dominant class is spread over many tasks.
-    hash: test iff u(seed, key) < test_size -- no shuffle at all, proportions
-    exact only in expectation (for very large classes).
+    exact: the first ceil(test_size * n_class) rows of a class by (md5(seed:key), key) go to test, by comparing each row with
+    the last of them, which counts of hash prefixes find: no row is sorted or shuffled, whatever the classes' sizes. Rows
+    with equal keys go to the same side.
+    hash: test iff u(seed, key) < test_size -- no pass over the data at all, proportions exact only in expectation.
     """
     if method == "hash":
         return df.withColumn(name, F.when(uniform(seed, qcol(key)) < test_size, "test").otherwise("train"))
-    h = df.withColumn("_h", hash_order(seed, qcol(key)))
-    r = rank_within(h, [label], ["_h", key], "_rk")
-    n = df.groupBy(qcol(label).alias(label)).agg(F.count(F.lit(1)).alias("_n"))   # one row per class
-    r = r.join(bounded_broadcast(n, MAX_CLASSES), label)
-    quota = F.ceil(F.col("_n") * test_size)
-    return r.withColumn(name, F.when(F.col("_rk") < quota, "test").otherwise("train")).drop("_h", "_rk", "_n")
+    h = df.withColumn("_h", F.coalesce(hash_order(seed, qcol(key)), F.lit(-1).cast("long")))
+    r = h.join(F.broadcast(_quota_bounds(df, label, key, test_size, seed)), label)                             # MAX_CLASSES rows
+    last = (F.col("_h") == F.col("_hb")) & (qcol(key).isNull() | (qcol(key) <= F.col("_kb")))
+    return r.withColumn(name, F.when((F.col("_h") < F.col("_hb")) | last, "test").otherwise("train")).drop("_h", "_hb", "_kb")
 
 
 def split_balance(df: DataFrame, label: str, split: str = "split") -> DataFrame:
