@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import qcol
+from riskframe.operators.blocks import summed_blocks
 from riskframe.operators.metrics import grouped_metrics
 from riskframe.session import cut_lineage
 
@@ -26,8 +27,6 @@ from riskframe.session import cut_lineage
 MAX_FEATURES = 1_000
 #: Numbers that a task holds at once in products of features, and models that it works on together.
 CELLS, MODELS_AT_ONCE = 4_000_000, 128
-#: Sums of one model that meet in one task; beyond that they are merged in two steps.
-MERGE_AT_ONCE = 512
 
 
 def _rows(batch: pa.RecordBatch, d: int, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -83,7 +82,7 @@ class Batch:
         sent = self.table.sparkSession.sparkContext.broadcast((beta, design))        # models x features
         features = self.n_features
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def make(batches: Iterator[pa.RecordBatch]) -> dict[int, np.ndarray]:
             beta, design = sent.value
             out = np.zeros((len(design), 2 + d + len(upper[0])))
             for batch in batches:
@@ -97,18 +96,8 @@ class Batch:
                         out[some, 1] += (own * (np.logaddexp(0, z) - y[:, None] * z)).sum(axis=0)
                         out[some, 2:2 + d] += (own * (p - y[:, None])).T @ x
                         out[some, 2 + d:] += (own * p * (1 - p)).T @ pairs
-            yield pa.RecordBatch.from_pydict({"model": pa.array(range(len(design)), pa.int32()), "sums": pa.array([r.tobytes() for r in out], pa.binary())})
-
-        def merge(t: pa.Table) -> pa.Table:
-            total = np.sum([np.frombuffer(x, float) for x in t["sums"].to_pylist()], axis=0)
-            return pa.table({"model": t["model"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
-        tasks = 4 * self.table.sparkSession.sparkContext.defaultParallelism
-        made = self.table.coalesce(tasks).mapInArrow(run, "model int, sums binary")
-        if tasks > MERGE_AT_ONCE:
-            salt = F.pmod(F.spark_partition_id(), F.lit(max(2, round(tasks ** 0.5))))
-            made = made.withColumn("part", salt).groupBy("model", "part").applyInArrow(merge, "model int, sums binary")
-        found = made.groupBy("model").applyInArrow(merge, "model int, sums binary").collect()     # models x features^2 / 2
-        return {r["model"]: np.frombuffer(r["sums"], float) for r in found}
+            return dict(enumerate(out))
+        return summed_blocks(self.table, make)                                       # models x features^2 / 2
 
     # -- the fits
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -141,14 +142,12 @@ def strongest_predictor(corrs: DataFrame) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long pairwise Pearson matrix ``(col_a, col_b, corr)``, nulls left out pair by pair: one pass, an aggregate for each
-    pair of the upper triangle, whose result serves both ways round."""
-    k = len(columns)
-    agg = df.agg(*[F.corr(qcol(columns[i]).cast("double"), qcol(columns[j]).cast("double")).alias(f"_c{i}_{j}")
-                   for i in range(k) for j in range(i, k)])
-    arr = F.array(*[F.struct(F.lit(columns[i]).alias("col_a"), F.lit(columns[j]).alias("col_b"),
-                             F.col(f"_c{min(i, j)}_{max(i, j)}").alias("corr")) for i in range(k) for j in range(k)])
-    return agg.select(F.explode(arr).alias("_s")).select("_s.*")
+    """Long pairwise Pearson matrix ``(col_a, col_b, corr)``, nulls left out pair by pair (null: fewer than two rows or no
+    variance). One pass makes one block of co-moments for all pairs."""
+    from riskframe.operators.blocks import co_moments
+    r = co_moments(df, columns).correlations()
+    rows = [(a, b, None if np.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, corr double")
 
 
 def high_correlation_pairs(matrix: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:

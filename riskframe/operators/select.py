@@ -93,30 +93,23 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str = "targ
 
 
 # X6 -------------------------------------------------------------------------------
-def vif(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """VIF_j = [R^-1]_jj from the correlation matrix (one pass of k^2 corr aggregates; k x k solve on the
-    driver, k = number of features). Singular or constant -> infinity."""
-    spark = df.sparkSession
-    k = len(columns)
-    row = df.agg(*[F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"c{i}_{j}")
-                   for i, a in enumerate(columns) for j, b in enumerate(columns) if j > i]).first()
-    R = np.eye(k)
-    bad = False
-    for i in range(k):
-        for j in range(i + 1, k):
-            v = row[f"c{i}_{j}"]
-            if v is None or (isinstance(v, float) and math.isnan(v)):
-                bad = True
-                v = 0.0
-            R[i, j] = R[j, i] = v
+def vif(df: DataFrame, columns: Sequence[str] = (), vector: str | None = None) -> DataFrame:
+    """VIF_j = [R^-1]_jj from the correlation matrix (one pass; k x k solve on the driver, k = number of features). Singular
+    or constant -> infinity. With ``vector`` the slots of a feature vector are the features."""
+    from riskframe.operators.blocks import co_moments
+    from riskframe.operators.models import feature_names
+    names = list(columns) if vector is None else feature_names(df, vector)
+    R = co_moments(df, columns, vector).correlations()
+    bad = bool(np.isnan(R).any())
+    np.fill_diagonal(R, 1.0)
     try:
         if bad or np.linalg.cond(R) > 1e12:
             raise np.linalg.LinAlgError
         diag = np.diag(np.linalg.inv(R)).tolist()
     except np.linalg.LinAlgError:
-        diag = [float("inf")] * k
-    return spark.createDataFrame([(c, float(v), bool(v > VIF_FLAG)) for c, v in zip(columns, diag)],
-                                 "feature string, vif double, high boolean")
+        diag = [float("inf")] * len(names)
+    return df.sparkSession.createDataFrame([(c, float(v), bool(v > VIF_FLAG)) for c, v in zip(names, diag)],
+                                           "feature string, vif double, high boolean")
 
 
 # X9 -------------------------------------------------------------------------------
