@@ -43,7 +43,8 @@ def uniform(seed, key: Column) -> Column:
     Same integer as DuckDB ``('0x'||substr(md5(seed||':'||key),1,8))::BIGINT``,
     so any split/fold/bootstrap built on it can be re-derived in SQL.
     """
-    h = F.conv(F.substr(F.md5(F.concat(F.lit(str(seed)), F.lit(":"), key.cast("string"))), F.lit(1), F.lit(8)), 16, 10)
+    seed = seed if isinstance(seed, Column) else F.lit(str(seed))
+    h = F.conv(F.substr(F.md5(F.concat(seed, F.lit(":"), key.cast("string"))), F.lit(1), F.lit(8)), 16, 10)
     return h.cast("bigint").cast("double") / F.lit(4294967296.0)
 
 

@@ -60,9 +60,11 @@ class Fit:
 class Batch:
     """A model table with its designs, written once to the shared folder."""
 
-    def __init__(self, df: DataFrame, designs: Mapping[str, Column], features: str = "features", label: str = "target",
-                 weight: str | None = "weight", threshold: float = 0.5):
+    def __init__(self, df: DataFrame, designs: Mapping[str, Column] | Sequence[str], features: str = "features", label: str = "target",
+                 weight: str | None = "weight", threshold: float = 0.5, counts: Column | None = None):
+        """``designs``: by name the column of each, or the names alone beside ``counts``, an array column of all."""
         self.names, self.label, self.threshold = list(designs), label, threshold
+        counts = F.array(*[F.coalesce(c, F.lit(0)).cast("tinyint") for c in designs.values()]) if counts is None else counts.cast("array<tinyint>")
         self.at = {n: i for i, n in enumerate(self.names)}
         first = df.select(F.size(vector_to_array(F.col(features)))).first()
         self.n_features = first[0] if first else 0
@@ -70,7 +72,7 @@ class Batch:
             raise ValueError(f"{self.n_features} features: batched fits take {MAX_FEATURES}; fit models one by one instead")
         self.table = cut_lineage(df.select(
             (qcol(label) == 1).cast("double").alias("y"), (qcol(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
-            vector_to_array(F.col(features)).alias("x"), F.array(*[F.coalesce(c, F.lit(0)).cast("tinyint") for c in designs.values()]).alias("m")))
+            vector_to_array(F.col(features)).alias("x"), counts.alias("m")))
 
     # -- one pass
 
@@ -197,6 +199,26 @@ def _lasso_step(g: np.ndarray, h: np.ndarray, b: np.ndarray, lam: float, sweeps:
     return s
 
 
+def optimality(batch: Batch, fits: Sequence[Fit]) -> DataFrame:
+    """(model, residual): the largest violation of the conditions of each fit's minimum, per unit of weight, from gradients
+    that are summed afresh by relational aggregates (0: the exact minimum)."""
+    spark, d = batch.table.sparkSession, batch.n_features
+    known = spark.createDataFrame([(k, batch.at[f.design], f.penalty == "l1", 1.0 / f.C, f.beta.tolist()) for k, f in enumerate(fits)],
+                                  "model int, design int, l1 boolean, lam double, b array<double>")      # models x features
+    one = F.concat("x", F.array(F.lit(1.0)))
+    z = F.aggregate(F.zip_with(one, "b", lambda u, v: u * v), F.lit(0.0), lambda u, v: u + v)
+    t = batch.table.join(F.broadcast(known)).withColumn("own", F.col("w") * F.element_at("m", F.col("design") + 1)).where("own > 0")
+    t = t.select("model", "own", (F.col("own") * (1 / (1 + F.exp(-z)) - F.col("y"))).alias("r"), "x")
+    sums = t.groupBy("model").agg(F.sum("own").alias("weight"), F.array(*[F.sum(F.col("r") * F.col("x")[j]) for j in range(d)], F.sum("r")).alias("g"))
+    held = sums.join(known, "model")
+    slope, lam = F.col("e.g"), F.col("lam")
+    free = F.col("e.j") == d
+    off = F.when(free, F.abs(slope)).when(~F.col("l1"), F.abs(slope + lam * F.col("e.b"))) \
+        .when(F.col("e.b") != 0, F.abs(slope + lam * F.signum("e.b"))).otherwise(F.greatest(F.abs(slope) - lam, F.lit(0.0)))
+    each = F.explode(F.zip_with(F.sequence(F.lit(0), F.lit(d)), F.arrays_zip("g", "b"), lambda j, gb: F.struct(j.alias("j"), gb["g"].alias("g"), gb["b"].alias("b")))).alias("e")
+    return held.select("model", "weight", "l1", "lam", each).groupBy("model").agg((F.max(off / F.col("weight"))).alias("residual"))
+
+
 # -- protocols: every fit of a protocol in one batch, every metric of it from one curve
 
 #: The metrics of the CV protocols, as in validate.CV_METRICS.
@@ -265,8 +287,10 @@ def bootstrap_logistic(df: DataFrame, replicates: int = 100, key: str = "encount
     """V6: rows (replicate, accuracy, precision, recall, f1, roc_auc): fitted with Poisson(1) counts of the rows, graded on
     the rows that were not drawn; the draws are those of ``validate.bootstrap_weights``."""
     from riskframe.functions.core import poisson1, uniform
-    drawn = {f"in{b}": poisson1(uniform(f"{seed}:{b}", qcol(key))) for b in range(replicates)}
-    batch = Batch(df, drawn | {f"out{b}": (drawn[f"in{b}"] == 0).cast("int") for b in range(replicates)}, label=label, weight=weight)
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), lambda b: poisson1(uniform(F.concat(F.lit(f"{seed}:"), b.cast("string")), qcol(key))))
+    both = F.concat("_drawn", F.transform("_drawn", lambda n: (n == 0).cast("int")))
+    names = [f"in{b}" for b in range(replicates)] + [f"out{b}" for b in range(replicates)]
+    batch = Batch(df.withColumn("_drawn", drawn), names, label=label, weight=weight, counts=both)
     fits = batch.fit([Fit(f"in{b}", C, penalty) for b in range(replicates)])
     graded = batch.metrics(fits, [f"out{b}" for b in range(replicates)])
     return df.sparkSession.createDataFrame([(b, *[_number(g.get(c)) for c in METRICS]) for b, g in enumerate(graded)],

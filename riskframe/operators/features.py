@@ -29,27 +29,28 @@ DRIFT_WARN = 0.5
 SMOTE_NEIGHBOURS = 5
 SMOTE_WINDOW = 20             # rows looked at on either side along each order
 FEW_ROWS = 20_000             # rows around the quotas that the driver sees when a split is found
+MAX_LEVELS = 10_000           # levels of a column that become named columns; beyond: vector_pipeline, or group them
 MAX_CLASSES = 10_000          # class tables up to this size are broadcast (checked), larger ones are joined
 # --------------------------------------------------------------------------------
 
 
 # F1 -------------------------------------------------------------------------------
-def category_levels(df: DataFrame, column: str, max_levels: int | None = None) -> list:
-    """Sorted distinct non-null values; more than ``max_levels``, if that is given, are an error."""
+def category_levels(df: DataFrame, column: str, max_levels: int | None = MAX_LEVELS) -> list:
+    """Sorted distinct non-null values; more than ``max_levels`` are an error (None: no bound)."""
     found = df.select(qcol(column)).where(qcol(column).isNotNull()).distinct()
     if max_levels is not None and found.limit(max_levels + 1).count() > max_levels:
-        raise ValueError(f"{column}: more than {max_levels} levels; group rare values first (max_categories)")
+        raise ValueError(f"{column}: more than {max_levels} levels; use vector_pipeline (sparse, any number) or group rare values first (max_categories)")
     return sorted(r[0] for r in found.collect())
 
 
-def category_levels_many(df: DataFrame, columns: Sequence[str], max_levels: int | None = None) -> dict[str, list]:
+def category_levels_many(df: DataFrame, columns: Sequence[str], max_levels: int | None = MAX_LEVELS) -> dict[str, list]:
     """Sorted distinct non-null values of several string columns in one job; ``max_levels`` as above."""
     from riskframe.operators.explore import long_categories
     pairs = long_categories(df, columns).where(F.col("value").isNotNull()).distinct()
     if max_levels is not None:
         big = [r["column"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_levels).collect()]
         if big:
-            raise ValueError(f"{big}: more than {max_levels} levels; group rare values first (max_categories)")
+            raise ValueError(f"{big}: more than {max_levels} levels; use vector_pipeline (sparse, any number) or group rare values first (max_categories)")
     out: dict[str, list] = {c: [] for c in columns}
     for r in pairs.collect():
         out[r["column"]].append(r["value"])

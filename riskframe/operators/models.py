@@ -79,27 +79,69 @@ def logistic(**settings) -> Logistic:
 
 
 # L3 -------------------------------------------------------------------------------
-def forest(features: str = "features", label: str = "target", weight: str | None = "weight", seed: int = 42,
-           **params):
-    """Random forest; sklearn names mapped: depth None -> Spark's max 30; min_samples_split has no Spark
-    counterpart and is folded into minInstancesPerNode = max(leaf, ceil(split / 2))."""
-    from pyspark.ml.classification import RandomForestClassifier
-    p = {**RF_DEFAULT, **params}
-    depth = SPARK_MAX_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), SPARK_MAX_DEPTH)
-    min_inst = max(int(p["min_samples_leaf"]), math.ceil(int(p["min_samples_split"]) / 2))
-    # larger node batches = fewer passes over the data per tree level; node-id caching (checkpointed every
-    # 10 iterations into the shared checkpoint folder) avoids re-deriving each row's node from the root
+def prune_small_splits(model, min_rows: int):
+    """A fitted forest without splits of nodes of fewer than ``min_rows`` training rows: such a node becomes a leaf that
+    predicts what its own rows say.
+
+    The saved node table is read as rows: a child has no more rows than its parent, so a node stays if its parent (where it
+    has one) has enough, and what stays is numbered anew inside its tree. As no split above depends on one below, this is
+    the forest that would have grown under the limit. The tables are those of the model: trees x nodes.
+    """
+    from pyspark.ml.classification import RandomForestClassificationModel
     from pyspark.sql import SparkSession
-    from riskframe.session import checkpoint_root
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        checkpoint_root(active)
-    kw = dict(featuresCol=features, labelCol=label, numTrees=int(p["numTrees"]), maxDepth=depth,
-              minInstancesPerNode=min_inst, featureSubsetStrategy=str(p["featureSubsetStrategy"]), seed=seed,
-              subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
-    if weight:
-        kw["weightCol"] = weight
-    return RandomForestClassifier(**kw)
+    from riskframe.session import scratch_path
+    spark = SparkSession.getActiveSession()
+    full, path = scratch_path(spark, "forest"), scratch_path(spark, "pruned-forest")
+    model.write().save(full)
+    n = spark.read.parquet(f"{full}/data").select("treeID", "nodeData.*")
+    split = (F.col("leftChild") >= 0) & (F.col("rawCount") >= min_rows)
+    child = n.where(split).select("treeID", F.explode(F.array("leftChild", "rightChild")).alias("id"))
+    kept = n.join(child.withColumn("kept", F.lit(True)), ["treeID", "id"], "left").where((F.col("id") == 0) | F.col("kept"))
+    kept = kept.withColumn("new", F.row_number().over(Window.partitionBy("treeID").orderBy("id")) - 1)      # a tree's nodes
+    at = kept.select("treeID", F.col("id").alias("old"), "new")
+    for side in ("left", "right"):
+        kept = kept.join(at.select("treeID", F.col("old").alias(f"{side}Child"), F.col("new").alias(f"{side}New")), ["treeID", f"{side}Child"], "left")
+    leaf = ~split
+    node = F.struct(F.col("new").cast("int").alias("id"), "prediction", "impurity", "impurityStats", "rawCount",
+                    F.when(leaf, -1.0).otherwise(F.col("gain")).alias("gain"),
+                    *[F.when(leaf, -1).otherwise(F.col(f"{side}New")).cast("int").alias(f"{side}Child") for side in ("left", "right")],
+                    F.when(leaf, F.struct(F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"),
+                                          F.lit(-1).alias("numCategories"))).otherwise(F.col("split")).alias("split"))
+    kept.select("treeID", node.alias("nodeData")).write.parquet(f"{path}/data")
+    spark.read.parquet(f"{full}/treesMetadata").write.parquet(f"{path}/treesMetadata")
+    spark.read.text(f"{full}/metadata").coalesce(1).write.text(f"{path}/metadata")                           # one line
+    return RandomForestClassificationModel.load(path)
+
+
+class Forest(Estimator):
+    """Random forest with sklearn's names: depth None -> Spark's max 30; min_samples_leaf -> minInstancesPerNode; splits of
+    nodes with fewer than min_samples_split rows are pruned from the fitted forest."""
+
+    def __init__(self, features: str = "features", label: str = "target", weight: str | None = "weight", seed: int = 42, **params):
+        super().__init__()
+        p = {**RF_DEFAULT, **params}
+        depth = SPARK_MAX_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), SPARK_MAX_DEPTH)
+        self.min_split, leaf = int(p["min_samples_split"]), int(p["min_samples_leaf"])
+        # larger node batches = fewer passes over the data per tree level; node-id caching (checkpointed every
+        # 10 iterations into the shared checkpoint folder) avoids re-deriving each row's node from the root
+        self.settings = dict(featuresCol=features, labelCol=label, numTrees=int(p["numTrees"]), maxDepth=depth, minInstancesPerNode=leaf,
+                             featureSubsetStrategy=str(p["featureSubsetStrategy"]), seed=seed, subsamplingRate=1.0, bootstrap=True,
+                             maxMemoryInMB=1024, cacheNodeIds=True, checkpointInterval=10)
+        if weight:
+            self.settings["weightCol"] = weight
+        self.settings.update(p.get("more", {}))
+        self.may_prune = self.min_split > 2 * leaf           # a split has two children of ``leaf`` rows at least
+
+    def _fit(self, dataset: DataFrame):
+        from pyspark.ml.classification import RandomForestClassifier
+        from riskframe.session import checkpoint_root
+        checkpoint_root(dataset.sparkSession)
+        model = RandomForestClassifier(**self.settings).fit(dataset)
+        return prune_small_splits(model, self.min_split) if self.may_prune else model
+
+
+def forest(**settings) -> Forest:
+    return Forest(**settings)
 
 
 # L5 / L6 --------------------------------------------------------------------------
@@ -242,19 +284,12 @@ def oob_forest(df: DataFrame, key: str, n_trees: int, features: str = "features"
     Spark's forest exposes no OOB rows, so each tree gets its own hash-derived Poisson(1) bag weights
     (in-bag rows train with that multiplicity, times the class weight); each row is then scored by the
     trees it was out of bag for and the votes are averaged. Rows: (key, label, score, oob_trees)."""
-    from pyspark.ml.classification import RandomForestClassifier
     from riskframe.functions.core import poisson1, uniform
-    p = {**RF_DEFAULT, **params}
-    depth = SPARK_MAX_DEPTH if p["maxDepth"] is None else min(int(p["maxDepth"]), SPARK_MAX_DEPTH)
-    min_inst = max(int(p["min_samples_leaf"]), math.ceil(int(p["min_samples_split"]) / 2))
 
     def one(b):
         bw = poisson1(uniform(f"oob{seed}:{b}", F.col(key))).cast("double")
         d = df.withColumn("_bag", bw).withColumn("_bw", F.col("_bag") * (F.col(weight) if weight else F.lit(1.0)))
-        tree = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=1, bootstrap=False,
-                                      subsamplingRate=1.0, maxDepth=depth, minInstancesPerNode=min_inst,
-                                      featureSubsetStrategy=str(p["featureSubsetStrategy"]), weightCol="_bw",
-                                      seed=seed + b)
+        tree = Forest(features, label, "_bw", seed + b, **{**params, "numTrees": 1, "more": {"bootstrap": False}})
         m = tree.fit(d.where(F.col("_bag") > 0))
         return predict(m, d.where(F.col("_bag") == 0), keep=[key, label]).select(key, label, "score")
     preds = reduce(DataFrame.unionByName, parallel_map(one, range(n_trees)))

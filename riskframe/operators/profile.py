@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.core import SENTINEL, SPECIAL_TOKENS, is_numeric_type, is_string_type, qcol
@@ -222,6 +222,23 @@ def basic_info(df: DataFrame, entity: str) -> DataFrame:
         .withColumn("columns", F.lit(len(df.columns)))
 
 
+def column_types(df: DataFrame) -> DataFrame:
+    """Rows ``(column, position, type, non_null, smallest)``: the schema and, from one aggregate for all columns, how many
+    values a column holds and the smallest of them as text."""
+    cols = df.columns
+    a = df.agg(*[F.count(qcol(c)).alias(f"n{i}") for i, c in enumerate(cols)], *[F.min(qcol(c).cast("string")).alias(f"v{i}") for i, c in enumerate(cols)])
+    types = dict(df.dtypes)
+    return _explode_rows(a, [(c, [("position", F.lit(i + 1)), ("type", F.lit(types[c])), ("non_null", F.col(f"n{i}")), ("smallest", F.col(f"v{i}"))]) for i, c in enumerate(cols)])
+
+
+def head_rows(df: DataFrame, order: Sequence[str], k: int = 5) -> DataFrame:
+    """The first ``k`` rows by ``order`` as long rows ``(row, column, value)``, so any table's head has one schema."""
+    from riskframe.sources.io import head
+    some = head(df, k, order).withColumn("_row", F.row_number().over(Window.orderBy(*[qcol(c) for c in order])))        # k rows
+    arr = F.array(*[F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("value")) for c in df.columns])
+    return some.select(F.col("_row").alias("row"), F.explode(arr).alias("_s")).select("row", "_s.*")
+
+
 # B18 ------------------------------------------------------------------------------
 def validate_table(df: DataFrame, target: str, entity: str) -> DataFrame:
     """Rows ``(check, value, issue)`` for a cleaned table."""

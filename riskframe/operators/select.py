@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -143,20 +144,31 @@ def permute_column(df: DataFrame, column: str, key: str, seed, ranked: tuple[Dat
 def permutation_importance(model, df: DataFrame, columns: Sequence[str], assemble: Callable, key: str,
                            label: str = "target", repeats: int = PERMUTATION_REPEATS, seed: int = 42) -> DataFrame:
     """Drop in AUC when one raw column is permuted (``assemble`` rebuilds the feature vector); ``df`` should be rows the
-    model wasn't fitted on."""
-    ranked = shuffled_ranks(df, key, seed)
-
-    def auc(frame):
-        return M.roc_auc(predict(model, assemble(frame), keep=[label]), label, "score").first()[0]
-    base = auc(df)
-    jobs = [(c, r) for c in columns for r in range(repeats)]
-    drops = parallel_map(lambda j: base - auc(permute_column(df, j[0], key, f"{seed}:{j[1]}", ranked)), jobs)
-    rows = []
-    for i, c in enumerate(columns):
-        of = drops[i * repeats:(i + 1) * repeats]
-        m = sum(of) / repeats
-        rows.append((c, float(m), math.sqrt(sum((d - m) ** 2 for d in of) / repeats)))
-    return df.sparkSession.createDataFrame(rows, "feature string, importance_mean double, importance_std double")
+    model wasn't fitted on.
+
+    A repeat joins each row once with the row some places on in a shuffled order, whose values of all columns come
+    along; each column in turn takes its value from there. All scorings are graded by one curve, grouped by column and
+    repeat.
+    """
+    ranked, n = shuffled_ranks(df, key, seed)
+    columns = list(columns)
+
+    def scores(frame, feature, repeat):
+        return predict(model, assemble(frame), keep=[label]).select(F.lit(feature).alias("feature"), F.lit(repeat).alias("repeat"), F.col(label), "score")
+
+    def repeated(r):
+        shift = 1 + int(hashlib.md5(f"{seed}:{r}".encode()).hexdigest(), 16) % (n - 1) if n > 1 else 0
+        moved = ranked.select(F.pmod(F.col("_r") - shift, F.lit(max(1, n))).alias("_r"), *[qcol(c).alias(f"_moved{i}") for i, c in enumerate(columns)])
+        both = cut_lineage(ranked.join(moved, "_r"))
+        other = ["_r", *[f"_moved{i}" for i in range(len(columns))]]
+        return cut_lineage(reduce(DataFrame.unionByName, [scores(both.withColumn(c, F.col(f"_moved{i}")).drop(*other), c, r) for i, c in enumerate(columns)]))
+    if not columns:
+        return df.sparkSession.createDataFrame([], "feature string, importance_mean double, importance_std double")
+    parts = parallel_map(repeated, list(range(repeats))) + [scores(df, None, -1)]
+    auc = cut_lineage(M.grouped_metrics(reduce(DataFrame.unionByName, parts), ["feature", "repeat"], label, "score").select("feature", "roc_auc"))
+    base = auc.where("feature IS NULL").select("roc_auc").scalar()
+    return auc.where("feature IS NOT NULL").groupBy("feature").agg(F.avg(base - F.col("roc_auc")).alias("importance_mean"),
+                                                                    F.stddev_pop("roc_auc").alias("importance_std"))
 
 
 # X1 / X11 -------------------------------------------------------------------------
@@ -243,6 +255,17 @@ def interaction_gain(df: DataFrame, pairs: Sequence[tuple[str, str]], base: Sequ
         .orderBy(F.desc("gain"), "feature_a", "feature_b")
 
 
+def first_by_hash(df: DataFrame, key: str, seed, rows: int) -> DataFrame:
+    """The ``rows`` rows that come first by md5(seed:key). Only rows under a bound that leaves little more than these are
+    ordered, so a task brings a few rows, not ``rows`` of its own; were the bound too low, all rows would be."""
+    h, n = hash_order(seed, qcol(key)), df.count()
+    if n > 4 * rows:
+        some = df.where(h < math.ceil((rows + 8 * math.sqrt(rows) + 16) / n * (1 << 32)))
+        if some.count() >= rows:
+            df = some
+    return df.orderBy(h, qcol(key)).limit(rows)
+
+
 def permutation_shap(model, df: DataFrame, key: str, features: str = "features", rows: int = SHAP_ROWS,
                      permutations: int = 8, seed: int = 42) -> DataFrame:
     """Sampled-permutation Shapley values for any vector model (X9 beyond the linear case).
@@ -266,7 +289,7 @@ def permutation_shap(model, df: DataFrame, key: str, features: str = "features",
     for p, idx in enumerate(orders):
         for r, j in enumerate(idx):
             pos[p][j] = r
-    sample = df.orderBy(hash_order(f"shap{seed}", F.col(key)), key).limit(rows) \
+    sample = first_by_hash(df, key, f"shap{seed}", rows) \
         .select(F.col(key), vector_to_array(F.col(features)).alias("_x"))
     perm_tab = F.array(*[F.struct(F.lit(p).alias("p"), F.array(*[F.lit(v) for v in pos[p]]).alias("pos"),
                                   F.array(*[F.lit(v) for v in orders[p]]).alias("order"))

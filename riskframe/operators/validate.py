@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +46,8 @@ def fold_metrics(scored: DataFrame, label: str = "target", threshold: float = 0.
 # V2 / V3 / V4 ----------------------------------------------------------------------
 def cross_validate(df: DataFrame, make_estimator: Callable, k: int = CV_FOLDS, label: str = "target", fold: str = "fold",
                    with_train: bool = False, threshold: float = 0.5) -> DataFrame:
-    """Per (fold, side, metric) values, one fit per fold; the seconds of the fit and of the scoring are metrics
-    fit_time and score_time of side 'time'."""
+    """Per (fold, side, metric) values, one fit per fold and one curve for all folds and sides; the seconds of a fit and of
+    writing its scores are metrics fit_time and score_time of side 'time'."""
     spark = df.sparkSession
 
     def one(i):
@@ -54,13 +55,15 @@ def cross_validate(df: DataFrame, make_estimator: Callable, k: int = CV_FOLDS, l
         t0 = time.time()
         m = make_estimator().fit(tr)
         t1 = time.time()
-        out = []
-        for side, part in [("test", te)] + ([("train", tr)] if with_train else []):
-            for name, v in fold_metrics(predict(m, part, threshold, keep=[label]), label, threshold).items():
-                out.append((i, side, name, float(v) if v is not None else None))
-        return out + [(i, "time", "fit_time", t1 - t0), (i, "time", "score_time", time.time() - t1)]
-    rows = [r for part in parallel_map(one, list(range(k))) for r in part]
-    return spark.createDataFrame(rows, "fold int, side string, metric string, value double")
+        sides = [("test", te)] + ([("train", tr)] if with_train else [])
+        scored = cut_lineage(reduce(DataFrame.unionByName, [predict(m, part, keep=[label]).select(
+            F.lit(i).alias("fold"), F.lit(side).alias("side"), F.col(label), "score") for side, part in sides]))
+        return scored, [(i, "time", "fit_time", t1 - t0), (i, "time", "score_time", time.time() - t1)]
+    done = parallel_map(one, list(range(k)))
+    graded = M.grouped_metrics(reduce(DataFrame.unionByName, [d[0] for d in done]), ["fold", "side"], label, "score", threshold=threshold)
+    long = graded.select("fold", "side", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in CV_METRICS])).alias("_m"))
+    times = spark.createDataFrame([r for d in done for r in d[1]], "fold int, side string, metric string, value double")
+    return cut_lineage(long.select("fold", "side", "_m.*").unionByName(times))
 
 
 def summarize_cv(per_fold: DataFrame) -> DataFrame:
@@ -203,9 +206,14 @@ def stability(df: DataFrame, make_estimator: Callable, runs: int = STABILITY_RUN
     scores = spark.createDataFrame([d[0] for d in done], "run int, fold int, roc_auc double")
     if importance is None:
         return scores, None
-    long = spark.createDataFrame([x for d in done for x in d[1]], "feature string, value double")
+    return scores, importance_steadiness(spark, [x for d in done for x in d[1]])
+
+
+def importance_steadiness(spark, values: Sequence[tuple[str, float]]) -> DataFrame:
+    """Per feature: mean and std of its importance over all fits and its place by std (1: the steadiest)."""
+    long = spark.createDataFrame(values, "feature string, value double")
     steady = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    return scores, steady.withColumn("stability_rank", F.row_number().over(Window.orderBy("std", "feature")))   # one row a feature
+    return steady.withColumn("stability_rank", F.row_number().over(Window.orderBy("std", "feature")))   # one row a feature
 
 
 def stability_summary(runs: DataFrame) -> DataFrame:

@@ -7,14 +7,13 @@ entity -> lookups.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.functions.core import NA_TOKENS
 from riskframe.operators import clean, lookup
 from riskframe.plans.dims import LOOKUP_SQL, lookup_dim
 from riskframe.plans.enc import ENC_SQL, enc
+from riskframe.session import local_path
 
 # --- fixed values --------------------------------------------------------------
 ENC_STRING_COLUMNS = ["race", "gender", "age", "specialty", "diag_1", "diag_2", "diag_3", "metformin", "insulin",
@@ -39,21 +38,34 @@ def sentinel_sql(col: str, label: str) -> str:
 
 
 _MATERIALIZED: dict = {}
+_SOURCES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
 
 
-def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
-    """Build a stage once per application and keep it as a parquet table in the shared checkpoint folder.
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Bytes, files and time of change of the tables a stage is made of, as their store knows them."""
+    jvm, out = spark._jvm, []
+    for t in _SOURCES:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            held = fs.getContentSummary(path)
+            out.append((t, held.getLength(), held.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
 
-    Later queries scan the written table instead of re-running the stage's
-    joins and windows (lineage cut by a written table, which also survives
-    executor loss)."""
+
+def materialized(spark: SparkSession, name: str, sf_dir: str, build) -> DataFrame:
+    """Build a stage once per application and state of its tables, and keep it as a parquet table in the shared checkpoint
+    folder. Later queries scan the written table instead of re-running the stage's joins and windows (lineage cut by a
+    written table, which also survives executor loss). A table that has changed under its path is read anew."""
     from riskframe.session import scratch_path
-    key = (spark.sparkContext.applicationId, name, os.path.abspath(sf_dir))
-    if key not in _MATERIALIZED:
+    where = (spark.sparkContext.applicationId, name, local_path(sf_dir))
+    state = _listing(spark, sf_dir)
+    known = _MATERIALIZED.get(where)
+    if known is None or known[0] != state:
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(_MATERIALIZED[key])
+        _MATERIALIZED[where] = known = (state, path)
+    return spark.read.parquet(known[1])
 
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:

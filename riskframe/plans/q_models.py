@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.core import hash_order_sql, poisson1_sql, uniform_sql
+from riskframe.functions.core import hash_order_sql, poisson1, poisson1_sql, uniform, uniform_sql
+from riskframe.operators import batched as B
 from riskframe.operators import features as FE
 from riskframe.operators import metrics as M
 from riskframe.operators import models as MD
@@ -107,7 +108,18 @@ def l8(spark, sf):
 # L2
 @register("l2_grid_search")
 def l2(spark, sf):
-    return MD.search_cv(_train_folds(spark, sf, MD.SEARCH_FOLDS), lambda p: _lr(**p), MD.lr_grid())
+    return B.search_logistic(_train_folds(spark, sf, MD.SEARCH_FOLDS), MD.lr_grid(), MD.SEARCH_FOLDS)
+
+
+# L2: every fit of the grid meets the conditions of its minimum; the gradients are summed by Spark anew
+@register("l2_optimality", "SELECT CAST(c AS INTEGER) AS candidate, CAST(f AS INTEGER) AS fold, true AS optimal "
+          f"FROM range({len(MD.lr_grid())}) AS c(c), range({MD.SEARCH_FOLDS}) AS f(f)")
+def l2o(spark, sf):
+    batch = B.Batch(_train_folds(spark, sf, MD.SEARCH_FOLDS), B._folds(MD.SEARCH_FOLDS, "fold"))
+    grid = [(c, i, p) for c, p in enumerate(MD.lr_grid()) for i in range(MD.SEARCH_FOLDS)]
+    fits = batch.fit([B.Fit(f"train{i}", p["C"], p["penalty"]) for _, i, p in grid])
+    of = spark.createDataFrame([(m, c, i) for m, (c, i, _) in enumerate(grid)], "model int, candidate int, fold int")
+    return B.optimality(batch, fits).join(of, "model").select("candidate", "fold", (F.col("residual") < 1e-6).alias("optimal"))
 
 
 # Four of the reference's grid points here (its whole search is the operator's default)
@@ -160,6 +172,24 @@ def v2f(spark, sf):
     return _r6(V.summarize_cv(_fixed_fold_frame(spark, sf)))
 
 
+# the metrics of all folds and both scores from one grouped curve
+@register("v2_grouped_metrics", scored_sql("""
+SELECT fold, model, n, coalesce((tp + tn) / n, 0.0) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision,
+       coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1,
+       auc / (p * q) AS roc_auc, ap / p AS average_precision
+FROM (SELECT fold, model, CAST(sum(pos + neg) AS DOUBLE) AS n, sum(pos) FILTER (WHERE s >= 0.5) AS tp, sum(neg) FILTER (WHERE s >= 0.5) AS fp,
+             sum(pos) FILTER (WHERE s < 0.5) AS fn, sum(neg) FILTER (WHERE s < 0.5) AS tn, sum(pos) AS p, sum(neg) AS q,
+             sum(neg * (ctp - pos / 2)) AS auc, sum(pos * ctp / (ctp + cfp)) AS ap
+      FROM (SELECT *, sum(pos) OVER (PARTITION BY fold, model ORDER BY s DESC) AS ctp, sum(neg) OVER (PARTITION BY fold, model ORDER BY s DESC) AS cfp
+            FROM (SELECT fold, model, s, CAST(count(*) FILTER (WHERE label = 1) AS DOUBLE) AS pos, CAST(count(*) FILTER (WHERE label <> 1) AS DOUBLE) AS neg
+                  FROM (SELECT fold, 'score' AS model, score AS s, label FROM fs UNION ALL SELECT fold, 'score2', score2, label FROM fs)
+                  GROUP BY fold, model, s)) GROUP BY fold, model)""", FOLD_SQL))
+def v2g(spark, sf):
+    s = FE.stratified_folds(scored(spark, sf), "target", "encounter_id", 5)
+    both = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("s")) for m in ("score", "score2")])).alias("_s")
+    return M.grouped_metrics(s.select("fold", "label", both).select("fold", "label", "_s.*"), ["fold", "model"], "label", "s")
+
+
 @register("v9_verdicts_fixed_score", scored_sql(
     "SELECT metric, round(mean, 6) AS mean, round(std, 6) AS std, CASE WHEN stability < 0.05 THEN 'high' "
     "WHEN stability < 0.1 THEN 'medium' ELSE 'low' END AS stability_verdict, CASE WHEN std < 0.05 THEN 'consistent' "
@@ -189,19 +219,19 @@ def v4(spark, sf):
 # V5
 @register("v5_nested_cv")
 def v5(spark, sf):
-    nested = V.nested_cv(_train_folds(spark, sf, V.NESTED_OUTER), lambda p: _lr(**p), MD.lr_grid())
+    nested = B.nested_logistic(_train_folds(spark, sf, V.NESTED_OUTER), MD.lr_grid(), V.NESTED_OUTER, V.NESTED_INNER)
     summ, freq = V.nested_summary(nested)
     return nested.join(freq, "best_params").withColumns(
         {c: summ.select(c).scalar() for c in ("mean", "ci_low", "ci_high")})
 
 
 # V6
-B = 20
+REPLICATES = 20
 
 
 def _boot_sql():
     aggs = []
-    for b in range(B):
+    for b in range(REPLICATES):
         w = poisson1_sql(uniform_sql(f"42:{b}", "encounter_id"))
         aggs.append(f"SELECT {b} AS replicate, sum({w}) AS n, sum(CASE WHEN (label = 1) = (score >= 0.5) THEN {w} ELSE 0 END)"
                     f" AS c, sum(CASE WHEN label = 1 AND score >= 0.5 THEN {w} ELSE 0 END) AS tp, "
@@ -216,7 +246,7 @@ def _boot_sql():
     "SELECT replicate, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall "
     "FROM reps", _boot_sql()))
 def v6m(spark, sf):
-    return _r6(V.metric_bootstrap(scored(spark, sf), "encounter_id", B))
+    return _r6(V.metric_bootstrap(scored(spark, sf), "encounter_id", REPLICATES))
 
 
 @register("v6_bootstrap_summary", scored_sql(" UNION ALL ".join(
@@ -225,26 +255,27 @@ def v6m(spark, sf):
     f"round(quantile_cont({m}, 0.975), 6) AS p97_5 FROM reps" for m in ("accuracy", "precision", "recall")),
     _boot_sql()))
 def v6s(spark, sf):
-    reps = V.metric_bootstrap(scored(spark, sf), "encounter_id", B)
+    reps = V.metric_bootstrap(scored(spark, sf), "encounter_id", REPLICATES)
     return _r6(V.bootstrap_summary(reps, ["accuracy", "precision", "recall"]))
 
 
 @register("v6_bootstrap_models")
 def v6(spark, sf):
     tr, _, _ = _train_test(spark, sf)
-    return V.bootstrap_summary(V.bootstrap_models(tr, lambda w: _lr(weight=w)), V.CV_METRICS)
+    return V.bootstrap_summary(B.bootstrap_logistic(tr, V.BOOTSTRAP_REPLICATES), V.CV_METRICS)
 
 
 # V7 / V8
 @register("v7_learning_curve")
 def v7(spark, sf):
-    return V.learning_curve(_train_folds(spark, sf, V.CURVE_FOLDS), _lr)
+    return B.learning_curve_logistic(_train_folds(spark, sf, V.CURVE_FOLDS), V.CURVE_SIZES, V.CURVE_FOLDS)
 
 
 def _stability(spark, sf):
     tr, _, _ = _train_test(spark, sf)
     names = MD.feature_names(tr)
-    return V.stability(tr, _lr, importance=lambda m: dict(zip(names, map(abs, m.coefficients.toArray().tolist()))))
+    scores, coefficients = B.stability_logistic(tr, V.STABILITY_RUNS, V.STABILITY_FOLDS)
+    return scores, V.importance_steadiness(spark, [(n, abs(float(v))) for c in coefficients for n, v in zip(names, c)])
 
 
 @register("v8_stability")
@@ -439,14 +470,11 @@ def x5r(spark, sf):
 # X8 importance stability under bootstrap (rows)
 def _importance_stability(spark, sf):
     tr, _, assemble = _numeric(spark, sf, XN)
-    v = cut_lineage(_vectors(assemble(XN), tr))
-
-    def one(b):
-        w = V.bootstrap_weights(v, "encounter_id", b).withColumn("bw", F.col("bw") * F.col("weight"))
-        return _lr(weight="bw").fit(w.where("bw > 0"))
-    models = MD.parallel_map(one, range(X.STABILITY_RESAMPLES))
-    return X.importance_stability(reduce(DataFrame.unionByName, [
-        X.ranked(MD.coefficient_importance(m, XN), "abs_coefficient", "coefficient", f"b{b}") for b, m in enumerate(models)]))
+    drawn = {f"in{b}": poisson1(uniform(f"42:{b}", F.col("encounter_id"))) for b in range(X.STABILITY_RESAMPLES)}
+    fits = (batch := B.Batch(_vectors(assemble(XN), tr), drawn)).fit([B.Fit(n) for n in batch.names])
+    long = spark.createDataFrame([(f.design, n, abs(float(c))) for f in fits for n, c in zip(XN, f.coefficients)], "resample string, feature string, value double")
+    rank = F.row_number().over(Window.partitionBy("resample").orderBy(F.desc("value"), "feature"))      # a row a feature
+    return X.importance_stability(long.withColumn("rank", rank))
 
 
 @register("x8_importance_stability")

@@ -19,8 +19,8 @@ def _union(parts: list[str]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _enc(body: str) -> str:
-    return sql_with(body=body)
+def _enc(body: str, *extra: str) -> str:
+    return sql_with(*extra, body=body)
 
 
 # B1
@@ -228,6 +228,25 @@ def b17(spark, sf):
     return profile.basic_info(encounters(spark, sf), "patient_nbr")
 
 
+# The schema with what the columns hold, and the first rows
+_TYPES = {c: "bigint" for c in ("encounter_id", "patient_nbr", "time_in_hospital", "num_lab", "num_med", "num_proc")} | \
+    {c: "int" for c in ("admission_type_id", "disposition_id")}
+
+
+@register("b17_column_types", _enc(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {i + 1} AS position, '{_TYPES.get(c, 'string')}' AS type, count({q(c)}) AS non_null, "
+    f"min(CAST({q(c)} AS VARCHAR)) AS smallest FROM enc" for i, c in enumerate(ENC_COLUMNS))))
+def b17t(spark, sf):
+    return profile.column_types(encounters(spark, sf))
+
+
+@register("b17_head_rows", _enc(" UNION ALL ".join(
+    f"SELECT CAST(r AS INTEGER) AS \"row\", '{c}' AS \"column\", CAST({q(c)} AS VARCHAR) AS value FROM first" for c in ENC_COLUMNS),
+    "\nfirst AS (SELECT * FROM (SELECT *, row_number() OVER (ORDER BY encounter_id) AS r FROM enc) WHERE r <= 5)"))
+def b17h(spark, sf):
+    return profile.head_rows(encounters(spark, sf), ["encounter_id"], 5)
+
+
 # B18
 def _b18_sql() -> str:
     from riskframe.plans.base import CLEAN_COLUMNS

@@ -90,5 +90,36 @@ def s10(spark, sf):
     for name in ("score", "score2"):
         m = M.classification_metrics(s, "label", name, 0.5)
         m.coalesce(1).write.mode("overwrite").json(f"{root}/{name}_results_run")   # one row per report
-    df = spark.read.json(f"{root}/*_results_run")
-    return df.withColumn("model", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]*)_results_run/", 1))
+    return io.read_results_dir(spark, f"{root}/*_results_run")
+
+
+# The reports of cleaning, features, metrics and validation, each a written table, read back as one
+_REPORTS = {"cleaning": ('SELECT "check" AS item, value', "b18_validate_clean"), "features": ("SELECT metric AS item, value", "f10_processing_report"),
+            "metrics": ("UNPIVOT", "m2_classification_metrics"), "validation": ("SELECT metric AS item, mean AS value", "v2_cv_summary_fixed_score")}
+
+
+def _s8_sql():
+    from riskframe.plans import q_features, q_metrics, q_models, q_profile  # noqa: F401  their statements
+    from riskframe.plans.registry import ORACLES
+    parts = []
+    for report, (head, name) in _REPORTS.items():
+        if head == "UNPIVOT":
+            parts += [f"SELECT '{report}' AS report, '{m}' AS item, {m} AS value FROM ({ORACLES[name]})" for m in _METRICS]
+        else:
+            parts.append(f"SELECT '{report}' AS report, item, value FROM ({head} FROM ({ORACLES[name]}))")
+    return " UNION ALL ".join(parts)
+
+
+_METRICS = ["accuracy", "precision", "recall", "f1"]
+
+
+@register("s8_reports", _s8_sql())
+def s8(spark, sf):
+    from riskframe.plans.registry import QUERIES
+    root = scratch_path(spark, "reports")
+    cleaning, features, metrics, validation = (QUERIES[name](spark, sf) for _, name in _REPORTS.values())
+    one = F.explode(F.array(*[F.struct(F.lit(m).alias("item"), F.col(m).alias("value")) for m in _METRICS])).alias("_s")
+    io.write_reports({"cleaning": cleaning.select(F.col("check").alias("item"), "value"), "features": features.select(F.col("metric").alias("item"), "value"),
+                      "metrics": metrics.select(one).select("_s.*"),
+                      "validation": validation.select(F.col("metric").alias("item"), F.col("mean").alias("value"))}, root)
+    return io.read_reports(spark, root).select("report", "item", "value")

@@ -9,7 +9,7 @@ reports, and a read-back check that compares counts and schema.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,8 +90,21 @@ def load_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("split") == split)
 
 
+def write_reports(reports: Mapping[str, DataFrame], root: str) -> None:
+    """Each report -- long rows ``(item, value, ...)`` -- as JSON lines under ``root/<name>_report``."""
+    for name, df in reports.items():
+        write_table(df, f"{root}/{name}_report", "json")
+
+
+def read_reports(spark: SparkSession, root: str) -> DataFrame:
+    """All reports under ``root`` as one table, with the name of each."""
+    df = spark.read.json(f"{root}/*_report")
+    return df.withColumn("report", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]*)_report/[^/]*$", 1))
+
+
 # S10 ------------------------------------------------------------------------------
 def read_results_dir(spark: SparkSession, pattern: str) -> DataFrame:
-    """Multi-line JSON result files; the model name is the file-name prefix before ``_results_``."""
+    """Result files (multi-line JSON) or folders of them; the model is what precedes ``_results_`` in the file's or, for a
+    written table, the folder's name."""
     df = spark.read.option("multiLine", True).json(pattern)
-    return df.withColumn("model", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)_results_", 1))
+    return df.withColumn("model", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]*)_results_[^/]*(/[^/]*)?$", 1))

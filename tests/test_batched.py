@@ -91,3 +91,38 @@ def test_protocols_equal_single_ones(table):
     b = B.nested_logistic(table, grid, 2, 2).orderBy("outer_fold").collect()
     assert [x["best_params"] for x in a] == [x["best_params"] for x in b]
     assert np.allclose([x[2:] for x in a], [x[2:] for x in b], atol=1e-4)
+
+
+def test_pruned_forest(spark, table):
+    """Under min_samples_split no node of fewer rows is split; the rest of the forest is as it was."""
+    from pyspark.ml.functions import vector_to_array
+    from riskframe.session import scratch_path
+    kw = {"numTrees": 5, "maxDepth": 8, "min_samples_leaf": 2, "featureSubsetStrategy": "all"}
+    full, cut = MD.forest(min_samples_split=2, **kw).fit(table), MD.forest(min_samples_split=60, **kw).fit(table)
+    nodes = []
+    for m in (full, cut):
+        path = scratch_path(spark, "m")
+        m.write().save(path)
+        nodes.append([r.asDict() for r in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()])
+    assert any(0 <= n["leftChild"] and n["rawCount"] < 60 for n in nodes[0])
+    assert not any(0 <= n["leftChild"] and n["rawCount"] < 60 for n in nodes[1])
+    kept = {(n["treeID"], n["rawCount"], n["prediction"]) for n in nodes[1]}
+    assert kept <= {(n["treeID"], n["rawCount"], n["prediction"]) for n in nodes[0]} and cut.totalNumNodes == len(nodes[1])
+    score = lambda m: [r[0] for r in m.transform(table).orderBy("encounter_id").select(vector_to_array("probability")[1]).collect()]
+    same = MD.prune_small_splits(full, 1)
+    assert score(same) == score(full) and score(cut) != score(full)
+    by = {}
+    for n in nodes[1]:
+        by.setdefault(n["treeID"], {})[n["id"]] = n
+    rows = table.orderBy("encounter_id").select("features").collect()
+    walked = []
+    for r in rows:
+        votes = 0.0
+        for tree in by.values():
+            n = tree[0]
+            while n["leftChild"] >= 0:
+                s = n["split"]
+                n = tree[n["leftChild"] if r["features"][s["featureIndex"]] <= s["leftCategoriesOrThreshold"][0] else n["rightChild"]]
+            votes += n["impurityStats"][1] / sum(n["impurityStats"])
+        walked.append(votes / len(by))
+    assert np.allclose(walked, score(cut))
