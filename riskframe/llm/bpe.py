@@ -12,10 +12,7 @@ library. The lexicon's size changes the time, never a result.
 
 from __future__ import annotations
 
-import gc
 import json
-from array import array
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +22,12 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm import common, pieces
+from riskframe.llm import common, merges, pieces
 
 #: Words in the lexicon: bounds what the driver collects and the mapped file (about 2 MB at this size).
 LEXICON_WORDS = 65_536
-#: Distinct parts that a task counts before it hands them on.
-COUNT_AT_ONCE = 400_000
+#: Bytes of texts that are cut at once, and of counted parts that a task holds before it hands them on.
+SLICE, COUNT_BYTES = 2_000_000, 16_000_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -194,33 +191,44 @@ class Lexicon:
         return [None if k < 0 else self.ids[off[k]:off[k + 1]].tobytes() for k in self.numbers(words).tolist()]
 
 
-_VOCABULARY: dict[str, Vocabulary] = {}
+class Encoder:
+    """What a worker holds to encode: the vocabulary, the lexicon, the merges and the memory of parts."""
 
+    def __init__(self, tokenizer_json: str, lexicon: Lexicon):
+        self.vocabulary, self.lexicon = Vocabulary(tokenizer_json), lexicon
+        self.merger, self.specials = merges.Merger(self.vocabulary.single, self.vocabulary.merge), list(self.vocabulary.special)
+        self.texts = pieces.PartEncoder(self.parts, self.specials)
 
-def vocabulary_of(name: str, tokenizer_json: str) -> Vocabulary:
-    """The worker's vocabulary of that name."""
-    if name not in _VOCABULARY:
-        _VOCABULARY.clear()
-        _VOCABULARY[name] = Vocabulary(tokenizer_json)
-    return _VOCABULARY[name]
+    def parts(self, new: list[str]) -> list[bytes]:
+        """The ids of some parts: from the lexicon, else cut and merged, each pre-token once."""
+        found = self.lexicon.encode([p.encode() for p in new])
+        own: dict[str, int] = {}
+        cut = [(i, [p if p in self.vocabulary.special else own.setdefault(p, len(own)) for p in pieces.pieces(new[i], self.specials) if p])
+               for i, ids in enumerate(found) if ids is None]
+        merged = self.merger.encode([p.encode() for p in own])
+        for i, some in cut:
+            found[i] = b"".join([merged[p] if isinstance(p, int) else self.vocabulary.special[p].to_bytes(4, "little") for p in some])
+        return found
 
 
 def count_parts(docs: DataFrame, specials: list[str]) -> DataFrame:
     """(part, n): how often each part occurs in all texts; counted in the tasks first, then summed by part."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def rows():
-            yield pa.RecordBatch.from_pydict({"key": pa.array(seen.keys(), pa.string()), "n": pa.array(seen.values(), pa.int64())})
-            seen.clear()
+        def summed() -> pa.Table:
+            t = pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
+            return pa.table({"key": t["key"], "n": t["n_sum"]})
         for batch in batches:
-            for _, part in pieces.slices(batch.column("text")):
-                keys, _ = pieces.cut(part, specials)
-                c = pc.value_counts(keys)
-                seen.update(dict(zip(c.field(0).to_pylist(), c.field(1).to_pylist(), strict=True)))
-                if len(seen) > COUNT_AT_ONCE:
-                    yield from rows()
-        yield from rows()
+            for _, part in pieces.slices(batch.column("text"), SLICE):
+                c = pc.value_counts(pieces.cut(part, specials)[0])
+                held.append(pa.table({"key": c.field(0).cast(pa.string()), "n": c.field(1).cast(pa.int64())}))
+                if sum(t.nbytes for t in held) > COUNT_BYTES:
+                    held = [summed()]
+                    if held[0].nbytes > COUNT_BYTES // 2:                 # mostly distinct: summed by the shuffle
+                        yield from held.pop().combine_chunks().to_batches()
+        if held:
+            yield from summed().combine_chunks().to_batches()
     spaced = F.when(F.col("key").startswith("\x01"), F.expr("substr(key, 2)")).when(F.col("key").startswith("\n"), F.col("key")).otherwise(F.concat(F.lit(" "), "key"))
     return docs.select("text").mapInArrow(count, "key string, n long").groupBy(spaced.alias("part")).agg(F.sum("n").alias("n"))
 
@@ -259,28 +267,15 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WO
     spark.sparkContext.addFile(f"{path}/{name}")                      # every executor gets its copy, also a new one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-
-        def make() -> pieces.PartEncoder:
-            lexicon = Lexicon.mapped(SparkFiles.get(name))
-
-            def parts(new: list[str]) -> list[bytes]:
-                found = lexicon.encode([p.encode() for p in new])
-                return [array("I", own().encode(p)).tobytes() if ids is None else ids for p, ids in zip(new, found, strict=True)]
-            return pieces.PartEncoder(parts, list(own().special))
-
-        def own() -> Vocabulary:
-            return vocabulary_of(name, sent.value)
-        encoder = pieces.shared(name, make)
         for batch in batches:
-            for at, part in pieces.slices(batch.column("text")):
-                ids, n = encoder(part)
+            own = pieces.shared(name, lambda: Encoder(sent.value, Lexicon.mapped(SparkFiles.get(name))))
+            for at, part in pieces.slices(batch.column("text"), SLICE):
+                ids, n = own.texts(part)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)))
-                texts = [own().decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)] if decoded else []
+                texts = [own.vocabulary.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)] if decoded else []
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), lists] + [pa.array(texts, pa.string())] * decoded,
                                                  ["doc_id", "ids", "text"][:2 + decoded])
-        gc.enable()
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * decoded)
 
 

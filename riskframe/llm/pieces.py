@@ -21,7 +21,8 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 #: White space at the ends or twice in a row, any other than space and newline, or the mark of whole parts.
 _UNEVEN = (r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
            r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\A\z")
-MEMO, SLICE, AT_ONCE = 600_000, 8_000_000, 20_000
+#: Bytes of remembered parts (twice: those met since the last turn, and before), of a slice, and parts encoded at once.
+MEMO, SLICE, AT_ONCE = 32_000_000, 8_000_000, 20_000
 #: By name: encoders that the tasks of one Python worker share, so that each doesn't start with an empty memory.
 _SHARED: dict[str, Callable] = {}
 
@@ -71,12 +72,12 @@ def spread(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 class PartEncoder:
     """Encodes whole texts through ``encode(parts) -> list of little-endian uint32 bytes``.
 
-    ``memo`` bounds the remembered parts: when so many are new, those not met since the last time are forgotten, which
-    costs time but changes nothing.
+    ``memo`` bounds the bytes of remembered parts: when so many are new, those not met since the last time are forgotten,
+    which costs time but changes nothing.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], specials: list[str], memo: int = MEMO):
-        self.encode, self.specials, self.limit, self.memo, self.older = encode, specials, memo, {}, {}
+        self.encode, self.specials, self.limit, self.memo, self.older, self.held = encode, specials, memo, {}, {}, 0
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (uint32) and the number of ids of each."""
@@ -85,19 +86,21 @@ class PartEncoder:
             return np.zeros(0, "<u4"), np.zeros(len(texts), np.int64)
         coded = keys.dictionary_encode()
         distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        if len(self.memo) > self.limit:
-            self.memo, self.older = {}, self.memo
+        if self.held > self.limit:
+            self.memo, self.older, self.held = {}, self.memo, 0
         own = list(map(self.memo.get, distinct))
         missed = [i for i, v in enumerate(own) if v is None]
         if missed and self.older:
             for i in missed:
                 if (known := self.older.get(distinct[i])) is not None:
                     own[i] = self.memo[distinct[i]] = known
+                    self.held += 150 + len(distinct[i]) + len(known)          # 150: two objects and an entry in the dictionary
             missed = [i for i in missed if own[i] is None]
         for k in range(0, len(missed), AT_ONCE):
             some = missed[k:k + AT_ONCE]
             for i, v in zip(some, self.encode([part_of(distinct[i]) for i in some]), strict=True):
                 own[i] = self.memo[distinct[i]] = v
+                self.held += 150 + len(distinct[i]) + len(v)
         ids = np.frombuffer(b"".join(own), "<u4")
         n = np.fromiter(map(len, own), np.int64, len(own)) // 4
         first = np.cumsum(n) - n

@@ -20,10 +20,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from riskframe.llm import bpe, pieces
+from riskframe.llm import bpe, merges, pieces
 
-#: Bytes of texts that are cut at once, of symbols that are merged at once, and of remembered parts in a worker.
-SLICE, MERGE_AT_ONCE, MEMO_BYTES = 4_000_000, 400_000, 96_000_000
+#: Bytes of texts that are cut at once, and of remembered parts in a worker.
+SLICE, MEMO_BYTES = 4_000_000, 96_000_000
 
 
 def whole_tokens(vocabulary: bpe.Vocabulary) -> list[str]:
@@ -39,66 +39,11 @@ def whole_tokens(vocabulary: bpe.Vocabulary) -> list[str]:
     return found
 
 
-class Merger:
-    """Numbers of tokens of many pre-tokens at a time."""
-
-    def __init__(self, vocabulary: bpe.Vocabulary):
-        self.single = np.array(vocabulary.single, np.int64)
-        pairs = np.array([(a << 32 | b, rank, new) for (a, b), (rank, new) in vocabulary.merge.items()], np.int64).reshape(-1, 3)
-        self.pair, self.rank, self.new = pairs[np.argsort(pairs[:, 0])].T
-        self.never = np.int64(len(pairs) + 1)
-
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank of each pair (``never`` for pairs without one) and its place in the table."""
-        key = left << 32 | right
-        if not len(self.pair):
-            return np.full(len(key), self.never), np.zeros(len(key), np.int64)
-        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
-        return np.where(self.pair[at] == key, self.rank[at], self.never), at
-
-    def counts(self, words: list[bytes]) -> np.ndarray:
-        """How many tokens each pre-token (not empty) becomes; equal lengths go together, so they finish together."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        out, order = np.zeros(len(words), np.int64), np.argsort(sizes, kind="stable")
-        ends = np.cumsum(sizes[order])
-        at = 0
-        while at < len(order):
-            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + MERGE_AT_ONCE, "right")))
-            some = order[at:stop]
-            out[some] = self._counts(b"".join([words[i] for i in some]), sizes[some])
-            at = stop
-        return out
-
-    def _counts(self, text: bytes, sizes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(sizes), np.int64)
-        token = self.single[np.frombuffer(text, np.uint8)]
-        word = np.repeat(np.arange(len(sizes)), sizes)
-        while len(token) > 1:
-            rank, at = self.ranks(token[:-1], token[1:])
-            rank[word[:-1] != word[1:]] = self.never
-            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))          # of each unfinished word
-            least = np.minimum.reduceat(np.append(rank, self.never), first)
-            n = np.diff(np.append(first, len(token)))
-            done = least == self.never
-            out[word[first[done]]] = n[done]
-            join = (rank == np.repeat(least, n)[:-1]) & (rank < self.never)
-            places = np.flatnonzero(join)
-            if len(places):                                                                  # of a run like aaaa every second pair
-                run = np.concatenate([[True], np.diff(places) > 1])
-                places = places[(places - np.repeat(places[run], np.diff(np.append(np.flatnonzero(run), len(places))))) % 2 == 0]
-                token[places] = self.new[at[places]]
-            keep = np.repeat(~done, n)
-            keep[places + 1] = False
-            token, word = token[keep], word[keep]
-        out[word] = 1
-        return out
-
-
 class PartCounter:
     """Numbers of tokens of whole texts; remembers those of the parts it met, up to ``memo`` bytes of them."""
 
     def __init__(self, vocabulary: bpe.Vocabulary, whole: list[str], memo: int = MEMO_BYTES):
-        self.specials, self.whole, self.merger, self.limit = list(vocabulary.special), frozenset(whole), Merger(vocabulary), memo
+        self.specials, self.whole, self.merger, self.limit = list(vocabulary.special), frozenset(whole), merges.Merger(vocabulary.single, vocabulary.merge), memo
         self.memo, self.held = {}, 0
 
     def __call__(self, texts: pa.Array) -> np.ndarray:

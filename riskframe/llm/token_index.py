@@ -11,7 +11,6 @@ an empty table gives no shard. Columns other than key and text are not read.
 
 from __future__ import annotations
 
-import gc
 import json
 import uuid
 import zlib
@@ -182,7 +181,6 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, end_id: int | None =
     width = 2 if max(json.loads(vocabulary)["model"]["vocab"].values()) < 1 << 16 else 4
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
         encoder, out = None, None
         for batch in batches:
             if encoder is None:
@@ -195,7 +193,6 @@ def write(docs: DataFrame, root: str, tokenizer_path: str, end_id: int | None =
                 if end_id is not None:
                     ids, n = np.insert(ids, np.cumsum(n), end_id), n + 1
                 out.add(number[at:at + len(part)], valid[at:at + len(part)], ids, n)
-        gc.enable()
         if out is not None:
             yield pa.RecordBatch.from_pydict(out.close())
 
