@@ -180,6 +180,26 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return empty.join(found, "column", "left").select("column", F.coalesce("distinct", F.lit(0)).cast("bigint").alias("distinct"))
 
 
+#: Sketch cells (2^LG_CELLS) of a distinct count, and relative deviations from its estimate that count as possible (about
+#: five standard errors of 1.04 / sqrt(cells)).
+LG_CELLS, POSSIBLE = 14, 0.045
+
+
+def distinct_above(df: DataFrame, columns: Sequence[str], threshold: int | None = None, ratio: float | None = None) -> DataFrame:
+    """Rows ``(column, above, exact)``: whether a column has more than ``threshold`` distinct non-null values (or more than
+    ``ratio`` of the rows). One pass makes a mergeable sketch per column; only columns whose estimate leaves the question
+    open are counted exactly (``exact``; null for the others), so only their values are shuffled."""
+    cols = list(columns)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, above boolean, exact long")
+    row = df.agg(F.count(F.lit(1)), *[F.hll_sketch_estimate(F.hll_sketch_agg(qcol(c).cast("string"), LG_CELLS)) for c in cols]).first()
+    bound = threshold if ratio is None else ratio * row[0]
+    open_ = [c for c, n in zip(cols, row[1:]) if abs((n or 0) - bound) <= POSSIBLE * max(n or 0, bound) + 1]
+    exact = {r["column"]: r["distinct"] for r in distinct_counts(df, open_).collect()} if open_ else {}       # a row a column
+    rows = [(c, bool(exact.get(c, n or 0) > bound), exact.get(c)) for c, n in zip(cols, row[1:])]
+    return df.sparkSession.createDataFrame(rows, "column string, above boolean, exact long")
+
+
 def usage_summary(df: DataFrame, columns: Sequence[str], target: str = "target", none_value: str = "No") -> DataFrame:
     """Per indicator column: users (value != none), usage pct, mean target among users."""
     lv = long_categories(df, columns, [target])

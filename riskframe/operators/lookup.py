@@ -18,6 +18,7 @@ from riskframe.functions.core import qcol
 # --- fixed values --------------------------------------------------------------
 UNKNOWN = "Unknown"
 BROADCAST_MAX_ROWS = 1_000_000
+HOT_IDS, HOT_ITEMS_TRACKED = 64, 4_096     # ids that a join treats apart at most, and counters of the sketch that finds them
 # --------------------------------------------------------------------------------
 
 
@@ -26,15 +27,39 @@ def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
 
 
+def hot_ids(df: DataFrame, column: str, share: float | None = None) -> list:
+    """Ids that hold more than ``share`` of the rows (default: what an average shuffle partition holds), by mergeable
+    frequent-item counters in one aggregate; HOT_IDS at most. An estimate may add or miss an id near the bound, which
+    changes how a join runs, not what it gives."""
+    share = share or 1.0 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = df.agg(F.expr(f"approx_top_k(`{column}`, {HOT_IDS}, {HOT_ITEMS_TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return [x["item"] for x in row["top"] or [] if x["item"] is not None and x["count"] > share * row["n"]]
+
+
+def left_join_by_id(df: DataFrame, column: str, dim: DataFrame, key: str, share: float | None = None) -> DataFrame:
+    """``df`` left join ``dim`` (one row an id ``key``) where ``dim`` is too large to broadcast: rows of hot ids meet the few
+    dimension rows of these ids where they are, only the others are shuffled by id."""
+    hot = hot_ids(df, column, share)
+    if not hot:
+        return df.join(dim, qcol(column) == F.col(key), "left")
+    mine = F.coalesce(qcol(column).isin(hot), F.lit(False))
+    apart = df.where(mine).join(F.broadcast(dim.where(F.col(key).isin(hot))), qcol(column) == F.col(key), "left")      # HOT_IDS rows
+    return apart.unionByName(df.where(~mine).join(dim, qcol(column) == F.col(key), "left"))
+
+
 def apply_lookup(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None, name: str | None = None,
                  default: str = UNKNOWN, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left equi-join ``column`` -> description; no match or null description -> ``default``.
 
-    Of several descriptions of an id the smallest counts. The size check runs on the mapping's own rows."""
+    Of several descriptions of an id the smallest counts. The size check runs on the mapping's own rows; beyond it hot ids
+    are joined apart."""
     d = dim.where(F.col("mapping") == mapping) if mapping is not None else dim
     d = d.groupBy(F.col("id").alias("_lk_id")).agg(F.min("description").alias("_lk_desc"))
     out_name = name or (column[:-3] if column.endswith("_id") else column) + "_desc"
-    j = df.join(bounded_broadcast(d, max_rows), qcol(column) == F.col("_lk_id"), "left")
+    if d.limit(max_rows + 1).count() <= max_rows:
+        j = df.join(F.broadcast(d), qcol(column) == F.col("_lk_id"), "left")
+    else:
+        j = left_join_by_id(df, column, d, "_lk_id")
     return j.withColumn(out_name, F.coalesce(F.col("_lk_desc"), F.lit(default))).drop("_lk_id", "_lk_desc")
 
 
@@ -48,12 +73,15 @@ def apply_lookups(df: DataFrame, lookups: Mapping[str, tuple[DataFrame, str]]) -
 
 
 def lookup_hit_counts(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None) -> DataFrame:
-    """One row: rows, mapped rows (id present in the dimension, whatever its description), unmapped rows."""
+    """One row: rows, mapped rows (id present in the dimension, whatever its description), unmapped rows. Rows are counted
+    by id first, so an id is joined once however many rows hold it."""
     d = dim.where(F.col("mapping") == mapping) if mapping is not None else dim
     d = d.select(F.col("id").alias("_id")).distinct()
-    j = df.select(qcol(column).alias("_v")).join(bounded_broadcast(d), F.col("_v") == F.col("_id"), "left")
-    return j.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("_id").isNotNull()).alias("mapped"),
-                 F.count_if(F.col("_id").isNull()).alias("unmapped"))
+    held = df.groupBy(qcol(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    j = held.join(bounded_broadcast(d), F.col("_v") == F.col("_id"), "left")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    return j.agg(total("_n").alias("rows"), total(F.when(F.col("_id").isNotNull(), F.col("_n"))).alias("mapped"),
+                 total(F.when(F.col("_id").isNull(), F.col("_n"))).alias("unmapped"))
 
 
 def unmapped_ids(df: DataFrame, column: str, dim: DataFrame, mapping: str | None = None) -> DataFrame:

@@ -93,6 +93,60 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str = "targ
     return j.groupBy("feature").agg(F.sum(term).alias("mutual_info"))
 
 
+def digamma_of_count(n):
+    """psi(n) for counts n >= 1: the recurrence up to n + 8, then the asymptotic series (error below 1e-12)."""
+    n = n.cast("double")
+    y = n + 8
+    s = 1 / (y * y)
+    series = F.log(y) - 0.5 / y - s * (1 / 12.0 - s * (1 / 120.0 - s * (1 / 252.0 - s * (1 / 240.0 - s / 132.0))))
+    return series - sum((1 / (n + i) for i in range(1, 8)), 1 / n)
+
+
+def neighbour_information(df: DataFrame, columns: Sequence[str], label: str = "target", neighbours: int = 3) -> DataFrame:
+    """X4 for continuous columns: the k-nearest-neighbour estimate of the mutual information (nats, at least 0) between
+    each column and a class label; rows (feature, mutual_info).
+
+    A row's radius is the distance to its k-th nearest row of its class (k = ``neighbours``, or one less than the class
+    if that is smaller; a class of one row is left out); m counts the rows of any class nearer than that, or equal where
+    the radius is 0. I = psi(N) + mean psi(k) - mean psi(class size) - mean psi(m).
+
+    In one dimension the nearest are neighbours in order: every row goes to the k places on either side of its rank in
+    its class, so a place meets 2k + 1 rows, whatever the classes' sizes. Counts within a radius come from running counts
+    over rows and both ends of all radii in one order. Rank and order are split into ranges when a class is large.
+    """
+    from riskframe.operators.ordered import running_sums
+    from riskframe.operators.quantiles import long_values
+    base = long_values(df.where(qcol(label).isNotNull()), columns, [label]).withColumnRenamed(label, "y").where(~F.isnan("v"))
+    hist = base.groupBy("column", "y", "v").agg(F.count(F.lit(1)).alias("cnt"))       # equal rows of a class share radius and m
+    sizes = hist.groupBy("column", "y").agg(F.sum("cnt").alias("n_y")).where("n_y > 1")
+    hist = cut_lineage(hist.join(sizes, ["column", "y"]))
+    k = F.least(F.lit(neighbours), F.col("n_y") - 1)
+    # a value's neighbours in its class: values up to k places away in the order of distinct values hold the k nearest rows
+    order = rank_within(hist, ["column", "y"], ["v"], "place")
+    sent = order.select("column", "y", "v", "cnt", F.explode(F.sequence(F.col("place") - neighbours, F.col("place") + neighbours)).alias("at"))
+    met = sent.groupBy("column", "y", F.col("at").alias("place")).agg(F.collect_list(F.struct("v", "cnt")).alias("near"))      # 2k + 1 values
+    with_near = order.join(met, ["column", "y", "place"]).select("column", "y", "v", "cnt", "n_y", "near", k.alias("k"))
+    by_distance = F.array_sort(F.transform("near", lambda e: F.struct(F.abs(e["v"] - F.col("v")).alias("d"), e["cnt"].alias("c"))))
+    start = F.struct(F.lit(-1).cast("bigint").alias("seen"), F.lit(None).cast("double").alias("d"))         # the row itself doesn't count
+    radius = F.aggregate(by_distance, start, lambda acc, e: F.struct(
+        (acc["seen"] + e["c"]).alias("seen"), F.coalesce(acc["d"], F.when(acc["seen"] + e["c"] >= F.col("k"), e["d"])).alias("d")))["d"]
+    points = cut_lineage(with_near.withColumn("r", radius).select("column", "y", "v", "cnt", "n_y", "k", "r"))
+    # running counts: rows (kind 1) between lower ends (kind 0: rows before) and upper ends (kind 2: rows up to)
+    inside = F.col("r") > 0
+    ends = points.select("column", "y", "v", F.explode(F.array(
+        F.struct((F.col("v") - F.col("r")).alias("at"), F.when(inside, 2).otherwise(0).alias("kind"), F.lit(-1).alias("sign")),
+        F.struct((F.col("v") + F.col("r")).alias("at"), F.when(inside, 0).otherwise(2).alias("kind"), F.lit(1).alias("sign")))).alias("e")) \
+        .select("column", "y", "v", "e.*").withColumn("cnt", F.lit(0).cast("bigint"))
+    rows = points.select("column", "y", "v", F.col("v").alias("at"), F.lit(1).alias("kind"), F.lit(0).alias("sign"), "cnt")
+    counted = running_sums(rows.unionByName(ends), ["at", "kind", "y", "v", "sign"], {"upto": "cnt"}, keys=["column"]).where("sign <> 0")
+    m = counted.groupBy("column", "y", "v").agg(F.sum(F.col("sign") * F.col("upto")).alias("m"))
+    all_ = points.join(m, ["column", "y", "v"])
+    w = F.col("cnt")
+    a = all_.groupBy("column").agg(F.sum(w).alias("n"), (F.sum(w * (digamma_of_count(F.col("k")) - digamma_of_count(F.col("n_y"))
+                                                                   - digamma_of_count(F.col("m")))) / F.sum(w)).alias("mean"))
+    return a.select(F.col("column").alias("feature"), F.greatest(F.lit(0.0), digamma_of_count(F.col("n")) + F.col("mean")).alias("mutual_info"))
+
+
 # X6 -------------------------------------------------------------------------------
 def vif(df: DataFrame, columns: Sequence[str] = (), vector: str | None = None) -> DataFrame:
     """VIF_j = [R^-1]_jj from the correlation matrix (one pass; k x k solve on the driver, k = number of features). Singular

@@ -6,6 +6,7 @@ floating sums (different summation orders) never decide a comparison. Regenerate
 """
 
 DOUBLE_COLUMNS = {
+    'x4_neighbour_information': ['mutual_info'],
     's8_reports': ['value'],
     'v2_grouped_metrics': ['n', 'accuracy', 'precision', 'recall', 'f1', 'roc_auc', 'average_precision'],
     's10_results_dir': ['accuracy', 'f1', 'npv', 'precision', 'recall', 'specificity', 'threshold'],

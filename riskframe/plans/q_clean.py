@@ -172,6 +172,21 @@ def p10(spark, sf):
     return clean.near_unique_columns(clean_enc(spark, sf))
 
 
+# P10 / P12 decided by sketches: exact counts only where an estimate leaves the question open
+@register("p10_near_unique_by_sketch", clean_sql(_union([
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {q(c)}) / count(*) > 0.9 AS near_unique FROM clean" for c in CLEAN_COLUMNS])))
+def p10s(spark, sf):
+    from riskframe.operators.explore import distinct_above
+    return distinct_above(clean_enc(spark, sf), CLEAN_COLUMNS, ratio=0.9).select("column", F.col("above").alias("near_unique"))
+
+
+@register("p12_many_levels_by_sketch", clean_sql(_union([
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {q(c)}) > 50 AS many_levels FROM clean" for c in CLEAN_COLUMNS])))
+def p12s(spark, sf):
+    from riskframe.operators.explore import distinct_above
+    return distinct_above(clean_enc(spark, sf), CLEAN_COLUMNS, threshold=50).select("column", F.col("above").alias("many_levels"))
+
+
 # P11
 _P11 = ["encounter_id", "patient_nbr", "readmitted", "diag_1", "diag_2", "diag_3", "weight"]
 
@@ -295,6 +310,15 @@ def j1e(spark, sf):
     return clean_enc(spark, sf).groupBy("admission_type_desc", "disposition_desc").agg(F.count(F.lit(1)).alias("n"))
 
 
+# J1 with a dimension too large to broadcast: hot ids are joined apart
+@register("j1_hot_id_enrichment", _staged_sql("""
+SELECT coalesce(d.description, 'Unknown') AS disposition_desc, count(*) AS n FROM staged s
+LEFT JOIN (SELECT id, min(description) AS description FROM lk WHERE mapping = 'disposition' GROUP BY id) d ON s.disposition_id = d.id GROUP BY 1""", LOOKUP_SQL))
+def j1h(spark, sf):
+    t = lookup.apply_lookup(staged(spark, sf), "disposition_id", lookup_dim(spark, sf), "disposition", max_rows=0)
+    return t.groupBy("disposition_desc").agg(F.count(F.lit(1)).alias("n"))
+
+
 # J2
 @register("j2_coverage", _staged_sql("""
 SELECT count(*) AS distinct_ids, count(h) AS matched, count(*) - count(h) AS unmatched,

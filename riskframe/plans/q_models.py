@@ -326,6 +326,24 @@ def x4(spark, sf):
     return mi.select("feature", F.round("mutual_info", 6).alias("mutual_info"))
 
 
+# X4 over continuous columns: the k-nearest-neighbour estimate, in SQL over all pairs
+@register("x4_neighbour_information", clean_sql(f"""
+SELECT feature, greatest(0.0, max(pn.psi) + avg(pk.psi) - avg(py.psi) - avg(pm.psi)) AS mutual_info
+FROM (SELECT q.feature, q.id, q.n_y, q.k, (SELECT count(*) FROM big b WHERE b.feature = q.feature AND CASE WHEN q.r > 0 THEN abs(b.v - q.v) < q.r ELSE b.v = q.v END) AS m,
+             count(*) OVER (PARTITION BY q.feature) AS n
+      FROM (SELECT a.feature, a.id, a.v, a.n_y, a.k, a.r FROM near a WHERE rn = k) q) x
+JOIN psi pn ON pn.n = x.n JOIN psi pk ON pk.n = x.k JOIN psi py ON py.n = x.n_y JOIN psi pm ON pm.n = x.m GROUP BY feature""",
+    "\npts AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, encounter_id AS id, target AS y, CAST({c} AS DOUBLE) AS v FROM clean WHERE {c} IS NOT NULL" for c in XN) + """),
+big AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY feature, y) AS n_y FROM pts) WHERE n_y > 1),
+near AS (SELECT a.feature, a.id, a.v, a.n_y, least(3, a.n_y - 1) AS k, abs(a.v - b.v) AS r,
+                row_number() OVER (PARTITION BY a.feature, a.id ORDER BY abs(a.v - b.v)) AS rn
+         FROM big a JOIN big b ON a.feature = b.feature AND a.y = b.y AND a.id <> b.id),
+psi AS (SELECT n, -0.5772156649015329 + coalesce(sum(1.0::DOUBLE / n) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS psi
+        FROM (SELECT unnest(range(1, 200001)) AS n))"""))
+def x4n(spark, sf):
+    return X.neighbour_information(clean_enc(spark, sf), XN)
+
+
 # X6 VIF of three columns (closed-form 3x3 inverse diagonal in SQL)
 XV = ["num_lab", "num_med", "num_proc"]
 
