@@ -6,7 +6,7 @@ import re
 import uuid
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.session import checkpoint_root
@@ -15,12 +15,23 @@ from riskframe.session import checkpoint_root
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of rows that go to Python at once: bounds what a task holds on both sides, whatever the texts' lengths.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """The session's Arrow batches from now on hold ``BATCH_BYTES`` (Spark's own bound is 64 MB)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id long, text string): a null text is the empty text; other columns stay behind."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
@@ -66,3 +77,14 @@ def numbered(df: DataFrame, column: str) -> DataFrame:
 def fewer(df: DataFrame, factor: int = 8) -> DataFrame:
     """``df``, the outcome of a shuffle and much smaller than the documents, in fewer and larger tasks."""
     return df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // factor))
+
+
+def first_by(df: DataFrame, order: Column, rows: int) -> DataFrame:
+    """The ``rows`` rows that come first by a 64-bit hash. Only rows under a bound that leaves little more than these are
+    ordered, so a task brings a few rows, not ``rows`` of its own; were the bound too low, all rows would be."""
+    n = df.count()
+    if n > 4 * rows:
+        some = df.where(order < int(-(1 << 63) + (rows + 8 * rows ** 0.5 + 16) / n * (1 << 64)))
+        if some.count() >= rows:
+            df = some
+    return df.orderBy(order).limit(rows)

@@ -39,7 +39,7 @@ class _Hashes(dict):
     """Words to 64-bit hashes; bounded, as it starts anew when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h

@@ -26,8 +26,8 @@ BUCKETS = 1 << 14
 EFFECTIVE = 40
 #: Rows that a parent's shares weigh in a host's prior; added rows for a declaration or a suffix not met.
 HOST_ROWS, ADDED = 20.0, 0.5
-#: Languages that the model may have; more distinct declarations are an error, not cut.
-MAX_LANGUAGES = 200
+#: Languages that the model may have: the most declared ones. Rarer declarations (junk, in pages) are one value, as evidence.
+MAX_LANGUAGES, RARE = 200, "\x00rare"
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r0123456789", b" " * 15)
 
@@ -62,9 +62,9 @@ def parts(values: list[str | None], chars: int = 4_000_000) -> Iterator[list[str
 
 def fit(rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages and the log probability of each bucket in each (BUCKETS + 1 rows, the last zero); all rows count."""
-    langs = sorted(r[0] for r in rows.where("declared is not null").select("declared").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} declared languages; map them to fewer first")
+    often = rows.where("declared is not null").groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES)
+    langs = sorted(r["declared"] for r in often.collect())
+    rows = rows.where(F.col("declared").isin(langs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = {x: i for i, x in enumerate(langs)}
@@ -79,7 +79,7 @@ def fit(rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]
                 at += len(some)
         lang, bucket = np.nonzero(total)
         yield pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.int32()), "bucket": pa.array(bucket, pa.int32()), "n": total[lang, bucket]})
-    found = (rows.where("declared is not null").select("text", "declared").mapInArrow(count, "lang int, bucket int, n long")
+    found = (rows.select("text", "declared").mapInArrow(count, "lang int, bucket int, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())         # languages x buckets at most
     table = np.full((BUCKETS + 1, len(langs)), smoothing)
     table[found["bucket"], found["lang"]] += found["n"]
@@ -136,6 +136,8 @@ def identify(rows: DataFrame, least: float = 0.5) -> DataFrame:
         return rows.select("doc_id", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("double").alias("posterior"),
                            F.lit(None).cast("string").alias("text_lang"), F.lit(False).alias("kept"))
     scored = likelihoods(rows, logs).withColumn("p", _softmax("ll"))
+    rare = F.col("declared").isNotNull() & ~F.col("declared").isin(langs)
+    scored = scored.withColumn("declared", F.when(rare, F.lit(RARE)).otherwise(F.col("declared")))
     for c in ("declared", "suffix", "host"):
         scored = scored.withColumn(c, F.coalesce(c, F.lit("")))
     scored = common.saved(scored, "language-evidence")

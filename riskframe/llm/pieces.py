@@ -126,3 +126,4 @@ def slices(texts: pa.Array, chars: int = SLICE) -> Iterator[tuple[int, pa.Array]
         stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + chars, "right")))
         yield at, texts.slice(at, stop - at)
         at = stop
+    pa.default_memory_pool().release_unused()                     # a reused worker gives back what the slices took

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm import common
+
 #: Fixed values of the base counts.
 SYMBOLS, MIN_WORDS, WINDOW = b"#*$%&|<>", 50, 3
 #: Rows that measure cost and selectivity, chosen by hash of the key.
@@ -104,7 +106,7 @@ RULES = [
 
 def cascade_order(docs: DataFrame, rules: list[Rule] = RULES, rows: int = SAMPLE_ROWS) -> list[dict]:
     """(rule, cost in microseconds a row, share rejected) by rejection per cost, best first; a sample of ``rows`` rows."""
-    sample = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id", "text")).limit(rows)
+    sample = common.first_by(docs.select("doc_id", "text"), F.xxhash64("doc_id", "text"), rows)
     schema = "rule string, cost double, rejected long"
 
     def timed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -139,7 +139,7 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove(documents(spark, sf_dir), length=400)
+    return suffix_dedup.remove(documents(spark, sf_dir), length=400, passage=(240, 60, 50))
 
 
 @query

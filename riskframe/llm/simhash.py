@@ -29,7 +29,7 @@ from riskframe.llm import common, components
 
 SEED = 42
 #: Distinct fingerprints from which bit correlation and candidate counts are estimated; a choice of speed only.
-SAMPLE = 4_000
+SAMPLE = 2_000
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -88,11 +88,11 @@ def ball(places: list[int], radius: int) -> list[int]:
 def thresholds(bits: np.ndarray, groups: list[list[int]], n: int, max_bits: int) -> list[int]:
     """The cheapest t_i with sum(t_i + 1) = max_bits + 1; the cost of (i, t) is the probes plus the pairs expected within t."""
     from math import comb
-    sample = bits[:1500].astype(np.float32)
     cost = []
+    pairs = np.triu_indices(len(bits), 1)
     for g in groups:
-        x = sample[:, g]
-        apart = (x.sum(1)[:, None] + x.sum(1)[None, :] - 2 * x @ x.T).round().astype(int)[np.triu_indices(len(x), 1)]
+        x = bits[:, g].astype(np.float32)
+        apart = (x.sum(1)[:, None] + x.sum(1)[None, :] - 2 * x @ x.T).round().astype(np.int8)[pairs]
         row = {-1: 0.0}
         for t in range(max_bits + 1):
             probes = sum(comb(len(g), r) for r in range(t + 1))
@@ -134,7 +134,7 @@ def link(fps: DataFrame, max_bits: int = 4, partitions: int = 3) -> DataFrame:
     """
     fps = common.saved(common.fewer(fps.select("fp").where("fp is not null").distinct()), "fingerprints")
     n = fps.count()
-    sample = np.array([r[0] for r in fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).collect()], "<i8")
+    sample = np.array([r[0] for r in common.first_by(fps, F.xxhash64("fp"), SAMPLE).collect()], "<i8")
     bits = np.unpackbits(sample.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(float)
     groups = correlated_partitions(bits, partitions)
     radius = thresholds(bits, groups, n, max_bits)

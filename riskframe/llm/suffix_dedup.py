@@ -398,38 +398,56 @@ def repeated(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFra
             .groupBy("row").agg(F.flatten(F.collect_list("s")).alias("spans")))
 
 
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans as maximal runs."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
 
+def remove(docs: DataFrame, length: int = LENGTH, core: int = CORE, passage: tuple[int, int, int] | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each of ``docs`` (doc_id, text).
 
-def remove(docs: DataFrame, length: int = LENGTH, core: int = CORE) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of each of ``docs`` (doc_id, text)."""
+    ``passage`` (bytes, core, words): also n_passages, the maximal runs covered by repeated strings of so many bytes that
+    hold more than so many whole words. Nothing is removed for them: they show what repeats below ``length``.
+    """
     docs = common.numbered(docs.select("doc_id", "text"), "row")
-    spans = common.saved(repeated(docs, length, core), "repeated-spans")
+    spans = repeated(docs, length, core)
+    if passage:
+        shorter = repeated(docs, *passage[:2]).withColumnRenamed("spans", "shorter")          # a longer repeat holds shorter ones
+        spans = shorter.join(spans, "row", "left")
+    else:
+        spans = spans.withColumn("shorter", F.lit(None).cast("array<struct<a: int, b: int>>"))
+    spans = common.saved(spans.select("row", "spans", "shorter"), "repeated-spans")
     marked = docs.withColumn("may", _filter(docs, spans))
-    hit = marked.where("may").join(spans, "row", "left").select("doc_id", "text", "spans")
+    hit = marked.where("may").join(spans, "row", "left").select("doc_id", "text", "spans", "shorter")
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "n_passages", "kept_sha256"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text, spans in zip(*batch.columns, strict=True):
-                raw, cut = text.as_py().encode(), sorted((s["a"], s["b"] + length) for s in spans.as_py() or [])
-                kept, at, removed, n = [], 0, 0, 0
-                stop = -1
-                for a, b in cut:
-                    if a > stop:
-                        n += 1
-                        kept.append(raw[at:a])
-                        removed += b - a
-                        at = stop = b
-                    elif b > stop:
-                        removed += b - stop
-                        at = stop = b
-                kept.append(raw[at:])
-                rows.append((doc.as_py(), len(raw), removed, n, hashlib.sha256(b"".join(kept)).hexdigest()))
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-    changed = hit.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+            for doc, text, spans, shorter in zip(*batch.columns, strict=True):
+                raw = text.as_py().encode()
+                cut = _joined(sorted((s["a"], s["b"] + length) for s in spans.as_py() or []))
+                edge = [0, *[x for ab in cut for x in ab], len(raw)]
+                kept = b"".join(raw[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True))
+                passages = 0
+                for a, b in _joined(sorted((s["a"], s["b"] + passage[0]) for s in shorter.as_py() or [])) if passage else ():
+                    n = len(raw[a:b].split())                               # whole words: not those that the run cuts
+                    n -= a > 0 and bool(raw[a:a + 1].strip()) and bool(raw[a - 1:a].strip())
+                    n -= b < len(raw) and bool(raw[b:b + 1].strip()) and bool(raw[b - 1:b].strip())
+                    passages += n > passage[2]
+                rows.append((doc.as_py(), len(raw), sum(b - a for a, b in cut), len(cut), passages, hashlib.sha256(kept).hexdigest()))
+            kinds = [pa.int64()] * 5 + [pa.string()]
+            columns = zip(*rows, strict=True) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+    changed = hit.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, n_passages long, kept_sha256 string")
     zero = F.lit(0).cast("long")
     same = marked.where(~F.col("may")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"),
-                                              F.sha2("text", 256).alias("kept_sha256"))
-    return changed.unionByName(same)
+                                              zero.alias("n_passages"), F.sha2("text", 256).alias("kept_sha256"))
+    out = changed.unionByName(same)
+    return out if passage else out.drop("n_passages")

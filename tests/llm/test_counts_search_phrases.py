@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskframe.llm import bpe, common, phrases, pieces, ranked_search, token_count
+from riskframe.llm import bpe, common, merges, phrases, pieces, ranked_search, token_count
 from tests.llm.test_operators import EDGE, SCHEMA, prose
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,8 +38,10 @@ def test_merged_counts(vocabulary):
     r = random.Random(5)
     words = ["".join(r.choice("abcdefghtionre é中🙂") for _ in range(r.randint(1, 30))).encode() for _ in range(2000)]
     words += [b"a" * k for k in range(1, 40)] + [b"ab" * 3000, "".join(r.choice("abcd") for _ in range(5000)).encode()]
-    assert token_count.Merger(vocabulary).counts(words).tolist() == [len(vocabulary.merged(w)) for w in words]
-    assert token_count.Merger(vocabulary).counts([]).tolist() == []
+    merger, want = merges.Merger(vocabulary.single, vocabulary.merge), [vocabulary.merged(w) for w in words]
+    assert merger.counts(words).tolist() == list(map(len, want))
+    assert [np.frombuffer(x, "<u4").tolist() for x in merger.encode(words)] == want
+    assert merger.counts([]).tolist() == [] == merger.encode([])
 
 
 def test_part_counter(vocabulary):

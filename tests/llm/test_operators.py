@@ -342,3 +342,52 @@ def test_loser_tree():
     merged = list(suffix_dedup.LoserTree([suffix_dedup.unfolded(suffix_dedup.front_code(x)) for x in runs]))
     assert [m[0] for m in merged] == sorted(e[0] for e in entries)
     assert [m[1] for m in merged[1:]] == [suffix_dedup.common_prefix(a[0], b[0], 0) for a, b in zip(merged, merged[1:])]
+
+
+def test_passages(spark, none):
+    """Runs of repeated strings shorter than those removed, by their whole words; the rest of the result stays."""
+    shared = [prose(40, 150 + k) for k in range(4)]
+    r = random.Random(12)
+    texts = [prose(r.randint(0, 60), 160 + k) + r.choice([" ", ""]) + r.choice(shared)[r.randint(0, 200):] + prose(r.randint(0, 40), 190 + k) for k in range(40)]
+    texts += [texts[3], None, "", "ab " * 70]
+    docs = common.texts(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    found = {x["doc_id"]: x for x in suffix_dedup.remove(docs, 400, 100, passage=(60, 20, 9)).collect()}
+    assert [tuple(found[k])[1:4] + (found[k]["kept_sha256"],) for k in range(len(texts))] == removed(texts, 400)
+    raw = [(t or "").encode() for t in texts]
+    seen = {}
+    for x in raw:
+        for i in range(len(x) - 59):
+            seen[x[i:i + 60]] = seen.get(x[i:i + 60], 0) + 1
+    for k, x in enumerate(raw):
+        covered = [False] * len(x)
+        for i in range(len(x) - 59):
+            if seen[x[i:i + 60]] > 1:
+                covered[i:i + 60] = [True] * 60
+        words = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", x)]
+        runs, i = [], 0
+        while i < len(x):
+            j = i
+            while j < len(x) and covered[j]:
+                j += 1
+            if j > i:
+                runs.append((i, j))
+            i = j + 1
+        assert found[k]["n_passages"] == sum(sum(a <= s and e <= b for s, e in words) > 9 for a, b in runs), k
+    assert suffix_dedup.remove(common.texts(none), passage=(240, 60, 50)).columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "n_passages", "kept_sha256"]
+
+
+def test_many_declared_languages(spark, monkeypatch):
+    """More declarations than the model takes: the most frequent are languages, the others one value of evidence."""
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(k, prose(60, k), "en", "a") for k in range(20)] + [(100 + k, "ñandú çaðö " * (3 + k), "xx", "b") for k in range(10)]
+    rows += [(200 + k, prose(60, 300 + k), f"junk{k}", "a") for k in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r["doc_id"]: r["lang"] for r in langid.identify(langid.of_documents(df)).collect()}
+    assert {found[k] for k in range(20)} == {"en"} == {found[200 + k] for k in range(8)} and {found[100 + k] for k in range(10)} == {"xx"}
+
+
+def test_first_by_hash(spark):
+    df = spark.range(50_000).selectExpr("id", "concat('t', id) AS text")
+    h = F.xxhash64("id", "text")
+    assert [r[0] for r in common.first_by(df, h, 40).collect()] == [r[0] for r in df.orderBy(h).limit(40).collect()]
+    assert common.first_by(df.where("id < 7"), h, 40).count() == 7 and common.first_by(df.where("false"), h, 40).count() == 0
