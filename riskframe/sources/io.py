@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.core import NA_TOKENS, is_string_type, normalize_tokens, qcol
 
 # --- fixed values --------------------------------------------------------------
-ENCODINGS = ["utf-8", "latin1", "cp1252"]
+ENCODINGS = ["utf-8", "ISO-8859-1", "windows-1252"]
 # --------------------------------------------------------------------------------
 
 
@@ -32,22 +32,25 @@ def read_csv(spark: SparkSession, path: str, schema=None, encoding: str = ENCODI
                        else qcol(f.name) for f in df.schema.fields])
 
 
-def read_csv_any_encoding(spark: SparkSession, path: str, schema=None, encodings: Sequence[str] = ENCODINGS,
-                          na_tokens: Sequence[str] = NA_TOKENS) -> tuple[DataFrame, str]:
-    """Try encodings in order; the first whose decode produces no replacement character wins.
-
-    The probe is one bounded aggregate (count of cells holding U+FFFD)."""
-    last = None
-    for enc in encodings:
-        df = read_csv(spark, path, schema, enc, na_tokens)
-        strs = [f.name for f in df.schema.fields if is_string_type(f.dataType)]
-        if not strs:
-            return df, enc
-        bad = df.agg(F.count_if(F.concat_ws("", *[qcol(c) for c in strs]).contains("�"))).first()[0]
-        if bad == 0:
-            return df, enc
-        last = (df, enc)
-    return last
+def detect_encoding(spark: SparkSession, path: str) -> str:
+    """The first of ENCODINGS that the files' bytes fit, from one scan of undecoded lines: UTF-8 if every line is valid;
+    else Latin-1 unless bytes 0x80-0x9F occur, which are control characters there and letters and quotes in cp1252."""
+    raw = F.col("value").cast("binary")
+    c1 = F.decode(raw, "ISO-8859-1").rlike("[\\x80-\\x9f]")
+    bad, late = spark.read.text(path).select(F.is_valid_utf8("value").alias("ok"), c1.alias("c1")) \
+        .agg(F.count_if(~F.col("ok")), F.count_if(F.col("c1"))).first()
+    return ENCODINGS[0] if not bad else ENCODINGS[2] if late else ENCODINGS[1]
+
+
+def read_csv_any_encoding(spark: SparkSession, path: str, schema=None, na_tokens: Sequence[str] = NA_TOKENS) -> tuple[DataFrame, str]:
+    """A CSV scan in the encoding that its bytes fit (one scan decides); ``(rows, encoding)``."""
+    enc = detect_encoding(spark, path)
+    if enc != ENCODINGS[2]:
+        return read_csv(spark, path, schema, enc, na_tokens), enc
+    df = read_csv(spark, path, schema, ENCODINGS[1], na_tokens)          # the scan knows no cp1252: it differs in 27 characters
+    late = {bytes([b]).decode("latin-1"): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+    return df.select(*[F.translate(qcol(f.name), "".join(late), "".join(late.values())).alias(f.name) if is_string_type(f.dataType)
+                       else qcol(f.name) for f in df.schema.fields]), enc
 
 
 def load_stats(df: DataFrame, entity: str | None = None) -> DataFrame:
