@@ -10,7 +10,6 @@ same assignment.
 from __future__ import annotations
 
 import math
-import random
 from collections.abc import Sequence
 
 from pyspark.ml import Estimator, PipelineModel
@@ -21,13 +20,13 @@ from pyspark.sql import functions as F
 from riskframe.functions.core import hash_order, is_numeric_type, qcol, uniform
 from riskframe.operators.lookup import bounded_broadcast
 from riskframe.operators.ordered import rank_within
+from riskframe.session import cut_lineage
 
 # --- fixed values --------------------------------------------------------------
 TEST_SIZE = 0.2
 SEED = 42
 DRIFT_WARN = 0.5
 SMOTE_NEIGHBOURS = 5
-SMOTE_WINDOW = 20             # rows looked at on either side along each order
 FEW_ROWS = 20_000             # rows around the quotas that the driver sees when a split is found
 MAX_LEVELS = 10_000           # levels of a column that become named columns; beyond: vector_pipeline, or group them
 MAX_CLASSES = 10_000          # class tables up to this size are broadcast (checked), larger ones are joined
@@ -282,13 +281,12 @@ def vector_pipeline(categorical: Sequence[str], numeric: Sequence[str], scale: b
 
 # F9 -------------------------------------------------------------------------------
 def oversample(df: DataFrame, columns: Sequence[str], label: str, key: str, neighbours: int = SMOTE_NEIGHBOURS,
-               window: int = SMOTE_WINDOW, seed: int = SEED) -> DataFrame:
+               seed: int = SEED) -> DataFrame:
     """Minority oversampling: rows (label, ``columns`` as double, synthetic) with as many rows of the smaller class of a
     0/1 label as of the larger; a synthetic row lies between a minority row and one of its ``neighbours`` nearest.
 
-    Nearest among the ``window`` rows on either side along two orders of the standardised minority rows (a fixed random
-    direction each), so each row meets at most 4 x ``window`` others: an approximate search, without pairs of a class.
-    Each minority row makes n // m or n // m + 1 synthetic rows (n missing rows, m minority rows), the extra ones by
+    Nearest by the standardised columns among all minority rows, exactly (``neighbours.nearest``: pivot cells, no pairs of
+    a class); keys are distinct. Each minority row makes n // m or n // m + 1 synthetic rows (n missing rows, m minority rows), the extra ones by
     hash. Null values count as the column's mean. A class of fewer than two rows, or none missing: no synthetic rows.
     """
     cols = list(columns)
@@ -304,21 +302,9 @@ def oversample(df: DataFrame, columns: Sequence[str], label: str, key: str, neig
     stats = fit_scaler(minority, cols)
     x = F.array(*[F.coalesce((qcol(c).cast("double") - F.lit(mean or 0.0)) / F.lit(sd), F.lit(0.0)) for c, (mean, sd) in stats.items()])
     points = minority.select(qcol(key).alias("_k"), x.alias("_x"), hash_order(seed, qcol(key)).alias("_h"))
-    near = None
-    for d in range(2):
-        rnd = random.Random(f"{seed}:{d}")
-        direction = F.array(*[F.lit(rnd.gauss(0, 1)) for _ in cols])
-        along = F.aggregate(F.arrays_zip(F.col("_x").alias("a"), direction.alias("b")), F.lit(0.0), lambda s, p: s + p["a"] * p["b"])
-        at = rank_within(points.withColumn("_p", along), [], ["_p", "_h", "_k"], "_r")
-        steps = F.explode(F.array(*[F.lit(i) for i in range(-window, window + 1) if i]))
-        other = at.select("_r", F.col("_k").alias("_k2"), F.col("_x").alias("_y"), steps.alias("_step")) \
-            .select((F.col("_r") + F.col("_step")).alias("_r"), "_k2", "_y")
-        pairs = at.join(other, "_r").select("_k", "_x", "_h", "_k2", "_y")
-        near = pairs if near is None else near.unionByName(pairs)
-    distance = F.aggregate(F.zip_with("_x", "_y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
-    found = near.groupBy("_k", "_x", "_h").agg(F.array_sort(F.collect_set(F.struct(distance.alias("d"), F.col("_k2").alias("k"),
-                                                                                   F.col("_y").alias("y")))).alias("_near")) \
-        .withColumn("_near", F.slice("_near", 1, neighbours))
+    from riskframe.operators.neighbours import nearest
+    points = cut_lineage(points)
+    found = points.join(nearest(points, "_k", "_x", neighbours, seed=seed).withColumnRenamed("near", "_near"), "_k")
     ranked = rank_within(found, [], ["_h", "_k"], "_r")
     copies = F.lit(missing // m) + (F.col("_r") < missing % m).cast("int")
     made = ranked.where(copies > 0).select("_k", "_x", "_near", F.explode(F.sequence(F.lit(1), copies)).alias("_i"))
