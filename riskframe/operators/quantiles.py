@@ -34,8 +34,9 @@ def value_histogram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ())
     return long_values(df, cols, by).groupBy(*by, "column", "v").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-# Relative error of the digests, and rows between two bracketing values that are counted value by value on the driver.
-DIGEST_ACCURACY, FEW_ROWS = 10_000, 100_000
+# Relative error of the digests; rows between two bracketing values, or distinct values of a column, that are counted value
+# by value and come to the driver.
+DIGEST_ACCURACY, FEW_ROWS, FEW_VALUES = 10_000, 100_000, 50_000
 
 
 class _Position:
@@ -73,8 +74,8 @@ def _refined(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> list
     nan = float("nan")
     src = df.select(*[qcol(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
     x = [F.when(~F.isnan(f"c{i}"), F.col(f"c{i}")) for i in range(len(cols))]
-    sizes = src.agg(*[F.count(f"c{i}") for i in range(len(cols))], *[F.count(v) for v in x]).first()
-    n, real = sizes[:len(cols)], sizes[len(cols):]
+    sizes = src.agg(*[F.count(f"c{i}") for i in range(len(cols))], *[F.count(v) for v in x], *[F.approx_count_distinct(v) for v in x]).first()
+    n, real, values = (sizes[k * len(cols):(k + 1) * len(cols)] for k in range(3))
     wanted: dict[tuple[int, int], _Position] = {}
     for i in range(len(cols)):
         for p in probs:
@@ -83,7 +84,7 @@ def _refined(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> list
                 if (i, rank) not in wanted:
                     wanted[i, rank] = at = _Position(i, rank, real[i])
                     at.value = nan if rank >= real[i] else None
-    while todo := [p for p in wanted.values() if p.value is None and p.rows > FEW_ROWS]:
+    while todo := [p for p in wanted.values() if p.value is None and p.rows > FEW_ROWS and values[p.column] > FEW_VALUES]:
         digests = []
         for p in todo:
             share, slack = (p.rank - p.below) / max(1, p.rows - 1), 3.0 / DIGEST_ACCURACY
@@ -105,12 +106,12 @@ def _refined(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> list
         first = {(p.column, p.a, p.b): p for p in left}
         some = F.explode(F.filter(F.array(*[F.struct(F.lit(k).alias("span"), F.when(first[s].inside(x[s[0]]), x[s[0]]).alias("v")) for k, s in enumerate(spans)]),
                                   lambda e: e["v"].isNotNull())).alias("e")
-        hist = src.select(some).groupBy("e.span", "e.v").agg(F.count(F.lit(1)).alias("cnt")).toPandas()      # FEW_ROWS rows a span
+        hist = src.select(some).groupBy("e.span", "e.v").agg(F.count(F.lit(1)).alias("cnt")).toPandas()      # FEW_ROWS or FEW_VALUES a span
         for k, g in hist.sort_values(["span", "v"]).groupby("span"):
-            values, upto = g["v"].to_numpy(), g["cnt"].cumsum().to_numpy()
+            v, upto = g["v"].to_numpy(), g["cnt"].cumsum().to_numpy()
             for p in left:
                 if of[p.column, p.a, p.b] == k:
-                    p.value = float(values[(upto > p.rank - p.below).argmax()])
+                    p.value = float(v[(upto > p.rank - p.below).argmax()])
     rows = []
     for i, c in enumerate(cols):
         for p in probs:

@@ -46,6 +46,7 @@ def test_distributed_quantiles_spread_a_large_histogram(spark, monkeypatch):
 def test_refined_positions(spark, monkeypatch):
     """With few rows counted on the driver: skewed, tied, infinite and missing values, and a coarse digest."""
     monkeypatch.setattr(Q, "FEW_ROWS", 5)
+    monkeypatch.setattr(Q, "FEW_VALUES", 0)
     monkeypatch.setattr(Q, "DIGEST_ACCURACY", 30)
     rnd = random.Random(3)
     cols = {"skew": [rnd.random() ** 9 * 1e12 for _ in range(800)], "ties": [float(rnd.randint(0, 3)) for _ in range(800)],
