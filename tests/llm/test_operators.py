@@ -285,7 +285,7 @@ def test_lm(spark, edge, none):
     assert neural_lm.score(common.texts(none)).count() == 0
     m = neural_lm.Model.start(np.full(6, 1 / 6), 4)
     logits = (m.R[:, None] * m.C[0] + m.R[None] * m.C[1]) @ m.Q.T + m.b
-    assert np.allclose(np.exp(logits - m.normalisers()[:, :, None]).sum(2), 1, atol=1e-4)
+    assert np.allclose(np.exp(logits - m.normalisers(np.arange(6))[:, :, None]).sum(2), 1, atol=1e-4)
 
 
 def removed(texts, length):
@@ -391,3 +391,43 @@ def test_first_by_hash(spark):
     h = F.xxhash64("id", "text")
     assert [r[0] for r in common.first_by(df, h, 40).collect()] == [r[0] for r in df.orderBy(h).limit(40).collect()]
     assert common.first_by(df.where("id < 7"), h, 40).count() == 7 and common.first_by(df.where("false"), h, 40).count() == 0
+
+
+def test_lm_score_by_hand(spark, monkeypatch):
+    """With a given model: every token's class, the exact normaliser and its share in its class, token by token."""
+    r = random.Random(9)
+    words = ["red", "fox", "blue", "sky", "ran", "run", "é", "ñu", "café", "x"]
+    texts = [(k, " ".join(r.choice(words) for _ in range(r.randint(0, 9)))) for k in range(120)] + [(500, "never seen words here")]
+    given = []
+
+    def fixed(docs, number, own, share):
+        m = neural_lm.Model.start(share, neural_lm.DIM)
+        m.C[:] = np.random.default_rng(3).normal(0, 1, m.C.shape)
+        given.append((m, dict(number.value), number.value.kinds, own, share))
+        return m
+    monkeypatch.setattr(neural_lm, "train", fixed)
+    found = {x["doc_id"]: x["score"] for x in neural_lm.score(common.texts(spark.createDataFrame(texts, "doc_id long, text string")), classes=9).collect()}
+    m, number, kinds, own, share = given[0]
+    learned = Counter(w for k, t in texts if zlib.crc32(str(k).encode()) % 5 != 1 for w in [*t.split(), ""])
+    assert len(share) == 9 and kinds == 4 and abs(share.sum() - 1) < 1e-12
+
+    def cls(w):
+        return 0 if w == "" else int(own[number[w.encode()]]) if w.encode() in number else neural_lm.ending(w.encode(), kinds)
+    members = {}
+    for w in learned:
+        members.setdefault(cls(w), []).append(w)
+    for k, t in texts:
+        two = one = 0
+        want = 0.0
+        for w in [*t.split(), ""]:
+            logits = (m.R[two] * m.C[0] + m.R[one] * m.C[1]) @ m.Q.T + m.b
+            want += (logits[cls(w)] - np.logaddexp.reduce(logits)) / math.log(10)
+            if 1 <= cls(w) <= kinds:
+                of = members.get(cls(w), [])
+                want += math.log10((learned[w] + .5) / (sum(learned[x] for x in of) + .5 * (len(of) + 1)))
+            two, one = one, cls(w)
+        assert abs(found[k] - want) < 1e-4, (k, t)
+
+
+def test_lm_grows_with_its_corpus():
+    assert [neural_lm.n_classes(n) for n in (10, 300_000, 2_000_000, 10**9)] == [512, 535, 1007, 7999]
