@@ -229,6 +229,8 @@ def count_parts(docs: DataFrame, specials: list[str]) -> DataFrame:
                         yield from held.pop().combine_chunks().to_batches()
         if held:
             yield from summed().combine_chunks().to_batches()
+        held.clear()
+        common.give_back()
     spaced = F.when(F.col("key").startswith("\x01"), F.expr("substr(key, 2)")).when(F.col("key").startswith("\n"), F.col("key")).otherwise(F.concat(F.lit(" "), "key"))
     return docs.select("text").mapInArrow(count, "key string, n long").groupBy(spaced.alias("part")).agg(F.sum("n").alias("n"))
 
@@ -276,6 +278,7 @@ def encode(docs: DataFrame, tokenizer_path: str, lexicon_words: int = LEXICON_WO
                 texts = [own.vocabulary.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)] if decoded else []
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(part)), lists] + [pa.array(texts, pa.string())] * decoded,
                                                  ["doc_id", "ids", "text"][:2 + decoded])
+        common.give_back()
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>" + ", text string" * decoded)
 
 

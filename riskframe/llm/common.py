@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,6 +76,14 @@ def numbered(df: DataFrame, column: str) -> DataFrame:
     return found.select(*[F.col(f"`{c}`") for c in df.columns if c != column], (F.col(f"{column}_base") + F.col(f"{column}_index")).alias(column))
 
 
+def give_back() -> None:
+    """Hands what a finished task took back to the system, as its Python worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)          # of the C library, where it has it
+    if trim:
+        trim(0)
+
+
 def fewer(df: DataFrame, factor: int = 8) -> DataFrame:
     """``df``, the outcome of a shuffle and much smaller than the documents, in fewer and larger tasks."""
     return df.coalesce(max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // factor))

@@ -24,6 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm import common
+
 N, SHORT = 3, 12
 LEAST, PASSAGE = 0.5, 13
 MATCH, MISS, GAP = 2, -1, 1
@@ -190,6 +192,8 @@ def scan(docs: DataFrame, table: Table, n: int, least: float, passage: int) -> D
                 if len(jobs) + len(best) >= JOBS_AT_ONCE:
                     yield done()
         yield done()
+        memo.clear()
+        common.give_back()
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, item_id long, score double")
 
 

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm import common
+
 BUCKETS = 1 << 14
 #: Trigrams that a text's likelihood counts as, at most: the rest adds little that is independent.
 EFFECTIVE = 40
@@ -78,6 +80,7 @@ def fit(rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray]
                 total += np.bincount(lang * (BUCKETS + 1) + ids, minlength=total.size).reshape(total.shape)
                 at += len(some)
         lang, bucket = np.nonzero(total)
+        common.give_back()
         yield pa.RecordBatch.from_pydict({"lang": pa.array(lang, pa.int32()), "bucket": pa.array(bucket, pa.int32()), "n": total[lang, bucket]})
     found = (rows.select("text", "declared").mapInArrow(count, "lang int, bucket int, n long")
              .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas())         # languages x buckets at most
@@ -108,6 +111,7 @@ def likelihoods(rows: DataFrame, logs: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([own.column(c) for c in ("doc_id", "declared", "suffix", "host")] + [
                     pa.array(list(ll), pa.list_(pa.float64())), pa.array(lettered)], ["doc_id", "declared", "suffix", "host", "ll", "lettered"])
                 at += len(some)
+        common.give_back()
     return rows.mapInArrow(run, "doc_id long, declared string, suffix string, host string, ll array<double>, lettered boolean")
 
 
@@ -128,7 +132,6 @@ def _logs(table: DataFrame, key: str, n: int, name: str) -> DataFrame:
 
 def identify(rows: DataFrame, least: float = 0.5) -> DataFrame:
     """(doc_id, lang, posterior, text_lang, kept) of each of ``rows`` (doc_id, text, declared, suffix, host)."""
-    from riskframe.llm import common
     rows = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "declared", "suffix", "host")
     langs, logs = fit(rows)
     n = len(langs)

@@ -22,7 +22,7 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 _UNEVEN = (r"\A[ \n]|[ \n]\z|[ \n][ \n]|[\x01\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
            r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|\A\z")
 #: Bytes of remembered parts (twice: those met since the last turn, and before), of a slice, and parts encoded at once.
-MEMO, SLICE, AT_ONCE = 32_000_000, 8_000_000, 20_000
+MEMO, SLICE, AT_ONCE = 24_000_000, 8_000_000, 10_000
 #: By name: encoders that the tasks of one Python worker share, so that each doesn't start with an empty memory.
 _SHARED: dict[str, Callable] = {}
 
@@ -126,4 +126,3 @@ def slices(texts: pa.Array, chars: int = SLICE) -> Iterator[tuple[int, pa.Array]
         stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + chars, "right")))
         yield at, texts.slice(at, stop - at)
         at = stop
-    pa.default_memory_pool().release_unused()                     # a reused worker gives back what the slices took

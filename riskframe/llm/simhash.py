@@ -57,6 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
         for batch in batches:
             found = [fingerprint(x.as_py() or "", shingle) for x in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"])
+        common.give_back()
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
