@@ -262,15 +262,14 @@ def nested_logistic(df: DataFrame, grid: Sequence[Mapping], outer: int = 3, inne
     equals) on every outer training part, refitted and graded on the outer test part. Two batches of fits in all."""
     import json
 
-    from riskframe.operators.features import stratified_folds
-    t, designs = df, {}
+    from riskframe.operators.features import stratified_fold_sets
+    parts = [F.when(qcol(fold) != o, 1).otherwise(0) for o in range(outer)]
+    t, designs = stratified_fold_sets(df, label, key, inner, range(seed, seed + outer), "_in", parts), {}
     for o in range(outer):
-        t = t.withColumn("_out", F.when(qcol(fold) != o, 1).otherwise(0))
-        t = stratified_folds(t, [label, "_out"], key, inner, seed=seed + o, name=f"_in{o}")
         inside = qcol(fold) != o
         designs |= {f"outer{o}": inside.cast("int"), f"left{o}": (~inside).cast("int")}
         for i in range(inner):
-            designs |= {f"train{o}.{i}": (inside & (F.col(f"_in{o}") != i)).cast("int"), f"test{o}.{i}": (inside & (F.col(f"_in{o}") == i)).cast("int")}
+            designs |= {f"train{o}.{i}": (inside & (F.col("_in")[o] != i)).cast("int"), f"test{o}.{i}": (inside & (F.col("_in")[o] == i)).cast("int")}
     batch = Batch(t, designs, label=label, weight=weight)
     fits = [Fit(f"train{o}.{i}", p["C"], p["penalty"]) for o in range(outer) for p in grid for i in range(inner)]
     aucs = [m.get("roc_auc") or 0.0 for m in batch.metrics(batch.fit(fits), [f.design.replace("train", "test") for f in fits])]
@@ -317,12 +316,11 @@ def learning_curve_logistic(df: DataFrame, fractions: Sequence[float], folds: in
 def stability_logistic(df: DataFrame, runs: int = 20, folds: int = 5, key: str = "encounter_id", label: str = "target",
                        C: float = 1.0, penalty: str = "l2", weight: str | None = "weight") -> tuple[DataFrame, list[np.ndarray]]:
     """V8: AUC per (run, fold) of ``runs`` reseeded CVs, and the coefficients of every fit in the same order."""
-    from riskframe.operators.features import stratified_folds
-    t, designs = df, {}
+    from riskframe.operators.features import stratified_fold_sets
+    t, designs = stratified_fold_sets(df, label, key, folds, range(1000, 1000 + runs), "_f"), {}
     for r in range(runs):
-        t = stratified_folds(t, label, key, folds, seed=1000 + r, name=f"_f{r}")
-        designs |= {f"train{r}.{i}": (F.col(f"_f{r}") != i).cast("int") for i in range(folds)}
-        designs |= {f"test{r}.{i}": (F.col(f"_f{r}") == i).cast("int") for i in range(folds)}
+        designs |= {f"train{r}.{i}": (F.col("_f")[r] != i).cast("int") for i in range(folds)}
+        designs |= {f"test{r}.{i}": (F.col("_f")[r] == i).cast("int") for i in range(folds)}
     batch = Batch(t, designs, label=label, weight=weight)
     jobs = [(r, i) for r in range(runs) for i in range(folds)]
     fits = batch.fit([Fit(f"train{r}.{i}", C, penalty) for r, i in jobs])
