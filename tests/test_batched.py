@@ -126,3 +126,26 @@ def test_pruned_forest(spark, table):
             votes += n["impurityStats"][1] / sum(n["impurityStats"])
         walked.append(votes / len(by))
     assert np.allclose(walked, score(cut))
+
+
+def _flat_problem():
+    """Slope, Hessian and start of a lasso whose third column is the sum of the first two: a flat direction, small penalty."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 2)) * [1.0, 3.0]
+    x = np.column_stack([x, x.sum(axis=1), rng.normal(size=500), np.ones(500)])
+    x[:, 2] /= x[:, 2].std()
+    y = x @ [0.5, -0.2, 0.4, 0.0, 0.3] + rng.normal(size=500)
+    return -x.T @ y, x.T @ x
+
+
+@pytest.mark.parametrize("lam", [0.01, 1.0, 200.0, 1e6])
+@pytest.mark.parametrize("start", [[0.0] * 5, [0.4, -0.3, 0.9, 1.0, 0.0], [-5.0, 5.0, -5.0, 0.0, 2.0]])
+def test_lasso_step_is_exact_where_columns_are_collinear(lam, start):
+    g0, h = _flat_problem()
+    b = np.array(start)
+    u = b + B._lasso_step(g0 + h @ b, h, b, lam)
+    slope = g0 + h @ u
+    off = np.where(u != 0, np.abs(slope + lam * np.sign(u)), np.maximum(np.abs(slope) - lam, 0))
+    off[-1] = abs(slope[-1])
+    assert off.max() < 1e-8 * max(1.0, lam)
+    assert (u[:3] == 0).any()                               # of collinear columns, one is left out
