@@ -26,8 +26,8 @@ from riskframe.llm import common, merges, pieces
 
 #: Words in the lexicon: bounds what the driver collects and the mapped file (about 2 MB at this size).
 LEXICON_WORDS = 65_536
-#: Bytes of texts that are cut at once, and of counted parts that a task holds before it hands them on.
-SLICE, COUNT_BYTES = 2_000_000, 16_000_000
+#: Bytes of texts that are encoded or counted at once, and of counted parts that a task holds before it hands them on.
+SLICE, COUNT_SLICE, COUNT_BYTES = 2_000_000, 1_000_000, 16_000_000
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -220,7 +220,7 @@ def count_parts(docs: DataFrame, specials: list[str]) -> DataFrame:
             t = pa.concat_tables(held).group_by("key", use_threads=False).aggregate([("n", "sum")])
             return pa.table({"key": t["key"], "n": t["n_sum"]})
         for batch in batches:
-            for _, part in pieces.slices(batch.column("text"), SLICE):
+            for _, part in pieces.slices(batch.column("text"), COUNT_SLICE):
                 c = pc.value_counts(pieces.cut(part, specials)[0])
                 held.append(pa.table({"key": c.field(0).cast(pa.string()), "n": c.field(1).cast(pa.int64())}))
                 if sum(t.nbytes for t in held) > COUNT_BYTES:

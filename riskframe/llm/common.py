@@ -19,11 +19,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Bytes of rows that go to Python at once: bounds what a task holds on both sides, whatever the texts' lengths.
 BATCH_BYTES = 4 << 20
+#: Rows of a parquet file that a scan decodes at once.
+SCAN_ROWS = 512
 
 
 def small_batches(spark: SparkSession) -> None:
-    """The session's Arrow batches from now on hold ``BATCH_BYTES`` (Spark's own bound is 64 MB)."""
+    """The session's Arrow batches from now on hold ``BATCH_BYTES`` (Spark's own bound is 64 MB), and its scans decode
+    ``SCAN_ROWS`` rows at once (Spark's own 4,096 whole texts take arrays of tens of MB in each task)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -49,7 +49,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, ends - n
 
 
-def parts(values: list[str | None], chars: int = 4_000_000) -> Iterator[list[str]]:
+def parts(values: list[str | None], chars: int = 1_000_000) -> Iterator[list[str]]:
     some: list[str] = []
     size = 0
     for v in values:

@@ -6,7 +6,7 @@ import corpus_pipeline
 import duckdb
 import pytest
 
-from riskframe.llm import queries
+from riskframe.llm import common, langid, queries
 from tests.llm.test_operators import EDGE, SCHEMA, prose
 
 SMALL = "/root/testdata/sf0.001"
@@ -49,3 +49,14 @@ def test_sql(spark, name):
     assert sorted(want.columns) == columns
     norm = lambda df: sorted(tuple(None if x != x or x is None else x for x in r) for r in df[columns].astype(object).where(df[columns].notna(), None).itertuples(index=False))  # noqa: E731, PLR0124
     assert sorted(map(repr, norm(found.toPandas()[columns]))) == sorted(map(repr, norm(want))) or [tuple(r) for r in norm(want)] == norm(found.toPandas())
+
+
+def test_scans_and_slices_are_small(spark, tmp_path):
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", "4096")
+    docs = [(i, "x" * 100) for i in range(3 * common.SCAN_ROWS)]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    read = common.texts(common.table(spark, str(tmp_path), "documents"))
+    assert int(spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")) == common.SCAN_ROWS
+    assert sorted(map(tuple, read.collect())) == docs
+    some = [[len(x) for x in p] for p in langid.parts(["a" * 300_000] * 8)]
+    assert sum(map(len, some)) == 8 and max(map(sum, some)) <= 1_300_000
